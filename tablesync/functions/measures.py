@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# How far two row counts may differ, and the modulus of the draws.
+# How far two row counts may differ, and the width of a draw.
 TOLERANCE_FLOOR = 100
 TOLERANCE_RATE = 0.001
-DRAW_MODULUS = 2147483647
+DRAW_BITS = 31
 
 
 def tolerance(rows: Column, floor: int = TOLERANCE_FLOOR, rate: float = TOLERANCE_RATE) -> Column:
@@ -31,10 +31,14 @@ def bar(share: Column, width: int, full: str = "▓", empty: str = "░") -> Col
 
 
 def draw(id_col: Column, multiplier: int, bound: int) -> Column:
-    """A repeatable number in ``0 .. bound - 1`` that depends on the id alone."""
-    return (id_col.cast("bigint") * F.lit(multiplier).cast("bigint")) % F.lit(DRAW_MODULUS) % F.lit(
-        bound
-    ).cast("bigint")
+    """A repeatable number in ``0 .. bound - 1`` that depends on the id alone.
+
+    The odd ``multiplier`` spreads the ids over 31 bits, whose upper part is
+    scaled to the bound. Another multiplier gives another sequence.
+    """
+    mask = F.lit((1 << DRAW_BITS) - 1).cast("bigint")
+    spread = (id_col.cast("bigint").bitwiseAND(mask) * multiplier).bitwiseAND(mask)
+    return F.shiftright(spread * bound, DRAW_BITS)
 
 
 def pick(id_col: Column, multiplier: int, choices: tuple[str, ...]) -> Column:

@@ -205,17 +205,14 @@ def access_summary(
     failing = dangling_grants(
         all_statements(global_grants, db_grants, set_grants), accounts
     ).agg(F.count(F.lit(1)).alias("error_privileges"))
-    one = F.lit(1).alias("one")
-    return (
-        users.select("*", one)
-        .join(rows.select("*", one), "one")
-        .join(failing.select("*", one), "one")
-        .select(
-            "total_users",
-            "migrated_users",
-            "skipped_users",
-            "total_privileges",
-            (F.col("total_privileges") - F.col("error_privileges")).alias("migrated_privileges"),
-            "error_privileges",
-        )
+    parts = users
+    for part in (rows, failing):
+        parts = parts.unionByName(part, allowMissingColumns=True)
+    return parts.agg(*[F.sum(c).alias(c) for c in parts.columns]).select(
+        "total_users",
+        "migrated_users",
+        "skipped_users",
+        "total_privileges",
+        (F.col("total_privileges") - F.col("error_privileges")).alias("migrated_privileges"),
+        "error_privileges",
     )

@@ -15,6 +15,8 @@ def count_scan(df: DataFrame) -> DataFrame:
 
 def high_water_mark(df: DataFrame, keys: list[str]) -> DataFrame:
     """The largest key in one row, NULL for an empty table (so key 0 is a key)."""
+    if len(keys) == 1:
+        return df.agg(F.max(keys[0]).alias(keys[0]))
     largest = df.agg(F.max(F.struct(*keys)).alias("m"))
     return largest.select(*[F.col(f"m.{k}").alias(k) for k in keys])
 
@@ -34,12 +36,23 @@ def count_and_max(df: DataFrame, key: str) -> DataFrame:
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per table with its row count."""
-    counts = [
-        count_scan(df).select(F.lit(name).alias("table_name"), "total_records")
-        for name, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    """One row per table with its row count, also for empty ones.
+
+    The tables are stacked as their names only, so no column is read, and all
+    of them are counted in one stage however many there are.
+    """
+    if not tables:
+        raise ValueError("no tables to count")
+    spark = next(iter(tables.values())).sparkSession
+    listed = F.explode(F.array(*[F.lit(name) for name in tables]))
+    names = spark.range(1).select(listed.alias("table_name"))
+    stacked = reduce(
+        DataFrame.union, [df.select(F.lit(name).alias("table_name")) for name, df in tables.items()]
+    )
+    counts = stacked.groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
+    return names.join(counts, "table_name", "left").select(
+        "table_name", F.coalesce("n", F.lit(0)).alias("total_records")
+    )
 
 
 def total_records(counts: DataFrame) -> DataFrame:

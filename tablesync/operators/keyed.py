@@ -64,7 +64,8 @@ def dropped_by_replace(
     """Batch rows that a later batch row replaces on some unique key."""
     empty = batch.limit(0)
     stay = replace_into_multi_unique(empty, batch, unique_keys, order_cols)
-    return batch.join(stay.select(*order_cols), order_cols, "left_anti")
+    gone = batch.join(stay.select(*order_cols), order_cols, "left_anti")
+    return gone.select(*batch.columns)
 
 
 def insert_ignore(
@@ -74,7 +75,8 @@ def insert_ignore(
     first = earliest_per_key(batch, keys, order_cols)
     if dest is None:
         return first
-    return first.join(dest.select(*keys).distinct(), keys, "left_anti")
+    there = dest.select(*keys).distinct()
+    return first.join(there, keys, "left_anti").select(*batch.columns)
 
 
 def incremental_rows(source: DataFrame, dest: DataFrame, keys: list[str]) -> DataFrame:

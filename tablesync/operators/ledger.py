@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesync.operators.reconcile import seconds_between
 
 EVENT_SCHEMA = (
-    "run_id string, event_id bigint, ts timestamp_ntz, table_key string, op string, "
-    "total_rows bigint, last_id bigint, processed_rows bigint, message string"
+    T.StructType()
+    .add("run_id", T.StringType())
+    .add("event_id", T.LongType())
+    .add("ts", T.TimestampNTZType())
+    .add("table_key", T.StringType())
+    .add("op", T.StringType())
+    .add("total_rows", T.LongType())
+    .add("last_id", T.LongType())
+    .add("processed_rows", T.LongType())
+    .add("message", T.StringType())
 )
 # How often progress is saved, and when a call is slow.
 SAVE_EVERY = 1000

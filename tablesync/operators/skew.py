@@ -31,11 +31,13 @@ def salted_join(
     shuffle partitions by a hash of their other columns, and the few hot keys
     of ``right`` are repeated once per salt; every other row is joined as
     usual. Catalyst and AQE still choose a broadcast when ``right`` is small
-    enough by their own size check.
+    enough by their own size check. The columns of ``left`` keep their order.
     """
+    more = [] if how in ("left_anti", "left_semi") else right.columns
+    columns = left.columns + [c for c in more if c not in keys]
     hot = hot_key_hashes(left, keys, share)
     if not hot:
-        return left.join(right, keys, how)
+        return left.join(right, keys, how).select(*columns)
     salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_hot = F.xxhash64(*keys).isin(hot)
     spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
@@ -46,7 +48,7 @@ def salted_join(
             F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
         ),
     )
-    return salted_left.join(salted_right, keys + ["_salt"], how).drop("_salt")
+    return salted_left.join(salted_right, keys + ["_salt"], how).select(*columns)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -18,12 +18,12 @@ from tablesync.operators.catalog import (
     base_tables,
     catalog_columns,
     catalog_counts,
-    ensure_tables,
     parse_target,
 )
 from tablesync.operators.counts import row_counts
 from tablesync.operators.reconcile import progress_report, progress_totals
 from tablesync.plans.copy import CopyResult, copy_tables
+from tablesync.plans.structure import ensure_tables
 from tablesync.sources.ledger_store import Ledger
 
 
@@ -36,17 +36,7 @@ def replicate(
     spark: SparkSession, sources: Mapping[TableSpec, DataFrame], root: str, target: str | None = None
 ) -> DataFrame:
     """Create the empty destination tables of a target, or of everything."""
-    chosen = choose(sources, target)
-    parts = [
-        ensure_tables(
-            spark, {s.name: df for s, df in chosen.items() if s.schema == schema}, root, schema
-        )
-        for schema in sorted({s.schema for s in chosen})
-    ]
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    return ensure_tables(spark, choose(sources, target), root)
 
 
 def migrate(

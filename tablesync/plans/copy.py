@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +16,7 @@ from tablesync.operators.keyed import replace_into
 from tablesync.operators.ledger import ledger_state
 from tablesync.operators.paging import keyset_filter
 from tablesync.operators.reconcile import count_check
+from tablesync.plans.side_by_side import side_by_side
 from tablesync.session import fresh_path
 from tablesync.sources.ledger_store import Ledger
 
@@ -137,20 +136,12 @@ def copy_tables(
     if ledger:
         ledger.record(None, "set_totals", total_rows=len(specs))
 
-    def copy_one(spec: TableSpec) -> CopyResult | Exception:
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.table_key)
-        try:
-            return copy_table(
-                sources[spec], spec, run_ts, locations.get(spec, ()), mode, ledger
-            )
-        except Exception as error:  # reported per table
-            return error
+    def copy_one(spec: TableSpec) -> CopyResult:
+        return copy_table(sources[spec], spec, run_ts, locations.get(spec, ()), mode, ledger)
 
+    outcomes = side_by_side(spark, copy_one, specs, workers, lambda spec: spec.table_key)
     results: dict[TableSpec, CopyResult] = {}
     rows = []
-    task = inheritable_thread_target(spark)(copy_one)
-    with ThreadPoolExecutor(max(1, min(workers, len(specs)))) as pool:
-        outcomes = list(pool.map(task, specs))
     for index, (spec, outcome) in enumerate(zip(specs, outcomes), start=1):
         if isinstance(outcome, CopyResult):
             results[spec] = outcome

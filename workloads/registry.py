@@ -6,7 +6,9 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from tablesync.sources.tables import scan_table
 from workloads.fixtures import FIXTURES, TABLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,15 +20,28 @@ _NAME = re.compile(r"\{(\w+)\}")
 class Inputs:
     """The given tables and the frames derived from them, by name."""
 
+    # Schemas by path, so that a table's footer is read once and not per query.
+    _schemas: dict[str, T.StructType] = {}
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._frames: dict[str, DataFrame] = {}
 
     def path(self, table: str) -> str:
         return f"{self.sf_dir}/{table}.parquet"
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name in TABLES:
-            return self.spark.read.parquet(self.path(name))
+        if name not in self._frames:
+            self._frames[name] = self._table(name) if name in TABLES else self._derived(name)
+        return self._frames[name]
+
+    def _table(self, name: str) -> DataFrame:
+        path = self.path(name)
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return scan_table(self.spark, path, schema=self._schemas[path])
+
+    def _derived(self, name: str) -> DataFrame:
         text = FIXTURES[name]
         return self.spark.sql(text, **{used: self[used] for used in set(_NAME.findall(text))})
 
