@@ -115,28 +115,38 @@ def order_columns(tables: DataFrame, columns: DataFrame, key_usage: DataFrame) -
 
 
 def catalog_counts(columns: DataFrame) -> DataFrame:
-    """Columns per table, tables and columns per schema and over all, by ``level``.
+    """Schemas, tables and columns per table, schema, server and over all, by ``level``.
 
-    The columns of a table are counted first, so the rollup works on one row
-    per table however unevenly the schemas are filled.
+    The columns of a table are counted first and the tables of a schema next,
+    so the rollup works on one row per schema however full each of them is.
     """
-    per_table = columns.groupBy(*TABLE).agg(F.count(F.lit(1)).alias("n"))
-    return (
-        per_table.rollup(*TABLE)
+    counts = ["n_schemas", "n_tables", "n_columns"]
+    one = F.lit(1).cast("bigint")
+    per_table = columns.groupBy(*TABLE).agg(F.count(F.lit(1)).alias("n_columns"))
+    per_schema = per_table.groupBy(*TABLE[:2]).agg(
+        F.count(F.lit(1)).alias("n_tables"), F.sum("n_columns").alias("n_columns")
+    )
+    upper = (
+        per_schema.rollup(*TABLE[:2])
         .agg(
-            F.count(F.lit(1)).alias("n_tables"),
-            F.sum("n").alias("n_columns"),
+            F.count(F.lit(1)).alias("n_schemas"),
+            F.sum("n_tables").alias("n_tables"),
+            F.sum("n_columns").alias("n_columns"),
             F.grouping_id().alias("gid"),
         )
-        .withColumn(
-            "level",
-            F.when(F.col("gid") == 0, "table")
-            .when(F.col("gid") == 1, "schema")
-            .when(F.col("gid") == 3, "server")
-            .otherwise("all"),
+        .select(
+            F.when(F.col("gid") == 0, "schema").when(F.col("gid") == 1, "server")
+            .otherwise("all").alias("level"),
+            *TABLE[:2],
+            F.lit(None).cast("string").alias("table_name"),
+            *counts,
         )
-        .select("level", *TABLE, "n_tables", "n_columns")
     )
+    tables = per_table.select(
+        F.lit("table").alias("level"), *TABLE,
+        one.alias("n_schemas"), one.alias("n_tables"), "n_columns",
+    )
+    return tables.unionByName(upper)
 
 
 def parse_target(target: str) -> tuple[str, str | None]:

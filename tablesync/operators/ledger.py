@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
+from tablesync.functions.measures import bar, percent
 from tablesync.operators.reconcile import seconds_between
 
 EVENT_SCHEMA = (
@@ -96,6 +98,7 @@ def ledger_summary(events: DataFrame) -> DataFrame:
         fold(events)
         .groupBy("run_id")
         .agg(
+            F.count_distinct(F.substring_index("table_key", ".", 1)).alias("schemas_seen"),
             F.count_if(F.col("table_key").isNotNull()).alias("tables_seen"),
             F.count_if(F.col("completes") > 0).alias("completed_tables"),
             F.sum("completes").alias("complete_events"),
@@ -104,16 +107,45 @@ def ledger_summary(events: DataFrame) -> DataFrame:
             F.max("last_ts").alias("last_ts"),
         )
     )
+    total = F.coalesce("total_tables", "tables_seen")
     return runs.join(totals, "run_id", "left").select(
         "run_id",
-        F.coalesce("total_tables", "tables_seen").alias("total_tables"),
+        "schemas_seen",
+        total.alias("total_tables"),
         "completed_tables",
+        (total - F.col("completed_tables")).alias("open_tables"),
         "complete_events",
         "error_count",
         F.round(seconds_between(F.col("first_ts"), F.col("last_ts")), 0).alias("seconds"),
     )
 
 
+def run_progress(events: DataFrame, width: int = 40) -> DataFrame:
+    """Tables done, percentage and bar after each table a run completed first.
+
+    The window runs over completed tables, one row each, not over events.
+    """
+    first = (
+        events.filter((F.col("op") == "complete") & F.col("table_key").isNotNull())
+        .groupBy(*RUN_TABLE)
+        .agg(F.min("event_id").alias("event_id"))
+    )
+    done = F.row_number().over(W.partitionBy("run_id").orderBy("event_id")).cast("bigint")
+    totals = ledger_summary(events).select("run_id", "total_tables")
+    share = F.col("done").cast("double") / F.col("total_tables") * 100
+    return (
+        first.withColumn("done", done)
+        .join(totals, "run_id")
+        .select(
+            *RUN_TABLE,
+            "done",
+            "total_tables",
+            percent(F.col("done"), F.col("total_tables")).alias("percent"),
+            bar(share, width, full="█").alias("bar"),
+        )
+    )
+
+
 def ledger_errors(state: DataFrame) -> DataFrame:
     """Tables whose state holds an error text."""
     return state.filter(F.col("error_message") != "").select(*RUN_TABLE, "error_message")

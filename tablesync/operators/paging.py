@@ -78,36 +78,56 @@ def offset_page(
 ) -> DataFrame:
     """``size`` rows from position ``offset`` in key order.
 
-    Near the start it is a top-k. Further in, rows are numbered in parallel
-    and the page is cut out by number, so no task holds ``offset`` rows.
+    Near the start it is a top-k. Further in, rows are placed in parallel and
+    the page is cut out by position, which the scan can skip to: no task
+    holds ``offset`` rows.
     """
     order = total_order(df, keys)
     if offset + size <= top_k_rows:
         return df.orderBy(*order).offset(offset).limit(size)
-    numbered = number_rows(df, order)
-    return numbered.filter(F.col("row_no").between(offset, offset + size - 1)).drop("row_no")
+    placed = place_rows(df, order)
+    cuts = [F.lit(False)]
+    for part, start, n in partition_starts(placed).collect():
+        low, high = max(offset - start, 0), min(offset + size - start, n) - 1
+        if low <= high:
+            base = part << POSITION_BITS
+            cuts.append(F.col("_pos").between(base + low, base + high))
+    return placed.filter(reduce(lambda a, b: a | b, cuts)).drop("_pos")
 
 
-def number_rows(df: DataFrame, order: list[str]) -> DataFrame:
-    """Number all rows 0, 1, 2 … in the given order without gathering them.
+def place_rows(df: DataFrame, order: list[str]) -> DataFrame:
+    """Rows in the given order over all partitions, with their place in ``_pos``.
 
-    Rows are range-partitioned and sorted once and written to the shared
-    folder together with their position in the partition. What is counted
-    and summed up afterwards is one row per partition.
+    They are range-partitioned and sorted once and written to the shared
+    folder, so every later pass sees the same places.
     """
     placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_pos", F.monotonically_increasing_id())
     )
-    staged = stage(placed, "numbered")
+    return stage(placed, "placed")
+
+
+def partition_starts(placed: DataFrame) -> DataFrame:
+    """Number of the first row and row count of each partition; one row per partition."""
     part = F.shiftright("_pos", POSITION_BITS)
-    sizes = staged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    start = F.coalesce(F.sum("n").over(before), F.lit(0))
+    return sizes.select("_part", start.alias("_start"), "n")
+
+
+def number_rows(df: DataFrame, order: list[str]) -> DataFrame:
+    """Number all rows 0, 1, 2 … in the given order without gathering them.
+
+    Only one row per partition is summed up and broadcast.
+    """
+    placed = place_rows(df, order)
+    starts = partition_starts(placed).select("_part", "_start")
     position = F.col("_pos").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
     return (
-        staged.withColumn("_part", part)
+        placed.withColumn("_part", F.shiftright("_pos", POSITION_BITS))
         .join(F.broadcast(starts), "_part")
         .withColumn("row_no", F.col("_start") + position)
         .drop("_part", "_start", "_pos")

@@ -111,7 +111,8 @@ def order_columns(i):
 @query("catalog_counts", f"""
 SELECT CASE WHEN GROUPING(server) = 1 THEN 'all' WHEN GROUPING(table_schema) = 1 THEN 'server'
             WHEN GROUPING(table_name) = 1 THEN 'schema' ELSE 'table' END AS level,
-       {T}, count(DISTINCT (server, table_schema, table_name)) AS n_tables, count(*) AS n_columns
+       {T}, count(DISTINCT (server, table_schema)) AS n_schemas,
+       count(DISTINCT (server, table_schema, table_name)) AS n_tables, count(*) AS n_columns
 FROM ({COLUMNS_SQL}) GROUP BY ROLLUP ({T})""")
 def catalog_counts(i):
     return C.catalog_counts(catalog_columns(i))

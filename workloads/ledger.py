@@ -49,8 +49,11 @@ def ledger_roundtrip(i):
 
 
 @query("ledger_summary", """
-SELECT run_id, arg_max(total_rows, event_id) FILTER (op = 'set_totals') AS total_tables,
+SELECT run_id, count(DISTINCT split_part(table_key, '.', 1)) AS schemas_seen,
+       arg_max(total_rows, event_id) FILTER (op = 'set_totals') AS total_tables,
        count(DISTINCT table_key) FILTER (op = 'complete') AS completed_tables,
+       arg_max(total_rows, event_id) FILTER (op = 'set_totals')
+         - count(DISTINCT table_key) FILTER (op = 'complete') AS open_tables,
        count(*) FILTER (op = 'complete') AS complete_events,
        count(*) FILTER (op = 'error') AS error_count,
        round(date_diff('microsecond', min(ts), max(ts)) / 1e6, 0) AS seconds
@@ -59,6 +62,22 @@ def ledger_summary(i):
     return L.ledger_summary(i["ledger_with_totals"])
 
 
+@query("run_progress", """
+SELECT run_id, table_key, done, total_tables,
+       round(CAST(done AS DOUBLE) / total_tables * 100, 1) AS percent,
+       '[' || repeat('█', CAST(floor(done / total_tables * 100 / 100 * 40) AS BIGINT))
+           || repeat('░', 40 - CAST(floor(done / total_tables * 100 / 100 * 40) AS BIGINT))
+           || ']' AS bar
+FROM (SELECT c.run_id, c.table_key, t.total_tables,
+             row_number() OVER (PARTITION BY c.run_id ORDER BY min(c.event_id)) AS done
+      FROM {ledger_with_totals} c
+      JOIN (SELECT run_id, total_rows AS total_tables FROM {ledger_with_totals}
+            WHERE op = 'set_totals') t ON c.run_id = t.run_id
+      WHERE c.op = 'complete' GROUP BY c.run_id, c.table_key, t.total_tables)""")
+def run_progress(i):
+    return L.run_progress(i["ledger_with_totals"])
+
+
 @query("ledger_errors", f"""
 SELECT run_id, table_key, error_message FROM ({STATE_SQL}) WHERE error_message IS NOT NULL""")
 def ledger_errors(i):
