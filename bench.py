@@ -18,9 +18,9 @@ from functools import reduce
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 from tablesync.model import TableSpec  # noqa: E402
+from tablesync.operators.skew import data_bytes  # noqa: E402
 from tablesync.plans.copy import copy_tables  # noqa: E402
 from tablesync.session import get_session  # noqa: E402
 from workloads import QUERIES  # noqa: E402
@@ -51,26 +51,15 @@ def run(spark, name: str, sf_dir: str) -> float:
     return time.perf_counter() - begin
 
 
-def data_bytes(df: DataFrame) -> int:
-    """Bytes of the values: texts by length, everything else 8."""
-    sizes = [
-        F.coalesce(F.octet_length(f.name), F.lit(0))
-        if f.dataType.simpleString() == "string"
-        else F.lit(8)
-        for f in df.schema
-    ]
-    return df.agg(F.sum(sum(sizes, F.lit(0)))).first()[0]
-
-
 def copy_speed(spark, sf_dir: str) -> tuple[float, float]:
     """MB of data and rows per second of fresh copies.
 
-    Each table is a single file here, so it is read once per core to give
-    every core a file to work on.
+    Each table is a single file here, so it is read twice per core to give
+    every core files to work on.
     """
     inputs = Inputs(spark, sf_dir)
     sources = {
-        TableSpec("bench", table, keys): reduce(DataFrame.unionByName, [inputs[table]] * int(CPUS))
+        TableSpec("bench", table, keys): reduce(DataFrame.unionByName, [inputs[table]] * int(CPUS) * 2)
         for table, keys in COPIED.items()
     }
     size = sum(data_bytes(df) for df in sources.values())

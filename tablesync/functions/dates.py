@@ -12,7 +12,7 @@ INVALID_DATETIME_PREFIXES = ("0000-00-00", "1000-01-01 00:00:00")
 INVALID_DATE = "1000-01-01"
 FALLBACK_DATETIME = "1970-01-01 00:00:01"
 FALLBACK_DATE = "1970-01-01"
-FIRST_VALID_YEAR = 1000
+FIRST_VALID_TIME = "1000-01-01 00:00:00"
 
 # Parts of column names that mark creation and change times.
 CREATED_PARTS = ("created_at", "createdat", "created", "date_created", "creation_date")
@@ -66,8 +66,9 @@ def clean_text_date(value: Column, tracked: bool, run_ts: datetime) -> Column:
 
 def clean_timestamp(value: Column, data_type: str, run_ts: datetime) -> Column:
     """Timestamps and dates before year 1000 become the run time, whatever the column."""
+    first = F.lit(FIRST_VALID_TIME).cast("timestamp_ntz").cast(data_type)
     now = F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz").cast(data_type)
-    return F.when(F.year(value) < FIRST_VALID_YEAR, now).otherwise(value)
+    return F.when(value < first, now).otherwise(value)
 
 
 def clean_bytes(value: Column, tracked: bool, run_ts: datetime) -> Column:

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.operators.skew import salted_join
+from tablesync.operators.skew import join_on_key_set
 
 # Accounts of the server itself, hosts that are not portable, known plugins.
 INTERNAL_USERS = ("mysql.sys", "mysql.session", "mysql.infoschema")
@@ -182,7 +182,7 @@ def dangling_grants(statements: DataFrame, accounts: DataFrame) -> DataFrame:
     carried = (
         portable_accounts(accounts).filter("status = 'selected'").select(*ACCOUNT).distinct()
     )
-    return salted_join(statements, carried, ACCOUNT, "left_anti")
+    return join_on_key_set(statements, carried, ACCOUNT, "left_anti")
 
 
 def access_summary(

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.operators.counts import mark_value
 from tablesync.operators.paging import keyset_filter
-from tablesync.operators.skew import earliest_per_key, latest_per_key, salted_join
+from tablesync.operators.skew import earliest_per_key, join_on_key_set, latest_per_key
 
 
 def replace_into(
@@ -26,11 +24,38 @@ def replace_into(
     if not keys:
         raise ValueError("replacing rows needs key columns; load the whole table instead")
     if order_cols is None:
-        rows, batch_keys = batch, batch.select(*keys)
-    else:
-        rows = latest_per_key(batch, keys, order_cols)
-        batch_keys = batch.select(*keys).distinct()
-    return salted_join(dest, batch_keys, keys, "left_anti").unionByName(rows)
+        kept = join_on_key_set(dest, batch.select(*keys), keys, "left_anti", write_out=False)
+        return kept.unionByName(batch)
+    used = batch.select(*keys).distinct()
+    kept = join_on_key_set(dest, used, keys, "left_anti")
+    return kept.unionByName(latest_per_key(batch, keys, order_cols))
+
+
+def last_on_every_key(
+    batch: DataFrame, unique_keys: list[list[str]], order_cols: list[str]
+) -> DataFrame:
+    """The order columns of the rows no later row shares any unique key with.
+
+    Every row gives one narrow row per unique key. The last of each key value
+    wins, and a row stays that wins on all of them. A key with a NULL takes
+    the row's own order as its value, so nothing collides with it.
+    """
+    own = F.struct(*order_cols)
+    candidates = []
+    for number, keys in enumerate(unique_keys):
+        values = F.array(*[F.col(k).cast("string") for k in keys])
+        alone = F.exists(values, lambda v: v.isNull())
+        candidates.append(
+            F.struct(
+                F.lit(number).alias("key"),
+                values.alias("values"),
+                F.when(alone, own).alias("alone"),
+            )
+        )
+    narrow = batch.select(*order_cols, F.inline(F.array(*candidates)))
+    winners = latest_per_key(narrow, ["key", "values", "alone"], order_cols)
+    wins = winners.groupBy(*order_cols).agg(F.count(F.lit(1)).alias("wins"))
+    return wins.filter(F.col("wins") == len(unique_keys)).select(*order_cols)
 
 
 def replace_into_multi_unique(
@@ -44,28 +69,21 @@ def replace_into_multi_unique(
     ``order_cols`` must tell all batch rows apart. A key with a NULL never
     collides.
     """
-    survivors = batch
+    stay = last_on_every_key(batch, unique_keys, order_cols)
+    rows = batch.join(stay, order_cols, "left_semi").select(*dest.columns)
     kept = dest
     for keys in unique_keys:
-        complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        latest = latest_per_key(batch.filter(complete), keys, order_cols)
-        last_rows = latest.select(*order_cols).unionByName(
-            batch.filter(~complete).select(*order_cols)
-        )
-        survivors = survivors.join(last_rows, order_cols, "left_semi")
-        collided = batch.filter(complete).select(*keys).distinct()
-        kept = salted_join(kept, collided, keys, "left_anti")
-    return kept.unionByName(survivors.select(*dest.columns))
+        used = batch.select(*keys).dropna().distinct()
+        kept = join_on_key_set(kept, used, keys, "left_anti")
+    return kept.unionByName(rows)
 
 
 def dropped_by_replace(
     batch: DataFrame, unique_keys: list[list[str]], order_cols: list[str]
 ) -> DataFrame:
     """Batch rows that a later batch row replaces on some unique key."""
-    empty = batch.limit(0)
-    stay = replace_into_multi_unique(empty, batch, unique_keys, order_cols)
-    gone = batch.join(stay.select(*order_cols), order_cols, "left_anti")
-    return gone.select(*batch.columns)
+    stay = last_on_every_key(batch, unique_keys, order_cols)
+    return batch.join(stay, order_cols, "left_anti").select(*batch.columns)
 
 
 def insert_ignore(

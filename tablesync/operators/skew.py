@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tablesync.session import stage
+
 # A key counts as hot from this share of the rows on: at most 1 / share keys can be.
 HOT_SHARE = 0.01
+# A measured set of keys up to this size is broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def hot_key_hashes(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[int]:
@@ -51,6 +57,39 @@ def salted_join(
     return salted_left.join(salted_right, keys + ["_salt"], how).select(*columns)
 
 
+def data_bytes(df: DataFrame) -> int:
+    """Bytes of the values of ``df``: texts and bytes by length, everything else 8."""
+    sized = ("string", "binary")
+    sizes = [
+        F.coalesce(F.octet_length(f.name), F.lit(0))
+        if f.dataType.simpleString() in sized
+        else F.lit(8)
+        for f in df.schema
+    ]
+    return df.agg(F.sum(reduce(lambda a, b: a + b, sizes)).cast("bigint")).first()[0] or 0
+
+
+def join_on_key_set(
+    left: DataFrame, key_set: DataFrame, keys: list[str], how: str,
+    broadcast_bytes: int = BROADCAST_BYTES, write_out: bool = True,
+) -> DataFrame:
+    """Join rows with a set of keys that may be small or as large as the rows.
+
+    The set is measured first. Up to ``broadcast_bytes`` it is broadcast, and
+    ``left``, whatever its size and skew, is neither shuffled nor looked
+    through for hot keys. A larger set is joined by shuffling.
+
+    A set that took work to find is written out, so that measuring does not
+    find it twice. Leave that out for columns read as they are.
+    """
+    found = stage(key_set, "keys") if write_out else key_set
+    if data_bytes(found) > broadcast_bytes:
+        return salted_join(left, found, keys, how)
+    more = [] if how in ("left_anti", "left_semi") else found.columns
+    columns = left.columns + [c for c in more if c not in keys]
+    return left.join(F.broadcast(found), keys, how).select(*columns)
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key by ``order``.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.operators.skew import salted_join
+from tablesync.operators.skew import join_on_key_set
 
 # Longest text in bytes, largest number.
 MAX_TEXT_BYTES = 65535
@@ -64,28 +64,32 @@ def unique_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _parent_keys(parent: DataFrame, fk: str, pk: str) -> DataFrame:
-    return parent.select(F.col(pk).alias(fk)).distinct()
+def missing_parents(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+    """References that lead nowhere, each once.
+
+    Equal references are reduced to one per task before the shuffle, so a
+    parent with very many children costs no more than any other.
+    """
+    referred = child.select(fk).dropna().distinct()
+    return referred.join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
 
 
 def orphan_rows(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose reference has no parent; no reference, no orphan."""
-    referring = child.filter(F.col(fk).isNotNull())
-    return salted_join(referring, _parent_keys(parent, fk, pk), [fk], "left_anti")
+    return join_on_key_set(child, missing_parents(child, fk, parent, pk), [fk], "left_semi")
 
 
 def cascade_delete(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows left when rows go with their parents."""
-    kept = salted_join(child, _parent_keys(parent, fk, pk), [fk], "left_semi")
-    return kept.unionByName(child.filter(F.col(fk).isNull()))
+    return join_on_key_set(child, missing_parents(child, fk, parent, pk), [fk], "left_anti")
 
 
 def set_null_delete(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """All child rows, with references to missing parents set to NULL."""
-    marked = _parent_keys(parent, fk, pk).withColumn("_found", F.lit(True))
+    missing = missing_parents(child, fk, parent, pk).withColumn("_missing", F.lit(True))
     return (
-        salted_join(child, marked, [fk], "left")
-        .withColumn(fk, F.when(F.col("_found"), F.col(fk)))
+        join_on_key_set(child, missing, [fk], "left")
+        .withColumn(fk, F.when(F.col("_missing").isNull(), F.col(fk)))
         .select(*child.columns)
     )
 

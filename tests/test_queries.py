@@ -26,7 +26,7 @@ def test_every_query_has_sql():
 
 def test_comparison_sees_a_difference(spark, sf_dir, duck):
     df = QUERIES["gen_users"](spark, sf_dir)
-    assert differences(df, duck, SQL["gen_users"].replace("1103515245", "1103515247"))
+    assert differences(df, duck, SQL["gen_users"].replace("1103515245", "1566083941"))
     assert differences(df, duck, SQL["gen_users"] + " LIMIT 7")
     assert differences(df.drop("age"), duck, SQL["gen_users"])
 

@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablesync.operators.skew import (
+    data_bytes,
     first_per_key,
     hot_key_hashes,
+    join_on_key_set,
     latest_per_key,
     salted_join,
 )
@@ -44,6 +46,26 @@ def test_salted_join_equals_the_plain_one(spark, skewed, how, broadcast):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.mark.parametrize("how", ["left_anti", "left_semi", "left"])
+def test_a_key_set_is_broadcast_up_to_its_measured_size(spark, skewed, how):
+    right = spark.range(0, 9000, 7).select(F.col("id").alias("k"))
+    if how == "left":
+        right = right.withColumn("w", F.lit("x"))
+    assert data_bytes(right) == 1286 * (9 if how == "left" else 8)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = join_on_key_set(skewed, right, ["k"], how)
+        large = join_on_key_set(skewed, right, ["k"], how, broadcast_bytes=1000)
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (small, large)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plans[0] and "hashpartitioning" not in plans[0]
+    assert "SortMergeJoin" in plans[1] and "_salt" in plans[1]
+    expected = sorted(map(str, skewed.join(right, "k", how).collect()))
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect())) == expected
+
+
 def test_hot_rows_are_spread_over_the_tasks(spark, skewed):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
