@@ -95,18 +95,21 @@ def _grantees(grants: DataFrame) -> DataFrame:
 
 
 def _from_flags(grants: DataFrame, flags: tuple[str, ...], scope: list[str]) -> DataFrame:
-    names = F.array(
-        *[F.when(F.col(f) == "Y", F.lit(privilege_name(f))) for f in granted_flags(flags)]
+    granted = granted_flags(flags)
+    any_set = reduce(lambda a, b: a | b, [F.col(f) == "Y" for f in granted])
+    # concat_ws leaves out what is not granted; no privilege name holds a comma.
+    names = F.concat_ws(
+        ",", *[F.when(F.col(f) == "Y", F.lit(privilege_name(f))) for f in granted]
     )
     return (
         _grantees(grants)
+        .filter(any_set)
         .select(
             *ACCOUNT,
             *scope,
-            F.array_compact(names).alias("privileges"),
+            F.split(names, ",").alias("privileges"),
             (F.col("Grant_priv") == "Y").alias("with_grant_option"),
         )
-        .filter(F.size("privileges") > 0)
     )
 
 

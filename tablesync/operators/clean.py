@@ -96,9 +96,9 @@ def sanitize_report(df: DataFrame, run_ts: datetime, table_key: str) -> DataFram
         )
         for f in text_fields
     ]
-    changed = F.filter(F.array(*changes), lambda c: ~c["before"].eqNullSafe(c["after"]))
     return (
-        df.select(F.inline(changed))
+        df.select(F.inline(F.array(*changes)))
+        .filter(~F.col("before").eqNullSafe(F.col("after")))
         .groupBy("column_name", "before", "after")
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(F.lit(table_key).alias("table_key"), "column_name", "before", "after", "rows")

@@ -94,19 +94,27 @@ def ledger_summary(events: DataFrame) -> DataFrame:
         .groupBy("run_id")
         .agg(F.max_by("total_rows", "event_id").alias("total_tables"))
     )
-    runs = (
+    schemas = (
         fold(events)
-        .groupBy("run_id")
+        .groupBy("run_id", F.substring_index("table_key", ".", 1).alias("schema_name"))
         .agg(
-            F.count_distinct(F.substring_index("table_key", ".", 1)).alias("schemas_seen"),
-            F.count_if(F.col("table_key").isNotNull()).alias("tables_seen"),
-            F.count_if(F.col("completes") > 0).alias("completed_tables"),
-            F.sum("completes").alias("complete_events"),
-            F.sum("errors").alias("error_count"),
+            F.count("table_key").alias("tables"),
+            F.count_if(F.col("completes") > 0).alias("completed"),
+            F.sum("completes").alias("completes"),
+            F.sum("errors").alias("errors"),
             F.min("first_ts").alias("first_ts"),
             F.max("last_ts").alias("last_ts"),
         )
     )
+    runs = schemas.groupBy("run_id").agg(
+        F.count("schema_name").alias("schemas_seen"),
+        F.sum("tables").alias("tables_seen"),
+        F.sum("completed").alias("completed_tables"),
+        F.sum("completes").alias("complete_events"),
+        F.sum("errors").alias("error_count"),
+        F.min("first_ts").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"),
+    )
     total = F.coalesce("total_tables", "tables_seen")
     return runs.join(totals, "run_id", "left").select(
         "run_id",

@@ -30,7 +30,7 @@ def validate_rows(
             checks.append(
                 _violation(field.name, "too_large", value.cast("double"), value > max_number)
             )
-    return df.select(*keys, F.inline(F.filter(F.array(*checks), lambda c: c.isNotNull())))
+    return df.select(*keys, F.inline(F.array(*checks))).filter(F.col("rule").isNotNull())
 
 
 def _violation(column: str, rule: str, measure: Column, broken: Column) -> Column:
