@@ -72,5 +72,5 @@ def clean_timestamp(value: Column, data_type: str, run_ts: datetime) -> Column:
 
 
 def clean_bytes(value: Column, tracked: bool, run_ts: datetime) -> Column:
-    """Byte cells become UTF-8 text and then follow the text rule."""
-    return clean_text_date(F.decode(value, "UTF-8"), tracked, run_ts)
+    """Byte cells become text with the same bytes and then follow the text rule."""
+    return clean_text_date(value.cast("string"), tracked, run_ts)

@@ -125,7 +125,8 @@ def database_privileges(grants: DataFrame) -> DataFrame:
 
 def table_privileges(grants: DataFrame) -> DataFrame:
     """Privileges on one table from their comma-separated text."""
-    names = F.transform(F.split("table_priv", ","), lambda name: F.upper(F.trim(name)))
+    blanks = F.lit(" \t\n\r\v\f")
+    names = F.transform(F.split("table_priv", ","), lambda name: F.upper(F.btrim(name, blanks)))
     return (
         _grantees(grants)
         .select(

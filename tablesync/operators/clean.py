@@ -91,7 +91,7 @@ def sanitize_report(df: DataFrame, run_ts: datetime, table_key: str) -> DataFram
     changes = [
         F.struct(
             F.lit(f.name).alias("column_name"),
-            _as_text(f).alias("before"),
+            F.col(f"`{f.name}`").cast("string").alias("before"),
             cleaned(f, run_ts).cast("string").alias("after"),
         )
         for f in text_fields
@@ -103,10 +103,3 @@ def sanitize_report(df: DataFrame, run_ts: datetime, table_key: str) -> DataFram
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(F.lit(table_key).alias("table_key"), "column_name", "before", "after", "rows")
     )
-
-
-def _as_text(field: T.StructField) -> Column:
-    value = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, T.BinaryType):
-        return F.decode(value, "UTF-8")
-    return value.cast("string")

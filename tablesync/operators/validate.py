@@ -27,9 +27,8 @@ def validate_rows(
             size = F.octet_length(value)
             checks.append(_violation(field.name, "too_long", size.cast("double"), size > max_bytes))
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            checks.append(
-                _violation(field.name, "too_large", value.cast("double"), value > max_number)
-            )
+            large = (value > max_number) & ~F.isnan(value)
+            checks.append(_violation(field.name, "too_large", value.cast("double"), large))
     return df.select(*keys, F.inline(F.array(*checks))).filter(F.col("rule").isNotNull())
 
 

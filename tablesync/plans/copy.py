@@ -13,7 +13,6 @@ from tablesync.model import TableSpec
 from tablesync.operators.clean import sanitize_rows
 from tablesync.operators.counts import mark_value
 from tablesync.operators.keyed import replace_into
-from tablesync.operators.ledger import ledger_state
 from tablesync.operators.paging import keyset_filter
 from tablesync.operators.reconcile import count_check
 from tablesync.plans.side_by_side import side_by_side
@@ -34,17 +33,25 @@ class CopyResult:
     skipped: bool = False
 
 
-def completed_locations(ledger: Ledger | None, spec: TableSpec) -> tuple[str, ...] | None:
-    """Where the ledger says a finished table lies, None while it is not finished."""
+def completed_locations(
+    ledger: Ledger | None, specs: Sequence[TableSpec]
+) -> dict[str, tuple[str, ...]]:
+    """Where the ledger says finished tables lie: one look, one row per finished table."""
     if ledger is None:
-        return None
-    row = (
+        return {}
+    rows = (
         ledger.events()
-        .filter((F.col("table_key") == spec.table_key) & (F.col("op") == "complete"))
-        .agg(F.max_by("message", "event_id"))
-        .first()
+        .filter((F.col("op") == "complete") & F.col("table_key").isin([s.table_key for s in specs]))
+        .groupBy("table_key")
+        .agg(F.max_by("message", "event_id").alias("message"))
+        .collect()
     )
-    return tuple(row[0].split("\n")) if row[0] else None
+    return {row["table_key"]: tuple(row["message"].split("\n")) for row in rows}
+
+
+def finished_copy(spark: SparkSession, locations: tuple[str, ...]) -> CopyResult:
+    finished = spark.read.parquet(*locations)
+    return CopyResult(locations, finished, finished.count(), None, skipped=True)
 
 
 def rows_to_write(
@@ -66,6 +73,7 @@ def copy_table(
     locations: Sequence[str] = (),
     mode: str = "full",
     ledger: Ledger | None = None,
+    source_rows: int | None = None,
 ) -> CopyResult:
     """Bring the table in the folders ``locations`` in line with ``source``.
 
@@ -77,18 +85,30 @@ def copy_table(
     destination becomes exactly the source.
 
     No folder is ever written twice: one left by a failed write is not among
-    the returned locations, so nobody reads it.
+    the returned locations, so nobody reads it. ``source_rows`` saves a count
+    where the source's own server has already given it.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     spark = source.sparkSession
-    done = completed_locations(ledger, spec)
-    if done is not None:
-        finished = spark.read.parquet(*done)
-        return CopyResult(done, finished, finished.count(), None, skipped=True)
+    done = completed_locations(ledger, [spec])
+    if done:
+        return finished_copy(spark, done[spec.table_key])
+    return _copy(source, spec, run_ts, locations, mode, ledger, source_rows)
 
+
+def _copy(
+    source: DataFrame,
+    spec: TableSpec,
+    run_ts: datetime,
+    locations: Sequence[str],
+    mode: str,
+    ledger: Ledger | None,
+    source_rows: int | None,
+) -> CopyResult:
+    spark = source.sparkSession
     keys = list(spec.keys)
-    total = source.count()
+    total = source.count() if source_rows is None else source_rows
     if ledger:
         ledger.record(spec.table_key, "start", total_rows=total)
     folder = fresh_path(spark, spec.table_key)
@@ -136,8 +156,14 @@ def copy_tables(
     if ledger:
         ledger.record(None, "set_totals", total_rows=len(specs))
 
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    done = completed_locations(ledger, specs)
+
     def copy_one(spec: TableSpec) -> CopyResult:
-        return copy_table(sources[spec], spec, run_ts, locations.get(spec, ()), mode, ledger)
+        if spec.table_key in done:
+            return finished_copy(spark, done[spec.table_key])
+        return _copy(sources[spec], spec, run_ts, locations.get(spec, ()), mode, ledger, None)
 
     outcomes = side_by_side(spark, copy_one, specs, workers, lambda spec: spec.table_key)
     results: dict[TableSpec, CopyResult] = {}
@@ -155,8 +181,3 @@ def copy_tables(
         "status string, error string",
     )
     return report, results
-
-
-def open_tables(ledger: Ledger) -> DataFrame:
-    """Tables the run has started and not completed."""
-    return ledger_state(ledger.events()).filter(~F.col("ever_completed"))

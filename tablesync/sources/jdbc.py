@@ -20,6 +20,17 @@ def pushed_query(
     return f"(SELECT {', '.join(items)} FROM {table}) t"
 
 
+def total_query(table: str) -> str:
+    """A subquery in which the server counts, so that no row travels."""
+    return f"(SELECT COUNT(*) AS total_records FROM {table}) t"
+
+
+def mark_query(table: str, key: str, quote: str = "`") -> str:
+    """A subquery in which the server finds the smallest and largest key."""
+    name = f"{quote}{key}{quote}"
+    return f"(SELECT MIN({name}) AS low, MAX({name}) AS high FROM {table}) t"
+
+
 def read_options(
     url: str,
     table: str,

@@ -19,16 +19,11 @@ BATCH = "stream_batch"
 
 
 def read_files(
-    spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet",
-    files_per_trigger: int = 1000,
+    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1000
 ) -> DataFrame:
-    """Parquet files of a folder as a stream."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(folder)
-    )
+    """Parquet files of a folder, or of all that a glob matches, as a stream."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
 
 
 def write_increments(

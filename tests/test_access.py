@@ -49,7 +49,7 @@ def test_database_and_table_levels(spark):
     text = U.grant_statements(U.database_privileges(db)).first()["statement"]
     assert text == "GRANT EVENT ON `d``b`.* TO 'ann'@'%'"
     sets = spark.createDataFrame(
-        [("s", "ann", "%", "d", "t", " select ,Insert,Grant,CREATE VIEW", "Select"),
+        [("s", "ann", "%", "d", "t", " select ,\tInsert\n,Grant,CREATE VIEW", "Select"),
          ("s", "bob", "%", "d", "t", "", "Select"), ("s", "cid", "%", "d", "t", "Grant", "")],
         "server string, user string, host string, db string, table_name string, "
         "table_priv string, column_priv string")

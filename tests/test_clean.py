@@ -72,6 +72,12 @@ def test_types_keep_their_rule(spark):
     assert bytes(kept[0].note) == b"0000-00-00"
 
 
+def test_bytes_that_are_no_text_are_carried_over(spark):
+    df = spark.createDataFrame([(bytearray(b"\xff\x00\xfe"),)], "blob binary")
+    kept = sanitize_rows(df, NOW).select(F.col("blob").cast("binary")).first()[0]
+    assert bytes(kept) == b"\xff\x00\xfe"
+
+
 def test_only_named_columns_are_cleaned(spark):
     df = spark.createDataFrame([("0000-00-00", "0000-00-00")], "a string, b string")
     assert sanitize_rows(df, NOW, columns=["b"]).first() == ("0000-00-00", "1970-01-01 00:00:01")
@@ -87,7 +93,7 @@ def test_cleaning_twice_changes_nothing_more(spark):
 
 def test_limits_count_bytes_and_only_positive_numbers(spark):
     df = spark.createDataFrame(
-        [(1, "é" * 3, 1e15, None), (2, "abcde", 1.1e15, "é" * 3), (3, None, -1e16, "x")],
+        [(1, "é" * 3, 1e15, None), (2, "abcde", 1.1e15, "é" * 3), (3, None, -1e16, "x"), (4, "", float("nan"), "")],
         "id int, a string, n double, b string",
     )
     found = {(r["id"], r["column_name"]): (r["rule"], r["measure"])

@@ -14,7 +14,8 @@ from workloads.registry import query
 
 
 def stream_of(i, table: str):
-    return J.read_files(i.spark, i.sf_dir, i[table].schema, f"{table}.parquet")
+    # The glob matches the table whether it is a single file or a folder of files.
+    return J.read_files(i.spark, i.path(table) + "*", i[table].schema)
 
 
 def dirty_stream(i):
