@@ -76,7 +76,8 @@ def main() -> None:
         spark__sql__shuffle__partitions=CPUS,
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
-        spark__driver__memory="8g",
+        spark__driver__memory="12g",
+        spark__driver__extraJavaOptions="-XX:+UseParallelGC",
     )
     spark.sparkContext.setLogLevel("ERROR")
     for name in HEADLINE:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablesync.functions.types import spark_type
+
 # Schemas that belong to the server itself.
 SYSTEM_SCHEMAS = ("information_schema", "performance_schema", "mysql", "sys")
 FALLBACK_KEY = "id"
@@ -59,6 +61,26 @@ def nested_columns(flat_columns: DataFrame) -> DataFrame:
     return flat_columns.groupBy(*TABLE).agg(F.array_sort(F.collect_list(column)).alias("columns"))
 
 
+def table_schemas(columns: DataFrame) -> DataFrame:
+    """One row per table with its columns as Spark DDL, from the servers' type texts.
+
+    Columns that must not be NULL say so; defaults travel in the inventory.
+    """
+    name = F.concat(F.lit("`"), F.replace("column_name", F.lit("`"), F.lit("``")), F.lit("`"))
+    strict = F.when(F.col("is_nullable") == "NO", " NOT NULL").otherwise("")
+    part = F.concat(name, F.lit(" "), spark_type(F.col("column_type")), strict)
+    return (
+        columns.withColumn("part", part)
+        .groupBy(*TABLE)
+        .agg(
+            F.count(F.lit(1)).alias("n_columns"),
+            F.concat_ws(", ", _ordered_names(F.col("ordinal_position"), F.col("part"))).alias(
+                "ddl"
+            ),
+        )
+    )
+
+
 def index_groups(statistics: DataFrame) -> DataFrame:
     """One row per index with its columns in order."""
     return (
@@ -80,10 +102,14 @@ def primary_keys(key_usage: DataFrame) -> DataFrame:
     )
 
 
-def first_key_column(tables: DataFrame, key_usage: DataFrame) -> DataFrame:
-    """The leading primary key column of each table, ``id`` where it has none."""
+def first_key_column(tables: DataFrame, columns: DataFrame, key_usage: DataFrame) -> DataFrame:
+    """The primary key column that comes first in the table, ``id`` where it has no key.
+
+    First by its place in the table; the key itself may name it later.
+    """
+    of_key = key_usage.filter(F.col("constraint_name") == "PRIMARY").select(*TABLE, "column_name")
     leading = (
-        key_usage.filter(F.col("constraint_name") == "PRIMARY")
+        columns.join(of_key, [*TABLE, "column_name"], "left_semi")
         .groupBy(*TABLE)
         .agg(F.min_by("column_name", "ordinal_position").alias("key_column"))
     )

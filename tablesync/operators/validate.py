@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,6 +95,15 @@ def set_null_delete(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> Da
     )
 
 
+def default_from_text(text: str | None, data_type: str, run_ts: datetime) -> Column:
+    """The default an inventory states as text: the run time, NULL, or a literal."""
+    if text is None or text == "NULL":
+        return F.lit(None).cast(data_type)
+    if text == "CURRENT_TIMESTAMP":
+        text = run_ts.strftime("%Y-%m-%d %H:%M:%S")
+    return F.lit(text).cast(data_type)
+
+
 def apply_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
     """Add the columns the input lacks with their defaults; a present NULL stays NULL."""
     return df.withColumns({c: v for c, v in defaults.items() if c not in df.columns})

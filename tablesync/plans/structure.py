@@ -6,8 +6,10 @@ from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tablesync.model import TableSpec
+from tablesync.operators.catalog import table_schemas
 from tablesync.plans.side_by_side import side_by_side
 
 
@@ -48,3 +50,19 @@ def ensure_tables(
     return spark.createDataFrame(
         rows, "schema_name string, table_name string, n_columns bigint, created boolean"
     )
+
+
+def ensure_catalog_tables(
+    spark: SparkSession, columns: DataFrame, root: str, workers: int = 8
+) -> DataFrame:
+    """The same from the column inventory of one server.
+
+    One row per table reaches the driver, where tables are created.
+    """
+    empty = {
+        TableSpec(row["table_schema"], row["table_name"]): spark.createDataFrame(
+            [], T.StructType.fromDDL(row["ddl"])
+        )
+        for row in table_schemas(columns).collect()
+    }
+    return ensure_tables(spark, empty, root, workers)

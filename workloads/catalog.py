@@ -82,13 +82,30 @@ def primary_keys(i):
 
 
 @query("first_key_column", f"""
-SELECT {T}, coalesce((SELECT k.column_name FROM {{cat_keys}} k
-    WHERE k.constraint_name = 'PRIMARY' AND k.server = t.server
-      AND k.table_schema = t.table_schema AND k.table_name = t.table_name
-    ORDER BY k.ordinal_position LIMIT 1), 'id') AS key_column
-FROM {{cat_tables}} t""")
+SELECT t.server, t.table_schema, t.table_name, coalesce(f.key_column, 'id') AS key_column
+FROM {{cat_tables}} t
+LEFT JOIN (SELECT c.server, c.table_schema, c.table_name,
+                  arg_min(c.column_name, c.ordinal_position) AS key_column
+           FROM {{cat_columns}} c JOIN {{cat_keys}} k
+             ON k.constraint_name = 'PRIMARY' AND k.server = c.server
+            AND k.table_schema = c.table_schema AND k.table_name = c.table_name
+            AND k.column_name = c.column_name
+           GROUP BY c.server, c.table_schema, c.table_name) f
+  ON t.server = f.server AND t.table_schema = f.table_schema AND t.table_name = f.table_name""")
 def first_key_column(i):
-    return C.first_key_column(i["cat_tables"], i["cat_keys"])
+    return C.first_key_column(i["cat_tables"], i["cat_columns"], i["cat_keys"])
+
+
+@query("table_schemas", f"""
+SELECT {T}, count(*) AS n_columns,
+       string_agg('`' || column_name || '` '
+         || CASE column_type WHEN 'int' THEN 'int' WHEN 'timestamp' THEN 'timestamp_ntz'
+                             ELSE 'string' END
+         || CASE WHEN is_nullable = 'NO' THEN ' NOT NULL' ELSE '' END,
+         ', ' ORDER BY ordinal_position) AS ddl
+FROM {{cat_columns}} GROUP BY {T}""")
+def table_schemas(i):
+    return C.table_schemas(i["cat_columns"])
 
 
 @query("order_columns", f"""

@@ -55,7 +55,7 @@ def sanitize_timestamps(i):
         .alias("o_orderdate"),
     )
     clean = D.sanitize_timestamps(rows, ["o_orderdate"], RUN_TS)
-    return clean.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    return clean.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
 
 
 @query("bytes_to_text", f"""
@@ -157,7 +157,7 @@ def set_null_delete(i):
 
 @query("apply_defaults", f"""
 SELECT o_orderkey, nullif(o_orderstatus, 'P') AS o_orderstatus, true AS is_active,
-       CAST('{RUN_TEXT}' AS TIMESTAMP) AS created_at
+       CAST('{RUN_TEXT}' AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS shipped_date
 FROM {{orders}}""")
 def apply_defaults(i):
     rows = i["orders"].select(
@@ -166,8 +166,9 @@ def apply_defaults(i):
     return V.apply_defaults(
         rows,
         {
-            "o_orderstatus": F.lit("pending"),
-            "is_active": F.lit(True),
-            "created_at": F.lit(RUN_TEXT).cast("timestamp_ntz"),
+            "o_orderstatus": V.default_from_text("pending", "string", RUN_TS),
+            "is_active": V.default_from_text("1", "boolean", RUN_TS),
+            "created_at": V.default_from_text("CURRENT_TIMESTAMP", "timestamp_ntz", RUN_TS),
+            "shipped_date": V.default_from_text("NULL", "timestamp_ntz", RUN_TS),
         },
     )
