@@ -21,7 +21,8 @@ def test_query_agrees_with_its_sql(spark, sf_dir, duck, name):
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
-    assert entry_module.queries().keys() == entry_module.oracle_sql().keys()
+    assert set(QUERIES) <= entry_module.queries().keys()
+    assert set(SQL) <= entry_module.oracle_sql().keys() <= entry_module.queries().keys()
 
 
 def test_comparison_sees_a_difference(spark, sf_dir, duck):
