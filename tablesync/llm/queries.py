@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablesync.llm import url_filter
+from tablesync.llm import license_scan, packing, url_filter
 from tablesync.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +62,18 @@ FROM fitted
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op9_license_scan")
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op3_packing")
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(
+        table(spark, sf_dir, "documents"),
+        ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        pattern=public_tokenizers.PATTERN,
+    )
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
