@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm import license_scan, packing, url_filter
+from tablesync.llm import license_scan, packing, url_filter, warc
 from tablesync.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,19 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         pattern=public_tokenizers.PATTERN,
     )
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op2_warc", """
+WITH pages_read AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+), headed AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS head FROM pages_read
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> head THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> head THEN head END AS refers_to
+FROM headed
+""")
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages")).drop("url", "payload")
