@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm import license_scan, packing, simhash, url_filter, warc
+from tablesync.llm import (
+    compression_quality,
+    license_scan,
+    packing,
+    robust_rules,
+    simhash,
+    url_filter,
+    warc,
+)
 from tablesync.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +106,20 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_simhash")
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def held_out() -> F.Column:
+    """Documents whose labels may not be learned; a null id counts as an empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(4)) == 2
+
+
+@query("op4_compression_quality")
+def op4_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    scored = compression_quality.score_quality(table(spark, sf_dir, "documents"), labels)
+    return scored.withColumn("held_out", held_out())
+
+
+@query("op5_robust_rules")
+def op5_robust_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return robust_rules.judge_texts(table(spark, sf_dir, "documents"))
