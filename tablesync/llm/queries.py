@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tablesync.llm import (
     compression_quality,
+    decontaminate,
     license_scan,
     packing,
     robust_rules,
@@ -123,3 +124,48 @@ def op4_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_robust_rules")
 def op5_robust_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return robust_rules.judge_texts(table(spark, sf_dir, "documents"))
+
+
+@query("op7_decontaminate", r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), item_words AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), phrases AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS size,
+    array_to_string(words[i:i + 9], ' ') AS phrase
+  FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i
+        FROM item_words WHERE len(words) > 0)
+), windows AS (
+  SELECT doc_id, i, size, array_to_string(words[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT doc_id, words, size, unnest(range(1, greatest(len(words) - size + 2, 1))) AS i
+        FROM doc_words, (SELECT DISTINCT size FROM phrases))
+), found AS (
+  SELECT doc_id, i, w.size, item_id FROM windows w JOIN phrases p ON w.size = p.size AND w.phrase = p.phrase
+), hits AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit,
+  coalesce(t.n_items, 0) AS n_items, sha256(coalesce(t.listed, '')) AS items_sha256,
+  coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hits h ON h.doc_id = d.doc_id LEFT JOIN items t ON t.doc_id = d.doc_id
+""")
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )

@@ -1,0 +1,139 @@
+"""The FM-index and the passages it finds, against plain searches."""
+
+import random
+
+import numpy as np
+import pytest
+
+from tablesync.llm import decontaminate as dc
+from tablesync.llm import queries
+from tablesync.llm.common import WORD_BYTES
+from tablesync.llm.fm_index import FIRST, GAP, FMIndex
+from tests.compare import differences
+
+DOCS, ITEMS = "doc_id bigint, text string, items string", "item_id bigint, text string"
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_index_against_plain_search(seed):
+    rng = np.random.default_rng(seed)
+    size = int(rng.integers(1, 300))
+    text = rng.integers(GAP, int(rng.integers(3, 9)), size)
+    text[-1] = GAP
+    index = FMIndex(text, sample=int(rng.integers(1, 9)))
+    lengths = rng.integers(1, 7, 40)
+    phrases = rng.integers(FIRST, 9, (40, 7))
+    low, high = index.search(phrases, lengths)
+    for phrase, m, a, b in zip(phrases, lengths, low, high):
+        wanted = [i for i in range(size - m + 1) if (text[i:i + m] == phrase[:m]).all()]
+        assert sorted(index.locate(np.arange(a, b)).tolist()) == wanted
+
+
+def words(text):
+    return WORD_BYTES.findall(bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode()))
+
+
+def plain(docs, items, window=10):
+    phrases = {}
+    for item, text in items:
+        own = words(text)
+        for i in range(max(1, len(own) - window + 1) if own else 0):
+            phrases.setdefault(tuple(own[i:i + window]), set()).add("" if item is None else str(item))
+    out = []
+    for doc, text in docs:
+        own, hit, found = words(text), set(), set()
+        for i in range(len(own)):
+            for m in range(1, window + 1):
+                got = phrases.get(tuple(own[i:i + m])) if i + m <= len(own) else None
+                if got:
+                    hit.update(range(i, i + m))
+                    found |= got
+        out.append((doc, len(own), len(hit), sorted(found)))
+    return out
+
+
+def random_tables(rng):
+    vocabulary = ["a", "B", "c3", "é", "dd", "e"]
+
+    def text(most):
+        return rng.choice([" ", ", ", "\n"]).join(rng.choice(vocabulary) for _ in range(rng.randrange(most)))
+
+    items = [(n // 2, text(14)) for n in range(8)] + [(None, "a a a a"), (77, None), (78, "..."), (79, "zz")]
+    docs = [(n, text(60)) for n in range(60)]
+    docs += [(n + 100, f"{text(9)} {rng.choice(items)[1] or ''} {text(9)}") for n in range(20)]
+    return docs, items
+
+
+@pytest.mark.parametrize("window,shard_words", [(10, 1 << 20), (4, 50), (3, 7)])
+def test_finds_what_a_plain_search_finds(spark, window, shard_words):
+    docs, items = random_tables(random.Random(window))
+    got = dc.find_contamination(
+        spark.createDataFrame([(*d, "x") for d in docs], DOCS), spark.createDataFrame(items, ITEMS),
+        window=window, shard_words=shard_words).collect()
+    wanted = plain(docs, items, window)
+    assert sorted((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in got) == sorted(wanted)
+    assert sum(n for _, _, n, _ in wanted)
+    for r in got:
+        assert sum(s["end"] - s["first"] for s in r["spans"]) == r["n_hit"]
+
+
+def test_phrases_in_several_files(spark, monkeypatch):
+    docs, items = random_tables(random.Random(9))
+    monkeypatch.setattr(dc, "_PHRASES_PER_FILE", 5)
+    monkeypatch.setattr(dc, "_KEPT_FILES", 2)
+    got = dc.find_contamination(spark.createDataFrame([(*d, "x") for d in docs], DOCS),
+                                spark.createDataFrame(items, ITEMS), window=4).collect()
+    assert sorted((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in got) == sorted(
+        plain(docs, items, 4))
+
+
+def test_query_equals_sql(spark, sf_dir, duck):
+    df = queries.QUERIES["op7_decontaminate"](spark, sf_dir)
+    assert differences(df, duck, queries.SQL["op7_decontaminate"]) == []
+
+
+def test_words_that_share_a_symbol_are_told_apart():
+    finder = dc.Finder([])
+    block = dc._Block.__new__(dc._Block)
+    same = np.array([5, 5 + (1 << 40)], np.uint64)
+    clash = next(np.uint64(v) for v in range(10**6, 10**7) if dc.symbols(np.array([v], np.uint64))[0]
+                 == dc.symbols(same[:1])[0])
+    block.items, block.lengths, block.hashes = [["i"]], np.array([1]), same[:1].reshape(1, 1)
+    finder.blocks = lambda: iter([block])
+    (hit, found), = finder.find([np.array([clash, 5, 9], np.uint64)], 10)
+    assert hit.tolist() == [False, True, False] and found == {"i"}
+
+
+def test_removal_leaves_nothing_to_find(spark):
+    docs, items = random_tables(random.Random(2))
+    docs.append((500, "one two three four five ONE, TWO three four five six seven. six seven eight"))
+    items.append((9, "one two three four five six seven"))
+    frame = spark.createDataFrame([(*d, "x") for d in docs], DOCS)
+    bench = spark.createDataFrame(items, ITEMS)
+    removed = dc.remove_contamination(frame, bench, window=5)
+    clean = {r["row"]["doc_id"]: r["clean"] for r in removed.collect()}
+    again = plain(list(clean.items()), items, 5)
+    assert len(clean) == len(docs) and not sum(n for _, _, n, _ in again)
+    before = {d: n for d, _, n, _ in plain(docs, items, 5)}
+    for d, text in docs:
+        if not before[d]:
+            assert clean[d] == text
+    assert dc.cut_words("A, bb! cc. dd".encode(), [(1, 3)]) == b"A, . dd"
+
+
+def test_odd_rows(spark):
+    passage = "some ten words that stand in a benchmark item here"
+    rows = [(1, None, "x"), (2, "", "x"), (3, "?!", "x"), (None, passage.upper(), "x"),
+            (4, "filler " * 300_000 + passage, "x"), (4, "filler " * 300_000 + passage, "x")]
+    docs = spark.createDataFrame(rows, DOCS)
+    bench = spark.createDataFrame([(1, passage), (1, passage), (2, None), (3, "")], ITEMS)
+    got = dc.find_contamination(docs, bench, shard_words=100_000).collect()
+    by = {r["doc_id"]: r for r in got}
+    assert len(got) == 6 and all(by[n]["n_hit"] == 0 and by[n]["items"] == [] for n in (1, 2, 3))
+    assert by[None]["n_hit"] == 10 and by[4]["n_hit"] == 10 and by[4]["n_words"] == 300_010
+    assert by[4]["spans"][0]["first"] == 300_000 and by[4]["items"] == ["1"]
+    none = dc.find_contamination(docs, bench.limit(0)).collect()
+    assert len(none) == 6 and not any(r["n_hit"] for r in none)
+    assert dc.find_contamination(docs.limit(0), bench).collect() == []
+    assert {r["clean"] for r in dc.remove_contamination(docs, bench).collect() if r["n_hit"] == 0} == {
+        None, "", "?!"}
