@@ -12,6 +12,7 @@ from tablesync.llm import (
     compression_quality,
     decontaminate,
     license_scan,
+    line_dedup,
     packing,
     robust_rules,
     simhash,
@@ -181,3 +182,44 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op1_line_dedup", r"""
+WITH texts AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), every_line AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM texts
+), worded AS (
+  SELECT doc_id, pos, line, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq,
+    len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n_words
+  FROM every_line WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), paired AS (
+  SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY seq) AS following FROM worded
+), marked AS (
+  SELECT doc_id, seq, n_words, following,
+    row_number() OVER (PARTITION BY line ORDER BY doc_id, seq) AS nth_line,
+    row_number() OVER (PARTITION BY line, following ORDER BY doc_id, seq) AS nth_pair
+  FROM paired
+), gone AS (
+  SELECT doc_id, seq FROM marked WHERE following IS NOT NULL AND nth_pair > 1
+  UNION SELECT doc_id, seq + 1 FROM marked WHERE following IS NOT NULL AND nth_pair > 1
+  UNION SELECT doc_id, seq FROM marked WHERE n_words >= 20 AND nth_line > 1
+), runs AS (
+  SELECT g.doc_id, count(*) AS n_removed, count(*) FILTER (WHERE n.seq IS NULL) AS n_runs
+  FROM gone g LEFT JOIN gone n ON n.doc_id = g.doc_id AND n.seq = g.seq + 1 GROUP BY g.doc_id
+), kept AS (
+  SELECT e.doc_id, string_agg(e.line, chr(10) ORDER BY e.pos) AS text
+  FROM every_line e LEFT JOIN worded w ON w.doc_id = e.doc_id AND w.pos = e.pos
+  LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.seq = w.seq
+  WHERE g.seq IS NULL GROUP BY e.doc_id
+)
+SELECT t.doc_id, CAST(len(t.lines) AS BIGINT) AS n_lines, coalesce(r.n_removed, 0) AS n_removed,
+  coalesce(r.n_runs, 0) AS n_runs, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM texts t LEFT JOIN runs r ON r.doc_id = t.doc_id LEFT JOIN kept k ON k.doc_id = t.doc_id
+""")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.delete_repeated_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", "n_runs",
+        F.sha2(F.coalesce(F.encode("kept", "UTF-8"), F.lit(b"")), 256).alias("kept_sha256"),
+    )
