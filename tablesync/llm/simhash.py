@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tablesync.llm.common import lower_ascii, plain_words, slices, stage, texts_of
 from tablesync.llm.graph import components
@@ -52,18 +53,20 @@ def fingerprints(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
     seed: int = 42,
 ) -> DataFrame:
-    """id and fingerprint (64 bits as a bigint) of every row."""
+    """id, key (a hash of the text) and fingerprint (64 bits as a bigint) of every row."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             own = np.array([fingerprint(t, shingle, seed) for t in texts_of(batch)], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(own.view(np.int64))], ["id", "fingerprint"]
+                [batch.column("id"), batch.column("key"), pa.array(own.view(np.int64))],
+                ["id", "key", "fingerprint"],
             )
 
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(compute, f"id {kind}, fingerprint bigint")
+    return source.mapInArrow(compute, f"id {kind}, key bigint, fingerprint bigint")
 
 
 def bit_planes(values: np.ndarray) -> np.ndarray:
@@ -265,10 +268,26 @@ def near_links(
     return ordered.mapInArrow(link, "a bigint, b bigint")
 
 
-def near_duplicates(
+def classes(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
     seed: int = 42, radius: int = 4, blocks: int = 6,
 ) -> DataFrame:
+    """id, key (a hash of the text), fingerprint, root (a fingerprint of its component) and
+    component_id of every row. See ``near_duplicates``."""
+    own = stage(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle, seed=seed),
+                "fingerprints")
+    firsts = own.groupBy("fingerprint").agg(F.min("id").alias("first"))
+    tied = components(near_links(firsts.select("fingerprint"), radius=radius, blocks=blocks))
+    rooted = stage(
+        firsts.join(tied.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
+            "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
+        ), "roots",
+    )
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return own.join(rooted.join(smallest, "root").drop("first"), "fingerprint")
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """id, fingerprint (16 lower-case hex digits) and component_id of every row.
 
     Rows whose fingerprints differ in at most ``radius`` bits are linked;
@@ -280,20 +299,27 @@ def near_duplicates(
     like any other. Equal texts, and repeated rows, have equal fingerprints and
     so one component. Null ids are never smallest; a component of null ids only
     has a null id. Extra columns are not looked at. No rows give no rows. Texts
-    of any length are read whole.
+    of any length are read whole. ``options`` are those of ``classes``.
     """
-    own = stage(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle, seed=seed),
-                "fingerprints")
-    firsts = own.groupBy("fingerprint").agg(F.min("id").alias("first"))
-    tied = components(near_links(firsts.select("fingerprint"), radius=radius, blocks=blocks))
-    rooted = firsts.join(tied.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
-    )
-    rooted = stage(rooted, "roots")
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("fingerprint", "component_id")
-    return own.join(classes, "fingerprint").select(
+    return classes(docs, id_col=id_col, **options).select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def keep_one_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that stay when of each component one row does.
+
+    That is a row with the smallest id (null ids last), of those the one whose
+    text has the smallest hash; of rows that are equal in both, any one.
+    """
+    found = classes(docs, id_col=id_col, text_col=text_col, **options)
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    stays = found.groupBy("root").agg(F.min(place).alias("place")).select("place.id", "place.key")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(text).alias("key"))
+    same = F.col("r.id").eqNullSafe(F.col("s.id")) & (F.col("r.key") == F.col("s.key"))
+    left = rows.alias("r").join(stays.alias("s"), same, "left_semi")
+    nth = F.row_number().over(Window.partitionBy("id", "key").orderBy(F.xxhash64("row")))
+    return left.withColumn("nth", nth).where("nth = 1").select("row.*")
