@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# How far two row counts may differ, and the width of a draw.
+# How far two row counts may differ, the bits of a word and a second multiplier.
 TOLERANCE_FLOOR = 100
 TOLERANCE_RATE = 0.001
-DRAW_BITS = 31
+WORD_BITS = 31
+WORD = (1 << WORD_BITS) - 1
+SECOND = 1566083941
 
 
 def tolerance(rows: Column, floor: int = TOLERANCE_FLOOR, rate: float = TOLERANCE_RATE) -> Column:
@@ -33,12 +35,21 @@ def bar(share: Column, width: int, full: str = "▓", empty: str = "░") -> Col
 def draw(id_col: Column, multiplier: int, bound: int) -> Column:
     """A repeatable number in ``0 .. bound - 1`` that depends on the id alone.
 
-    The odd ``multiplier`` spreads the ids over 31 bits, whose upper part is
-    scaled to the bound. Another multiplier gives another sequence.
+    All bits of the id are spread over two words of 31 bits, whose product with
+    the bound is summed up word by word, so that no step leaves 64 bits: ids and
+    bounds may be as large as a bigint below 2^62 holds. Another multiplier gives
+    another sequence.
     """
-    mask = F.lit((1 << DRAW_BITS) - 1).cast("bigint")
-    spread = (id_col.cast("bigint").bitwiseAND(mask) * multiplier).bitwiseAND(mask)
-    return F.shiftright(spread * bound, DRAW_BITS)
+    if not 0 < bound < 1 << 2 * WORD_BITS:
+        raise ValueError(f"bound must lie between 1 and 2^62, got {bound}")
+    number, word = id_col.cast("bigint"), F.lit(WORD).cast("bigint")
+    low, rest = number.bitwiseAND(word), F.shiftrightunsigned(number, WORD_BITS)
+    high = rest.bitwiseAND(word).bitwiseXOR(F.shiftright(rest, WORD_BITS))
+    upper = (low * multiplier + high * SECOND).bitwiseAND(word)
+    lower = (upper.bitwiseXOR(high) * multiplier + low).bitwiseAND(word)
+    big, small = bound >> WORD_BITS, bound & WORD
+    middle = upper * small + lower * big + F.shiftright(lower * small, WORD_BITS)
+    return upper * big + F.shiftright(middle, WORD_BITS)
 
 
 def pick(id_col: Column, multiplier: int, choices: tuple[str, ...]) -> Column:

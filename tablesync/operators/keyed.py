@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,7 +72,7 @@ def replace_into_multi_unique(
     collides.
     """
     stay = last_on_every_key(batch, unique_keys, order_cols)
-    rows = batch.join(stay, order_cols, "left_semi").select(*dest.columns)
+    rows = _by_order(batch, stay, order_cols, "left_semi").select(*dest.columns)
     kept = dest
     for keys in unique_keys:
         used = batch.select(*keys).dropna().distinct()
@@ -83,7 +85,13 @@ def dropped_by_replace(
 ) -> DataFrame:
     """Batch rows that a later batch row replaces on some unique key."""
     stay = last_on_every_key(batch, unique_keys, order_cols)
-    return batch.join(stay, order_cols, "left_anti").select(*batch.columns)
+    return _by_order(batch, stay, order_cols, "left_anti").select(*batch.columns)
+
+
+def _by_order(batch: DataFrame, stay: DataFrame, order_cols: list[str], how: str) -> DataFrame:
+    """Join on the order columns, in which a NULL is a value like any other."""
+    same = [F.col(f"b.`{c}`").eqNullSafe(F.col(f"s.`{c}`")) for c in order_cols]
+    return batch.alias("b").join(stay.alias("s"), reduce(lambda x, y: x & y, same), how)
 
 
 def insert_ignore(

@@ -70,7 +70,7 @@ def ordered_scan(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def keyset_page(df: DataFrame, keys: list[str], last: tuple | None, size: int) -> DataFrame:
     """The next ``size`` rows after a key. A whole-table walk uses ``batch_assign``."""
-    return keyset_filter(df, keys, last).orderBy(*total_order(df, keys)).limit(size)
+    return offset_page(keyset_filter(df, keys, last), keys, 0, size)
 
 
 def offset_page(
@@ -80,7 +80,7 @@ def offset_page(
 
     Near the start it is a top-k. Further in, rows are placed in parallel and
     the page is cut out by position, which the scan can skip to: no task
-    holds ``offset`` rows.
+    holds ``offset`` rows. Both give the page in key order.
     """
     order = total_order(df, keys)
     if offset + size <= top_k_rows:
@@ -92,7 +92,7 @@ def offset_page(
         if low <= high:
             base = part << POSITION_BITS
             cuts.append(F.col("_pos").between(base + low, base + high))
-    return placed.filter(reduce(lambda a, b: a | b, cuts)).drop("_pos")
+    return placed.filter(reduce(lambda a, b: a | b, cuts)).orderBy("_pos").drop("_pos")
 
 
 def place_rows(df: DataFrame, order: list[str]) -> DataFrame:

@@ -4,19 +4,29 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import types as T
 
 from tablesync.session import stage
 
-# A key counts as hot from this share of the rows on: at most 1 / share keys can be.
-HOT_SHARE = 0.01
-# A measured set of keys up to this size is broadcast.
+# A key counts as hot once it would fill this part of an even shuffle partition; below the
+# least share that the summary can tell, keys are too small to matter.
+HOT_PART = 0.5
+LEAST_SHARE = 0.0002
+# A measured set of keys up to this size is broadcast. It counts what a row takes in a hash table.
 BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_BYTES = 48
 
 
-def hot_key_hashes(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[int]:
+def hot_share(spark: SparkSession) -> float:
+    """The share of the rows from which on a key is hot; it falls with the number of partitions."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(LEAST_SHARE, HOT_PART / max(partitions, 1))
+
+
+def hot_key_hashes(df: DataFrame, keys: list[str], share: float | None = None) -> list[int]:
     """Hashes of every key that owns at least ``share`` of the rows.
 
     One pass over the key columns with a map-side summary (``freqItems``
@@ -24,17 +34,18 @@ def hot_key_hashes(df: DataFrame, keys: list[str], share: float = HOT_SHARE) ->
     so what reaches the driver is bounded by ``share`` and not by the data.
     NULL keys count like any other, so many missing references spread too.
     """
+    share = hot_share(df.sparkSession) if share is None else share
     row = df.select(F.xxhash64(*keys).alias("h")).stat.freqItems(["h"], share).first()
     return list(row[0] or [])
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str, share: float = HOT_SHARE
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, share: float | None = None
 ) -> DataFrame:
     """``left.join(right, keys, how)`` for a ``left`` that may have hot keys.
 
     ``right`` holds each key once. Rows of hot keys are spread over all
-    shuffle partitions by a hash of their other columns, and the few hot keys
+    shuffle partitions by their place, equal rows too, and the few hot keys
     of ``right`` are repeated once per salt; every other row is joined as
     usual. Catalyst and AQE still choose a broadcast when ``right`` is small
     enough by their own size check. The columns of ``left`` keep their order.
@@ -46,7 +57,7 @@ def salted_join(
         return left.join(right, keys, how).select(*columns)
     salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_hot = F.xxhash64(*keys).isin(hot)
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
     salted_left = left.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
     salted_right = right.withColumn(
         "_salt",
@@ -57,16 +68,30 @@ def salted_join(
     return salted_left.join(salted_right, keys + ["_salt"], how).select(*columns)
 
 
-def data_bytes(df: DataFrame) -> int:
-    """Bytes of the values of ``df``: texts and bytes by length, everything else 8."""
-    sized = ("string", "binary")
-    sizes = [
-        F.coalesce(F.octet_length(f.name), F.lit(0))
-        if f.dataType.simpleString() in sized
-        else F.lit(8)
-        for f in df.schema
-    ]
-    return df.agg(F.sum(reduce(lambda a, b: a + b, sizes)).cast("bigint")).first()[0] or 0
+def value_bytes(field: T.StructField) -> Column | int:
+    """Bytes of a column's values: texts and bytes by length, nested values as their JSON."""
+    kind = field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.col(f"`{field.name}`"))), F.lit(0))
+    return kind_bytes(kind)
+
+
+def kind_bytes(kind: T.DataType) -> int:
+    """Bytes of a value of a type of fixed width."""
+    if isinstance(kind, T.DecimalType):
+        return 8 if kind.precision <= 18 else 16
+    narrow = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
+    return narrow.get(kind.simpleString(), 8)
+
+
+def data_bytes(df: DataFrame, row_bytes: int = 0) -> int:
+    """Bytes of the values of ``df``, and ``row_bytes`` more for each row."""
+    sizes = [value_bytes(f) for f in df.schema]
+    fixed = row_bytes + sum(size for size in sizes if isinstance(size, int))
+    total = reduce(lambda a, b: a + b, [s for s in sizes if not isinstance(s, int)], F.lit(fixed))
+    return df.agg(F.sum(total.cast("bigint"))).first()[0] or 0
 
 
 def join_on_key_set(
@@ -83,7 +108,7 @@ def join_on_key_set(
     find it twice. Leave that out for columns read as they are.
     """
     found = stage(key_set, "keys") if write_out else key_set
-    if data_bytes(found) > broadcast_bytes:
+    if data_bytes(found, ROW_BYTES) > broadcast_bytes:
         return salted_join(left, found, keys, how)
     more = [] if how in ("left_anti", "left_semi") else found.columns
     columns = left.columns + [c for c in more if c not in keys]

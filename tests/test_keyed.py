@@ -52,6 +52,15 @@ def test_replace_under_two_unique_keys_is_row_by_row(spark, seed):
     assert dropped == len(batch_rows) - len(by_row_replace([], batch_rows, [(0,), (1,)]))
 
 
+def test_an_order_column_may_be_null(spark):
+    batch = spark.createDataFrame([(1, 1, 100, None), (2, 2, 101, 5), (2, 3, 102, None)], SCHEMA)
+    dest = spark.createDataFrame([(9, 9, 0, 0)], SCHEMA)
+    found = replace_into_multi_unique(dest, batch, [["a"], ["b"]], ["seq", "v"]).collect()
+    assert sorted(r["v"] for r in found) == [0, 100, 101]
+    dropped = dropped_by_replace(batch, [["a"], ["b"]], ["seq", "v"]).collect()
+    assert [r["v"] for r in dropped] == [102]
+
+
 def test_replace_composite_key(spark):
     dest_rows = [(1, 1, 10, 0), (1, 2, 11, 0), (2, 1, 12, 0)]
     batch_rows = [(1, 2, 20, 1), (3, 3, 21, 2), (1, 2, 22, 3)]

@@ -7,6 +7,7 @@ from tablesync.operators.skew import (
     data_bytes,
     first_per_key,
     hot_key_hashes,
+    hot_share,
     join_on_key_set,
     latest_per_key,
     salted_join,
@@ -82,6 +83,42 @@ def test_hot_rows_are_spread_over_the_tasks(spark, skewed):
     assert largest < 2000  # 9,000 rows over 8 tasks; one hot key alone would be 3,000
 
 
+def test_equal_rows_of_a_hot_key_are_spread_too(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("k"))
+        right = spark.range(-1, 0).select(F.col("id").alias("k"))
+        sizes = (
+            salted_join(left, right, ["k"], "left_semi")
+            .groupBy(F.spark_partition_id()).count().collect()
+        )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(r["count"] for r in sizes) == 10_000
+    assert max(r["count"] for r in sizes) < 3000
+
+
+def test_what_is_hot_follows_the_number_of_partitions(spark):
+    df = spark.range(100_000).select(F.when(F.col("id") % 200 == 0, 1).otherwise(F.col("id")).alias("k"))
+    mark = spark.range(1).select(F.xxhash64(F.lit(1).cast("bigint"))).first()[0]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "2000")
+        assert hot_share(spark) == 0.00025
+        assert mark in hot_key_hashes(df, ["k"])  # half a per cent of the rows is ten partitions
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_measured_bytes_count_nested_values_and_rows(spark):
+    df = spark.sql("SELECT array('abc') a, CAST(1 AS DECIMAL(30,0)) d, 1 i, CAST(NULL AS STRING) s")
+    assert data_bytes(df) == len('["abc"]') + 16 + 4
+    assert data_bytes(df, 48) == len('["abc"]') + 16 + 4 + 48
+
+
 def test_one_row_per_key_is_cut_before_the_shuffle(spark, skewed):
     df = latest_per_key(skewed, ["k"], ["v"])
     plan = df._jdf.queryExecution().executedPlan().toString()

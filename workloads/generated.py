@@ -16,7 +16,13 @@ NOW = f"CAST('{RUN_TEXT}' AS TIMESTAMP)"
 
 
 def draw(multiplier: int, size: str | int) -> str:
-    return f"((((id & 2147483647) * {multiplier}) & 2147483647) * {size} >> 31)"
+    """The draw in wide integers: 62 bits spread from the id, times the size, over 2^62."""
+    word = 2147483647
+    high = f"xor((id >> 31) & {word}, id >> 62)"
+    upper = f"(((id & {word}) * {multiplier} + {high} * 1566083941) & {word})"
+    lower = f"((xor({upper}, {high}) * {multiplier} + (id & {word})) & {word})"
+    spread = f"(CAST({upper} AS HUGEINT) * 2147483648 + {lower})"
+    return f"CAST({spread} * {size} // 4611686018427387904 AS BIGINT)"
 
 
 def pick(multiplier: int, words: tuple[str, ...]) -> str:
