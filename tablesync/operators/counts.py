@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -27,6 +28,13 @@ def mark_value(df: DataFrame, keys: list[str]) -> tuple | None:
     return None if row[0] is None else tuple(row)
 
 
+def whole_number(value) -> int | None:
+    """A key as the ledger stores it: whole numbers of any type, None for other keys."""
+    if isinstance(value, bool) or not isinstance(value, (int, Decimal)):
+        return None
+    return int(value) if value == int(value) and abs(value) < 1 << 63 else None
+
+
 def count_and_max(df: DataFrame, key: str) -> DataFrame:
     """Row count and largest key, 0 when there is none."""
     return df.agg(

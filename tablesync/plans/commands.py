@@ -11,7 +11,7 @@ from tablesync.model import TableSpec
 from tablesync.operators.access import (
     access_summary,
     all_statements,
-    dangling_grants,
+    dangling_statements,
     portable_accounts,
 )
 from tablesync.operators.catalog import (
@@ -20,9 +20,9 @@ from tablesync.operators.catalog import (
     catalog_counts,
     parse_target,
 )
-from tablesync.operators.counts import row_counts
 from tablesync.operators.reconcile import progress_report, progress_totals
 from tablesync.plans.copy import CopyResult, copy_tables
+from tablesync.plans.side_by_side import side_by_side
 from tablesync.plans.structure import ensure_tables
 from tablesync.sources.ledger_store import Ledger
 
@@ -46,7 +46,7 @@ def migrate(
     target: str | None = None,
     **options,
 ) -> tuple[DataFrame, dict[TableSpec, CopyResult]]:
-    """Copy the tables of a target, or all of them."""
+    """Copy the tables of a target, or all of them; ``options`` are those of ``copy_tables``."""
     return copy_tables(spark, choose(sources, target), run_ts, **options)
 
 
@@ -58,36 +58,50 @@ def full(
     target: str | None = None,
     ledger: Ledger | None = None,
     workers: int = 8,
+    rows_per_range: int | None = None,
 ) -> tuple[DataFrame, dict[TableSpec, CopyResult]]:
-    """Create the destination tables, then fill them by key."""
+    """Create the destination tables below ``root``, then fill them there by key."""
     chosen = choose(sources, target)
     replicate(spark, chosen, root)
-    locations = {s: (f"{root}/{s.schema}/{s.name}",) for s in chosen}
     return copy_tables(
-        spark, chosen, run_ts, locations, workers=workers, ledger=ledger
+        spark, chosen, run_ts, workers=workers, ledger=ledger, root=root,
+        rows_per_range=rows_per_range,
     )
 
 
 def progress(
     sources: Mapping[TableSpec, DataFrame], destinations: Mapping[TableSpec, DataFrame]
 ) -> tuple[DataFrame, DataFrame]:
-    """Progress per table and over all."""
+    """Progress per table and over all; a table that cannot be counted is an ``Error``."""
     report = progress_report(
-        row_counts({s.table_key: df for s, df in sources.items()}),
-        row_counts({s.table_key: df for s, df in destinations.items()}),
+        readable_counts({s.table_key: df for s, df in sources.items()}),
+        readable_counts({s.table_key: df for s, df in destinations.items()}),
     )
     return report, progress_totals(report)
 
 
+def readable_counts(tables: Mapping[str, DataFrame], workers: int = 8) -> DataFrame:
+    """One row per table with its row count, NULL where counting failed.
+
+    Each table is counted by a job of its own, so one that cannot be read stops
+    no other, and no plan grows with their number.
+    """
+    if not tables:
+        raise ValueError("no tables to count")
+    spark = next(iter(tables.values())).sparkSession
+    found = side_by_side(spark, lambda name: tables[name].count(), tables, workers)
+    rows = [(n, None if isinstance(c, Exception) else c) for n, c in zip(tables, found)]
+    return spark.createDataFrame(rows, "table_name string, total_records bigint")
+
+
 def users(
     accounts: DataFrame, global_grants: DataFrame, db_grants: DataFrame, set_grants: DataFrame
 ) -> dict[str, DataFrame]:
     """What a copy of accounts and privileges would carry over, and what would fail."""
-    statements = all_statements(global_grants, db_grants, set_grants)
     return {
         "accounts": portable_accounts(accounts),
-        "statements": statements,
-        "dangling": dangling_grants(statements, accounts),
+        "statements": all_statements(global_grants, db_grants, set_grants),
+        "dangling": dangling_statements(accounts, global_grants, db_grants, set_grants),
         "summary": access_summary(accounts, global_grants, db_grants, set_grants),
     }
 

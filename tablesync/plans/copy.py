@@ -6,18 +6,19 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.model import TableSpec
 from tablesync.operators.clean import sanitize_rows
-from tablesync.operators.counts import mark_value
+from tablesync.operators.counts import mark_value, whole_number
 from tablesync.operators.keyed import replace_into
-from tablesync.operators.paging import keyset_filter
+from tablesync.operators.paging import after_key, batch_plan, keyset_filter
 from tablesync.operators.reconcile import count_check
 from tablesync.plans.side_by_side import side_by_side
-from tablesync.session import fresh_path
+from tablesync.session import fresh_path, scratch_space
 from tablesync.sources.ledger_store import Ledger
+from tablesync.sources.versions import current_folders, new_folder, publish, table_path
 
 MODES = ("full", "resume")
 
@@ -55,15 +56,63 @@ def finished_copy(spark: SparkSession, locations: tuple[str, ...]) -> CopyResult
 
 
 def rows_to_write(
-    source: DataFrame, dest: DataFrame | None, keys: list[str], mode: str, run_ts: datetime
+    source: DataFrame, dest: DataFrame | None, keys: list[str], run_ts: datetime
 ) -> DataFrame:
-    """The cleaned rows a copy has to write, given what the destination holds."""
+    """The cleaned rows a copy has to write, given the destination rows they replace."""
     if dest is None:
         return sanitize_rows(source, run_ts)
-    rows = source.select(*dest.columns)
-    if mode == "full":
-        return replace_into(dest, sanitize_rows(rows, run_ts), keys)
-    return sanitize_rows(keyset_filter(rows, keys, mark_value(dest, keys)), run_ts)
+    return replace_into(dest, sanitize_rows(source.select(*dest.columns), run_ts), keys)
+
+
+def key_range(df: DataFrame, keys: list[str], after: tuple | None, upto: tuple | None) -> DataFrame:
+    """Rows with ``after < key <= upto``; without a lower end also those without a key."""
+    rows = keyset_filter(df, keys, after)
+    if upto is None:
+        return rows
+    return rows.filter(~F.coalesce(after_key(keys, upto), F.lit(False)))
+
+
+def range_ends(source: DataFrame, keys: list[str], rows_per_range: int | None) -> list[tuple | None]:
+    """The last keys of the ranges a copy is cut into, the last one open.
+
+    One row per range reaches the driver; their number is the row count over
+    ``rows_per_range``.
+    """
+    if not keys or not rows_per_range:
+        return [None]
+    plan = batch_plan(source.select(*keys), keys, rows_per_range)
+    lasts = plan.orderBy("batch_id").select(*[f"last_{k}" for k in keys]).collect()
+    return [*(tuple(row) for row in lasts[:-1]), None]
+
+
+@dataclass(frozen=True)
+class Attempt:
+    """What an unfinished copy of this run has written, and whether only its end is missing."""
+
+    folders: tuple[str, ...] = ()
+    rows: int = 0
+    all_written: bool = False
+
+
+def unfinished(ledger: Ledger | None, spec: TableSpec, mode: str) -> Attempt:
+    """The ranges that this run wrote of a table without completing it, in order."""
+    if ledger is None:
+        return Attempt()
+    events = ledger.events().filter(F.col("table_key") == spec.table_key)
+    rows = (
+        events.filter(F.col("op").isin("start", "progress", "complete"))
+        .orderBy("event_id").select("op", "message", "processed_rows").collect()
+    )  # a start, and one row per range
+    folders: list[str] = []
+    done, final = 0, False
+    for row in rows:
+        if row["op"] == "complete" or (row["op"] == "start" and row["message"] != mode):
+            folders, done, final = [], 0, False
+        elif row["op"] == "progress" and row["message"]:
+            folder, *end = row["message"].split("\n")
+            folders.append(folder)
+            done, final = row["processed_rows"], bool(end)
+    return Attempt(tuple(folders), done, final)
 
 
 def copy_table(
@@ -74,27 +123,35 @@ def copy_table(
     mode: str = "full",
     ledger: Ledger | None = None,
     source_rows: int | None = None,
+    root: str | None = None,
+    rows_per_range: int | None = None,
 ) -> CopyResult:
-    """Bring the table in the folders ``locations`` in line with ``source``.
+    """Bring a table in line with ``source``: the one below ``root``, or in ``locations``.
 
     ``full`` replaces by key with the whole cleaned source and writes the
-    result to a fresh folder. ``resume`` adds one folder with the cleaned rows
-    above the destination's largest key; of what is there it reads the key
-    only, and it is right when the destination holds a key-order prefix.
-    Without a destination, without keys, or with an empty source, the
-    destination becomes exactly the source.
+    result anew. ``resume`` adds the cleaned rows above the destination's
+    largest key; of what is there it reads the key only, and it is right when
+    the destination holds a key-order prefix. Without a destination, without
+    keys, or with an empty source, the destination becomes exactly the source.
+
+    With ``root`` the result lies in folders of the table there, and the table
+    points to them once all are written; without it they lie in the shared
+    folder and only the result names them. With ``rows_per_range`` the copy
+    goes range by range in key order and records each in the ledger; if it
+    fails, the next call with that ledger, run and mode goes on after the last
+    recorded range.
 
     No folder is ever written twice: one left by a failed write is not among
-    the returned locations, so nobody reads it. ``source_rows`` saves a count
-    where the source's own server has already given it.
+    the returned locations, so nobody reads it. The verdict compares with the
+    source as it is after the copy; ``source_rows`` saves both counts where the
+    source's own server has already given them.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    spark = source.sparkSession
     done = completed_locations(ledger, [spec])
     if done:
-        return finished_copy(spark, done[spec.table_key])
-    return _copy(source, spec, run_ts, locations, mode, ledger, source_rows)
+        return finished_copy(source.sparkSession, done[spec.table_key])
+    return _copy(source, spec, run_ts, locations, mode, ledger, source_rows, root, rows_per_range)
 
 
 def _copy(
@@ -105,30 +162,36 @@ def _copy(
     mode: str,
     ledger: Ledger | None,
     source_rows: int | None,
+    root: str | None,
+    rows_per_range: int | None,
 ) -> CopyResult:
-    spark = source.sparkSession
-    keys = list(spec.keys)
+    spark, keys = source.sparkSession, list(spec.keys)
+    before = unfinished(ledger, spec, mode)
     total = source.count() if source_rows is None else source_rows
     if ledger:
-        ledger.record(spec.table_key, "start", total_rows=total)
-    folder = fresh_path(spark, spec.table_key)
+        ledger.record(spec.table_key, "start", total_rows=total, message=mode)
+    path = table_path(root, spec) if root else fresh_path(spark, spec.table_key)
     try:
-        by_key = bool(locations and keys and total)
-        dest = spark.read.parquet(*locations) if by_key else None
-        rows = rows_to_write(source, dest, keys, mode, run_ts)
-        rows.write.parquet(folder)
-        placed = (*locations, folder) if by_key and mode == "resume" else (folder,)
-        result = spark.read.schema(rows.schema).parquet(*placed)
+        there = tuple(locations or (current_folders(spark, path) if root else ()))
+        by_key = bool(there and keys and total)
+        dest = spark.read.parquet(*there) if by_key else None
+        with scratch_space(spark):
+            written = _write_ranges(
+                source, dest, spec, run_ts, mode, ledger, path, before, rows_per_range
+            )
+        placed = (*there, *written) if by_key and mode == "resume" else written
+        result = spark.read.parquet(*placed)
         copied = result.count()
+        if root:
+            publish(spark, path, placed)
     except Exception as error:
         if ledger:
             ledger.record(spec.table_key, "error", message=str(error))
         raise
     if ledger:
-        mark = mark_value(result, keys) if keys else None
-        last_id = mark[0] if mark and isinstance(mark[0], int) else None
-        ledger.record(spec.table_key, "progress", last_id=last_id, processed_rows=copied)
         ledger.record(spec.table_key, "complete", message="\n".join(placed))
+    if source_rows is None:
+        total = source.count()
     counts = "table_name string, total_records bigint"
     verdict = count_check(
         spark.createDataFrame([(spec.table_key, total)], counts),
@@ -137,6 +200,49 @@ def _copy(
     return CopyResult(placed, result, copied, verdict)
 
 
+def _write_ranges(
+    source: DataFrame,
+    dest: DataFrame | None,
+    spec: TableSpec,
+    run_ts: datetime,
+    mode: str,
+    ledger: Ledger | None,
+    path: str,
+    before: Attempt,
+    rows_per_range: int | None,
+) -> tuple[str, ...]:
+    """Write what is missing, range by range; returns the folders of all ranges."""
+    if before.all_written:
+        return before.folders
+    spark, keys = source.sparkSession, list(spec.keys)
+    folders, done = list(before.folders), before.rows
+    if dest is not None and mode == "resume":
+        source = keyset_filter(source.select(*dest.columns), keys, mark_value(dest, keys))
+        done = done or dest.count()
+    replaced = dest if mode == "full" else None
+    after = mark_value(spark.read.parquet(*folders), keys) if folders else None
+    ends = range_ends(keyset_filter(source, keys, after), keys, rows_per_range)
+    for upto in ends:
+        part = key_range(source, keys, after, upto) if keys else source
+        old = None if replaced is None else key_range(replaced, keys, after, upto)
+        seen = Observation()
+        measures = [F.count(F.lit(1)).alias("rows")]
+        if keys:
+            measures.append(F.max(F.col(keys[0])).alias("mark"))
+        folder = new_folder(path, "range")
+        rows_to_write(part, old, keys, run_ts).observe(seen, *measures).write.parquet(folder)
+        folders.append(folder)
+        done += seen.get["rows"]
+        after = upto
+        if ledger:
+            end = "\nend" if upto is None else ""
+            ledger.record(
+                spec.table_key, "progress", last_id=whole_number(seen.get.get("mark")),
+                processed_rows=done, message=folder + end,
+            )
+    return tuple(folders)
+
+
 def copy_tables(
     spark: SparkSession,
     sources: Mapping[TableSpec, DataFrame],
@@ -145,11 +251,14 @@ def copy_tables(
     mode: str = "full",
     workers: int = 8,
     ledger: Ledger | None = None,
+    root: str | None = None,
+    rows_per_range: int | None = None,
 ) -> tuple[DataFrame, dict[TableSpec, CopyResult]]:
     """Copy tables side by side; one that fails does not stop the others.
 
-    Each table is a set of ordinary Spark jobs in its own fair pool. Returns a
-    report with one row per table, and the results of those that succeeded.
+    Each table is a set of ordinary Spark jobs in its own fair pool, copied as
+    by ``copy_table``. Returns a report with one row per table, and the results
+    of those that succeeded.
     """
     locations = locations or {}
     specs = list(sources)
@@ -163,7 +272,8 @@ def copy_tables(
     def copy_one(spec: TableSpec) -> CopyResult:
         if spec.table_key in done:
             return finished_copy(spark, done[spec.table_key])
-        return _copy(sources[spec], spec, run_ts, locations.get(spec, ()), mode, ledger, None)
+        return _copy(sources[spec], spec, run_ts, locations.get(spec, ()), mode, ledger, None,
+                     root, rows_per_range)
 
     outcomes = side_by_side(spark, copy_one, specs, workers, lambda spec: spec.table_key)
     results: dict[TableSpec, CopyResult] = {}

@@ -1,19 +1,27 @@
-"""Copying a table from one JDBC server to another."""
+"""Copying tables from one JDBC server to another."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablesync.model import TableSpec
 from tablesync.operators.clean import sanitize_rows
+from tablesync.operators.counts import whole_number
 from tablesync.operators.keyed import replace_into
-from tablesync.operators.paging import keyset_filter
+from tablesync.operators.paging import batch_plan
 from tablesync.operators.reconcile import count_check
-from tablesync.session import stage
+from tablesync.plans.copy import MODES, completed_locations
+from tablesync.plans.side_by_side import side_by_side
+from tablesync.session import scratch_space, stage
 from tablesync.sources import jdbc
+from tablesync.sources.ledger_store import Ledger
+
+COUNTS = "table_name string, total_records bigint"
 
 
 @dataclass(frozen=True)
@@ -27,18 +35,47 @@ class Server:
     def one_row(self, spark: SparkSession, query: str) -> tuple:
         return tuple(jdbc.read_jdbc(spark, jdbc.read_options(self.url, query)).first())
 
-    def rows(self, spark: SparkSession, spec: TableSpec, columns: list[str],
-             text_columns: tuple[str, ...] = ()) -> DataFrame:
-        """The table, read in strides of its leading key where that is a number."""
-        query = jdbc.pushed_query(spec.table_key, columns, text_columns, self.quote)
-        stride = {}
-        if spec.keys:
-            bounds = self.one_row(spark, jdbc.mark_query(spec.table_key, spec.keys[0], self.quote))
-            if all(isinstance(bound, int) for bound in bounds):
-                stride = {"partition_column": spec.keys[0], "bounds": bounds,
-                          "partitions": self.connections}
+    def count(self, spark: SparkSession, spec: TableSpec) -> int:
+        return int(self.one_row(spark, jdbc.total_query(jdbc.table_name(spec, self.quote)))[0])
+
+    def query(self, spec: TableSpec, columns: list[str], text_columns: tuple[str, ...] = ()) -> str:
+        return jdbc.pushed_query(jdbc.table_name(spec, self.quote), columns, text_columns, self.quote)
+
+    def names(self, spec: TableSpec) -> list[str]:
+        return [jdbc.quoted(key, self.quote) for key in spec.keys]
+
+    def keys(self, spark: SparkSession, spec: TableSpec) -> DataFrame:
+        """The key columns only, in strides where the leading key is a number of any type."""
+        query, stride = self.query(spec, list(spec.keys)), {}
+        table = jdbc.table_name(spec, self.quote)
+        bounds = tuple(map(whole_number, self.one_row(
+            spark, jdbc.mark_query(table, spec.keys[0], self.quote))))
+        if None not in bounds:
+            stride = {"partition_column": spec.keys[0], "bounds": bounds,
+                      "partitions": self.connections}
         return jdbc.read_jdbc(spark, jdbc.read_options(self.url, query, **stride))
 
+    def plan(self, spark: SparkSession, spec: TableSpec, rows_per_range: int) -> list[tuple]:
+        """The last keys of ranges of equally many rows, whatever the type and gaps of the key.
+
+        Only keys are read. One row per range reaches the driver.
+        """
+        keys = list(spec.keys)
+        plan = batch_plan(self.keys(spark, spec), keys, rows_per_range).orderBy("batch_id")
+        return [tuple(row) for row in plan.select(*[f"last_{k}" for k in keys]).collect()]
+
+    def rows(
+        self, spark: SparkSession, spec: TableSpec, columns: list[str],
+        text_columns: tuple[str, ...] = (), conditions: list[str] | None = None,
+    ) -> DataFrame:
+        """The table, one query and partition per condition."""
+        query = self.query(spec, columns, text_columns)
+        if not conditions:
+            return jdbc.read_jdbc(spark, jdbc.read_options(self.url, query))
+        options = jdbc.read_options(self.url, query)
+        properties = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+        return jdbc.read_jdbc_ranges(spark, self.url, query, conditions, properties)
+
 
 def copy_between(
     spark: SparkSession,
@@ -49,33 +86,159 @@ def copy_between(
     run_ts: datetime,
     mode: str = "full",
     text_columns: tuple[str, ...] = (),
+    ledger: Ledger | None = None,
+    rows_per_range: int = 1_000_000,
 ) -> DataFrame:
-    """Copy a table; returns the verdict on its counts.
+    """Copy a table; returns the verdict on its counts, taken after the copy.
 
-    ``resume`` appends the rows above the destination's largest key, which
-    the source's server filters. ``full`` works out the replaced table, writes
-    it to the shared folder, and loads that over the emptied destination, so
-    the destination is never read while it is written.
+    ``resume`` walks the source range by range in key order and appends the
+    rows whose keys the destination lacks, so what a failed range left behind
+    is neither lost nor doubled; ranges that the ledger has recorded are not
+    looked at again. ``full`` reads the source once into the shared folder,
+    works out the replaced table, and loads it beside the live table, which is
+    swapped by renaming once all is there. A table without a key is loaded
+    beside and swapped in either mode.
     """
-    rows = source.rows(spark, spec, columns, text_columns)
-    (total,) = source.one_row(spark, jdbc.total_query(spec.table_key))
-    options = jdbc.write_options(dest.url, spec.table_key, truncate=True,
-                                 connections=dest.connections)
-    high = None
-    if spec.keys:
-        _, high = dest.one_row(spark, jdbc.mark_query(spec.table_key, spec.keys[0], dest.quote))
-    if high is None or total == 0:
-        jdbc.write_jdbc(sanitize_rows(rows, run_ts), options, "overwrite")
-    elif mode == "resume" and len(spec.keys) == 1:
-        new_rows = keyset_filter(rows, list(spec.keys), (high,))
-        jdbc.write_jdbc(sanitize_rows(new_rows, run_ts), options, "append")
-    else:
-        there = dest.rows(spark, spec, columns, text_columns)
-        merged = replace_into(there, sanitize_rows(rows, run_ts), list(spec.keys))
-        jdbc.write_jdbc(stage(merged, spec.table_key), options, "overwrite")
-    (copied,) = dest.one_row(spark, jdbc.total_query(spec.table_key))
-    counts = "table_name string, total_records bigint"
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    if ledger:
+        ledger.record(spec.table_key, "start", total_rows=source.count(spark, spec), message=mode)
+    try:
+        with scratch_space(spark):
+            if mode == "resume" and spec.keys:
+                _append_ranges(spark, source, dest, spec, columns, run_ts, text_columns, ledger,
+                               rows_per_range)
+            else:
+                _load_beside(spark, source, dest, spec, columns, run_ts, text_columns, rows_per_range)
+    except Exception as error:
+        if ledger:
+            ledger.record(spec.table_key, "error", message=str(error))
+        raise
+    total, copied = source.count(spark, spec), dest.count(spark, spec)
+    if ledger:
+        ledger.record(spec.table_key, "complete", message=dest.url)
     return count_check(
-        spark.createDataFrame([(spec.table_key, int(total))], counts),
-        spark.createDataFrame([(spec.table_key, int(copied))], counts),
+        spark.createDataFrame([(spec.table_key, total)], COUNTS),
+        spark.createDataFrame([(spec.table_key, copied)], COUNTS),
+    )
+
+
+def _ranges(
+    spark: SparkSession, source: Server, spec: TableSpec, rows_per_range: int
+) -> list[tuple[tuple | None, tuple | None]]:
+    ends = [None, *source.plan(spark, spec, rows_per_range)[:-1], None]
+    return list(zip(ends, ends[1:]))
+
+
+def _append_ranges(
+    spark: SparkSession, source: Server, dest: Server, spec: TableSpec, columns: list[str],
+    run_ts: datetime, text_columns: tuple[str, ...], ledger: Ledger | None, rows_per_range: int,
+) -> None:
+    keys = list(spec.keys)
+    options = jdbc.write_options(
+        dest.url, jdbc.table_name(spec, dest.quote), connections=dest.connections
+    )
+    recorded = _recorded_ranges(ledger, spec)
+    for number, (after, upto) in enumerate(_ranges(spark, source, spec, rows_per_range), start=1):
+        name = f"{after!r} {upto!r}"
+        if upto is not None and name in recorded:
+            continue
+        there = dest.rows(spark, spec, keys, conditions=[jdbc.key_range(dest.names(spec), after, upto)])
+        arriving = source.rows(
+            spark, spec, columns, text_columns, [jdbc.key_range(source.names(spec), after, upto)]
+        )
+        same = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys]
+        # Staged before it is written: the destination is not read while it changes.
+        missing = stage(arriving.alias("a").join(there.alias("b"), same, "left_anti"), "missing")
+        jdbc.write_jdbc(sanitize_rows(missing, run_ts), options, "append")
+        if ledger:
+            last = None if upto is None else whole_number(upto[0])
+            ledger.record(spec.table_key, "progress", last_id=last,
+                          processed_rows=number * rows_per_range, message=name)
+
+
+def _recorded_ranges(ledger: Ledger | None, spec: TableSpec) -> set[str]:
+    """The ranges that this run has written; one short row each."""
+    if ledger is None:
+        return set()
+    own = (F.col("table_key") == spec.table_key) & (F.col("op") == "progress")
+    return {row["message"] for row in ledger.events().filter(own).select("message").collect()}
+
+
+def _load_beside(
+    spark: SparkSession, source: Server, dest: Server, spec: TableSpec, columns: list[str],
+    run_ts: datetime, text_columns: tuple[str, ...], rows_per_range: int,
+) -> None:
+    keys, conditions = list(spec.keys), None
+    if keys:
+        conditions = jdbc.range_predicates(
+            source.names(spec), source.plan(spark, spec, rows_per_range))
+    rows = stage(sanitize_rows(source.rows(spark, spec, columns, text_columns, conditions), run_ts),
+                 spec.table_key)
+    if keys and not rows.isEmpty():
+        # Where the destination has the same ranges, they read it evenly; the ends are open.
+        if conditions:
+            conditions = jdbc.range_predicates(
+                dest.names(spec), [tuple(r) for r in _last_keys(rows, keys, rows_per_range)])
+        there = dest.rows(spark, spec, columns, text_columns, conditions)
+        rows = stage(replace_into(there, rows, keys), spec.table_key)
+    live = jdbc.table_name(spec, dest.quote)
+    beside, old = (
+        jdbc.table_name(TableSpec(spec.schema, spec.name + end), dest.quote)
+        for end in ("__copy", "__old")
+    )
+    jdbc.execute(spark, dest.url, [
+        f"DROP TABLE IF EXISTS {beside}", f"DROP TABLE IF EXISTS {old}",
+        f"CREATE TABLE {beside} LIKE {live}",
+    ])
+    options = jdbc.write_options(dest.url, beside, connections=dest.connections)
+    jdbc.write_jdbc(rows, options, "append")
+    jdbc.execute(spark, dest.url, [
+        f"RENAME TABLE {live} TO {old}, {beside} TO {live}", f"DROP TABLE {old}",
+    ])
+
+
+def _last_keys(rows: DataFrame, keys: list[str], rows_per_range: int) -> list:
+    plan = batch_plan(rows.select(*keys), keys, rows_per_range).orderBy("batch_id")
+    return plan.select(*[f"last_{k}" for k in keys]).collect()
+
+
+def copy_all_between(
+    spark: SparkSession,
+    source: Server,
+    dest: Server,
+    tables: Mapping[TableSpec, list[str]],
+    run_ts: datetime,
+    ledger: Ledger,
+    workers: int = 8,
+    **options,
+) -> DataFrame:
+    """Copy tables side by side; one that fails does not stop the others.
+
+    ``tables`` gives the columns of each, ``options`` are those of
+    ``copy_between``. Tables that the ledger's run has completed are skipped.
+    Returns one row per table with its verdict, or why there is none.
+    """
+    specs = list(tables)
+    ledger.record(None, "set_totals", total_rows=len(specs))
+    done = completed_locations(ledger, specs)
+
+    def copy_one(spec: TableSpec):
+        if spec.table_key in done:
+            return None
+        return copy_between(spark, source, dest, spec, tables[spec], run_ts, ledger=ledger,
+                            **options).first()
+
+    rows = []
+    for spec, outcome in zip(specs, side_by_side(spark, copy_one, specs, workers,
+                                                 lambda s: s.table_key)):
+        if outcome is None:
+            rows.append((spec.table_key, None, None, "SKIPPED", None))
+        elif isinstance(outcome, Exception):
+            rows.append((spec.table_key, None, None, "FAILED", str(outcome)))
+        else:
+            rows.append((spec.table_key, outcome["src_rows"], outcome["dest_rows"],
+                         outcome["verdict"], None))
+    return spark.createDataFrame(
+        rows, "table_name string, src_rows bigint, dest_rows bigint, status string, error string"
     )

@@ -3,39 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.model import TableSpec
 from tablesync.operators.catalog import table_schemas
 from tablesync.plans.side_by_side import side_by_side
-
-
-def has_table(spark: SparkSession, path: str) -> bool:
-    """Whether a Parquet table can be read at ``path``."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+from tablesync.sources.versions import current_folders, new_folder, publish, table_path
 
 
 def ensure_tables(
     spark: SparkSession, sources: Mapping[TableSpec, DataFrame], root: str, workers: int = 8
 ) -> DataFrame:
-    """Create an empty Parquet table for each source that has none yet.
+    """Create an empty table below ``root`` for each source that has none yet.
 
-    Nullability and field metadata come along in the schema. Running it again
-    changes nothing. Returns one row per table.
+    Column names and types come along in the schema; Parquet reads all columns
+    back as nullable. Running it again changes nothing. Returns one row per
+    table.
     """
 
     def create(spec: TableSpec) -> bool:
-        path = f"{root}/{spec.schema}/{spec.name}"
-        if has_table(spark, path):
+        path = table_path(root, spec)
+        if current_folders(spark, path):
             return False
-        sources[spec].limit(0).write.parquet(path)
+        folder = new_folder(path)
+        sources[spec].limit(0).write.parquet(folder)
+        publish(spark, path, [folder])
         return True
 
     specs = list(sources)
@@ -55,14 +51,22 @@ def ensure_tables(
 def ensure_catalog_tables(
     spark: SparkSession, columns: DataFrame, root: str, workers: int = 8
 ) -> DataFrame:
-    """The same from the column inventory of one server.
+    """The same from a column inventory; each server's tables lie below ``root/server``.
 
-    One row per table reaches the driver, where tables are created.
+    One row per table reaches the driver, where tables are created. The report
+    names the server too.
     """
-    empty = {
-        TableSpec(row["table_schema"], row["table_name"]): spark.createDataFrame(
-            [], T.StructType.fromDDL(row["ddl"])
-        )
-        for row in table_schemas(columns).collect()
-    }
-    return ensure_tables(spark, empty, root, workers)
+    tables: dict[str, dict[TableSpec, DataFrame]] = {}
+    for row in table_schemas(columns).collect():
+        spec = TableSpec(row["table_schema"], row["table_name"])
+        empty = spark.createDataFrame([], T.StructType.fromDDL(row["ddl"]))
+        tables.setdefault(row["server"], {})[spec] = empty
+    reports = [
+        ensure_tables(spark, own, f"{root.rstrip('/')}/{server}", workers)
+        .select(F.lit(server).alias("server"), "*")
+        for server, own in sorted(tables.items())
+    ]
+    if not reports:
+        return spark.createDataFrame([], "server string, schema_name string, table_name string, "
+                                         "n_columns bigint, created boolean")
+    return reduce(DataFrame.unionByName, reports)

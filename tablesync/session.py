@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def get_session(app_name: str = "tablesync", master: str | None = None, **conf) -> SparkSession:
@@ -45,7 +49,29 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing has been written to yet."""
-    return f"{shared_dir(spark)}/tablesync/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tablesync/{label}-{uuid.uuid4().hex}"
+    if (scratch := _SCRATCH.get()) is not None:
+        scratch.append(path)
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch_space(spark: SparkSession) -> Iterator[None]:
+    """Every fresh path that is taken inside is removed when the block ends."""
+    paths: list[str] = []
+    token = _SCRATCH.set(paths)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in paths:
+            remove_folder(spark, path)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

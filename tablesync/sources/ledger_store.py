@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 from collections.abc import Sequence
@@ -10,7 +11,11 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.operators.ledger import EVENT_SCHEMA
+from tablesync.operators.ledger import EVENT_SCHEMA, drift_recount, ledger_state
+from tablesync.session import remove_folder
+
+EVENT_KEY = ["run_id", "event_id", "table_key", "op"]
+WRITER_BITS = 12
 
 
 def append_events(events: DataFrame, path: str) -> None:
@@ -18,23 +23,56 @@ def append_events(events: DataFrame, path: str) -> None:
     events.write.parquet(f"{path}/{uuid.uuid4().hex}")
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
+def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All events ever added."""
     reader = spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true")
-    return reader.parquet(path)
+    return reader.parquet(*([path] if isinstance(path, str) else path))
 
 
 def _event(values: Sequence) -> list[Column]:
     return [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, EVENT_SCHEMA)]
 
 
+def compact_events(spark: SparkSession, path: str) -> int:
+    """Bring the events of all folders into one; returns how many folders went.
+
+    The new folder is complete before an old one goes, and ``Ledger.events``
+    counts an event once, so a stop in between loses and doubles nothing.
+    Events that are added meanwhile stay in their own folders.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [f.getPath().toString() for f in system.listStatus(place) if f.isDirectory()]
+    if len(folders) < 2:
+        return 0
+    events = read_events(spark, folders).dropDuplicates(EVENT_KEY)
+    append_events(events.coalesce(1), path)
+    for folder in folders:
+        remove_folder(spark, folder)
+    return len(folders)
+
+
 class Ledger:
-    """Events of one run, written as they happen."""
+    """Events of one run, written as they happen.
+
+    Event ids are microseconds followed by bits of the writer. A writer's ids
+    only grow, and begin above all ids it finds, so a clock that runs back does
+    not reorder events of runs that follow each other.
+    """
 
     def __init__(self, spark: SparkSession, path: str, run_id: str):
         self.spark, self.path, self.run_id = spark, path, run_id
         # The folder has to be there before the first event is read.
         append_events(spark.range(0).select(*_event([None] * len(EVENT_SCHEMA))), path)
+        self._writer = uuid.uuid4().int % (1 << WRITER_BITS)
+        self._last = read_events(spark, path).agg(F.max("event_id")).first()[0] or 0
+        self._lock = threading.Lock()
+
+    def _next_id(self) -> int:
+        with self._lock:  # tables are copied from several threads
+            tick = max(time.time_ns() // 1000, (self._last >> WRITER_BITS) + 1)
+            self._last = tick << WRITER_BITS | self._writer
+            return self._last
 
     def record(
         self,
@@ -46,10 +84,29 @@ class Ledger:
         message: str | None = None,
     ) -> None:
         now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
-        values = (self.run_id, time.time_ns(), now, table_key, op,
+        values = (self.run_id, self._next_id(), now, table_key, op,
                   total_rows, last_id, processed_rows, message)
         append_events(self.spark.range(0, 1, 1, 1).select(*_event(values)), self.path)
 
+    def recount(self, source_counts: DataFrame) -> DataFrame:
+        """Take counts of now into the run, one event per table whose count has changed.
+
+        Returns ``drift_recount``. Its changed tables, one short row each, reach
+        the driver to get their ids; the events are added in one write.
+        """
+        drift = drift_recount(source_counts, ledger_state(self.events()))
+        changed = drift.filter("changed").select("table_key", "now_rows").collect()
+        if changed:
+            now = datetime.now(timezone.utc).replace(tzinfo=None)
+            rows = [(self.run_id, self._next_id(), now, row["table_key"], "recount",
+                     row["now_rows"], None, None, None) for row in changed]
+            append_events(self.spark.createDataFrame(rows, EVENT_SCHEMA).coalesce(1), self.path)
+        return drift
+
     def events(self) -> DataFrame:
         """This run's events. A resumed run keeps its id; a fresh request takes a new one."""
-        return read_events(self.spark, self.path).filter(F.col("run_id") == self.run_id)
+        own = read_events(self.spark, self.path).filter(F.col("run_id") == self.run_id)
+        return own.dropDuplicates(EVENT_KEY)
+
+    def compact(self) -> int:
+        return compact_events(self.spark, self.path)

@@ -6,16 +6,19 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.operators.clean import sanitize_rows
-from tablesync.operators.counts import mark_value
+from tablesync.operators.counts import whole_number
 from tablesync.operators.keyed import replace_into
 from tablesync.operators.ledger import fold, state_of
 from tablesync.operators.skew import latest_per_key
 from tablesync.sources.ledger_store import Ledger
+from tablesync.sources.versions import new_folder
 
 BATCH = "stream_batch"
+STREAM = "stream"
 
 
 def read_files(
@@ -73,32 +76,63 @@ def stream_copy(
     """Clean and store arriving rows, then replace them into the destination by key.
 
     A micro-batch stores its last row per key and never rewrites the
-    destination; the destination is folded once, later micro-batches winning.
-    With a ledger, each stored micro-batch is recorded as progress.
+    destination; the destination is folded once, later micro-batches winning,
+    and written to a folder beside the increments. With a ledger each stored
+    micro-batch adds its own rows to the progress, a replayed one nothing; the
+    table is complete once its folder is written, and an error is recorded.
     """
     spark = dest.sparkSession
     schema = sanitize_rows(stream, run_ts).schema
+    try:
+        if ledger:
+            ledger.record(table_key, "start", message=STREAM)
+        write_increments(
+            stream,
+            path,
+            checkpoint,
+            prepare=lambda batch: sanitize_rows(latest_per_key(batch, keys, order_cols), run_ts),
+            after=_progress(spark, path, schema, keys, ledger, table_key) if ledger else lambda n: None,
+        )
+        arrived = read_increments(spark, path, schema)
+        latest = latest_per_key(arrived, keys, [BATCH, *order_cols])
+        folder = new_folder(path.rstrip("/") + "-folded")
+        replace_into(dest, latest.select(*dest.columns), keys).write.parquet(folder)
+    except Exception as error:
+        if ledger:
+            ledger.record(table_key, "error", message=str(error))
+        raise
+    if ledger:
+        ledger.record(table_key, "complete", message=folder)
+    return spark.read.parquet(folder)
 
-    def record(batch_id: int) -> None:
-        stored = read_increments(spark, path, schema)
-        mark = mark_value(stored, keys)
-        last_id = mark[0] if mark and isinstance(mark[0], int) else None
-        ledger.record(table_key, "progress", last_id=last_id, processed_rows=stored.count())
 
-    if ledger:
-        ledger.record(table_key, "start")
-    write_increments(
-        stream,
-        path,
-        checkpoint,
-        prepare=lambda batch: sanitize_rows(latest_per_key(batch, keys, order_cols), run_ts),
-        after=record if ledger else lambda batch_id: None,
-    )
-    if ledger:
-        ledger.record(table_key, "complete", message=path)
-    arrived = read_increments(spark, path, schema)
-    latest = latest_per_key(arrived, keys, [BATCH, *order_cols])
-    return replace_into(dest, latest.select(*dest.columns), keys)
+def _progress(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    keys: list[str],
+    ledger: Ledger,
+    table_key: str | None,
+) -> Callable[[int], None]:
+    """Adds what a micro-batch stored to the last recorded progress of its table."""
+    moved = (F.col("table_key") == table_key) & (F.col("op") == "progress")
+    row = ledger.events().filter(moved).orderBy(F.desc("event_id")).first()
+    last = {"rows": row["processed_rows"] if row else 0, "mark": row["last_id"] if row else None,
+            "batch": row["message"] if row else None}
+
+    def record(batch_id: int) -> None:
+        name = f"{BATCH}={batch_id}"
+        if last["batch"] == name:
+            return
+        stored = spark.read.schema(schema).parquet(f"{path}/{name}")
+        found = stored.agg(F.count(F.lit(1)), F.max(F.col(keys[0]))).first()
+        mark = whole_number(found[1])
+        marks = [m for m in (last["mark"], mark) if m is not None]
+        last.update(rows=last["rows"] + found[0], mark=max(marks, default=None), batch=name)
+        ledger.record(table_key, "progress", last_id=last["mark"], processed_rows=last["rows"],
+                      message=name)
+
+    return record
 
 
 def stream_sanitize(

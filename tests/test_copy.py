@@ -8,8 +8,9 @@ from tablesync.operators.ledger import ledger_state, ledger_summary
 from tablesync.plans import commands
 from tablesync.plans.copy import copy_table, copy_tables
 from tablesync.plans.structure import ensure_tables
-from tablesync.session import fresh_path
+from tablesync.session import fresh_path, scratch_space
 from tablesync.sources.ledger_store import Ledger
+from tablesync.sources.versions import current_folders, open_table, remove_unused, table_path
 
 NOW = datetime(2024, 6, 1, 12, 0, 0)
 SPEC = TableSpec("shop", "orders", ("id",))
@@ -154,7 +155,7 @@ def test_creating_tables_again_changes_nothing(spark, source):
     assert sorted(map(tuple, first)) == [("s", "x", 3, True), ("t", "y", 1, True)]
     second = ensure_tables(spark, sources, root).collect()
     assert not any(r["created"] for r in second)
-    assert spark.read.parquet(f"{root}/s/x").schema.names == source.columns
+    assert open_table(spark, root, TableSpec("s", "x")).schema.names == source.columns
 
 
 def test_commands_from_structure_to_progress(spark, source, clean):
@@ -176,3 +177,110 @@ def test_commands_from_structure_to_progress(spark, source, clean):
     for target, error in (("a.b.c", ValueError), ("shop.zz", LookupError), ("none", LookupError)):
         with pytest.raises(error):
             commands.migrate(spark, sources, NOW, target=target)
+
+
+def test_a_named_destination_is_filled_and_pointed_to(spark, source, clean):
+    root = fresh_path(spark, "root")
+    first = copy_table(source.filter("id < 60"), SPEC, NOW, root=root)
+    assert all(f.startswith(f"{root}/shop/orders/") for f in first.locations)
+    second = copy_table(source, SPEC, NOW, mode="resume", root=root)
+    assert rows_of(open_table(spark, root, SPEC)) == clean
+    assert second.locations[:1] == first.locations and len(second.locations) == 2
+    third = copy_table(source.withColumn("name", F.lit("new")), SPEC, NOW, root=root)
+    assert {r["name"] for r in open_table(spark, root, SPEC).collect()} == {"new"}
+    path = table_path(root, SPEC)
+    assert set(remove_unused(spark, path, second.locations)) == set(second.locations)
+    assert remove_unused(spark, path, third.locations) == []
+    assert open_table(spark, root, SPEC).count() == 50
+    with pytest.raises(LookupError):
+        open_table(spark, root, TableSpec("shop", "none"))
+
+
+def test_scratch_is_removed(spark, source):
+    with scratch_space(spark):
+        path = fresh_path(spark, "scratch")
+        source.write.parquet(path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("mode", ["full", "resume"])
+def test_only_the_missing_ranges_are_written_after_a_failure(spark, source, clean, mode):
+    root, ledger = fresh_path(spark, "root"), Ledger(spark, fresh_path(spark, "ledger"), "run")
+    if mode == "full":  # stale rows, one between the source's keys and one beyond them
+        stale = source.filter("id % 6 = 0").unionByName(
+            spark.createDataFrame([(33, "own", "x"), (500, "own", "x")], source.schema))
+        clean = sorted([*clean, (33, "own", "x"), (500, "own", "x")])
+        copy_table(stale, SPEC, NOW, root=root)
+    bad = source.withColumn("name", F.when(F.col("id") == 70, F.raise_error(F.lit("lost")))
+                            .otherwise(F.col("name")))
+    with pytest.raises(Exception, match="lost"):
+        copy_table(bad, SPEC, NOW, mode=mode, ledger=ledger, root=root, rows_per_range=10)
+    events = ledger.events().filter("op = 'progress'").orderBy("event_id").collect()
+    assert len(events) == 3 and events[-1]["last_id"] == 58
+    before = current_folders(spark, table_path(root, SPEC))
+    assert len(before) == (1 if mode == "full" else 0)  # the old state, or none
+
+    result = copy_table(source, SPEC, NOW, mode=mode, ledger=ledger, root=root, rows_per_range=10)
+    assert rows_of(open_table(spark, root, SPEC)) == clean
+    assert rows_of(result.destination) == clean
+    kept = [e["message"] for e in events]
+    assert list(result.locations)[:3] == kept and len(result.locations) == 5
+    assert copy_table(source, SPEC, NOW, mode=mode, ledger=ledger, root=root).skipped
+
+
+def test_ranges_of_a_composite_key_and_rows_without_one(spark):
+    rows = [(n // 4, f"k{n % 4}", n) for n in range(20)] + [(None, "x", 99)]
+    df = spark.createDataFrame(rows, "a int, b string, v int")
+    result = copy_table(df, TableSpec("s", "t", ("a", "b")), NOW, root=fresh_path(spark, "r"),
+                        rows_per_range=6)
+    assert sorted(r["v"] for r in result.destination.collect()) == [*range(20), 99]
+    assert len(result.locations) == 4
+
+
+def test_bytes_and_wide_keys_come_through(spark):
+    df = spark.range(300).select(
+        (F.col("id").cast("decimal(20,0)") + F.lit(2**62).cast("decimal(20,0)")).cast("decimal(20,0)").alias("id"),
+        F.unhex(F.sha2(F.col("id").cast("string"), 512)).alias("blob"))
+    ledger = Ledger(spark, fresh_path(spark, "ledger"), "run")
+    result = copy_table(df, SPEC, NOW, ledger=ledger, root=fresh_path(spark, "root"))
+    assert result.destination.schema["blob"].dataType.simpleString() == "binary"
+    assert rows_of(result.destination) == rows_of(df)
+    assert ledger_state(ledger.events()).first()["last_id"] == 2**62 + 299
+
+
+def test_a_live_source_is_counted_after_the_copy(spark, source, monkeypatch):
+    """The source grows while it is copied; the verdict compares with what it holds then."""
+    path = fresh_path(spark, "live")
+    spark.range(5000).write.parquet(path)
+    seen = []
+
+    class Growing:
+        sparkSession = spark
+
+        def __getattr__(self, name):
+            if name == "count":
+                seen.append(name)
+                if len(seen) == 2:
+                    spark.range(5000, 9000).write.mode("append").parquet(path)
+            return getattr(spark.read.parquet(path), name)
+
+    frame = Growing()
+    monkeypatch.setattr("tablesync.plans.copy.sanitize_rows", lambda df, ts: spark.read.parquet(path))
+    assert copy_table(frame, TableSpec("s", "t"), NOW).verdict.first()["verdict"] == "short"
+
+
+def test_a_table_that_cannot_be_read_is_an_error(spark, source):
+    good, bad = TableSpec("s", "good"), TableSpec("s", "bad")
+    lost = source.withColumn("id", F.raise_error(F.lit("gone")).cast("bigint")).filter("id > 0")
+    report, totals = commands.progress({good: source, bad: lost}, {good: source, bad: source})
+    assert {r["table_name"]: r["status"] for r in report.collect()} == {
+        "s.good": "Completed", "s.bad": "Error"}
+    assert totals.first()["total_tables"] == 2
+
+
+def test_full_fills_the_root(spark, source, clean):
+    root = fresh_path(spark, "root")
+    sources = {TableSpec("shop", "a", ("id",)): source}
+    commands.full(spark, sources, root, NOW)
+    assert rows_of(open_table(spark, root, TableSpec("shop", "a"))) == clean

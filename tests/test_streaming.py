@@ -3,7 +3,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tablesync.model import TableSpec
 from tablesync.operators.ledger import EVENT_SCHEMA, ledger_state
+from tablesync.plans.copy import copy_table
 from tablesync.session import fresh_path
 from tablesync.sources.ledger_store import Ledger
 from tablesync.streaming.jobs import (
@@ -49,6 +51,30 @@ def test_copy_over_several_micro_batches_and_a_restart(spark, folder):
     assert (state["retry_count"], state["processed_rows"], state["is_completed"]) == (1, 3, True)
 
 
+def test_a_stream_is_complete_where_its_rows_lie(spark, folder):
+    dest = spark.range(3).select("id", F.lit("old").alias("created_at"))
+    ledger = Ledger(spark, fresh_path(spark, "ledger"), "run")
+    arrive(spark.sql("SELECT 7L id, 'new' created_at"), folder)
+    stream = read_files(spark, folder, dest.schema)
+    stream_copy(stream, dest, ["id"], ["id"], NOW, fresh_path(spark, "inc"), fresh_path(spark, "ck"),
+                ledger, "s.t")
+    again = copy_table(dest, TableSpec("s", "t", ("id",)), NOW, ledger=ledger)
+    assert again.skipped and again.rows == 4 and again.destination.columns == dest.columns
+
+
+def test_an_error_in_a_stream_is_recorded(spark, folder):
+    dest = spark.range(3).select("id", F.lit("old").alias("created_at"))
+    ledger = Ledger(spark, fresh_path(spark, "ledger"), "run")
+    arrive(spark.sql("SELECT 7L id, 'new' created_at"), folder)
+    bad = read_files(spark, folder, dest.schema).withColumn(
+        "created_at", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        stream_copy(bad, dest, ["id"], ["id"], NOW, fresh_path(spark, "inc"), fresh_path(spark, "ck"),
+                    ledger, "s.t")
+    state = ledger_state(ledger.events()).first()
+    assert "broken" in state["error_message"] and not state["is_completed"]
+
+
 def test_a_replayed_micro_batch_adds_nothing(spark, folder):
     schema = spark.range(1).schema
     path = fresh_path(spark, "inc")
