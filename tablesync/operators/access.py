@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.operators.skew import join_on_key_set
+from tablesync.session import stage
 
 # Accounts of the server itself, hosts that are not portable, known plugins.
 INTERNAL_USERS = ("mysql.sys", "mysql.session", "mysql.infoschema")
@@ -96,20 +97,22 @@ def _grantees(grants: DataFrame) -> DataFrame:
 
 def _from_flags(grants: DataFrame, flags: tuple[str, ...], scope: list[str]) -> DataFrame:
     granted = granted_flags(flags)
-    any_set = reduce(lambda a, b: a | b, [F.col(f) == "Y" for f in granted])
     # concat_ws leaves out what is not granted; no privilege name holds a comma.
     names = F.concat_ws(
         ",", *[F.when(F.col(f) == "Y", F.lit(privilege_name(f))) for f in granted]
     )
+    # Exploding the one list, or nothing, names every flag once; a filter would name it again.
+    listed = F.filter(F.array(names), lambda name: name != "")
     return (
         _grantees(grants)
-        .filter(any_set)
         .select(
             *ACCOUNT,
             *scope,
-            F.split(names, ",").alias("privileges"),
+            F.explode(listed).alias("privileges"),
             (F.col("Grant_priv") == "Y").alias("with_grant_option"),
         )
+        .withColumn("privileges", F.split("privileges", ","))
+        .select(*ACCOUNT, *scope, "privileges", "with_grant_option")
     )
 
 
@@ -169,11 +172,7 @@ def grant_statements(listed: DataFrame) -> DataFrame:
 
 def all_statements(global_grants: DataFrame, db_grants: DataFrame, set_grants: DataFrame) -> DataFrame:
     """Statements of all three levels with their level."""
-    levels = {
-        "global": global_privileges(global_grants),
-        "database": database_privileges(db_grants),
-        "table": table_privileges(set_grants),
-    }
+    levels = _levels(global_grants, db_grants, set_grants)
     parts = [
         grant_statements(listed).withColumn("level", F.lit(level))
         for level, listed in levels.items()
@@ -181,12 +180,36 @@ def all_statements(global_grants: DataFrame, db_grants: DataFrame, set_grants: D
     return reduce(DataFrame.unionByName, parts)
 
 
+def _levels(
+    global_grants: DataFrame, db_grants: DataFrame, set_grants: DataFrame
+) -> dict[str, DataFrame]:
+    return {
+        "global": global_privileges(global_grants),
+        "database": database_privileges(db_grants),
+        "table": table_privileges(set_grants),
+    }
+
+
+def _carried(accounts: DataFrame) -> DataFrame:
+    return portable_accounts(accounts).filter("status = 'selected'").select(*ACCOUNT).distinct()
+
+
 def dangling_grants(statements: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Statements for accounts that are not carried over."""
-    carried = (
-        portable_accounts(accounts).filter("status = 'selected'").select(*ACCOUNT).distinct()
-    )
-    return join_on_key_set(statements, carried, ACCOUNT, "left_anti")
+    """Statements, or any rows with an account, for accounts that are not carried over."""
+    return join_on_key_set(statements, _carried(accounts), ACCOUNT, "left_anti")
+
+
+def dangling_statements(
+    accounts: DataFrame, global_grants: DataFrame, db_grants: DataFrame, set_grants: DataFrame
+) -> DataFrame:
+    """The statements of all levels whose account is not carried over.
+
+    Privilege rows of other accounts are dropped before any list or text is built.
+    """
+    carried = stage(_carried(accounts), "carried")
+    rows = [join_on_key_set(g, carried, ACCOUNT, "left_anti", write_out=False)
+            for g in (global_grants, db_grants, set_grants)]
+    return all_statements(*rows)
 
 
 def access_summary(
@@ -206,9 +229,11 @@ def access_summary(
         DataFrame.unionByName,
         [_grantees(g).select("user") for g in (global_grants, db_grants, set_grants)],
     ).agg(F.count(F.lit(1)).alias("total_privileges"))
-    failing = dangling_grants(
-        all_statements(global_grants, db_grants, set_grants), accounts
-    ).agg(F.count(F.lit(1)).alias("error_privileges"))
+    listed = reduce(
+        DataFrame.unionByName,
+        [rows.select(*ACCOUNT) for rows in _levels(global_grants, db_grants, set_grants).values()],
+    )
+    failing = dangling_grants(listed, accounts).agg(F.count(F.lit(1)).alias("error_privileges"))
     parts = users
     for part in (rows, failing):
         parts = parts.unionByName(part, allowMissingColumns=True)

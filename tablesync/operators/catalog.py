@@ -200,32 +200,36 @@ def missing_objects(
     dest_tables: DataFrame,
     dest_indexes: DataFrame,
 ) -> DataFrame:
-    """Schemas, tables and non-primary indexes the destination lacks.
+    """Schemas, tables and non-primary indexes of the source that the destination lacks.
 
-    Primary indexes come with their table and are left out.
+    Both sides are inventories with server names of their own: objects are
+    looked for by schema, table and index name, wherever at the destination,
+    and reported with the source's server. Primary indexes come with their
+    table and are left out.
     """
     schema_key = ["server", "table_schema"]
     index_key = TABLE + ["index_name"]
+    in_dest = lambda key: [c for c in key if c != "server"]
     no_name = F.lit(None).cast("string")
 
     schemas = (
         source_tables.select(*schema_key)
         .distinct()
-        .join(dest_tables.select(*schema_key).distinct(), schema_key, "left_anti")
+        .join(dest_tables.select(*in_dest(schema_key)).distinct(), in_dest(schema_key), "left_anti")
         .select(F.lit("schema").alias("kind"), *schema_key,
                 no_name.alias("table_name"), no_name.alias("index_name"))
     )
     tables = (
         source_tables.select(*TABLE)
         .distinct()
-        .join(dest_tables.select(*TABLE).distinct(), TABLE, "left_anti")
+        .join(dest_tables.select(*in_dest(TABLE)).distinct(), in_dest(TABLE), "left_anti")
         .select(F.lit("table").alias("kind"), *TABLE, no_name.alias("index_name"))
     )
     indexes = (
         source_indexes.filter(F.col("index_name") != "PRIMARY")
         .select(*index_key)
         .distinct()
-        .join(dest_indexes.select(*index_key).distinct(), index_key, "left_anti")
+        .join(dest_indexes.select(*in_dest(index_key)).distinct(), in_dest(index_key), "left_anti")
         .select(F.lit("index").alias("kind"), *index_key)
     )
     return schemas.unionByName(tables).unionByName(indexes)

@@ -17,12 +17,12 @@ from tablesync.functions.dates import (
 )
 
 
-def cleaned(field: T.StructField, run_ts: datetime, binary: bool = True) -> Column:
-    """The cleaning rule that fits a column's type and name."""
+def cleaned(field: T.StructField, run_ts: datetime, as_text: bool = False) -> Column:
+    """The cleaning rule that fits a column's type and name; bytes are text only on demand."""
     value, tracked = F.col(f"`{field.name}`"), is_tracked(field.name)
     if isinstance(field.dataType, T.StringType):
         return clean_text_date(value, tracked, run_ts)
-    if isinstance(field.dataType, T.BinaryType) and binary:
+    if isinstance(field.dataType, T.BinaryType) and as_text:
         return clean_bytes(value, tracked, run_ts)
     if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return clean_timestamp(value, field.dataType.simpleString(), run_ts)
@@ -33,17 +33,19 @@ def sanitize_rows(
     df: DataFrame,
     run_ts: datetime,
     columns: list[str] | None = None,
-    keep_binary: list[str] | None = None,
+    text_bytes: list[str] | None = None,
 ) -> DataFrame:
     """Clean every column by its type, or only the named ones.
 
-    One projection: no shuffle, and the scan reads the same columns as before.
+    Binary columns keep their bytes, but for those in ``text_bytes``, which
+    become cleaned text. One projection: no shuffle, and the scan reads the
+    same columns as before.
     """
     chosen = set(df.columns if columns is None else columns)
-    blobs = set(keep_binary or [])
+    texts = set(text_bytes or [])
     return df.select(
         *[
-            cleaned(f, run_ts, f.name not in blobs).alias(f.name)
+            cleaned(f, run_ts, f.name in texts).alias(f.name)
             if f.name in chosen
             else F.col(f"`{f.name}`")
             for f in df.schema
@@ -74,7 +76,9 @@ def column_roles(columns: DataFrame) -> DataFrame:
     return columns.withColumn("role", column_role(F.col("column_name")))
 
 
-def sanitize_report(df: DataFrame, run_ts: datetime, table_key: str) -> DataFrame:
+def sanitize_report(
+    df: DataFrame, run_ts: datetime, table_key: str, text_bytes: list[str] | None = None
+) -> DataFrame:
     """How often each column's value was changed into which.
 
     All columns are compared in one pass; equal changes are counted per task
@@ -92,7 +96,7 @@ def sanitize_report(df: DataFrame, run_ts: datetime, table_key: str) -> DataFram
         F.struct(
             F.lit(f.name).alias("column_name"),
             F.col(f"`{f.name}`").cast("string").alias("before"),
-            cleaned(f, run_ts).cast("string").alias("after"),
+            cleaned(f, run_ts, f.name in (text_bytes or [])).cast("string").alias("after"),
         )
         for f in text_fields
     ]

@@ -168,27 +168,45 @@ def retry_counts(events: DataFrame) -> DataFrame:
     )
 
 
-def pending_tables(inventory: DataFrame, events: DataFrame) -> DataFrame:
-    """Tables of the inventory that no run event has ever completed."""
-    done = events.filter(F.col("op") == "complete").select("table_key").distinct()
-    return inventory.join(done, "table_key", "left_anti")
+def pending_tables(
+    inventory: DataFrame, events: DataFrame, run_id: str | None = None
+) -> DataFrame:
+    """Per run the tables of the inventory that it has not completed; of all runs or of one.
 
+    A run is named by its events; the names, one short row per run, reach the
+    driver and are laid beside each table.
+    """
+    if run_id is None:
+        runs = [row["run_id"] for row in events.select("run_id").distinct().collect()]
+    else:
+        runs = [run_id]
+    listed = F.explode(F.array(*[F.lit(run) for run in runs]).cast("array<string>"))
+    done = events.filter(F.col("op") == "complete").select(*RUN_TABLE).distinct()
+    return inventory.withColumn("run_id", listed).join(done, RUN_TABLE, "left_anti").select(
+        "run_id", *inventory.columns
+    )
 
-def resume_point(inventory: DataFrame, dest_marks: DataFrame, state: DataFrame) -> DataFrame:
+
+def resume_point(
+    inventory: DataFrame, dest_marks: DataFrame, state: DataFrame, run_id: str | None = None
+) -> DataFrame:
     """After which key each table goes on, and where that was learned.
 
-    ``dest_marks`` has a row for each destination that could be read, with a
+    One row per table and run that knows it, or per table for the one run
+    named; a table that no run knows has a row without a run. ``dest_marks`` has a row for each destination that could be read, with a
     NULL mark for an empty one. The ledger decides only where there is none;
     a ledger ahead of the destination is flagged.
     """
     marks = dest_marks.withColumn("_readable", F.lit(True))
-    known = state.select("table_key", F.col("last_id").alias("ledger_mark"))
+    if run_id is not None:
+        state = state.filter(F.col("run_id") == run_id)
+    known = state.select(*RUN_TABLE, F.col("last_id").alias("ledger_mark"))
     readable = F.coalesce("_readable", F.lit(False))
     return (
         inventory.join(marks, "table_key", "left")
         .join(known, "table_key", "left")
         .select(
-            "table_key",
+            *RUN_TABLE,
             "dest_mark",
             "ledger_mark",
             F.when(readable, F.col("dest_mark")).otherwise(F.col("ledger_mark")).alias(
@@ -218,6 +236,15 @@ def drift_recount(source_counts: DataFrame, state: DataFrame) -> DataFrame:
     )
 
 
+def corrected_state(state: DataFrame, drift: DataFrame) -> DataFrame:
+    """The state with the counts taken now, where ``drift_recount`` has one."""
+    now = drift.select(*RUN_TABLE, "now_rows")
+    return state.join(now, RUN_TABLE, "left").select(
+        *[F.coalesce("now_rows", "total_rows").alias(c) if c == "total_rows" else F.col(c)
+          for c in state.columns]
+    )
+
+
 def empty_tables(counts: DataFrame) -> DataFrame:
     """Tables to complete without copying a row."""
     return counts.filter(F.col("total_records") == 0)

@@ -4,16 +4,21 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablesync.functions.types import spark_type
+from tablesync.model import TableSpec
 from tablesync.operators import catalog as C
+from tablesync.operators.catalog import missing_objects
 from tablesync.operators.validate import default_from_text
 from tablesync.plans.structure import ensure_catalog_tables
 from tablesync.session import fresh_path
 from tablesync.sources import inventory
+from tablesync.sources.versions import open_table
 
 TYPES = {
     "int": "int", "INT(11)": "int", "int(10) unsigned": "bigint", "tinyint(1)": "boolean",
     "tinyint(4)": "int", "bigint": "bigint", "bigint(20) unsigned": "decimal(20,0)",
-    "decimal(10,2)": "decimal(10,2)", "numeric(8, 3)": "decimal(8,3)", "double": "double",
+    "decimal(10,2)": "decimal(10,2)", "numeric(8, 3)": "decimal(8,3)",
+    "decimal(65,30)": "string", "decimal(38,30)": "decimal(38,30)", "decimal": "decimal(10,0)",
+    "decimal(12)": "decimal(12,0)", "decimal(10,2) unsigned": "decimal(10,2)", "double": "double",
     "float(7,4)": "float", "varchar(255)": "string", "longtext": "string", "json": "string",
     "enum('int','date')": "string", "timestamp": "timestamp_ntz", "datetime(6)": "timestamp_ntz",
     "date": "date", "time": "string", "blob": "binary", "longblob": "binary",
@@ -45,13 +50,34 @@ def columns(spark):
 def test_tables_from_an_inventory(spark, columns):
     root = fresh_path(spark, "root")
     rows = ensure_catalog_tables(spark, columns, root).collect()
-    assert sorted(map(tuple, rows)) == [("blog", "log", 1, True), ("shop", "users", 3, True)]
-    made = spark.read.parquet(f"{root}/shop/users")
+    assert sorted(map(tuple, rows)) == [
+        ("s", "blog", "log", 1, True), ("s", "shop", "users", 3, True)]
+    made = open_table(spark, f"{root}/s", TableSpec("shop", "users"))
     assert [(f.name, f.dataType.simpleString()) for f in made.schema] == [
         ("id", "int"), ("e`mail", "string"), ("tenant", "bigint")]
     assert not any(r["created"] for r in ensure_catalog_tables(spark, columns, root).collect())
 
 
+def test_two_servers_keep_their_tables_apart(spark, columns):
+    root = fresh_path(spark, "root")
+    other = columns.filter("table_name = 'log'").withColumn("server", F.lit("t"))
+    rows = ensure_catalog_tables(spark, columns.unionByName(other), root).collect()
+    assert [(r["server"], r["table_name"]) for r in rows if r["table_name"] == "log"] == [
+        ("s", "log"), ("t", "log")]
+
+
+def test_objects_are_looked_for_at_a_server_of_another_name(spark):
+    tables = lambda server, *names: spark.createDataFrame(
+        [(server, "db", n) for n in names], "server string, table_schema string, table_name string")
+    index = lambda server, *names: spark.createDataFrame(
+        [(server, "db", "a", n) for n in names],
+        "server string, table_schema string, table_name string, index_name string")
+    found = missing_objects(tables("src", "a", "b"), index("src", "PRIMARY", "i", "j"),
+                            tables("dst", "a"), index("dst", "i")).collect()
+    assert [tuple(r) for r in found] == [
+        ("table", "src", "db", "b", None), ("index", "src", "db", "a", "j")]
+
+
 def test_keys_flags_and_orders(spark, columns):
     tables = spark.createDataFrame(
         [("s", "shop", "users", "BASE TABLE"), ("s", "blog", "log", "BASE TABLE"),

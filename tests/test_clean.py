@@ -64,18 +64,26 @@ def test_types_keep_their_rule(spark):
         ],
         "id int, shipped timestamp_ntz, day date, note binary, amount double",
     )
-    a, b, c = sanitize_rows(df, NOW).orderBy("id").collect()
+    a, b, c = sanitize_rows(df, NOW, text_bytes=["note"]).orderBy("id").collect()
     assert (a.shipped, a.day, a.note) == (NOW, NOW.date(), "1970-01-01 00:00:01")
     assert (b.shipped, b.day, b.note) == (datetime(1000, 1, 1), date(1000, 1, 1), "é")
     assert (c.shipped, c.day, c.note) == (None, None, None)
-    kept = sanitize_rows(df, NOW, keep_binary=["note"]).orderBy("id").collect()
+    kept = sanitize_rows(df, NOW).orderBy("id").collect()
     assert bytes(kept[0].note) == b"0000-00-00"
 
 
 def test_bytes_that_are_no_text_are_carried_over(spark):
     df = spark.createDataFrame([(bytearray(b"\xff\x00\xfe"),)], "blob binary")
-    kept = sanitize_rows(df, NOW).select(F.col("blob").cast("binary")).first()[0]
-    assert bytes(kept) == b"\xff\x00\xfe"
+    kept = sanitize_rows(df, NOW)
+    assert kept.schema == df.schema and bytes(kept.first()[0]) == b"\xff\x00\xfe"
+    text = sanitize_rows(df, NOW, text_bytes=["blob"]).select(F.col("blob").cast("binary")).first()[0]
+    assert bytes(text) == b"\xff\x00\xfe"
+
+
+def test_a_table_without_limits_breaks_none(spark):
+    df = spark.createDataFrame([(1, True)], "id int, flag boolean")
+    found = validate_rows(df, ["id"])
+    assert found.columns == ["id", "column_name", "rule", "measure"] and found.collect() == []
 
 
 def test_only_named_columns_are_cleaned(spark):

@@ -123,6 +123,47 @@ def test_destination_decides_where_to_resume(spark):
     }
 
 
+def test_runs_have_their_own_pending_tables_and_marks(spark):
+    inventory = spark.createDataFrame([("a",), ("b",)], "table_key string")
+    marks = spark.createDataFrame([], "table_key string, dest_mark long")
+    df = spark.createDataFrame(
+        [event(1, "a", "start", 1), event(2, "a", "progress", None, 5, 5), event(3, "a", "complete"),
+         event(4, "a", "start", 1, run="s"), event(5, "a", "progress", None, 9, 9, run="s")], EVENT_SCHEMA)
+    found = sorted((r["run_id"], r["table_key"]) for r in pending_tables(inventory, df).collect())
+    assert found == [("r", "b"), ("s", "a"), ("s", "b")]
+    assert [r["table_key"] for r in pending_tables(inventory, df, "r").collect()] == ["b"]
+    points = {(r["run_id"], r["table_key"]): r["resume_after"]
+              for r in resume_point(inventory, marks, ledger_state(df)).collect()}
+    assert points == {("r", "a"): 5, ("s", "a"): 9, (None, "b"): None}
+    assert resume_point(inventory, marks, ledger_state(df), "s").count() == 2
+
+
+def test_a_recount_is_written_and_counts(spark):
+    ledger = Ledger(spark, fresh_path(spark, "ledger"), "run")
+    ledger.record("db.t", "start", total_rows=10)
+    ledger.record("db.u", "start", total_rows=4)
+    now = spark.createDataFrame([("db.t", 12), ("db.u", 4)], "table_key string, total_records bigint")
+    assert {r["table_key"]: r["changed"] for r in ledger.recount(now).collect()}["db.u"] is False
+    state = {r["table_key"]: r["total_rows"] for r in ledger_state(ledger.events()).collect()}
+    assert state == {"db.t": 12, "db.u": 4}
+    assert ledger.events().filter("op = 'recount'").count() == 1
+
+
+def test_compaction_keeps_every_event_once(spark):
+    path = fresh_path(spark, "ledger")
+    ledgers = [Ledger(spark, path, "run"), Ledger(spark, path, "run")]
+    for n in range(6):
+        ledgers[n % 2].record("db.t", "progress", processed_rows=n)
+    before = sorted(map(str, ledgers[0].events().collect()))
+    assert len(before) == 6 and len({r["event_id"] for r in ledgers[0].events().collect()}) == 6
+    assert ledgers[0].compact() == 8
+    assert sorted(map(str, ledgers[1].events().collect())) == before
+    assert ledgers[0].compact() == 0
+    late = Ledger(spark, path, "run")
+    late.record("db.t", "complete")
+    assert late.events().agg({"event_id": "max"}).first()[0] == late._last
+
+
 def test_save_points_and_slow_calls(spark):
     df = spark.createDataFrame(
         [event(1, "t", "progress", None, 1, 1000), event(2, "t", "progress", None, 1, 1500),

@@ -142,7 +142,9 @@ def grant_statements(i):
 
 @query("dangling_grants", DANGLING_SQL)
 def dangling_grants(i):
-    return U.dangling_grants(statements(i), i["accounts"])
+    return U.dangling_statements(
+        i["accounts"], i["grants_global"], i["grants_db"], i["grants_set"]
+    )
 
 
 def grantee_count(grants: str) -> str:

@@ -9,7 +9,7 @@ from tablesync.operators import catalog as C
 from tablesync.operators.counts import row_counts
 from tablesync.plans.structure import ensure_tables as create_tables
 from tablesync.session import fresh_path
-from tablesync.sources.tables import scan_table
+from tablesync.sources.versions import open_table
 from workloads.fixtures import TABLES
 from workloads.registry import query
 
@@ -153,15 +153,19 @@ def select_targets(i):
 @query("missing_objects", f"""
 SELECT 'schema' AS kind, server, table_schema, CAST(NULL AS VARCHAR) AS table_name,
        CAST(NULL AS VARCHAR) AS index_name
-FROM (SELECT DISTINCT server, table_schema FROM {{cat_base}} EXCEPT
-      SELECT server, table_schema FROM {{cat_dest_tables}})
+FROM (SELECT DISTINCT server, table_schema FROM {{cat_base}}) s
+WHERE NOT EXISTS (SELECT 1 FROM {{cat_dest_tables}} d WHERE d.table_schema = s.table_schema)
 UNION ALL
 SELECT 'table', {T}, NULL
-FROM (SELECT {T} FROM {{cat_base}} EXCEPT SELECT {T} FROM {{cat_dest_tables}})
+FROM (SELECT DISTINCT {T} FROM {{cat_base}}) s
+WHERE NOT EXISTS (SELECT 1 FROM {{cat_dest_tables}} d
+                  WHERE d.table_schema = s.table_schema AND d.table_name = s.table_name)
 UNION ALL
 SELECT 'index', {T}, index_name
-FROM (SELECT {T}, index_name FROM {{cat_statistics}} WHERE index_name <> 'PRIMARY' EXCEPT
-      SELECT {T}, index_name FROM {{cat_dest_statistics}})""")
+FROM (SELECT DISTINCT {T}, index_name FROM {{cat_statistics}} WHERE index_name <> 'PRIMARY') s
+WHERE NOT EXISTS (SELECT 1 FROM {{cat_dest_statistics}} d
+                  WHERE d.table_schema = s.table_schema AND d.table_name = s.table_name
+                    AND d.index_name = s.index_name)""")
 def missing_objects(i):
     return C.missing_objects(
         i["cat_base"], i["cat_statistics"], i["cat_dest_tables"], i["cat_dest_statistics"]
@@ -188,7 +192,7 @@ def ensure_tables(i):
         i.spark, {TableSpec("copy", t): df for t, df in sources.items()}, root
     )
     made = {
-        t: scan_table(i.spark, f"{root}/copy/{t}", schema=df.schema) for t, df in sources.items()
+        t: open_table(i.spark, root, TableSpec("copy", t), df.schema) for t, df in sources.items()
     }
     have = row_counts(made).withColumnRenamed("total_records", "dest_rows")
     want = row_counts(sources)

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from tablesync.operators.access import GLOBAL_FLAGS
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -29,16 +31,6 @@ def dirty_text(number: str) -> str:
             WHEN 6 THEN '0000-00-00-note' ELSE '2024-01-02 03:04:05' END"""
 
 
-GLOBAL_FLAGS = (
-    "Select_priv", "Insert_priv", "Update_priv", "Delete_priv", "Create_priv", "Drop_priv",
-    "Reload_priv", "Shutdown_priv", "Process_priv", "File_priv", "Grant_priv", "References_priv",
-    "Index_priv", "Alter_priv", "Show_db_priv", "Super_priv", "Create_tmp_table_priv",
-    "Lock_tables_priv", "Execute_priv", "Repl_slave_priv", "Repl_client_priv",
-    "Create_view_priv", "Show_view_priv", "Create_routine_priv", "Alter_routine_priv",
-    "Create_user_priv", "Event_priv", "Trigger_priv",
-)
-
-
 def flag_columns(key: str, flags: tuple[str, ...]) -> str:
     """Y/N flags by key; some rows have none set, some only the grant option."""
     return ",\n    ".join(
@@ -92,27 +84,38 @@ FROM {dirty_orders}""",
     "src_gaps": """
 SELECT o_orderkey * 2 + o_orderkey % 2 AS o_orderkey, o_custkey, o_totalprice, o_orderdate
 FROM {orders}""",
-    # Order lines: a destination unique by key, and a batch with keys several times over.
+    # Order lines: a destination unique by key, of which returned lines have keys that no batch
+    # row has, and a batch of all lines with keys several times over, some of them new.
     "li_dest": """
-SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey,
+SELECT CASE WHEN l_returnflag = 'R' THEN l_orderkey + 1000000000000 ELSE l_orderkey END
+         AS l_orderkey,
+       l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey,
        max(l_quantity) + 100 AS l_quantity, max(l_extendedprice) AS l_extendedprice,
        max(l_shipdate) AS l_shipdate
-FROM {lineitem} WHERE l_returnflag <> 'R' GROUP BY l_orderkey, l_linenumber""",
+FROM {lineitem}
+GROUP BY CASE WHEN l_returnflag = 'R' THEN l_orderkey + 1000000000000 ELSE l_orderkey END,
+         l_linenumber""",
     "li_batch": """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate
-FROM {lineitem} WHERE l_linestatus = 'O'""",
-    # Customers under two unique keys; the batch moves names about and repeats keys.
+SELECT CASE WHEN l_linestatus = 'O' THEN l_orderkey ELSE l_orderkey + 2000000000000 END
+         AS l_orderkey,
+       l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate
+FROM {lineitem}""",
+    # Customers under two unique keys; the batch holds each customer twice, moves names about,
+    # repeats keys and brings customers from some nations in under new keys.
     "two_unique_batch": """
-SELECT c_custkey,
+SELECT CASE WHEN c_nationkey < 12 THEN c_custkey ELSE c_custkey + 1000000000000 END AS c_custkey,
        CASE WHEN c_custkey % 7 = 0 THEN NULL
+            WHEN c_nationkey >= 12 THEN concat('New#', CAST(c_custkey AS STRING))
             WHEN c_custkey % 4 = 0 THEN concat('Customer#', lpad(CAST(c_custkey + 1 AS STRING), 9, '0'))
             ELSE c_name END AS c_name,
        c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment, c_custkey * 2 AS seq
-FROM {customer} WHERE c_nationkey < 12
+FROM {customer}
 UNION ALL
-SELECT c_custkey - c_custkey % 3 AS c_custkey, c_name, c_nationkey, c_acctbal + 2 AS c_acctbal,
-       c_mktsegment, c_custkey * 2 + 1 AS seq
-FROM {customer} WHERE c_mktsegment = 'MACHINERY'""",
+SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN c_custkey - c_custkey % 3
+            ELSE c_custkey + 2000000000000 END AS c_custkey,
+       CASE WHEN c_mktsegment = 'MACHINERY' THEN c_name END AS c_name,
+       c_nationkey, c_acctbal + 2 AS c_acctbal, c_mktsegment, c_custkey * 2 + 1 AS seq
+FROM {customer}""",
     # Orders with some missing references, and customers of which every fifth has another key now.
     "orders_null_fk": """
 SELECT o_orderkey, CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_custkey END AS o_custkey,
@@ -158,9 +161,6 @@ SELECT run_id, min(event_id) - 1 AS event_id, min(ts) AS ts, CAST(NULL AS STRING
        CAST(NULL AS BIGINT) AS last_id, CAST(NULL AS BIGINT) AS processed_rows,
        CAST(NULL AS STRING) AS message
 FROM {ledger_events} GROUP BY run_id""",
-    "one_run": """
-SELECT 'run' AS run_id, event_id, ts, table_key, op, total_rows, last_id, processed_rows, message
-FROM {ledger_events}""",
     "ledger_tables": """
 SELECT concat('db.t', CAST(user_id AS STRING)) AS table_key, count(*) AS total_records
 FROM {events} GROUP BY user_id
@@ -236,12 +236,12 @@ FROM {cat_columns} WHERE ordinal_position = 2""",
     # The destination's inventory has other names for a schema in five, a table in four, and one
     # index of some tables.
     "cat_dest_tables": """
-SELECT DISTINCT server,
+SELECT DISTINCT concat('dst-', server) AS server,
        CASE WHEN t % 50 < 10 THEN concat('old_', table_schema) ELSE table_schema END AS table_schema,
        CASE WHEN t % 4 = 1 THEN concat('old_', table_name) ELSE table_name END AS table_name
 FROM {cat_columns}""",
     "cat_dest_statistics": """
-SELECT server, table_schema, table_name,
+SELECT concat('dst-', server) AS server, table_schema, table_name,
        CASE WHEN index_name = 'uk_body' AND table_name LIKE '%2' THEN 'uk_other'
             ELSE index_name END AS index_name
 FROM {cat_statistics}""",

@@ -30,7 +30,6 @@ GROUP BY run_id, table_key"""
 
 
 STATE_SQL = state_sql("ledger_events")
-ONE_RUN_STATE_SQL = state_sql("one_run")
 
 
 @query("ledger_state", STATE_SQL)
@@ -40,11 +39,11 @@ def ledger_state(i):
 
 @query("ledger_roundtrip", STATE_SQL)
 def ledger_roundtrip(i):
-    """The events are appended run by run and folded from what was stored."""
+    """The events are appended in parts, in no order, and folded from what was stored."""
     path = fresh_path(i.spark, "ledger")
     events = i["ledger_events"]
-    for run in ("run-0", "run-1", "run-2"):
-        append_events(events.filter(F.col("run_id") == run), path)
+    for part in range(3):
+        append_events(events.filter(F.pmod("event_id", F.lit(3)) == part), path)
     return L.ledger_state(read_events(i.spark, path))
 
 
@@ -95,15 +94,16 @@ def retry_counts(i):
 
 
 @query("pending_tables", """
-SELECT table_key, total_records FROM {ledger_tables}
-WHERE table_key NOT IN (SELECT table_key FROM {ledger_events}
-                        WHERE op = 'complete' AND run_id = 'run-1')""")
+SELECT r.run_id, t.table_key, t.total_records
+FROM {ledger_tables} t, (SELECT DISTINCT run_id FROM {ledger_events}) r
+WHERE NOT EXISTS (SELECT 1 FROM {ledger_events} e WHERE e.op = 'complete'
+                  AND e.run_id = r.run_id AND e.table_key = t.table_key)""")
 def pending_tables(i):
-    return L.pending_tables(i["ledger_tables"], i["ledger_events"].filter("run_id = 'run-1'"))
+    return L.pending_tables(i["ledger_tables"], i["ledger_events"])
 
 
 @query("resume_point", f"""
-SELECT t.table_key, d.dest_mark, s.last_id AS ledger_mark,
+SELECT s.run_id, t.table_key, d.dest_mark, s.last_id AS ledger_mark,
        CASE WHEN d.table_key IS NOT NULL THEN d.dest_mark ELSE s.last_id END AS resume_after,
        CASE WHEN d.table_key IS NOT NULL THEN 'destination'
             WHEN s.last_id IS NOT NULL THEN 'ledger' ELSE 'none' END AS learned_from,
@@ -111,9 +111,9 @@ SELECT t.table_key, d.dest_mark, s.last_id AS ledger_mark,
          AND (d.dest_mark IS NULL OR s.last_id > d.dest_mark) AS ledger_ahead
 FROM {{ledger_tables}} t
 LEFT JOIN {{dest_marks}} d ON t.table_key = d.table_key
-LEFT JOIN ({ONE_RUN_STATE_SQL}) s ON t.table_key = s.table_key""")
+LEFT JOIN ({STATE_SQL}) s ON t.table_key = s.table_key""")
 def resume_point(i):
-    state = L.ledger_state(i["one_run"])
+    state = L.ledger_state(i["ledger_events"])
     return L.resume_point(i["ledger_tables"].select("table_key"), i["dest_marks"], state)
 
 
@@ -125,6 +125,15 @@ def drift_recount(i):
     return L.drift_recount(i["ledger_tables"], ledger_state(i))
 
 
+@query("corrected_state", f"""
+SELECT s.run_id, s.table_key, coalesce(t.total_records, s.total_rows) AS total_rows, s.last_id,
+       s.processed_rows, s.retry_count, s.error_message, s.is_completed, s.ever_completed
+FROM ({STATE_SQL}) s LEFT JOIN {{ledger_tables}} t ON s.table_key = t.table_key""")
+def corrected_state(i):
+    state = ledger_state(i)
+    return L.corrected_state(state, L.drift_recount(i["ledger_tables"], state))
+
+
 @query("empty_tables", "SELECT * FROM {ledger_tables} WHERE total_records = 0")
 def empty_tables(i):
     return L.empty_tables(i["ledger_tables"])
