@@ -35,6 +35,9 @@ _REACH = LENGTH - GRAM
 _BUFFER = 3 << 20
 _PLACE_BITS = 24
 _GROUP_ROWS = 4096
+# What a stretch's row says: to be sorted out, a later copy that goes, one to look into for sure.
+OPEN, GONE, SHARED = 0, 1, 2
+_HOT_NAME = 16
 _LAST_ID = (1 << 63) - 1
 _SEEDS = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
 _ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -112,11 +115,13 @@ def unpack(packed: int) -> tuple[int, int, int]:
 
 
 def _mark_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(name, content, oid, key, packed, known) of every stretch.
+    """(name, content, oid, key, packed, kind) of every stretch.
 
-    Later copies within what a task holds at a time are ``known`` to be removed;
-    they are dealt out by document, so that a text with very many copies sends
-    few rows to the place of its name.
+    Later copies within what a task holds at a time are GONE; they are dealt out
+    by document, so that a text with very many copies sends few rows to the
+    place of its name. A name with more than _HOT_NAME contents at a time is
+    shared beyond doubt: two of them tell so at its place, the others are
+    SHARED and dealt out by content.
     """
 
     def flush(texts, oids, keys) -> pa.RecordBatch | None:
@@ -138,11 +143,20 @@ def _mark_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         same[1:] = again[1:] & (own[1:] == own[:-1]) & (place[1:] == place[:-1])
         packed = _pack(place, found["far"][turn], found["near"][turn])
         oid, key = np.array(oids, np.int64)[doc], np.array(keys, np.int64)[doc]
+        firsts = np.flatnonzero(~again)
+        own_name = name[firsts]
+        starts = np.flatnonzero(np.append(True, own_name[1:] != own_name[:-1]))
+        sizes = np.diff(np.append(starts, len(firsts)))
+        nth = np.arange(len(firsts)) - np.repeat(starts, sizes)
+        spread = firsts[(np.repeat(sizes, sizes) > _HOT_NAME) & (nth >= 2)]
+        kind = np.where(again, GONE, OPEN).astype(np.int8)
+        kind[spread] = SHARED
         route = np.where(again, key, name.view(np.int64))
+        route[spread] = _mix(name[spread], content[spread]).view(np.int64)
         kept = ~same
         return pa.RecordBatch.from_arrays(
-            [pa.array(c[kept]) for c in (route, content.view(np.int64), oid, key, packed, again)],
-            ["name", "content", "oid", "key", "packed", "known"],
+            [pa.array(c[kept]) for c in (route, content.view(np.int64), oid, key, packed, kind)],
+            ["name", "content", "oid", "key", "packed", "kind"],
         )
 
     texts: list[bytes] = []
@@ -176,57 +190,59 @@ def _long(text: bytes, oid: int, key: int) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([
             pa.array(found["name"].view(np.int64)), pa.array(found["content"].view(np.int64)),
             pa.array(np.full(count, oid)), pa.array(np.full(count, key)), pa.array(packed),
-            pa.array(np.zeros(count, bool)),
-        ], ["name", "content", "oid", "key", "packed", "known"])
+            pa.array(np.full(count, OPEN, np.int8)),
+        ], ["name", "content", "oid", "key", "packed", "kind"])
 
 
-_STRETCH = "name bigint, content bigint, oid bigint, key bigint, packed bigint, known boolean"
+_STRETCH = "name bigint, content bigint, oid bigint, key bigint, packed bigint, kind tinyint"
 
 
 def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of sorted stretches those that are removed (``known``) and those to look into.
 
-    Rows come by known, name, content and order. Of a name the state is one row.
+    Rows come by kind, name, content and order. Of a name the state is one row.
     """
-    columns = ("known", "name", "content", "oid", "key", "packed")
-    head = None  # the first row of the present content
-    given = False  # whether it has been passed on already
+    columns = ("kind", "name", "content", "oid", "key", "packed")
+    heads: dict[int, tuple] = {}  # per kind the first row of the present content
+    given = False  # whether that of the open ones has been passed on already
 
-    def rows(oid, key, packed, known) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(oid, pa.int64()), pa.array(key, pa.int64()), pa.array(packed, pa.int64()),
-             pa.array(known, pa.bool_())], ["oid", "key", "packed", "known"])
+    def rows(chosen: np.ndarray, known: bool, oid, key, packed) -> pa.RecordBatch:
+        columns = [pa.array(c[chosen], pa.int64()) for c in (oid, key, packed)]
+        flags = pa.array(np.full(len(columns[0]), known), pa.bool_())
+        return pa.RecordBatch.from_arrays([*columns, flags], ["oid", "key", "packed", "known"])
 
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        known, name, content, oid, key, packed = (
-            batch.column(c).to_numpy(zero_copy_only=False) for c in columns
-        )
-        yield rows(oid[known], key[known], packed[known], known[known])
-        name, content, oid, key, packed = (c[~known] for c in (name, content, oid, key, packed))
-        if not len(name):
-            continue
-        if head is not None:
-            name, content, oid, key, packed = (
-                np.concatenate([[np.int64(h)], c]) for h, c in zip(head, (name, content, oid, key, packed))
-            )
-        new = np.ones(len(name), bool)
-        new[1:] = (name[1:] != name[:-1]) | (content[1:] != content[:-1])
-        first = np.maximum.accumulate(np.where(new, np.arange(len(name)), 0))
-        later = ~new & ~((oid == oid[first]) & (key == key[first]) & (packed == packed[first]))
-        yield rows(oid[later], key[later], packed[later], np.ones(int(later.sum()), bool))
-        firsts = np.flatnonzero(new)
-        own = name[firsts]
-        shared = np.zeros(len(firsts), bool)
-        shared[1:] |= own[1:] == own[:-1]
-        shared[:-1] |= own[1:] == own[:-1]
-        out = firsts[shared]
-        if given:
-            out = out[out > 0]
-        yield rows(oid[out], key[out], packed[out], np.zeros(len(out), bool))
-        given = bool(shared[-1]) or given and len(firsts) == 1
-        head = tuple(int(c[firsts[-1]]) for c in (name, content, oid, key, packed))
+        kind, *rest = (batch.column(c).to_numpy(zero_copy_only=False) for c in columns)
+        gone = kind == GONE
+        if gone.any():
+            yield rows(gone, True, *rest[2:])
+        for own_kind in (OPEN, SHARED):
+            own = kind == own_kind
+            if not own.any():
+                continue
+            name, content, oid, key, packed = (c[own] for c in rest)
+            head = heads.get(own_kind)
+            if head:
+                name, content, oid, key, packed = (
+                    np.append(np.int64(h), c) for h, c in zip(head, (name, content, oid, key, packed))
+                )
+            new = np.ones(len(name), bool)
+            new[1:] = (name[1:] != name[:-1]) | (content[1:] != content[:-1])
+            first = np.maximum.accumulate(np.where(new, np.arange(len(name)), 0))
+            # A row that equals the first one is the same row of the table a second time.
+            later = ~new & ~((oid == oid[first]) & (key == key[first]) & (packed == packed[first]))
+            yield rows(later, True, oid, key, packed)
+            firsts = np.flatnonzero(new)
+            if own_kind == SHARED:
+                out = firsts[1:] if head else firsts
+            else:
+                same_name = name[firsts][1:] == name[firsts][:-1]
+                shared = np.append(False, same_name) | np.append(same_name, False)
+                out = firsts[shared]
+                out = out[out > 0] if given else out
+                given = bool(shared[-1]) or given and len(firsts) == 1
+            yield rows(out, False, oid, key, packed)
+            heads[own_kind] = tuple(int(c[firsts[-1]]) for c in (name, content, oid, key, packed))
 
 
 def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,7 +401,7 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     order = ["oid", "key", "packed"]
     marked = source.select("oid", "key", "text").mapInArrow(_mark_documents, _STRETCH)
     sorted_out = (
-        marked.repartition("name").sortWithinPartitions("known", "name", "content", *order)
+        marked.repartition("name").sortWithinPartitions("kind", "name", "content", *order)
         .mapInArrow(_sort_out, "oid bigint, key bigint, packed bigint, known boolean")
     )
     stretched = stage(sorted_out, "stretches")

@@ -74,6 +74,14 @@ def test_names_with_many_rows_go_string_by_string(spark, monkeypatch):
     assert run(spark, rows) == sorted(plain(rows))
 
 
+def test_names_with_many_contents_go_by_content(spark, monkeypatch):
+    monkeypatch.setattr(sd, "_HOT_NAME", 2)
+    rows = corpus(random.Random(13), 150)
+    rows += [(n, f"{n} start " + "the very common line of this corpus, as ever " * 2 + f"{n} {n * n} end" * 9)
+             for n in range(200, 300)]
+    assert run(spark, rows) == sorted(plain(rows))
+
+
 def test_long_texts_in_parts(spark, monkeypatch):
     monkeypatch.setattr(sd, "_BUFFER", 300)
     rows = corpus(random.Random(12), 60)
@@ -97,7 +105,7 @@ def test_sorting_out_does_not_depend_on_batches():
     def run_with(step):
         batches = [
             sd.pa.RecordBatch.from_pydict({n: [r[k] for r in rows[i:i + step]] for k, n in enumerate(names)}
-                                          | {"known": [False] * len(rows[i:i + step])})
+                                          | {"kind": [sd.OPEN] * len(rows[i:i + step])})
             for i in range(0, len(rows), step)]
         return sorted(tuple(r.values()) for b in sd._sort_out(iter(batches)) for r in b.to_pylist())
 
