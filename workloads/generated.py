@@ -42,6 +42,10 @@ def padded(prefix: str, width: int, suffix: str = "") -> str:
     return f"'{prefix}' || format('{{:0{width}d}}', id) || '{suffix}'"
 
 
+def numbered(text: tuple[str, str], value: str = "id") -> str:
+    return f"'{text[0]}' || {value} || '{text[1]}'"
+
+
 def largest(ids: str) -> str:
     return f"(SELECT max(id) FROM {{{ids}}})"
 
@@ -62,8 +66,7 @@ def gen_users(i):
 
 PRODUCTS_SQL = f"""
 SELECT id, {padded('Product ', 6)} AS name,
-       'High quality product number ' || id || ' with amazing features and excellent performance.'
-         AS description,
+       {numbered(G.PRODUCT_TEXT)} AS description,
        {cents(1812433253, 1000, 200001)} AS price, {number(134775813, 1, 50)} AS category_id,
        {number(1566083941, 0, 1000)} AS stock, {padded('SKU', 8)} AS sku,
        {cents(747796405, 10, 5001)} AS weight, true AS is_active,
@@ -79,8 +82,7 @@ def gen_products(i):
 @query("gen_orders", f"""
 SELECT id, {number(1103515245, 1, largest('user_ids'), 'BIGINT')} AS user_id,
        {cents(1812433253, 5000, 200001)} AS total, {pick(1640531527, G.ORDER_STATUSES)} AS status,
-       'Rua das Flores, ' || {number(134775813, 1, 999)} || ', Bairro Central, CEP 12345-678'
-         AS shipping_address,
+       {numbered(G.ADDRESS_TEXT, number(134775813, 1, 999))} AS shipping_address,
        {NOW} AS order_date, CAST(NULL AS TIMESTAMP) AS shipped_date,
        CAST(NULL AS TIMESTAMP) AS delivered_date, {NOW} AS created_at, {NOW} AS updated_at
 FROM {{order_ids}}""")
@@ -103,8 +105,7 @@ def gen_order_items(i):
 
 @query("gen_authors", f"""
 SELECT id, {padded('Author ', 4)} AS name, 'author' || id || '@blog.com' AS email,
-       'Experienced writer specializing in various topics. Author ' || id
-         || ' has been writing for many years.' AS bio,
+       {numbered(G.AUTHOR_TEXT)} AS bio,
        CAST(NULL AS VARCHAR) AS website, CAST(NULL AS VARCHAR) AS social_media,
        {NOW} AS created_at
 FROM {{author_ids}}""")
@@ -120,11 +121,9 @@ def gen_tags(i):
 
 
 @query("gen_posts", f"""
-SELECT id, {padded('Amazing Blog Post Number ', 6, ': Exploring New Horizons')} AS title,
+SELECT id, {padded(G.POST_TITLE[0], 6, G.POST_TITLE[1])} AS title,
        {padded('blog-post-', 6)} AS slug,
-       'This is the content of blog post number ' || id || '{G.POST_TEXT}' AS content,
-       'This is a brief excerpt for blog post ' || id
-         || ' that gives readers a preview of the content.' AS excerpt,
+       {numbered(G.POST_TEXT)} AS content, {numbered(G.POST_EXCERPT)} AS excerpt,
        {number(1103515245, 1, largest('author_ids'), 'BIGINT')} AS author_id,
        {draw(1640531527, 10)} >= 3 AS published, false AS featured,
        {number(134775813, 0, 10000)} AS views,
@@ -141,8 +140,7 @@ def gen_posts(i):
 SELECT id, {number(1103515245, 1, largest('user_ids'), 'BIGINT')} AS post_id,
        {padded('Commenter ', 6)} AS author_name,
        'commenter' || id || '@example.com' AS author_email,
-       'This is comment number ' || id || '. Great post! I really enjoyed reading this content '
-         || 'and found it very informative.' AS content,
+       {numbered(G.COMMENT_TEXT)} AS content,
        {draw(1640531527, 10)} >= 2 AS approved, CAST(NULL AS VARCHAR) AS ip_address,
        CAST(NULL AS VARCHAR) AS user_agent, {NOW} AS created_at
 FROM {{order_ids}}""")
@@ -153,13 +151,13 @@ def gen_comments(i):
 
 @query("gen_post_tags", f"""
 SELECT min(id) AS id, post_id, tag_id, {NOW} AS created_at
-FROM (SELECT id, {number(1103515245, 1, largest('author_ids'), 'BIGINT')} AS post_id,
-             {number(1640531527, 1, largest('author_ids'), 'BIGINT')} AS tag_id
+FROM (SELECT id, {number(1103515245, 1, largest('user_ids'), 'BIGINT')} AS post_id,
+             {number(1640531527, 1, largest('product_ids'), 'BIGINT')} AS tag_id
       FROM {{order_ids}})
 GROUP BY post_id, tag_id""")
 def gen_post_tags(i):
-    bound = max_key_param(i["author_ids"], "id")
-    return G.gen_post_tags(i["order_ids"], bound, bound, RUN_TS)
+    posts, tags = (max_key_param(i[ids], "id") for ids in ("user_ids", "product_ids"))
+    return G.gen_post_tags(i["order_ids"], posts, tags, RUN_TS)
 
 
 @query("gen_events", f"""
