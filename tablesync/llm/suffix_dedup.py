@@ -32,7 +32,7 @@ LENGTH = 100
 GRAM = 32
 SIDE = 34
 _REACH = LENGTH - GRAM
-_BUFFER = 3 << 20
+_BUFFER = 2 << 20
 _PLACE_BITS = 24
 _GROUP_ROWS = 4096
 # What a stretch's row says: to be sorted out, a later copy that goes, one to look into for sure.
@@ -151,7 +151,8 @@ def _mark_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         spread = firsts[(np.repeat(sizes, sizes) > _HOT_NAME) & (nth >= 2)]
         kind = np.where(again, GONE, OPEN).astype(np.int8)
         kind[spread] = SHARED
-        route = np.where(again, key, name.view(np.int64))
+        by_row = _mix(oid.view(np.uint64), key.view(np.uint64))  # copies have one key, not one id
+        route = np.where(again, by_row, name).view(np.int64)
         route[spread] = _mix(name[spread], content[spread]).view(np.int64)
         kept = ~same
         return pa.RecordBatch.from_arrays(
