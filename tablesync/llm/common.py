@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,9 +34,11 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
-def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
-    """A text column as UTF-8 bytes, null as empty."""
+def texts_of(batch: pa.RecordBatch, column: str = "text", field: int | None = None) -> list[bytes]:
+    """A text column, or a field of a struct column, as UTF-8 bytes, null as empty."""
     values = batch.column(column)
+    if field is not None:
+        values = pc.struct_field(values, [field])
     kind = pa.large_binary() if pa.types.is_large_string(values.type) else pa.binary()
     return [value or b"" for value in values.cast(kind).to_pylist()]
 

@@ -41,9 +41,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(rows @ np.array(self.weights), -700, 700)))
 
 
-def build_dictionary(texts: list[bytes], size: int = 1 << 16) -> bytes:
-    """A dictionary from the pieces of the texts; their plain end if they are too few to train."""
-    pieces = [t[i:i + _TRAINING_PIECE] for t in texts for i in range(0, len(t), _TRAINING_PIECE)]
+def build_dictionary(pieces: list[bytes], size: int = 1 << 16) -> bytes:
+    """A dictionary from pieces of texts; their plain end if they are too few to train."""
     if sum(map(len, pieces)) > _TRAINING_BYTES:
         order = np.random.default_rng(0).permutation(len(pieces))
         total = np.cumsum([len(pieces[i]) for i in order])
@@ -95,12 +94,13 @@ def fit_curve(rows: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 
 def train(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-    label_col: str = "quality", sample_rows: int = 12_000,
+    label_col: str = "quality", sample_rows: int = 12_000, sample_pieces: int = 16,
 ) -> Model:
     """Dictionaries and curve from at most ``sample_rows`` labelled rows.
 
     The rows are those whose ids have the smallest hashes; a quarter of them is
-    left to the curve. Labels other than 0 and 1, null ids and labels without a
+    left to the curve. A dictionary sees at most ``sample_pieces`` pieces of a
+    text, of 1024 characters and evenly spread over it; the curve sees whole texts. Labels other than 0 and 1, null ids and labels without a
     document are not used. An id with several labels counts with its largest.
     Without any usable label the model scores everything 0.5.
     """
@@ -116,10 +116,19 @@ def train(
     )
 
     def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        own = sorted(text.encode() for text in rows["text"] if text)
+        own = [piece.encode() for piece in sorted(rows["piece"])]
         return pd.DataFrame({"label": [key[0]], "dictionary": [build_dictionary(own)]})
 
-    built = sample.where("part >= 0").groupBy("label").applyInPandas(build, "label int, dictionary binary")
+    size = F.char_length("text")
+    step = F.greatest(F.lit(_TRAINING_PIECE), F.ceil(size / sample_pieces).cast("int"))
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.floor((size - 1) / step).cast("int")),
+        lambda n: F.substring(F.col("text"), n * step + 1, F.lit(_TRAINING_PIECE)),
+    )
+    built = (
+        sample.where("part >= 0").where(size > 0).select("label", F.explode(pieces).alias("piece"))
+        .groupBy("label").applyInPandas(build, "label int, dictionary binary")
+    )
     found = {row["label"]: bytes(row["dictionary"]) for row in built.collect()}
     good, bad = found.get(1, b""), found.get(0, b"")
 
@@ -141,13 +150,14 @@ def train(
 
 def add_scores(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
     """Columns ``row`` (the whole row as a struct) and ``score`` for every row."""
-    source = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    source, field = docs.select(F.struct("*").alias("row")), docs.columns.index(text_col)
     schema = StructType([source.schema["row"], StructField("score", DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = Compressor(model.good), Compressor(model.bad)
         for batch in slices(batches):
-            rows = np.array([evidence(text, *tools) for text in texts_of(batch)]).reshape(-1, 3)
+            texts = texts_of(batch, "row", field)
+            rows = np.array([evidence(text, *tools) for text in texts]).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(model.score(rows))], ["row", "score"]
             )

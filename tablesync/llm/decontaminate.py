@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 from tablesync.llm.common import WORD_BYTES, file_system, lower_ascii, slices, stage, texts_of
 from tablesync.llm.fm_index import BITS, FIRST, GAP, FMIndex
 
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
 _PHRASES_PER_FILE = 100_000
 _KEPT_FILES = 8
 
@@ -158,7 +159,7 @@ def spans_of(hit: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
-def _shards(batches: Iterator[pa.RecordBatch], shard_words: int):
+def _shards(batches: Iterator[pa.RecordBatch], shard_words: int, *column):
     """Batches, gathered until they hold a shard's words: (batch, texts, word hashes)."""
     rows: list[pa.RecordBatch] = []
     texts: list[bytes] = []
@@ -166,7 +167,7 @@ def _shards(batches: Iterator[pa.RecordBatch], shard_words: int):
     held = 0
     for batch in slices(batches, 64):
         rows.append(batch)
-        for text in texts_of(batch):
+        for text in texts_of(batch, *column):
             texts.append(text)
             hashes.append(word_hashes(WORD_BYTES.findall(lower_ascii(text))))
             held += len(hashes[-1])
@@ -238,14 +239,14 @@ def remove_contamination(
     they are. See ``find_contamination`` for what is hit.
     """
     files = write_phrases(benchmark, item_col=item_col, text_col=text_col, window=window)
-    source = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    source, field = docs.select(F.struct("*").alias("row")), docs.columns.index(text_col)
     schema = StructType([
         source.schema["row"], StructField("clean", StringType()), StructField("n_hit", LongType()),
     ])
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(files, shard_words)
-        for batch, texts, hashes in _shards(batches, shard_words):
+        for batch, texts, hashes in _shards(batches, shard_words, "row", field):
             total = [0] * len(texts)
             waiting = list(range(len(texts)))
             while waiting:
@@ -257,8 +258,8 @@ def remove_contamination(
                         total[n] += int(hit.sum())
                         again.append(n)
                 waiting = again
-            given = batch.column("text").to_pylist()
-            clean = [text.decode() if hits else old for text, hits, old in zip(texts, total, given)]
+            empty = pc.is_null(pc.struct_field(batch.column("row"), [field])).to_pylist()
+            clean = [None if none else text.decode() for text, none in zip(texts, empty)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(clean, pa.string()), pa.array(total, pa.int64())],
                 ["row", "clean", "n_hit"],

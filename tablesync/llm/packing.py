@@ -39,7 +39,7 @@ class Encoder:
     pieces at most.
     """
 
-    def __init__(self, ranks_path: str, pattern: str, memory: int = 400_000):
+    def __init__(self, ranks_path: str, pattern: str, memory: int = 200_000):
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bpe = tiktoken.Encoding(
@@ -146,7 +146,7 @@ def split_at_powers(sizes: list[int]) -> list[list[tuple[int, int, int]]]:
 
 def pack_documents(
     docs: DataFrame, *, ranks_path: str, pattern: str, id_col: str = "doc_id",
-    text_col: str = "text", window: int = 2048, end_id: int = 1, block_tokens: int = 8_000_000,
+    text_col: str = "text", window: int = 2048, end_id: int = 1, block_tokens: int = 4_000_000,
 ) -> DataFrame:
     """Pieces of tokenised documents and their places in sequences.
 
