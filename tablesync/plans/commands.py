@@ -44,10 +44,24 @@ def migrate(
     sources: Mapping[TableSpec, DataFrame],
     run_ts: datetime,
     target: str | None = None,
+    ledger: Ledger | None = None,
     **options,
 ) -> tuple[DataFrame, dict[TableSpec, CopyResult]]:
-    """Copy the tables of a target, or all of them; ``options`` are those of ``copy_tables``."""
-    return copy_tables(spark, choose(sources, target), run_ts, **options)
+    """Copy the tables of a target, or all of them; ``options`` are those of ``copy_tables``.
+
+    A run that goes on first counts its tables again and enters what has changed.
+    """
+    chosen = choose(sources, target)
+    if ledger:
+        preflight(chosen, ledger)
+    return copy_tables(spark, chosen, run_ts, ledger=ledger, **options)
+
+
+def preflight(sources: Mapping[TableSpec, DataFrame], ledger: Ledger) -> DataFrame:
+    """The tables that the run knows with their counts of then and now, which go into the run."""
+    counts = readable_counts({s.table_key: df for s, df in sources.items()})
+    known = counts.dropna().withColumnRenamed("table_name", "table_key")
+    return ledger.recount(known)
 
 
 def full(
@@ -63,7 +77,7 @@ def full(
     """Create the destination tables below ``root``, then fill them there by key."""
     chosen = choose(sources, target)
     replicate(spark, chosen, root)
-    return copy_tables(
+    return migrate(
         spark, chosen, run_ts, workers=workers, ledger=ledger, root=root,
         rows_per_range=rows_per_range,
     )

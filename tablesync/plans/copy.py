@@ -276,6 +276,8 @@ def copy_tables(
                      root, rows_per_range)
 
     outcomes = side_by_side(spark, copy_one, specs, workers, lambda spec: spec.table_key)
+    if ledger:
+        ledger.compact()
     results: dict[TableSpec, CopyResult] = {}
     rows = []
     for index, (spec, outcome) in enumerate(zip(specs, outcomes), start=1):

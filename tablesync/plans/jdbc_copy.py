@@ -10,6 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.model import TableSpec
+from tablesync.operators.catalog import (
+    base_tables,
+    catalog_columns,
+    nested_columns,
+    primary_keys,
+)
 from tablesync.operators.clean import sanitize_rows
 from tablesync.operators.counts import whole_number
 from tablesync.operators.keyed import replace_into
@@ -18,7 +24,7 @@ from tablesync.operators.reconcile import count_check
 from tablesync.plans.copy import MODES, completed_locations
 from tablesync.plans.side_by_side import side_by_side
 from tablesync.session import scratch_space, stage
-from tablesync.sources import jdbc
+from tablesync.sources import inventory, jdbc
 from tablesync.sources.ledger_store import Ledger
 
 COUNTS = "table_name string, total_records bigint"
@@ -229,9 +235,10 @@ def copy_all_between(
         return copy_between(spark, source, dest, spec, tables[spec], run_ts, ledger=ledger,
                             **options).first()
 
+    outcomes = side_by_side(spark, copy_one, specs, workers, lambda spec: spec.table_key)
+    ledger.compact()
     rows = []
-    for spec, outcome in zip(specs, side_by_side(spark, copy_one, specs, workers,
-                                                 lambda s: s.table_key)):
+    for spec, outcome in zip(specs, outcomes):
         if outcome is None:
             rows.append((spec.table_key, None, None, "SKIPPED", None))
         elif isinstance(outcome, Exception):
@@ -242,3 +249,39 @@ def copy_all_between(
     return spark.createDataFrame(
         rows, "table_name string, src_rows bigint, dest_rows bigint, status string, error string"
     )
+
+
+def server_tables(
+    spark: SparkSession, name: str, server: Server
+) -> tuple[DataFrame, dict[TableSpec, list[str]], tuple[str, ...]]:
+    """What a server's own inventory says: its columns, its tables with their column names, and
+    the names of columns that hold dates or times, which are fetched as text.
+
+    One row per table reaches the driver.
+    """
+    frame = lambda kind: inventory.read_frame(spark, kind, {name: server.url})
+    tables = base_tables(frame("tables"))
+    columns = catalog_columns(frame("columns"), tables)
+    keys = primary_keys(frame("key_column_usage"))
+    rows = nested_columns(columns).join(keys, ["server", "table_schema", "table_name"], "left").collect()
+    found, dated = {}, set()
+    for row in rows:
+        spec = TableSpec(row["table_schema"], row["table_name"], tuple(row["key_columns"] or ()))
+        found[spec] = [column["column_name"] for column in row["columns"]]
+        dated |= {c["column_name"] for c in row["columns"]
+                  if c["column_type"].lower().startswith(("date", "timestamp"))}
+    return columns, found, tuple(sorted(dated))
+
+
+def migrate_server(
+    spark: SparkSession, source: Server, dest: Server, run_ts: datetime, ledger: Ledger, **options
+) -> DataFrame:
+    """Copy every base table of a server, as its own inventory lists them, to another one.
+
+    The destination's tables must be there; those that are not come out as
+    FAILED. ``options`` are those of ``copy_all_between``.
+    """
+    _, tables, dated = server_tables(spark, "source", source)
+    return copy_all_between(
+        spark, source, dest, tables, run_ts, ledger, text_columns=dated, **options
+    )

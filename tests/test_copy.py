@@ -284,3 +284,13 @@ def test_full_fills_the_root(spark, source, clean):
     sources = {TableSpec("shop", "a", ("id",)): source}
     commands.full(spark, sources, root, NOW)
     assert rows_of(open_table(spark, root, TableSpec("shop", "a"))) == clean
+
+
+def test_a_run_that_goes_on_counts_again(spark, source):
+    sources = {TableSpec("shop", "a", ("id",)): source}
+    ledger = Ledger(spark, fresh_path(spark, "ledger"), "run")
+    commands.migrate(spark, sources, NOW, ledger=ledger, root=fresh_path(spark, "root"))
+    grown = {s: df.unionByName(df.withColumn("id", F.col("id") + 1000)) for s, df in sources.items()}
+    report, _ = commands.migrate(spark, grown, NOW, ledger=ledger)
+    assert [r["status"] for r in report.collect()] == ["SKIPPED"]
+    assert ledger_state(ledger.events()).filter("table_key = 'shop.a'").first()["total_rows"] == 100

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 
 from tablesync.model import TableSpec
 from tablesync.operators.ledger import ledger_state
-from tablesync.plans.jdbc_copy import Server, copy_all_between, copy_between
+from tablesync.plans.jdbc_copy import Server, copy_all_between, copy_between, migrate_server
 from tablesync.session import fresh_path
-from tablesync.sources import jdbc
+from tablesync.sources import inventory, jdbc
 from tablesync.sources.ledger_store import Ledger
 
 NOW = datetime(2024, 6, 1, 12, 0, 0)
@@ -177,6 +177,32 @@ def test_many_tables_side_by_side(spark, servers):
     assert ask() == {"shop.a": "SKIPPED", "shop.b": "FAILED", "shop.c": "SKIPPED"}
 
 
+def test_a_whole_server_from_its_inventory(spark, servers, monkeypatch):
+    frames = {
+        "tables": [("source", "shop", "orders", "BASE TABLE"), ("source", "shop", "seen", "VIEW"),
+                   ("source", "mysql", "user", "BASE TABLE")],
+        "columns": [("source", "shop", "orders", n, c, t, "NO", None, "", None, None) for n, (c, t) in enumerate(
+            [("id", "bigint"), ("created_at", "datetime"), ("name", "varchar(9)")], start=1)],
+        "key_column_usage": [("source", "shop", "orders", "PRIMARY", 1, "id")],
+    }
+    kinds = {
+        "tables": "server string, table_schema string, table_name string, table_type string",
+        "columns": "server string, table_schema string, table_name string, ordinal_position int, "
+                   "column_name string, column_type string, is_nullable string, column_default string, "
+                   "extra string, character_set_name string, collation_name string",
+        "key_column_usage": "server string, table_schema string, table_name string, "
+                            "constraint_name string, ordinal_position int, column_name string",
+    }
+    monkeypatch.setattr(inventory, "read_frame",
+                        lambda spark, kind, _: spark.createDataFrame(frames[kind], kinds[kind]))
+    servers.put("jdbc:mysql:src", [(n, "0000-00-00", "x") for n in range(5)])
+    servers.put("jdbc:mysql:dst", [])
+    ledger = Ledger(spark, fresh_path(spark, "ledger"), "run")
+    report = migrate_server(spark, Server("jdbc:mysql:src"), Server("jdbc:mysql:dst"), NOW, ledger)
+    assert [(r["table_name"], r["status"]) for r in report.collect()] == [("shop.orders", "ok")]
+    assert found(servers)[0] == (0, "2024-06-01 12:00:00", "x")
+
+
 def test_names_are_quoted():
     assert jdbc.table_name(TableSpec("a`b", "c")) == "`a``b`.`c`"
     assert jdbc.pushed_query("`s`.`t`", ["x`y"]) == "(SELECT `x``y` FROM `s`.`t`) t"
