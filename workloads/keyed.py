@@ -10,6 +10,7 @@ from tablesync.plans.copy import copy_table, copy_tables
 from tablesync.session import fresh_path
 from tablesync.sources.tables import append_rows
 from tablesync.sources.tables import truncate_load as load
+from tablesync.sources.versions import open_table
 from workloads.cleaning import clean_sql
 from workloads.fixtures import RUN_TS, TABLES
 from workloads.registry import query
@@ -133,6 +134,18 @@ def copy_table_fresh(i):
     return copy_table(i["dirty_orders"], ORDERS, RUN_TS).destination
 
 
+@query("copy_table_binary", """
+SELECT o_orderkey, o_orderstatus, upper(sha256(CAST(o_orderkey AS VARCHAR))) AS digest
+FROM {orders}""")
+def copy_table_binary(i):
+    """Bytes that are no text, copied in key ranges below a root and read back."""
+    digest = F.unhex(F.sha2(F.col("o_orderkey").cast("string"), 256))
+    source = i["orders"].select("o_orderkey", "o_orderstatus", digest.alias("digest"))
+    root = fresh_path(i.spark, "binary")
+    copy_table(source, ORDERS, RUN_TS, root=root, rows_per_range=max(1, source.count() // 3))
+    return open_table(i.spark, root, ORDERS).withColumn("digest", F.hex("digest"))
+
+
 @query("copy_tables", " UNION ALL ".join(
     f"SELECT {n} AS \"index\", 'given' AS schema_name, '{t}' AS table_name, count(*) AS \"rows\", "
     f"'COMPLETED' AS status, CAST(NULL AS VARCHAR) AS error FROM {t}"
