@@ -103,12 +103,11 @@ def _open(path: str) -> tuple[np.ndarray, pa.Table]:
     return stored.column("digest").to_numpy(), stored
 
 
-def _probe(keys: list[str], files: list[str]) -> dict[str, str]:
+def _probe(keys: list[str], files: list[tuple[np.ndarray, pa.Table]]) -> dict[str, str]:
     """The stored rules among ``keys``, with their verdicts."""
     found: dict[str, str] = {}
     wanted = _digests(keys)
-    for path in files:
-        digests, stored = _open(path)
+    for digests, stored in files:
         if not len(digests):
             continue
         at = np.searchsorted(digests, wanted)
@@ -139,8 +138,8 @@ def judge_urls(
 
     ``rules`` has host, path and verdict (``allow`` or ``block``). A rule fits
     its host and all subdomains where the URL's path starts with the rule's
-    path; the longest fitting rule wins. A URL that no stored rule fits gets
-    ``default`` and a null rule.
+    path; the longest fitting rule wins, of equally long ones that with the
+    longer host. A URL that no stored rule fits gets ``default`` and a null rule.
 
     One row per input row, repeated rows included. A null URL, an empty one and
     one without ``://`` have an empty host and path and get ``default``. Ids may
@@ -157,10 +156,11 @@ def judge_urls(
     )
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = [_open(path) for path in files]
         for batch in slices(batches, 4096):
             parts = [split_url(url) for url in batch.column("url").to_pylist()]
             wanted = [_candidates(host, path, lengths) for host, path in parts]
-            hits = _probe(list(dict.fromkeys(k for keys in wanted for k in keys)), files)
+            hits = _probe(list(dict.fromkeys(k for keys in wanted for k in keys)), opened)
             chosen = [next((k for k in keys if k in hits), None) for keys in wanted]
             yield pa.RecordBatch.from_arrays([
                 batch.column("id"),
