@@ -30,8 +30,13 @@ def components(edges: DataFrame) -> DataFrame:
             .groupBy("node").agg(F.min("other").alias("other"))
             .select(F.col("node").alias("low"), F.least("node", "other").alias("least"))
         )
-        large = current.join(near, "low").select("high", F.col("least").alias("low"))
-        least = large.groupBy("high").agg(F.min("low").alias("least"))
+        # Sums are written before they are joined: both sides are then dealt out for the join,
+        # and the edges of a hub can be split over tasks.
+        near = stage(near, "near")
+        large = stage(
+            current.join(near, "low").select("high", F.col("least").alias("low")).distinct(), "large"
+        )
+        least = stage(large.groupBy("high").agg(F.min("low").alias("least")), "least")
         small = large.join(least, "high")
         tied = small.where("low <> least").select(F.col("low").alias("high"), F.col("least").alias("low"))
         own = least.select("high", F.col("least").alias("low"))

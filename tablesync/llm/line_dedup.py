@@ -41,7 +41,9 @@ def _rank(places: DataFrame, name: list[str]) -> DataFrame:
         places.groupBy(*name).agg(F.min(place).alias("rank"), F.max(place).alias("last"))
         .where("rank < last").drop("last")
     )
-    return places.join(firsts, name).drop(*name)
+    # Written first: both sides of the join are then dealt out for it, and a very common line's
+    # places can be split over tasks.
+    return places.join(stage(firsts, "firsts"), name).drop(*name)
 
 
 def _double(ranked: DataFrame, ahead: int) -> DataFrame:

@@ -283,7 +283,7 @@ def classes(
             "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
         ), "roots",
     )
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    smallest = stage(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
     return own.join(rooted.join(smallest, "root").drop("first"), "fingerprint")
 
 
