@@ -9,12 +9,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tablesync.session import fresh_path, stage
 
 __all__ = ["fresh_path", "stage", "file_system", "slices", "texts_of", "lower_ascii",
-           "plain_words", "table", "WORD_BYTES", "blank_positions"]
+           "plain_words", "table", "WORD_BYTES"]
 
 # Words of letters and digits: every byte above 0x7F belongs to a word.
 WORD_BYTES = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -55,8 +54,3 @@ def plain_words(text: bytes) -> list[bytes]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def blank_positions(column) -> F.Column:
-    """Null as the empty text."""
-    return F.coalesce(column, F.lit(""))

@@ -137,7 +137,7 @@ def _distance() -> Column:
     return total
 
 
-def _estimate(rows: DataFrame, middles: DataFrame, limit: float) -> DataFrame:
+def _estimate(rows: DataFrame) -> DataFrame:
     """Centre and precision per group from its rows, sums taken about the middles."""
     size, names = len(VECTOR), list(VECTOR)
     about = [F.col(name) - F.col("middle")[i] for i, name in enumerate(names)]
@@ -221,7 +221,7 @@ def robust_distances(rows: DataFrame, *, steps: int = 3, min_rows: int = 200) ->
         far = usable.join(estimate, "group").withColumn("rank", _rank(_distance()))
         half = _median(far, ["group"], "rank").withColumnRenamed("middle", "cut")
         near = far.join(half, "group").where("rank <= cut")
-        estimate = stage(_estimate(near, middles, 0.5), "estimate")
+        estimate = stage(_estimate(near), "estimate")
     far = usable.join(estimate, "group").withColumn("rank", _rank(_distance()))
     # The middle of the distances tells by how much the half's covariance is too small.
     middle = _median(far, ["group"], "rank").select(
