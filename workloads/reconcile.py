@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tablesync.operators import reconcile as R
 from workloads.registry import query
 
