@@ -25,6 +25,7 @@ from tablesync.llm.fm_index import BITS, FIRST, GAP, FMIndex
 SHARD_WORDS = 1 << 19
 _PHRASES_PER_FILE = 100_000
 _KEPT_FILES = 8
+_SHARD_TEXTS = 1 << 16
 
 
 def write_phrases(
@@ -171,7 +172,7 @@ def _shards(batches: Iterator[pa.RecordBatch], shard_words: int, *column):
             texts.append(text)
             hashes.append(word_hashes(WORD_BYTES.findall(lower_ascii(text))))
             held += len(hashes[-1])
-        if held >= shard_words:
+        if held >= shard_words or len(texts) >= _SHARD_TEXTS:  # texts may have no words
             yield pa.Table.from_batches(rows).combine_chunks().to_batches()[0], texts, hashes
             rows, texts, hashes, held = [], [], [], 0
     if texts:

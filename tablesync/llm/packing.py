@@ -27,6 +27,7 @@ _RESULT = (
     "id {id}, start bigint, length bigint, ids binary, doc_tokens bigint, "
     "sequence_id bigint, offset bigint"
 )
+_BLOCK_DOCS = 1 << 17
 _JOINT = re.compile(r"(?<=\S)(?= )")
 _BLANKS = re.compile(r"\s ")
 
@@ -158,8 +159,8 @@ def pack_documents(
     block the one window that is at most half full is cut into such lengths.
 
     ``ranks_path`` (a rank file) and ``pattern`` name the tokenizer. Blocks end
-    at a document once they hold ``block_tokens`` ids, so memory is bounded by
-    that and the longest document. Repeated rows and null ids are packed like
+    at a document once they hold ``block_tokens`` ids or 131,072 documents, so
+    memory is bounded by that and the longest document. Repeated rows and null ids are packed like
     any others; extra columns are not looked at; an empty table gives no rows.
     Sequence ids are unique and the same again when a task is run again.
     """
@@ -209,7 +210,7 @@ def pack_documents(
                 ids = encoder.encode(text or "") + end
                 block.append((doc, ids))
                 held += len(ids) // size
-                if held >= block_tokens:
+                if held >= block_tokens or len(block) >= _BLOCK_DOCS:
                     packed, sequence = pack_block(block, sequence)
                     yield from slices([packed], 4096)
                     block, held = [], 0

@@ -33,6 +33,7 @@ GRAM = 32
 SIDE = 34
 _REACH = LENGTH - GRAM
 _BUFFER = 2 << 20
+_BUFFER_TEXTS = 1 << 16
 _PLACE_BITS = 24
 _GROUP_ROWS = 4096
 # What a stretch's row says: to be sorted out, a later copy that goes, one to look into for sure.
@@ -170,7 +171,7 @@ def _mark_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             if len(text) > _BUFFER:
                 yield from _long(text, oid, key)
                 continue
-            if held + len(text) > _BUFFER:
+            if held + len(text) > _BUFFER or len(texts) >= _BUFFER_TEXTS:
                 if (out := flush(texts, oids, keys)) is not None:
                     yield out
                 texts, oids, keys, held = [], [], [], 0
