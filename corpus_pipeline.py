@@ -18,7 +18,8 @@ from tablesync.llm.queries import held_out
 
 def _with_text(rows: DataFrame, like: DataFrame, text: Column, cut: Column) -> DataFrame:
     """The columns of ``like`` from ``row``, with the text that a stage left."""
-    worded = text.rlike(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]")
+    # A letter of either case, a digit, an underscore or anything beyond ASCII makes a word.
+    worded = text.rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x5E\x60\x7B-\x7F]")
     columns = [
         text.alias(name) if name == "text"
         else F.char_length(text).cast(kind).alias(name) if name == "n_chars"

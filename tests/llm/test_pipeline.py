@@ -68,6 +68,22 @@ def test_run_gives_the_last_stage(spark, sf_dir, kept):
         (r["doc_id"], r["start"], r["ids_crc32"]) for r in kept[5])
 
 
+def test_cut_documents_stay_while_a_word_is_left(spark, sf_dir):
+    """Capitals, digits, underscores and letters beyond ASCII are words; marks alone are none."""
+    left = {2: "CHAPTER IV: THE ROAD", 3: "* 7 *", 4: "\u00c4", 5: "__", 6: "-- [!] ^ ` ~"}
+    stays = {n: text for n, text in left.items() if n != 6}
+    kind = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    again = "one line that comes again\nand another one below"
+    docs = spark.createDataFrame(
+        [(1, again, "en", "s", 0), *((n, f"{text}\n{again}", "en", "s", 0) for n, text in left.items())], kind)
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in cp.lines(spark, docs, sf_dir).collect()}
+    assert got == {1: (again, len(again))} | {n: (text, len(text)) for n, text in stays.items()}
+    item = max((r["text"] for r in table(spark, sf_dir, "benchmark").collect()), key=lambda t: len(t or ""))
+    docs = spark.createDataFrame([(n, f"{text} {item}", "en", "s", 0) for n, text in left.items()], kind)
+    got = {r["doc_id"]: r["text"].strip(" .?!") for r in cp.benchmark(spark, docs, sf_dir).collect()}
+    assert got == stays
+
+
 def test_odd_rows(spark, sf_dir):
     rows = [(1, None, "en", None, None, 1), (None, "", None, "s", 0, 1), (2, "a b " * 40, None, None, 5, 1),
             (2, "a b " * 40, None, None, 5, 2), (None, "c d e " * 30, "en", "s", 1, 3)]
