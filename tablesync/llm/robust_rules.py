@@ -170,25 +170,17 @@ def _estimate(rows: DataFrame) -> DataFrame:
     )
 
 
-def robust_distances(rows: DataFrame, *, steps: int = 3, min_rows: int = 200) -> DataFrame:
+def robust_distances(rows: DataFrame, *, steps: int = 3) -> DataFrame:
     """The squared robust distance of every row of ``text_statistics``, as ``distance``.
 
-    Groups of fewer than ``min_rows`` usable rows are taken together by their
-    first group column, and what is still small by all. Only rows with
-    ``usable`` set enter the estimates. ``distance`` is scaled down so that the
+    Every group is estimated from its own rows, however few; the floors of
+    ``VECTOR`` keep its matrix regular. Only rows with ``usable`` set enter the
+    estimates. ``distance`` is scaled down so that the
     middle of each group is at most the middle of a chi-square distribution; it is null
     where a group has no usable row.
     """
     keys = [c for c in rows.columns if c[0] == "g" and c[1:].isdigit()]
-    usable = rows.where("usable")
-    counts = usable.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    first = counts.groupBy("g0").agg(F.sum(F.when(F.col("n") < min_rows, F.col("n"))).alias("pooled"))
-    merged = counts.join(first, "g0").select(
-        *keys,
-        F.when(F.col("n") >= min_rows, F.to_json(F.struct(*keys)))
-        .when(F.col("pooled") >= min_rows, F.to_json(F.struct("g0"))).otherwise("").alias("group"),
-    )
-    placed = stage(rows.join(merged, keys, "left"), "vectors")
+    placed = stage(rows.withColumn("group", F.to_json(F.struct(*keys))), "vectors")
     usable = placed.where("usable")
     names = list(VECTOR)
     long = usable.select("group", F.posexplode(F.array(*names)).alias("axis", "value"))
@@ -243,7 +235,7 @@ def _unrank(rank: Column) -> Column:
 def judge_texts(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     groups: tuple[str, ...] = ("lang", "source"), min_words: int = 10, repeat_percent: int = 20,
-    tail: float = 1e-9, steps: int = 3, min_rows: int = 200,
+    tail: float = 1e-9, steps: int = 3,
 ) -> DataFrame:
     """Counts, ``base_failed``, ``distance`` and ``kept`` for every row.
 
@@ -263,7 +255,7 @@ def judge_texts(
     rows = stage(stats.withColumn("usable", ~failed), "statistics")
     limit = chi_square(1 - tail, len(VECTOR))
     inside = F.coalesce(F.col("distance") <= limit, F.lit(True))
-    return robust_distances(rows, steps=steps, min_rows=min_rows).select(
+    return robust_distances(rows, steps=steps).select(
         F.col("id").alias(id_col), *_STATS, (~F.col("usable")).alias("base_failed"), "distance",
         (F.col("usable") & inside).alias("kept"),
     )

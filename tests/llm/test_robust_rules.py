@@ -82,6 +82,27 @@ def test_covariance_is_robust(spark):
     assert np.corrcoef(wanted, [distance[n] for n in range(600)])[0, 1] > 0.9
 
 
+def vectors_of(spark, groups: dict[str, np.ndarray]):
+    """Usable rows of one language with the given vectors, by source; ids count up in their order."""
+    names = ", ".join(f"{n} bigint" for n in rr.VECTOR)
+    rows = [("=en", source, True, *v) for source, rows in groups.items()
+            for v in np.round(rr._UNIT * rows).astype(int).tolist()]
+    return spark.createDataFrame([(n, *row) for n, row in enumerate(rows)],
+                                 f"id bigint, g0 string, g1 string, usable boolean, {names}")
+
+
+def test_small_groups_are_judged_by_their_own_rows(spark):
+    rng = np.random.default_rng(3)
+    size = len(rr.VECTOR)
+    own, one = rng.normal(0, 1, (40, size)), np.full((1, size), 50.0)
+    alone = rr.robust_distances(vectors_of(spark, {"=a": own})).collect()
+    groups = {"=a": own, "=b": rng.normal(20, 1, (120, size)), "=c": one}
+    among = rr.robust_distances(vectors_of(spark, groups)).collect()
+    by = {r["id"]: r["distance"] for r in among}
+    assert {r["id"]: r["distance"] for r in alone} == {n: by[n] for n in range(40)}
+    assert max(by.values()) < rr.chi_square(1 - 1e-9, size) and by[160] == 0
+
+
 def test_odd_rows(spark):
     clean = "some plain words that make up one line of text for all"
     rows = [(n, f"{clean} {n}", "en", "s", 1) for n in range(20)]
