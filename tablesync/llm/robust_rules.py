@@ -3,7 +3,7 @@
 Statistics of every text are transformed to vectors. For each language and
 source a minimum covariance determinant estimate is found by concentration
 steps: the half of the rows nearest to the present centre gives the next centre
-and covariance. A row far from its group's centre by Mahalanobis distance is
+and covariance, until the determinant falls no more. A row far from its group's centre by Mahalanobis distance is
 rejected. All sums run over all rows, as grouped aggregates; the start is the
 coordinatewise median, so nothing is drawn at random.
 """
@@ -138,7 +138,7 @@ def _distance() -> Column:
 
 
 def _estimate(rows: DataFrame) -> DataFrame:
-    """Centre and precision per group from its rows, sums taken about the middles."""
+    """Centre, precision and log determinant per group from its rows, sums taken about the middles."""
     size, names = len(VECTOR), list(VECTOR)
     about = [F.col(name) - F.col("middle")[i] for i, name in enumerate(names)]
     sums = [F.sum(gap).alias(f"s{i}") for i, gap in enumerate(about)]
@@ -162,19 +162,23 @@ def _estimate(rows: DataFrame) -> DataFrame:
                 # The floors keep near-constant statistics from making the matrix singular.
                 precision = np.linalg.inv(cov / _UNIT**2 + np.diag(floors**2))
                 centre = (mean + np.array(row["middle"])) / _UNIT
-                out.append((row["group"], list(row["middle"]), centre.tolist(), precision.ravel().tolist()))
-            yield pd.DataFrame(out, columns=["group", "middle", "centre", "precision"])
+                volume = -np.linalg.slogdet(precision)[1]
+                out.append((row["group"], list(row["middle"]), centre.tolist(), precision.ravel().tolist(),
+                            float(volume)))
+            yield pd.DataFrame(out, columns=["group", "middle", "centre", "precision", "volume"])
 
     return totals.mapInPandas(
-        invert, "group string, middle array<bigint>, centre array<double>, precision array<double>"
+        invert, "group string, middle array<bigint>, centre array<double>, precision array<double>, "
+        "volume double"
     )
 
 
-def robust_distances(rows: DataFrame, *, steps: int = 3) -> DataFrame:
+def robust_distances(rows: DataFrame, *, steps: int | None = None) -> DataFrame:
     """The squared robust distance of every row of ``text_statistics``, as ``distance``.
 
     Every group is estimated from its own rows, however few; the floors of
-    ``VECTOR`` keep its matrix regular. Only rows with ``usable`` set enter the
+    ``VECTOR`` keep its matrix regular. A group's steps go on until
+    its determinant falls no more, or ``steps`` are done if given. Only rows with ``usable`` set enter the
     estimates. ``distance`` is scaled down so that the
     middle of each group is at most the middle of a chi-square distribution; it is null
     where a group has no usable row.
@@ -208,12 +212,23 @@ def robust_distances(rows: DataFrame, *, steps: int = 3) -> DataFrame:
             ))).alias("precision"),
         )
     )
-    estimate = stage(start, "estimate")
-    for _ in range(steps):
-        far = usable.join(estimate, "group").withColumn("rank", _rank(_distance()))
+    parts = ["middle", "centre", "precision", "volume"]
+    estimate = stage(start.withColumns({"volume": F.lit(float("inf")), "moving": F.lit(True)}), "estimate")
+    done = 0
+    # Every step that counts lowers a determinant, and there are finitely many halves: it ends.
+    while (steps is None or done < steps) and not estimate.where("moving").isEmpty():
+        far = usable.join(estimate.where("moving"), "group").withColumn("rank", _rank(_distance()))
         half = _median(far, ["group"], "rank").withColumnRenamed("middle", "cut")
         near = far.join(half, "group").where("rank <= cut")
-        estimate = stage(_estimate(near), "estimate")
+        new = _estimate(near).select("group", F.struct(*parts).alias("new"))
+        lower = F.coalesce(F.col("new.volume") < F.col("volume"), F.lit(False))
+        estimate = stage(
+            estimate.join(new, "group", "left").select(
+                "group", *[F.when(lower, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in parts],
+                lower.alias("moving"),
+            ), "estimate",
+        )
+        done += 1
     far = usable.join(estimate, "group").withColumn("rank", _rank(_distance()))
     # The middle of the distances tells by how much the half's covariance is too small.
     middle = _median(far, ["group"], "rank").select(
@@ -235,7 +250,7 @@ def _unrank(rank: Column) -> Column:
 def judge_texts(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     groups: tuple[str, ...] = ("lang", "source"), min_words: int = 10, repeat_percent: int = 20,
-    tail: float = 1e-9, steps: int = 3,
+    tail: float = 1e-9, steps: int | None = None,
 ) -> DataFrame:
     """Counts, ``base_failed``, ``distance`` and ``kept`` for every row.
 
