@@ -26,7 +26,6 @@ PIECE = 256
 LEVEL = 3
 SHORT = 64  # bytes; a text of so many is half as short as an empty one
 _TRAINING_PIECE = 1024
-_TRAINING_BYTES = 12 << 20
 
 
 @dataclass(frozen=True)
@@ -41,12 +40,13 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(rows @ np.array(self.weights), -700, 700)))
 
 
-def build_dictionary(pieces: list[bytes], size: int = 1 << 16) -> bytes:
-    """A dictionary from pieces of texts; their plain end if they are too few to train."""
-    if sum(map(len, pieces)) > _TRAINING_BYTES:
+def build_dictionary(pieces: list[bytes], size: int = 1 << 16, *, sample_bytes: int = 12 << 20) -> bytes:
+    """A dictionary from pieces of texts, of at most ``sample_bytes`` drawn at random if they are
+    more; their plain end if they are too few to train."""
+    if sum(map(len, pieces)) > sample_bytes:
         order = np.random.default_rng(0).permutation(len(pieces))
         total = np.cumsum([len(pieces[i]) for i in order])
-        pieces = [pieces[i] for i in order[:np.searchsorted(total, _TRAINING_BYTES)]]
+        pieces = [pieces[i] for i in order[:np.searchsorted(total, sample_bytes, side="right")]]
     try:
         return zstandard.train_dictionary(size, pieces).as_bytes()
     except (zstandard.ZstdError, ValueError):
@@ -95,13 +95,15 @@ def fit_curve(rows: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 def train(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "quality", sample_rows: int = 12_000, sample_pieces: int = 16,
+    sample_bytes: int = 12 << 20,
 ) -> Model:
     """Dictionaries and curve from at most ``sample_rows`` labelled rows.
 
     The rows are those whose ids have the smallest hashes; a quarter of them is
     left to the curve. A dictionary sees at most ``sample_pieces`` pieces of a
-    text, of 1024 characters and evenly spread over it; the curve sees whole texts. Labels other than 0 and 1, null ids and labels without a
-    document are not used. An id with several labels counts with its largest.
+    text, of 1024 characters and evenly spread over it, and of all pieces of its label at most
+    ``sample_bytes`` (12 MiB), drawn at random; what is beyond does not enter it. The curve sees
+    whole texts. Labels other than 0 and 1, null ids and labels without a document are not used. An id with several labels counts with its largest.
     Without any usable label the model scores everything 0.5.
     """
     chosen = (
@@ -117,7 +119,7 @@ def train(
 
     def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         own = [piece.encode() for piece in sorted(rows["piece"])]
-        return pd.DataFrame({"label": [key[0]], "dictionary": [build_dictionary(own)]})
+        return pd.DataFrame({"label": [key[0]], "dictionary": [build_dictionary(own, sample_bytes=sample_bytes)]})
 
     size = F.char_length("text")
     step = F.greatest(F.lit(_TRAINING_PIECE), F.ceil(size / sample_pieces).cast("int"))
@@ -168,16 +170,18 @@ def add_scores(docs: DataFrame, model: Model, *, text_col: str = "text") -> Data
 def score_quality(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "quality", threshold: float = 0.7, sample_rows: int = 12_000,
+    sample_pieces: int = 16, sample_bytes: int = 12 << 20,
 ) -> DataFrame:
     """id, score (0 to 1, higher: label 1 is likelier) and predicted (1 from ``threshold``).
 
-    The model is trained on ``labels`` (see ``train``); every whole text is
+    The model is trained on ``labels``: on ``sample_rows`` of them, and each dictionary on
+    ``sample_pieces`` pieces a text and ``sample_bytes`` in all (see ``train``). Every whole text is
     scored, and nothing but the text enters its score. A null or empty text gets
     the curve's value at no difference and no length. Ids may be null or repeat; equal texts
     get equal scores. Extra columns are not looked at. No rows give no rows.
     """
     model = train(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col,
-                  sample_rows=sample_rows)
+                  sample_rows=sample_rows, sample_pieces=sample_pieces, sample_bytes=sample_bytes)
     scored = add_scores(docs.select(F.col(id_col), F.col(text_col)), model, text_col=text_col)
     return scored.select(
         F.col(f"row.{id_col}").alias(id_col), "score",

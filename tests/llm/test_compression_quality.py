@@ -36,6 +36,21 @@ def test_held_out_labels_do_not_matter(spark, sf_dir):
     assert models[0] == models[1]
 
 
+def test_sample_bytes_bound_the_dictionaries(spark, sf_dir, monkeypatch):
+    seen = []
+    with monkeypatch.context() as patch:
+        patch.setattr(cq.zstandard, "train_dictionary", lambda size, pieces: seen.append(pieces) or 1 / 0)
+        for bound in (1000, 2600):
+            try:
+                cq.build_dictionary([bytes([65 + n]) * 100 for n in range(26)], sample_bytes=bound)
+            except ZeroDivisionError:
+                pass
+    assert [sum(map(len, pieces)) for pieces in seen] == [1000, 2600]
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    models = [cq.train(docs, labels, sample_rows=100, sample_bytes=n) for n in (3000, 12 << 20)]
+    assert models[0].good != models[1].good and models[0].bad != models[1].bad
+
+
 def test_curve_fits_probabilities():
     rng = np.random.default_rng(1)
     x = rng.normal(size=20_000)
