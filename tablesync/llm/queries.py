@@ -13,12 +13,14 @@ from tablesync.llm import (
     decontaminate,
     license_scan,
     line_dedup,
+    nearest,
     packing,
     robust_rules,
     simhash,
     suffix_dedup,
     url_filter,
     warc,
+    whitening,
 )
 from tablesync.llm.common import table
 
@@ -223,3 +225,29 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", "n_runs",
         F.sha2(F.coalesce(F.encode("kept", "UTF-8"), F.lit(b"")), 256).alias("kept_sha256"),
     )
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # Null where the exact number is beyond what a long holds.
+    return white.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+@query("op13_nearest", """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda c: CAST(c AS DOUBLE)) AS vector FROM embeddings
+  WHERE len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda c: c IS NOT NULL AND isfinite(c)))
+    AND list_bool_or(list_transform(embedding, lambda c: c <> 0))
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.vector, c.vector) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT query_id, vec_id, score,
+    CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+""")
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.pmod("id", F.lit(20)) == 0)
