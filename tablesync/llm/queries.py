@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tablesync.llm import (
     compression_quality,
     decontaminate,
+    filter_audit,
     license_scan,
     line_dedup,
     nearest,
@@ -251,3 +252,54 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """)
 def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"), F.pmod("id", F.lit(20)) == 0)
+
+
+@query("op11_filter_audit", r"""
+WITH worded AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), marked AS (
+  SELECT doc_id, coalesce(max(CAST(quality = 1 AS INTEGER)), 0) AS good,
+    coalesce(max(CAST(toxic = 1 AS INTEGER)), 0) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), judged AS (
+  SELECT part, coalesce(m.good, 0) AS good, coalesce(m.toxic, 0) AS toxic,
+    CAST(len(words) < 50 AS INTEGER)
+    + 2 * CAST(100 * len(list_distinct(words)) < 65 * len(words) AS INTEGER)
+    + 4 * CAST(100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text) AS INTEGER)
+    + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INTEGER)
+    + 16 * CAST(coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY text), false) AS INTEGER) AS fails
+  FROM worded w LEFT JOIN marked m ON m.doc_id = w.doc_id
+), sets AS (
+  SELECT part, fails, count(*) AS documents, sum(good) AS good, sum(toxic) AS toxic
+  FROM judged GROUP BY part, fails
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+  SELECT [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits,
+    a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS BIGINT) AS gone
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), counted AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN fails & (gone | bit) = 0 THEN documents ELSE 0 END) AS kept,
+    sum(CASE WHEN fails & gone = 0 AND fails & bit > 0 THEN documents ELSE 0 END) AS removed,
+    sum(CASE WHEN fails & gone > 0 AND fails & bit > 0 THEN documents ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = bit THEN documents ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN fails & gone = 0 AND fails & bit > 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN fails & gone = 0 AND fails & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM sets, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+  CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+""")
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

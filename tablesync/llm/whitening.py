@@ -46,7 +46,8 @@ class Whitening:
 
     def deviations(self, vectors: np.ndarray) -> list[Decimal | None]:
         """The exact sum of (rows * x - sums)^2 of each vector; None beyond 38 digits."""
-        largest = int(np.abs(vectors).max(initial=0)) * self.rows + max(map(abs, self.sums), default=0)
+        reach = max(int(vectors.max(initial=0)), -int(vectors.min(initial=0)))
+        largest = reach * self.rows + max(map(abs, self.sums), default=0)
         if vectors.shape[1] * largest**2 < 2**63:
             gaps = vectors * self.rows - np.array(self.sums, np.int64)
             totals = (gaps * gaps).sum(axis=1).tolist()
