@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablesync.session import fresh_path, stage
 
-__all__ = ["fresh_path", "stage", "file_system", "slices", "texts_of", "lower_ascii",
+__all__ = ["fresh_path", "stage", "file_system", "qualified", "slices", "texts_of", "lower_ascii",
            "plain_words", "table", "WORD_BYTES"]
 
 # Words of letters and digits: every byte above 0x7F belongs to a word.
@@ -20,12 +20,19 @@ WORD_BYTES = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path of the shared folder, and the path on it."""
+    """The file system of a qualified path of the shared folder, and the path on it."""
     if "://" not in uri:
         return fs.LocalFileSystem(), re.sub("^file:", "", uri)
     return fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", uri))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as Spark takes it, for tasks that open files themselves."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(place).toString()
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of at most ``rows`` rows, so that few texts are held at once."""
     for batch in batches:
