@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from tokenizers import Tokenizer
 
 from tablesync.llm.common import slices
 
@@ -28,28 +29,56 @@ _RESULT = (
     "sequence_id bigint, offset bigint"
 )
 _BLOCK_DOCS = 1 << 17
+# The characters with the property White_Space.
+_LONG_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
 _JOINT = re.compile(r"(?<=\S)(?= )")
 _BLANKS = re.compile(r"\s ")
 
 
+def added_tokens(tokenizer_path: str) -> dict[str, int]:
+    """The tokens of a tokenizer file that stand for their own text wherever it occurs."""
+    known = Tokenizer.from_file(tokenizer_path).get_added_tokens_decoder()
+    for token in known.values():
+        if token.lstrip or token.rstrip or token.single_word or token.normalized:
+            raise ValueError(f"{token.content} does not stand for its own text alone")
+    return {token.content: id_ for id_, token in known.items()}
+
+
 class Encoder:
     """Token ids of a byte-level BPE, as little-endian 32-bit numbers.
 
-    No token reaches across a space that follows a visible character, so the
-    text is cut there and the ids of short pieces are remembered, ``memory``
-    pieces at most.
+    The text is first cut at the ``added`` tokens. No other token reaches across
+    a space that follows a visible character, so the text is cut there and the
+    ids of short pieces are remembered, ``memory`` pieces at most.
     """
 
-    def __init__(self, ranks_path: str, pattern: str, memory: int = 200_000):
+    def __init__(
+        self, ranks_path: str, pattern: str, memory: int = 200_000, added: dict[str, int] | None = None
+    ):
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bpe = tiktoken.Encoding(
             "packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
         )
         self.memory, self.known = memory, {}
+        self.added = {text: np.array([id_], "<u4").tobytes() for text, id_ in (added or {}).items()}
+        longest_first = sorted(map(re.escape, self.added), key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(longest_first)})") if self.added else None
 
     def fresh(self, text: str) -> bytes:
-        return np.array(self.bpe.encode_ordinary(text), "<u4").tobytes()
+        """Ids of a text; a long run of white space is one piece that no pattern has to find.
+
+        The last blank before a visible character is a piece of its own or
+        belongs to what follows.
+        """
+        out, at = [], 0
+        for run in _LONG_BLANKS.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            out += self.bpe.encode_ordinary(text[at:run.start()])
+            out += self.bpe._encode_single_piece(text[run.start():end])
+            at = end
+        out += self.bpe.encode_ordinary(text[at:])
+        return np.array(out, "<u4").tobytes()
 
     def _later(self, piece: str) -> bytes:
         """The ids of a piece behind a space."""
@@ -61,6 +90,14 @@ class Encoder:
         return ids
 
     def encode(self, text: str) -> bytes:
+        if self.cut is None or not self.cut.search(text):
+            return self._ordinary(text)
+        return b"".join(
+            self.added[part] if place % 2 else self._ordinary(part)
+            for place, part in enumerate(self.cut.split(text))
+        )
+
+    def _ordinary(self, text: str) -> bytes:
         if not text:
             return b""
         if _BLANKS.search(text):
@@ -146,8 +183,8 @@ def split_at_powers(sizes: list[int]) -> list[list[tuple[int, int, int]]]:
 
 
 def pack_documents(
-    docs: DataFrame, *, ranks_path: str, pattern: str, id_col: str = "doc_id",
-    text_col: str = "text", window: int = 2048, end_id: int = 1, block_tokens: int = 4_000_000,
+    docs: DataFrame, *, ranks_path: str, pattern: str, tokenizer_path: str | None = None,
+    id_col: str = "doc_id", text_col: str = "text", window: int = 2048, end_id: int = 1, block_tokens: int = 4_000_000,
 ) -> DataFrame:
     """Pieces of tokenised documents and their places in sequences.
 
@@ -158,13 +195,15 @@ def pack_documents(
     to be padded to ``window`` unless its length is a power of two; of each
     block the one window that is at most half full is cut into such lengths.
 
-    ``ranks_path`` (a rank file) and ``pattern`` name the tokenizer. Blocks end
+    ``ranks_path`` (a rank file) and ``pattern`` name the tokenizer, ``tokenizer_path`` the file that
+    lists its added tokens, which are found inside texts too. Blocks end
     at a document once they hold ``block_tokens`` ids or 131,072 documents, so
     memory is bounded by that and the longest document. Repeated rows and null ids are packed like
     any others; extra columns are not looked at; an empty table gives no rows.
     Sequence ids are unique and the same again when a task is run again.
     """
     size = 4  # bytes per id
+    added = added_tokens(tokenizer_path) if tokenizer_path else {}
 
     def pack_block(block: list[tuple], sequence: int) -> tuple[pa.RecordBatch, int]:
         rows: list[tuple] = []
@@ -200,7 +239,7 @@ def pack_documents(
         return pa.RecordBatch.from_arrays([pa.array(doc, id_type), *arrays], ["id", *names]), sequence
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks_path, pattern)
+        encoder = Encoder(ranks_path, pattern, added=added)
         end = np.array([end_id], "<u4").tobytes()
         sequence = TaskContext.get().partitionId() << 40
         block: list[tuple] = []

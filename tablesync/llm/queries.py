@@ -89,6 +89,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"),
         ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken"),
         pattern=public_tokenizers.PATTERN,
+        tokenizer_path=public_tokenizers.path("byte_bpe_50k.json"),
     )
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 

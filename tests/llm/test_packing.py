@@ -12,13 +12,20 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tablesync.llm.common import table
-from tablesync.llm.packing import Encoder, OpenWindows, best_fit, pack_documents, split_at_powers
+from tablesync.llm.packing import (
+    Encoder,
+    OpenWindows,
+    added_tokens,
+    best_fit,
+    pack_documents,
+    split_at_powers,
+)
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-TOKENIZER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-TOKENIZER.encode_special_tokens = True
-ENCODER = Encoder(RANKS, PATTERN)
+JSON = public_tokenizers.path("byte_bpe_50k.json")
+TOKENIZER = Tokenizer.from_file(JSON)
+ENCODER = Encoder(RANKS, PATTERN, added=added_tokens(JSON))
 
 
 def ids_of(text: str) -> list[int]:
@@ -34,8 +41,23 @@ def test_ids_equal_the_tokenizers(text):
     assert np.frombuffer(ENCODER.encode(text), "<u4").tolist() == ids_of(text)
 
 
+END = "<|endoftext|>"
+
+
+@pytest.mark.parametrize("text", [
+    END, f"x{END}", f" {END} {END}{END}\n", f"<|endoftext|{END}>", "\n" * 1_000_000, " " * 1_000_000 + "x",
+    f"a {' ' * 5000}b{' ' * 4096}", " \t" * 500_000 + END + "\n" * 4097 + "c", "\u3000\x85 " * 3000 + "\x1c" * 9000,
+    "a" + "\r\n" * 300_000 + "'s", "!" * 200_000 + " " + "9" * 200_000,
+])
+def test_added_tokens_and_long_runs(text):
+    assert added_tokens(JSON) == {END: 50256}
+    assert np.frombuffer(ENCODER.encode(text), "<u4").tolist() == ids_of(text)
+
+
 def pack(docs, **options):
-    return pack_documents(docs, ranks_path=RANKS, pattern=PATTERN, **options).collect()
+    return pack_documents(
+        docs, ranks_path=RANKS, pattern=PATTERN, tokenizer_path=JSON, **options
+    ).collect()
 
 
 def check(rows, wanted: dict, window: int):
@@ -73,7 +95,8 @@ def test_whole_table(spark, sf_dir):
 
 
 def test_odd_rows(spark):
-    rows = [(1, None, 7), (2, "", 7), (3, "x" * 300_000 + " y" * 5000, 7), (4, "  a \n b ", 7)]
+    rows = [(1, None, 7), (2, "", 7), (3, "x" * 300_000 + " y" * 5000, 7), (4, "  a \n b ", 7),
+            (5, f"x{END}y", 7), (6, "\n" * 1_000_000 + END, 7)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, offset int")
     wanted = {n: ids_of(text or "") + [1] for n, text, _ in rows}
     check(pack(docs, window=64), wanted, 64)
