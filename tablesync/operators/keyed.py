@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tablesync.operators.counts import mark_value
 from tablesync.operators.paging import keyset_filter
 from tablesync.operators.skew import earliest_per_key, join_on_key_set, latest_per_key
+from tablesync.session import stage
 
 
 def replace_into(
@@ -28,9 +29,10 @@ def replace_into(
     if order_cols is None:
         kept = join_on_key_set(dest, batch.select(*keys), keys, "left_anti", write_out=False)
         return kept.unionByName(batch)
-    used = batch.select(*keys).distinct()
-    kept = join_on_key_set(dest, used, keys, "left_anti")
-    return kept.unionByName(latest_per_key(batch, keys, order_cols))
+    # Written once: its keys are measured and looked up, its rows are added.
+    last = stage(latest_per_key(batch, keys, order_cols), "last")
+    kept = join_on_key_set(dest, last.select(*keys), keys, "left_anti", write_out=False)
+    return kept.unionByName(last)
 
 
 def last_on_every_key(

@@ -2,36 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.model import TableSpec
-from tablesync.operators.clean import sanitize_rows
+from tablesync.operators.clean import odd_key, sanitize_copied, sanitize_rows
 from tablesync.operators.counts import mark_value, whole_number
 from tablesync.operators.keyed import replace_into
-from tablesync.operators.paging import after_key, batch_plan, keyset_filter
+from tablesync.operators.paging import batch_plan, keyset_filter
 from tablesync.operators.reconcile import count_check
 from tablesync.plans.side_by_side import side_by_side
 from tablesync.session import fresh_path, scratch_space
 from tablesync.sources.ledger_store import Ledger
 from tablesync.sources.versions import current_folders, new_folder, publish, table_path
+from tablesync.sources.zones import clustered, file_count, key_range, sorted_zones, zone_map
 
 MODES = ("full", "resume")
 
 
 @dataclass(frozen=True)
 class CopyResult:
-    """The folders a copied table lies in, its rows, and the verdict on its counts."""
+    """The folders a copied table lies in, its rows, and the verdict on its counts.
+
+    ``odd_keys`` are written rows with a key that the cleaning rules would change; keys stay as
+    they are.
+    """
 
     locations: tuple[str, ...]
     destination: DataFrame
     rows: int
     verdict: DataFrame | None
     skipped: bool = False
+    odd_keys: int = 0
 
 
 def completed_locations(
@@ -59,30 +66,11 @@ def rows_to_write(
     source: DataFrame, dest: DataFrame | None, keys: list[str], run_ts: datetime
 ) -> DataFrame:
     """The cleaned rows a copy has to write, given the destination rows they replace."""
-    if dest is None:
+    if not keys:
         return sanitize_rows(source, run_ts)
-    return replace_into(dest, sanitize_rows(source.select(*dest.columns), run_ts), keys)
-
-
-def key_range(df: DataFrame, keys: list[str], after: tuple | None, upto: tuple | None) -> DataFrame:
-    """Rows with ``after < key <= upto``; without a lower end also those without a key."""
-    rows = keyset_filter(df, keys, after)
-    if upto is None:
-        return rows
-    return rows.filter(~F.coalesce(after_key(keys, upto), F.lit(False)))
-
-
-def range_ends(source: DataFrame, keys: list[str], rows_per_range: int | None) -> list[tuple | None]:
-    """The last keys of the ranges a copy is cut into, the last one open.
-
-    One row per range reaches the driver; their number is the row count over
-    ``rows_per_range``.
-    """
-    if not keys or not rows_per_range:
-        return [None]
-    plan = batch_plan(source.select(*keys), keys, rows_per_range)
-    lasts = plan.orderBy("batch_id").select(*[f"last_{k}" for k in keys]).collect()
-    return [*(tuple(row) for row in lasts[:-1]), None]
+    if dest is None:
+        return sanitize_copied(source, run_ts, keys)
+    return replace_into(dest, sanitize_copied(source.select(*dest.columns), run_ts, keys), keys)
 
 
 @dataclass(frozen=True)
@@ -139,11 +127,17 @@ def copy_table(
     folder and only the result names them. With ``rows_per_range`` the copy
     goes range by range in key order and records each in the ledger; if it
     fails, the next call with that ledger, run and mode goes on after the last
-    recorded range.
+    recorded range. The source is read twice for that, whatever its order and however
+    many ranges there are: it is sorted into files, and each range reads the few
+    files that hold its keys, of the destination likewise.
+
+    Keys are never cleaned, so that a row keeps its key from run to run; the
+    result says how many the rules would have changed.
 
     No folder is ever written twice: one left by a failed write is not among
     the returned locations, so nobody reads it. The verdict compares with the
-    source as it is after the copy; ``source_rows`` saves both counts where the
+    source as it is after the copy, without any tolerance where rows are missing though
+    the source has not changed meanwhile; ``source_rows`` saves both counts where the
     source's own server has already given them.
     """
     if mode not in MODES:
@@ -176,8 +170,8 @@ def _copy(
         by_key = bool(there and keys and total)
         dest = spark.read.parquet(*there) if by_key else None
         with scratch_space(spark):
-            written = _write_ranges(
-                source, dest, spec, run_ts, mode, ledger, path, before, rows_per_range
+            written, odd_keys = _write_ranges(
+                source, dest, spec, run_ts, mode, ledger, path, before, rows_per_range, total
             )
         placed = (*there, *written) if by_key and mode == "resume" else written
         result = spark.read.parquet(*placed)
@@ -190,14 +184,15 @@ def _copy(
         raise
     if ledger:
         ledger.record(spec.table_key, "complete", message="\n".join(placed))
-    if source_rows is None:
-        total = source.count()
+    now = source.count() if source_rows is None else total
+    lost = source_rows is None and now == total and copied < now
     counts = "table_name string, total_records bigint"
     verdict = count_check(
-        spark.createDataFrame([(spec.table_key, total)], counts),
+        spark.createDataFrame([(spec.table_key, now)], counts),
         spark.createDataFrame([(spec.table_key, copied)], counts),
+        **({"floor": 0, "rate": 0.0} if lost else {}),
     )
-    return CopyResult(placed, result, copied, verdict)
+    return CopyResult(placed, result, copied, verdict, odd_keys=odd_keys)
 
 
 def _write_ranges(
@@ -210,37 +205,79 @@ def _write_ranges(
     path: str,
     before: Attempt,
     rows_per_range: int | None,
-) -> tuple[str, ...]:
-    """Write what is missing, range by range; returns the folders of all ranges."""
+    total: int,
+) -> tuple[tuple[str, ...], int]:
+    """Write what is missing, range by range; the folders of all ranges, and odd keys written now."""
     if before.all_written:
-        return before.folders
+        return before.folders, 0
     spark, keys = source.sparkSession, list(spec.keys)
-    folders, done = list(before.folders), before.rows
+    folders, done, odd = list(before.folders), before.rows, 0
     if dest is not None and mode == "resume":
         source = keyset_filter(source.select(*dest.columns), keys, mark_value(dest, keys))
         done = done or dest.count()
     replaced = dest if mode == "full" else None
+    # Keys are written as they are at the source, so the largest one written is the mark.
     after = mark_value(spark.read.parquet(*folders), keys) if folders else None
-    ends = range_ends(keyset_filter(source, keys, after), keys, rows_per_range)
-    for upto in ends:
-        part = key_range(source, keys, after, upto) if keys else source
-        old = None if replaced is None else key_range(replaced, keys, after, upto)
+    for upto, part, old in _parts(source, replaced, spec, after, rows_per_range, total):
         seen = Observation()
         measures = [F.count(F.lit(1)).alias("rows")]
         if keys:
-            measures.append(F.max(F.col(keys[0])).alias("mark"))
+            measures += [F.max(F.col(keys[0])).alias("mark"),
+                         F.count_if(odd_key(part.schema, keys, run_ts)).alias("odd")]
         folder = new_folder(path, "range")
         rows_to_write(part, old, keys, run_ts).observe(seen, *measures).write.parquet(folder)
         folders.append(folder)
         done += seen.get["rows"]
-        after = upto
+        odd += seen.get.get("odd", 0)
         if ledger:
             end = "\nend" if upto is None else ""
             ledger.record(
                 spec.table_key, "progress", last_id=whole_number(seen.get.get("mark")),
                 processed_rows=done, message=folder + end,
             )
-    return tuple(folders)
+    return tuple(folders), odd
+
+
+def _parts(
+    source: DataFrame, replaced: DataFrame | None, spec: TableSpec, after: tuple | None,
+    rows_per_range: int | None, total: int,
+) -> Iterator[tuple[tuple | None, DataFrame, DataFrame | None]]:
+    """The ranges after a key, each with its last key, its source rows and those they replace."""
+    keys = list(spec.keys)
+    source = keyset_filter(source, keys, after)
+    if not keys or not rows_per_range or total <= rows_per_range:
+        yield None, source, None if replaced is None else keyset_filter(replaced, keys, after)
+        return
+    label = f"{spec.table_key}-sorted"
+    files = file_count(total, -(-total // rows_per_range))
+    try:
+        arriving = sorted_zones(source, keys, fresh_path(source.sparkSession, label), files)
+    except PySparkException:
+        # Some row cannot be read. The ranges before it are copied all the same, each read by itself.
+        yield from _parts_one_by_one(source, replaced, keys, after, rows_per_range)
+        return
+    ends = arriving.range_ends(rows_per_range)
+    there = None
+    if replaced is not None:
+        there = zone_map(replaced, keys)
+        files = file_count(there.rows, len(ends))
+        there = clustered(there, ends, fresh_path(source.sparkSession, label), files)
+    for upto in ends:
+        yield upto, arriving.read(after, upto), None if there is None else there.read(after, upto)
+        after = upto
+
+
+def _parts_one_by_one(
+    source: DataFrame, replaced: DataFrame | None, keys: list[str], after: tuple | None,
+    rows_per_range: int,
+) -> Iterator[tuple[tuple | None, DataFrame, DataFrame | None]]:
+    """The same ranges, found from the keys alone; every range is a pass over the source."""
+    plan = batch_plan(source.select(*keys), keys, rows_per_range)
+    lasts = plan.orderBy("batch_id").select(*[f"last_{k}" for k in keys]).collect()
+    for upto in [*(tuple(row) for row in lasts[:-1]), None]:
+        old = None if replaced is None else key_range(replaced, keys, after, upto)
+        yield upto, key_range(source, keys, after, upto), old
+        after = upto
 
 
 def copy_tables(
@@ -277,7 +314,7 @@ def copy_tables(
 
     outcomes = side_by_side(spark, copy_one, specs, workers, lambda spec: spec.table_key)
     if ledger:
-        ledger.compact()
+        ledger.tidy()
     results: dict[TableSpec, CopyResult] = {}
     rows = []
     for index, (spec, outcome) in enumerate(zip(specs, outcomes), start=1):

@@ -16,7 +16,7 @@ from tablesync.operators.catalog import (
     nested_columns,
     primary_keys,
 )
-from tablesync.operators.clean import sanitize_rows
+from tablesync.operators.clean import sanitize_copied
 from tablesync.operators.counts import whole_number
 from tablesync.operators.keyed import replace_into
 from tablesync.operators.paging import batch_plan
@@ -156,7 +156,7 @@ def _append_ranges(
         same = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys]
         # Staged before it is written: the destination is not read while it changes.
         missing = stage(arriving.alias("a").join(there.alias("b"), same, "left_anti"), "missing")
-        jdbc.write_jdbc(sanitize_rows(missing, run_ts), options, "append")
+        jdbc.write_jdbc(sanitize_copied(missing, run_ts, keys), options, "append")
         if ledger:
             last = None if upto is None else whole_number(upto[0])
             ledger.record(spec.table_key, "progress", last_id=last,
@@ -179,8 +179,8 @@ def _load_beside(
     if keys:
         conditions = jdbc.range_predicates(
             source.names(spec), source.plan(spark, spec, rows_per_range))
-    rows = stage(sanitize_rows(source.rows(spark, spec, columns, text_columns, conditions), run_ts),
-                 spec.table_key)
+    arriving = source.rows(spark, spec, columns, text_columns, conditions)
+    rows = stage(sanitize_copied(arriving, run_ts, keys), spec.table_key)
     if keys and not rows.isEmpty():
         # Where the destination has the same ranges, they read it evenly; the ends are open.
         if conditions:
@@ -236,7 +236,7 @@ def copy_all_between(
                             **options).first()
 
     outcomes = side_by_side(spark, copy_one, specs, workers, lambda spec: spec.table_key)
-    ledger.compact()
+    ledger.tidy()
     rows = []
     for spec, outcome in zip(specs, outcomes):
         if outcome is None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import threading
 import time
 import uuid
@@ -33,23 +34,49 @@ def _event(values: Sequence) -> list[Column]:
     return [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, EVENT_SCHEMA)]
 
 
-def compact_events(spark: SparkSession, path: str) -> int:
-    """Bring the events of all folders into one; returns how many folders went.
+OWNER = "_compacting"
 
-    The new folder is complete before an old one goes, and ``Ledger.events``
-    counts an event once, so a stop in between loses and doubles nothing.
-    Events that are added meanwhile stay in their own folders.
+
+def compact_events(spark: SparkSession, path: str, keep_seconds: int = 3600) -> int:
+    """Bring the events of older folders into one; returns how many folders were brought in.
+
+    One run at a time compacts a ledger: the one whose file names it as the
+    owner; others leave at once. A folder that was brought in goes only
+    ``keep_seconds`` later, at a further compaction, so a run that has listed it still reads it.
+    ``Ledger.events`` counts an event once, so a stop in between loses and
+    doubles nothing. Events that are added meanwhile stay in their own folders.
     """
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = spark._jvm.org.apache.hadoop.fs
+    place = files.Path(path)
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    folders = [f.getPath().toString() for f in system.listStatus(place) if f.isDirectory()]
-    if len(folders) < 2:
-        return 0
-    events = read_events(spark, folders).dropDuplicates(EVENT_KEY)
-    append_events(events.coalesce(1), path)
-    for folder in folders:
-        remove_folder(spark, folder)
-    return len(folders)
+    owner = files.Path(place, OWNER)
+    try:
+        system.create(owner, False).close()  # fails if it is there
+    except Exception:
+        status = system.getFileStatus(owner) if system.exists(owner) else None
+        if status and time.time() - status.getModificationTime() / 1000 < keep_seconds:
+            return 0
+        system.delete(owner, False)  # its run was lost long ago
+        return compact_events(spark, path, keep_seconds)
+    try:
+        listed = [f for f in system.listStatus(place) if f.isDirectory()]
+        marks = {f.getPath().getName() for f in system.listStatus(place) if not f.isDirectory()}
+        gone = [f for f in listed if f"_done-{f.getPath().getName()}" in marks]
+        for folder in gone:
+            mark = files.Path(place, f"_done-{folder.getPath().getName()}")
+            if time.time() - system.getFileStatus(mark).getModificationTime() / 1000 >= keep_seconds:
+                remove_folder(spark, folder.getPath().toString())
+                system.delete(mark, False)
+        fresh = [f.getPath() for f in listed if f not in gone]
+        if len(fresh) < 2:
+            return 0
+        events = read_events(spark, [f.toString() for f in fresh]).dropDuplicates(EVENT_KEY)
+        append_events(events.coalesce(1), path)
+        for folder in fresh:
+            system.create(files.Path(place, f"_done-{folder.getName()}"), True).close()
+        return len(fresh)
+    finally:
+        system.delete(owner, False)
 
 
 class Ledger:
@@ -108,5 +135,12 @@ class Ledger:
         own = read_events(self.spark, self.path).filter(F.col("run_id") == self.run_id)
         return own.dropDuplicates(EVENT_KEY)
 
-    def compact(self) -> int:
-        return compact_events(self.spark, self.path)
+    def compact(self, keep_seconds: int = 3600) -> int:
+        return compact_events(self.spark, self.path, keep_seconds)
+
+    def tidy(self) -> None:
+        """Compact, but never let that fail what has been done and recorded."""
+        try:
+            self.compact()
+        except Exception as error:  # the events are as they were
+            logging.getLogger(__name__).warning("ledger %s is not compacted: %s", self.path, error)

@@ -9,13 +9,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.model import TableSpec
 from tablesync.session import remove_folder
+from tablesync.sources.zones import folder_exists
 
 POINTER = "version bigint, folders array<string>"
 
@@ -30,11 +30,11 @@ def new_folder(path: str, label: str = "data") -> str:
 
 
 def _pointer(spark: SparkSession, path: str) -> tuple[int, tuple[str, ...]]:
-    try:
-        reader = spark.read.schema(POINTER).option("recursiveFileLookup", "true")
-        row = reader.parquet(f"{path}/current").orderBy(F.desc("version")).first()
-    except AnalysisException:
-        row = None
+    """The newest version. Only a folder that is not there means no table; a damaged one raises."""
+    if not folder_exists(spark, f"{path}/current"):
+        return 0, ()
+    reader = spark.read.schema(POINTER).option("recursiveFileLookup", "true")
+    row = reader.parquet(f"{path}/current").orderBy(F.desc("version")).first()
     return (row["version"], tuple(row["folders"])) if row else (0, ())
 
 

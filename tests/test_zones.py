@@ -1,0 +1,216 @@
+"""Zone maps, one-pass ranges, keys that cleaning would change, and merges that touch few folders."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablesync.model import TableSpec
+from tablesync.operators.keyed import replace_into
+from tablesync.plans.copy import copy_table, copy_tables
+from tablesync.plans.merge import merge_rows
+from tablesync.session import fresh_path
+from tablesync.sources.ledger_store import Ledger
+from tablesync.sources.versions import current_folders, open_table, table_path
+from tablesync.sources.zones import clustered, folder_zones, folders_of_keys, sorted_zones, zone_map
+
+NOW, LATER = datetime(2024, 6, 1, 12), datetime(2024, 7, 1, 12)
+SPEC = TableSpec("shop", "orders", ("id",))
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def shuffled(spark, rows: int):
+    """Every number once, in no order."""
+    return spark.range(rows).select(((F.col("id") * 7919) % rows).alias("id"), F.lit("x").alias("name"))
+
+
+def counted(spark, df):
+    """The frame, and a counter of the rows whose columns were read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), seen
+
+
+@pytest.mark.parametrize("mode", ["full", "resume"])
+def test_many_ranges_read_the_source_twice(spark, mode):
+    path = fresh_path(spark, "src")
+    shuffled(spark, 5000).write.parquet(path)
+    source, seen = counted(spark, spark.read.parquet(path))
+    root = fresh_path(spark, "root")
+    old = spark.createDataFrame([(-1 if mode == "resume" else 17, "old")], "id bigint, name string")
+    copy_table(old, SPEC, NOW, root=root)
+    result = copy_table(source, SPEC, NOW, mode=mode, root=root, rows_per_range=100, source_rows=5000)
+    assert len(result.locations) == 50 + (mode == "resume")
+    assert rows_of(open_table(spark, root, SPEC).filter("id >= 0")) == rows_of(shuffled(spark, 5000))
+    assert seen.value <= 2 * 5000
+
+
+def test_a_full_copy_reads_of_the_destination_what_its_ranges_need(spark):
+    root = fresh_path(spark, "root")
+    source = shuffled(spark, 3000)
+    copy_table(source, SPEC, NOW, root=root, rows_per_range=100)
+    there = zone_map(open_table(spark, root, SPEC), ["id"])
+    ends = [(n,) for n in range(99, 2999, 100)] + [None]
+    assert max(len(there.between(a, b)) for a, b in zip([None, *ends], ends)) == 1
+    assert clustered(there, ends, fresh_path(spark, "none"), 30) is there
+    mixed = fresh_path(spark, "mixed")
+    source.repartition(6).write.parquet(mixed)
+    unsorted = zone_map(spark.read.parquet(mixed), ["id"])
+    better = clustered(unsorted, ends, fresh_path(spark, "sorted"), 30)
+    assert better is not unsorted and better.rows == 3000
+    assert sum(z.rows for a, b in zip([None, *ends], ends) for z in better.between(a, b)) <= 6000
+
+
+def test_bounds_of_texts_nulls_and_hot_keys(spark):
+    rows = [(None, 1), ("a", 2), ("é", 3), ("z", 4), (None, 5)] + [("hot", n) for n in range(300)]
+    df = spark.createDataFrame(rows, "k string, v int").repartition(4)
+    zones = sorted_zones(df, ["k"], fresh_path(spark, "zones"), 5)
+    assert zones.rows == 305 and max(z.rows for z in zones.zones) < 200  # one key lies in several files
+    ends = zones.range_ends(50)
+    assert len(ends) == 7 and ends[-1] is None
+    for after, upto in ((None, ("a",)), (("a",), ("hot",)), (("hot",), None), (("zz",), ("é",)), (("é",), None)):
+        got = sorted(str(r["k"]) for r in zones.read(after, upto).collect())
+        wanted = sorted(str(k) for k, _ in rows
+                        if (after is None or (k is not None and k.encode() > after[0].encode()))
+                        and (upto is None or k is None or k.encode() <= upto[0].encode()))
+        assert got == wanted
+    empty = sorted_zones(df.filter("v < 0"), ["k"], fresh_path(spark, "zones"), 3)
+    assert empty.rows == 0 and empty.range_ends(10) == [None] and empty.read().count() == 0
+
+
+OLD_KEYS = "k timestamp_ntz, v int"
+
+
+def old_keys(spark, *years):
+    return spark.createDataFrame([(datetime(y, 1, 1), y) for y in years], OLD_KEYS)
+
+
+def test_rows_whose_keys_break_the_rules_are_neither_lost_nor_doubled(spark):
+    spec, root = TableSpec("s", "t", ("k",)), fresh_path(spark, "root")
+    first = copy_table(old_keys(spark, 500, 2020), spec, NOW, root=root)
+    assert first.odd_keys == 1
+    again = copy_table(old_keys(spark, 500, 2020, 2021), spec, LATER, mode="resume", root=root)
+    assert again.rows == 3 and again.verdict.first()["verdict"] == "ok"
+    for when in (NOW, LATER):
+        result = copy_table(old_keys(spark, 500, 2020, 2021), spec, when, mode="full", root=root)
+        assert sorted(r["v"] for r in result.destination.collect()) == [500, 2020, 2021]
+        assert result.odd_keys == 1
+    texts = spark.createDataFrame([("0000-00-00", "0000-00-00"), ("b", "1")], "created_at string, updated_at string")
+    copied = copy_table(texts, TableSpec("s", "x", ("created_at",)), NOW).destination
+    assert rows_of(copied) == [("0000-00-00", "2024-06-01 12:00:00"), ("b", "1")]
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_a_restart_behind_old_keys_goes_on_where_it_stopped(spark, many):
+    spec, root = TableSpec("s", "t", ("k",)), fresh_path(spark, "root")
+    ledger = Ledger(spark, fresh_path(spark, "ledger"), "run")
+    years = (500, 501, *range(2000, 2010))
+    good = old_keys(spark, *years)
+    bad = good.withColumn("v", F.when(F.col("v") == 2007, F.raise_error(F.lit("lost")).cast("int"))
+                          .otherwise(F.col("v")))
+
+    def copy(source):
+        if not many:
+            return copy_table(source, spec, NOW, ledger=ledger, root=root, rows_per_range=4)
+        return copy_tables(spark, {spec: source}, NOW, ledger=ledger, root=root, rows_per_range=4)
+
+    if many:
+        report, _ = copy(bad)
+        assert [r["status"] for r in report.collect()] == ["FAILED"]
+    else:
+        with pytest.raises(Exception, match="lost"):
+            copy(bad)
+    assert ledger.events().filter("op = 'progress'").count() == 2
+    copy(good)
+    assert sorted(r["v"] for r in open_table(spark, root, spec).collect()) == list(years)
+
+
+def test_a_lost_row_is_never_ok(spark):
+    holes = copy_table(shuffled(spark, 50).filter("id <> 7"), SPEC, NOW)
+    result = copy_table(shuffled(spark, 50), SPEC, NOW, holes.locations, mode="resume")
+    assert (result.rows, result.verdict.first()["verdict"]) == (49, "short")
+
+
+def test_one_changed_row_writes_one_folder_of_a_hundred(spark):
+    root = fresh_path(spark, "root")
+    copy_table(shuffled(spark, 5000), SPEC, NOW, root=root, rows_per_range=50)
+    before = current_folders(spark, table_path(root, SPEC))
+    assert len(before) == 100
+    one = spark.createDataFrame([(1234, "new")], "id bigint, name string")
+    result = merge_rows(one, SPEC, root)
+    assert len(result.written) == len(result.replaced) == 1 and result.rows_written == 50
+    assert set(result.locations) - set(result.written) == set(before) - set(result.replaced)
+    table = open_table(spark, root, SPEC)
+    assert table.count() == 5000 and rows_of(table.filter("name = 'new'")) == [(1234, "new")]
+    beyond = spark.createDataFrame([(9000, "far"), (-5, "far")], "id bigint, name string")
+    result = merge_rows(beyond, SPEC, root)
+    assert result.replaced == () and result.rows_written == 2 and len(result.written) == 1
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_merges_equal_replacing_in_the_whole_table(spark, seed):
+    spec, root = TableSpec("s", "t", ("a", "b")), fresh_path(spark, "root")
+    number = lambda salt, bound: F.pmod(F.xxhash64("id", F.lit(salt + seed)), F.lit(bound))
+
+    def some(rows, salt):
+        return spark.range(rows).select(
+            F.when(number(salt, 17) > 0, number(salt, 60)).alias("a"),
+            F.concat(F.lit("k"), number(salt + 1, 9).cast("string")).alias("b"), F.col("id").alias("v"),
+        )
+
+    dest = some(400, 1).dropDuplicates(["a", "b"])
+    path = fresh_path(spark, "dest")
+    dest.write.parquet(path)
+    dest = spark.read.parquet(path)
+    copy_table(dest, spec, NOW, root=root, rows_per_range=25)
+    wanted = dest
+    for step in (3, 5):
+        batch = some(60, step).withColumn("v", F.col("v") + 1000 * step)
+        kept = fresh_path(spark, "wanted")
+        replace_into(wanted, batch, ["a", "b"], ["v"]).write.parquet(kept)
+        wanted = spark.read.parquet(kept)
+        result = merge_rows(batch, spec, root, ["v"])
+        assert rows_of(open_table(spark, root, spec)) == rows_of(wanted)
+        assert result.locations == current_folders(spark, table_path(root, spec))
+
+
+def test_filters_miss_no_key_and_few_strangers_pass(spark):
+    root = fresh_path(spark, "root")
+    copy_table(spark.range(0, 40_000, 2), SPEC, NOW, root=root)
+    folders = current_folders(spark, table_path(root, SPEC))
+    zones = folder_zones(spark, table_path(root, SPEC), folders, ["id"])
+    there = folders_of_keys(spark.range(0, 40_000, 2), zones, ["id"])
+    assert there.count() == 20_000
+    assert folders_of_keys(spark.range(1, 40_000, 2), zones, ["id"]).count() < 0.05 * 20_000
+    assert folder_zones(spark, table_path(root, SPEC), folders, ["id"]).bounds.count() == len(folders)
+
+
+def test_merging_into_nothing_and_nothing_into_a_table(spark):
+    root = fresh_path(spark, "root")
+    batch = spark.createDataFrame([(1, "a"), (1, "b"), (None, "n")], "id bigint, name string")
+    assert merge_rows(batch, SPEC, root, ["name"]).rows_written == 2
+    assert merge_rows(batch.limit(0), SPEC, root).written == ()
+    assert rows_of(open_table(spark, root, SPEC)) == [(1, "b"), (None, "n")]
+    with pytest.raises(ValueError):
+        merge_rows(batch, TableSpec("s", "t"), root)
+
+
+def test_a_damaged_pointer_is_an_error(spark):
+    root = fresh_path(spark, "root")
+    copy_table(shuffled(spark, 10), SPEC, NOW, root=root)
+    path = table_path(root, SPEC)
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/current/x/part-0.parquet")
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = system.create(place)
+    out.write(bytearray(b"no parquet"))
+    out.close()
+    with pytest.raises(Exception):
+        copy_table(shuffled(spark, 10), SPEC, NOW, mode="resume", root=root)
