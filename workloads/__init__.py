@@ -9,6 +9,7 @@ from workloads import (  # noqa: F401
     ledger,
     paging,
     reconcile,
+    references,
     streams,
 )
 from workloads.registry import QUERIES, SQL

@@ -169,6 +169,9 @@ SELECT concat('new.', r_name) AS table_key, CAST(r_regionkey AS BIGINT) AS total
 FROM {region}""",
     # Marks of the destinations that can be read; some are empty, some behind the ledger. Every
     # fifth is a destination of something else, so the table's own cannot be read.
+    "part_tree": """
+SELECT p_partkey AS id, CASE WHEN p_partkey >= 2 THEN CAST(floor(p_partkey / 2) AS BIGINT) END AS parent_id
+FROM {part}""",
     "dest_marks": """
 SELECT concat(CASE WHEN user_id % 5 = 0 THEN 'other.t' ELSE 'db.t' END,
               CAST(user_id AS STRING)) AS table_key,

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from tablesync.model import TableSpec
 from tablesync.operators import keyed as K
 from tablesync.plans.copy import copy_table, copy_tables
+from tablesync.plans.merge import merge_rows
 from tablesync.session import fresh_path
 from tablesync.sources.tables import append_rows
 from tablesync.sources.tables import truncate_load as load
 from tablesync.sources.versions import open_table
 from workloads.cleaning import clean_sql
 from workloads.fixtures import RUN_TS, TABLES
-from workloads.registry import query
+from workloads.registry import SQL, query
 
 ORDERS = TableSpec("shop", "orders", ("o_orderkey",))
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -54,6 +55,19 @@ def replace_into(i):
     return K.replace_into(i["li_dest"], i["li_batch"], LINE_KEY, BATCH_ORDER)
 
 
+MERGED = SQL["replace_into"]
+
+
+@query("merge_rows", MERGED)
+def merged(i):
+    """The same into a stored table of ten ranges, of which only those with a key of the batch are written."""
+    spec, root = TableSpec("shop", "items", tuple(LINE_KEY)), fresh_path(i.spark, "merge")
+    dest = i["li_dest"]
+    copy_table(dest, spec, RUN_TS, root=root, rows_per_range=max(1, dest.count() // 10))
+    merge_rows(i["li_batch"], spec, root, BATCH_ORDER)
+    return open_table(i.spark, root, spec)
+
+
 # A batch row survives when none after it shares a key: stated pair by pair here.
 LATER = """EXISTS (SELECT 1 FROM {two_unique_batch} later
     WHERE later.seq > b.seq AND (later.c_custkey = b.c_custkey OR later.c_name = b.c_name))"""
