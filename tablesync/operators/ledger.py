@@ -53,6 +53,7 @@ def fold(events: DataFrame) -> DataFrame:
         F.max(error).alias("last_error"),
         F.max(moved).alias("last_move"),
         F.max(progress).alias("last_progress"),
+        F.max(counted).alias("last_counted"),
         F.max_by("total_rows", counted).alias("counted_rows"),
         F.max_by("last_id", moved).alias("moved_id"),
         F.max_by("processed_rows", progress).alias("progress_rows"),
@@ -63,6 +64,20 @@ def fold(events: DataFrame) -> DataFrame:
     )
 
 
+def merge_folds(parts: DataFrame) -> DataFrame:
+    """What several folds of a table's events add up to; the parts share no event."""
+    totals = [F.sum(c).alias(c) for c in ("starts", "completes", "errors")]
+    latest = ("last_start", "last_complete", "last_error", "last_move", "last_progress", "last_counted")
+    values = {
+        "counted_rows": "last_counted", "moved_id": "last_move", "progress_rows": "last_progress",
+        "error_text": "last_error", "complete_text": "last_complete",
+    }
+    return parts.groupBy(*RUN_TABLE).agg(
+        *totals, F.min("first_start").alias("first_start"), *[F.max(c).alias(c) for c in latest],
+        *[F.max_by(value, at).alias(value) for value, at in values.items()],
+    )
+
+
 def state_of(folded: DataFrame) -> DataFrame:
     """The state of each table from the fold: a value counts if it came late enough."""
     after_first = lambda event, value: F.when(F.col(event) > F.col("first_start"), F.col(value))
@@ -174,10 +189,12 @@ def pending_tables(
     """Per run the tables of the inventory that it has not completed; of all runs or of one.
 
     A run is named by its events; the names, one short row per run, reach the
-    driver and are laid beside each table.
+    driver and are laid beside each table. Before the first event every table is pending, once, without
+    a run.
     """
     if run_id is None:
-        runs = [row["run_id"] for row in events.select("run_id").distinct().collect()]
+        named = events.filter(F.col("run_id").isNotNull()).select("run_id").distinct()
+        runs = [row["run_id"] for row in named.collect()] or [None]
     else:
         runs = [run_id]
     listed = F.explode(F.array(*[F.lit(run) for run in runs]).cast("array<string>"))

@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.operators.clean import sanitize_rows
+from tablesync.operators.clean import sanitize_copied, sanitize_rows
 from tablesync.operators.counts import whole_number
 from tablesync.operators.keyed import replace_into
-from tablesync.operators.ledger import fold, state_of
+from tablesync.operators.ledger import RUN_TABLE, merge_folds, state_of
 from tablesync.operators.skew import latest_per_key
 from tablesync.sources.ledger_store import Ledger
 from tablesync.sources.versions import new_folder
+from tablesync.streaming.levels import BATCH, fold_batches, listed_batches, read_runs
+from tablesync.streaming.state import FOLD_SCHEMA, advancing
 
-BATCH = "stream_batch"
 STREAM = "stream"
 
 
@@ -36,10 +37,11 @@ def write_increments(
     output_mode: str = "append",
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
     after: Callable[[int], None] = lambda batch_id: None,
-) -> None:
+) -> dict | None:
     """Write each micro-batch to its own folder and run until the input is used up.
 
     A replayed micro-batch overwrites its own folder, so it adds nothing twice.
+    Gives what the engine says of the last micro-batch, if there was one.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -54,10 +56,13 @@ def write_increments(
         .start()
     )
     query.awaitTermination()
+    return query.lastProgress
 
 
 def read_increments(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All micro-batches written so far, with their number."""
+    """All micro-batches written so far, with their number; none if no file has arrived yet."""
+    if not listed_batches(spark, path):
+        return read_runs(spark, path, schema, [])
     numbered = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
     return spark.read.schema(numbered).parquet(path)
 
@@ -75,14 +80,17 @@ def stream_copy(
 ) -> DataFrame:
     """Clean and store arriving rows, then replace them into the destination by key.
 
-    A micro-batch stores its last row per key and never rewrites the
-    destination; the destination is folded once, later micro-batches winning,
-    and written to a folder beside the increments. With a ledger each stored
+    A micro-batch stores its last row per key, keys as they are, and never
+    rewrites the destination; the destination is folded once, later micro-batches winning,
+    and written to a folder beside the increments. Micro-batches are merged by
+    size, so a call reads about as many folders as the logarithm of their number. As long as no file has
+    arrived the result is the destination. With a ledger each stored
     micro-batch adds its own rows to the progress, a replayed one nothing; the
     table is complete once its folder is written, and an error is recorded.
     """
     spark = dest.sparkSession
-    schema = sanitize_rows(stream, run_ts).schema
+    schema = sanitize_copied(stream, run_ts, keys).schema
+    last = lambda rows: latest_per_key(rows, keys, [BATCH, *order_cols])
     try:
         if ledger:
             ledger.record(table_key, "start", message=STREAM)
@@ -90,11 +98,11 @@ def stream_copy(
             stream,
             path,
             checkpoint,
-            prepare=lambda batch: sanitize_rows(latest_per_key(batch, keys, order_cols), run_ts),
+            prepare=lambda batch: sanitize_copied(latest_per_key(batch, keys, order_cols), run_ts, keys),
             after=_progress(spark, path, schema, keys, ledger, table_key) if ledger else lambda n: None,
         )
-        arrived = read_increments(spark, path, schema)
-        latest = latest_per_key(arrived, keys, [BATCH, *order_cols])
+        runs = fold_batches(spark, path, schema, last)
+        latest = last(read_runs(spark, path, schema, runs))
         folder = new_folder(path.rstrip("/") + "-folded")
         replace_into(dest, latest.select(*dest.columns), keys).write.parquet(folder)
     except Exception as error:
@@ -147,10 +155,13 @@ def stream_sanitize(
 def stream_ledger(events: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Current state of each table from ledger events as they arrive.
 
-    The state kept is one row per run and table; a micro-batch writes only
-    the rows it changed.
+    The engine keeps what the events of each open table add up to and drops it
+    when the table is completed; a micro-batch writes only the tables it changed. What
+    belongs to a table that goes on after that is added up when it is read.
     """
-    folded = fold(events)
-    write_increments(folded, path, checkpoint, output_mode="update")
-    arrived = read_increments(events.sparkSession, path, folded.schema)
-    return state_of(latest_per_key(arrived, ["run_id", "table_key"], [BATCH]))
+    spark = events.sparkSession
+    schema = T.StructType.fromDDL(FOLD_SCHEMA)
+    last = lambda rows: latest_per_key(rows, [*RUN_TABLE, "epoch"], [BATCH])
+    write_increments(advancing(events), path, checkpoint, output_mode="update")
+    runs = fold_batches(spark, path, schema, last)
+    return state_of(merge_folds(last(read_runs(spark, path, schema, runs))))
