@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+import threading
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,8 +18,8 @@ from tablesync.operators.counts import mark_value, whole_number
 from tablesync.operators.keyed import replace_into
 from tablesync.operators.paging import batch_plan, keyset_filter
 from tablesync.operators.reconcile import count_check
-from tablesync.plans.side_by_side import side_by_side
-from tablesync.session import fresh_path, scratch_space
+from tablesync.plans.work_queue import Piece, WorkQueue
+from tablesync.session import fresh_path, remove_folder
 from tablesync.sources.ledger_store import Ledger
 from tablesync.sources.versions import current_folders, new_folder, publish, table_path
 from tablesync.sources.zones import clustered, file_count, key_range, sorted_zones, zone_map
@@ -62,6 +64,13 @@ def finished_copy(spark: SparkSession, locations: tuple[str, ...]) -> CopyResult
     return CopyResult(locations, finished, finished.count(), None, skipped=True)
 
 
+def guessed_rows(df: DataFrame) -> int:
+    """About how many rows a frame has, from what the plan says of its bytes; nothing is read."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    width = sum(20 if kind in ("string", "binary") else 8 for _, kind in df.dtypes)
+    return min(size // max(1, width), 1 << 60)
+
+
 def rows_to_write(
     source: DataFrame, dest: DataFrame | None, keys: list[str], run_ts: datetime
 ) -> DataFrame:
@@ -148,136 +157,164 @@ def copy_table(
     return _copy(source, spec, run_ts, locations, mode, ledger, source_rows, root, rows_per_range)
 
 
-def _copy(
-    source: DataFrame,
-    spec: TableSpec,
-    run_ts: datetime,
-    locations: Sequence[str],
-    mode: str,
-    ledger: Ledger | None,
-    source_rows: int | None,
-    root: str | None,
-    rows_per_range: int | None,
-) -> CopyResult:
-    spark, keys = source.sparkSession, list(spec.keys)
-    before = unfinished(ledger, spec, mode)
-    total = source.count() if source_rows is None else source_rows
-    if ledger:
-        ledger.record(spec.table_key, "start", total_rows=total, message=mode)
-    path = table_path(root, spec) if root else fresh_path(spark, spec.table_key)
-    try:
-        there = tuple(locations or (current_folders(spark, path) if root else ()))
-        by_key = bool(there and keys and total)
-        dest = spark.read.parquet(*there) if by_key else None
-        with scratch_space(spark):
-            written, odd_keys = _write_ranges(
-                source, dest, spec, run_ts, mode, ledger, path, before, rows_per_range, total
-            )
-        placed = (*there, *written) if by_key and mode == "resume" else written
-        result = spark.read.parquet(*placed)
-        copied = result.count()
-        if root:
-            publish(spark, path, placed)
-    except Exception as error:
-        if ledger:
-            ledger.record(spec.table_key, "error", message=str(error))
-        raise
-    if ledger:
-        ledger.record(spec.table_key, "complete", message="\n".join(placed))
-    now = source.count() if source_rows is None else total
-    lost = source_rows is None and now == total and copied < now
-    counts = "table_name string, total_records bigint"
-    verdict = count_check(
-        spark.createDataFrame([(spec.table_key, now)], counts),
-        spark.createDataFrame([(spec.table_key, copied)], counts),
-        **({"floor": 0, "rate": 0.0} if lost else {}),
-    )
-    return CopyResult(placed, result, copied, verdict, odd_keys=odd_keys)
+class TableCopy:
+    """One table's copy as a job: opened, written in ranges side by side, then finished.
 
+    Ranges are recorded in the ledger in key order, each once all before it are
+    there, so what an interrupted copy has recorded is always the beginning of the table.
+    """
 
-def _write_ranges(
-    source: DataFrame,
-    dest: DataFrame | None,
-    spec: TableSpec,
-    run_ts: datetime,
-    mode: str,
-    ledger: Ledger | None,
-    path: str,
-    before: Attempt,
-    rows_per_range: int | None,
-    total: int,
-) -> tuple[tuple[str, ...], int]:
-    """Write what is missing, range by range; the folders of all ranges, and odd keys written now."""
-    if before.all_written:
-        return before.folders, 0
-    spark, keys = source.sparkSession, list(spec.keys)
-    folders, done, odd = list(before.folders), before.rows, 0
-    if dest is not None and mode == "resume":
-        source = keyset_filter(source.select(*dest.columns), keys, mark_value(dest, keys))
-        done = done or dest.count()
-    replaced = dest if mode == "full" else None
-    # Keys are written as they are at the source, so the largest one written is the mark.
-    after = mark_value(spark.read.parquet(*folders), keys) if folders else None
-    for upto, part, old in _parts(source, replaced, spec, after, rows_per_range, total):
+    def __init__(
+        self, source: DataFrame, spec: TableSpec, run_ts: datetime, locations: Sequence[str], mode: str,
+        ledger: Ledger | None, source_rows: int | None, root: str | None, rows_per_range: int | None,
+    ):
+        self.source, self.spec, self.run_ts, self.locations = source, spec, run_ts, tuple(locations)
+        self.mode, self.ledger, self.source_rows = mode, ledger, source_rows
+        self.root, self.rows_per_range = root, rows_per_range
+        self.name, self.rows = spec.table_key, 0
+        self.spark, self.keys = source.sparkSession, list(spec.keys)
+        self.scratch: list[str] = []
+        self.started = False
+        self.lock = threading.Lock()
+
+    def open(self) -> list[Piece]:
+        """Find out what is there and what is missing; the ranges to write."""
+        spark, spec, mode = self.spark, self.spec, self.mode
+        before = unfinished(self.ledger, spec, mode)
+        self.total = self.source.count() if self.source_rows is None else self.source_rows
+        if self.ledger and not self.started:
+            self.ledger.record(spec.table_key, "start", total_rows=self.total, message=mode)
+        self.started = True
+        self.path = table_path(self.root, spec) if self.root else fresh_path(spark, spec.table_key)
+        self.there = self.locations or (current_folders(spark, self.path) if self.root else ())
+        self.by_key = bool(self.there and self.keys and self.total)
+        self.written, self.recorded, self.done, self.odd = [], 0, before.rows, 0
+        self.folders = list(before.folders)
+        if before.all_written:
+            return []
+        source, replaced = self.source, None
+        if self.by_key:
+            dest = spark.read.parquet(*self.there)
+            if mode == "resume":
+                source = keyset_filter(source.select(*dest.columns), self.keys, mark_value(dest, self.keys))
+                self.done = self.done or dest.count()
+            else:
+                replaced = dest
+        # Keys are written as they are at the source, so the largest one written is the mark.
+        after = mark_value(spark.read.parquet(*self.folders), self.keys) if self.folders else None
+        parts = self._parts(source, replaced, after)
+        self.written = [None] * len(parts)
+        rows = max(1, self.total // len(parts))
+        return [Piece(rows, partial(self._write, number, *part)) for number, part in enumerate(parts)]
+
+    def _scratch(self) -> str:
+        self.scratch.append(fresh_path(self.spark, f"{self.spec.table_key}-sorted"))
+        return self.scratch[-1]
+
+    def _parts(self, source: DataFrame, replaced: DataFrame | None, after: tuple | None) -> list[tuple]:
+        """The ranges after a key, each with its last key, its source rows and those they replace."""
+        keys, rows_per_range = self.keys, self.rows_per_range
+        source = keyset_filter(source, keys, after)
+        if not keys or not rows_per_range or self.total <= rows_per_range:
+            return [(None, source, None if replaced is None else keyset_filter(replaced, keys, after))]
+        files = file_count(self.total, -(-self.total // rows_per_range))
+        try:
+            arriving = sorted_zones(source, keys, self._scratch(), files)
+        except PySparkException:
+            # Some row cannot be read. The ranges before it are copied all the same, each read by itself.
+            return _parts_one_by_one(source, replaced, keys, after, rows_per_range)
+        ends, there = arriving.range_ends(rows_per_range), None
+        if replaced is not None:
+            there = zone_map(replaced, keys)
+            there = clustered(there, ends, self._scratch(), file_count(there.rows, len(ends)))
+        return [
+            (upto, arriving.read(low, upto), None if there is None else there.read(low, upto))
+            for low, upto in zip([after, *ends[:-1]], ends)
+        ]
+
+    def _write(self, number: int, upto: tuple | None, part: DataFrame, old: DataFrame | None) -> None:
         seen = Observation()
         measures = [F.count(F.lit(1)).alias("rows")]
-        if keys:
-            measures += [F.max(F.col(keys[0])).alias("mark"),
-                         F.count_if(odd_key(part.schema, keys, run_ts)).alias("odd")]
-        folder = new_folder(path, "range")
-        rows_to_write(part, old, keys, run_ts).observe(seen, *measures).write.parquet(folder)
-        folders.append(folder)
-        done += seen.get["rows"]
-        odd += seen.get.get("odd", 0)
-        if ledger:
-            end = "\nend" if upto is None else ""
-            ledger.record(
-                spec.table_key, "progress", last_id=whole_number(seen.get.get("mark")),
-                processed_rows=done, message=folder + end,
+        if self.keys:
+            measures += [F.max(F.col(self.keys[0])).alias("mark"),
+                         F.count_if(odd_key(part.schema, self.keys, self.run_ts)).alias("odd")]
+        folder = new_folder(self.path, "range")
+        rows_to_write(part, old, self.keys, self.run_ts).observe(seen, *measures).write.parquet(folder)
+        with self.lock:
+            self.written[number] = folder, seen.get, upto is None
+            while self.recorded < len(self.written) and self.written[self.recorded]:
+                self._record(*self.written[self.recorded])
+                self.recorded += 1
+
+    def _record(self, folder: str, seen: dict, last: bool) -> None:
+        self.folders.append(folder)
+        self.done += seen["rows"]
+        self.odd += seen.get("odd", 0)
+        if self.ledger:
+            self.ledger.record(
+                self.spec.table_key, "progress", last_id=whole_number(seen.get("mark")),
+                processed_rows=self.done, message=folder + ("\nend" if last else ""),
             )
-    return tuple(folders), odd
-
-
-def _parts(
-    source: DataFrame, replaced: DataFrame | None, spec: TableSpec, after: tuple | None,
-    rows_per_range: int | None, total: int,
-) -> Iterator[tuple[tuple | None, DataFrame, DataFrame | None]]:
-    """The ranges after a key, each with its last key, its source rows and those they replace."""
-    keys = list(spec.keys)
-    source = keyset_filter(source, keys, after)
-    if not keys or not rows_per_range or total <= rows_per_range:
-        yield None, source, None if replaced is None else keyset_filter(replaced, keys, after)
-        return
-    label = f"{spec.table_key}-sorted"
-    files = file_count(total, -(-total // rows_per_range))
+
+    def finish(self) -> CopyResult:
+        """Point the table to its folders and compare the counts."""
+        spark, spec = self.spark, self.spec
+        placed = tuple(self.folders)
+        if self.by_key and self.mode == "resume":
+            placed = (*self.there, *placed)
+        result = spark.read.parquet(*placed)
+        copied = result.count()
+        if self.root:
+            publish(spark, self.path, placed)
+        if self.ledger:
+            self.ledger.record(spec.table_key, "complete", message="\n".join(placed))
+        now = self.source.count() if self.source_rows is None else self.total
+        lost = self.source_rows is None and now == self.total and copied < now
+        counts = "table_name string, total_records bigint"
+        verdict = count_check(
+            spark.createDataFrame([(spec.table_key, now)], counts),
+            spark.createDataFrame([(spec.table_key, copied)], counts),
+            **({"floor": 0, "rate": 0.0} if lost else {}),
+        )
+        self._clear()
+        return CopyResult(placed, result, copied, verdict, odd_keys=self.odd)
+
+    def fail(self, error: Exception) -> None:
+        self._clear()
+        if self.ledger:
+            self.ledger.record(self.spec.table_key, "error", message=str(error))
+
+    def _clear(self) -> None:
+        for path in self.scratch:
+            remove_folder(self.spark, path)
+        self.scratch.clear()
+
+
+def _copy(*options) -> CopyResult:
+    """A table by itself: its ranges one after the other, and nothing is tried twice."""
+    job = TableCopy(*options)
     try:
-        arriving = sorted_zones(source, keys, fresh_path(source.sparkSession, label), files)
-    except PySparkException:
-        # Some row cannot be read. The ranges before it are copied all the same, each read by itself.
-        yield from _parts_one_by_one(source, replaced, keys, after, rows_per_range)
-        return
-    ends = arriving.range_ends(rows_per_range)
-    there = None
-    if replaced is not None:
-        there = zone_map(replaced, keys)
-        files = file_count(there.rows, len(ends))
-        there = clustered(there, ends, fresh_path(source.sparkSession, label), files)
-    for upto in ends:
-        yield upto, arriving.read(after, upto), None if there is None else there.read(after, upto)
-        after = upto
+        for piece in job.open():
+            piece.run()
+        return job.finish()
+    except Exception as error:
+        job.fail(error)
+        raise
 
 
 def _parts_one_by_one(
     source: DataFrame, replaced: DataFrame | None, keys: list[str], after: tuple | None,
     rows_per_range: int,
-) -> Iterator[tuple[tuple | None, DataFrame, DataFrame | None]]:
+) -> list[tuple]:
     """The same ranges, found from the keys alone; every range is a pass over the source."""
     plan = batch_plan(source.select(*keys), keys, rows_per_range)
     lasts = plan.orderBy("batch_id").select(*[f"last_{k}" for k in keys]).collect()
-    for upto in [*(tuple(row) for row in lasts[:-1]), None]:
-        old = None if replaced is None else key_range(replaced, keys, after, upto)
-        yield upto, key_range(source, keys, after, upto), old
-        after = upto
+    ends = [*(tuple(row) for row in lasts[:-1]), None]
+    return [
+        (upto, key_range(source, keys, low, upto),
+         None if replaced is None else key_range(replaced, keys, low, upto))
+        for low, upto in zip([after, *ends[:-1]], ends)
+    ]
 
 
 def copy_tables(
@@ -290,11 +327,15 @@ def copy_tables(
     ledger: Ledger | None = None,
     root: str | None = None,
     rows_per_range: int | None = None,
+    attempts: int = 3,
+    wait: float = 1.0,
 ) -> tuple[DataFrame, dict[TableSpec, CopyResult]]:
     """Copy tables side by side; one that fails does not stop the others.
 
     Each table is a set of ordinary Spark jobs in its own fair pool, copied as
-    by ``copy_table``. Returns a report with one row per table, and the results
+    by ``copy_table``. ``workers`` tables or ranges run at a time, those of the table
+    that is expected to need longest first; what fails is tried ``attempts`` times, ``wait`` seconds
+    and more apart. Returns a report with one row per table, and the results
     of those that succeeded.
     """
     locations = locations or {}
@@ -306,13 +347,17 @@ def copy_tables(
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     done = completed_locations(ledger, specs)
 
-    def copy_one(spec: TableSpec) -> CopyResult:
-        if spec.table_key in done:
-            return finished_copy(spark, done[spec.table_key])
-        return _copy(sources[spec], spec, run_ts, locations.get(spec, ()), mode, ledger, None,
-                     root, rows_per_range)
-
-    outcomes = side_by_side(spark, copy_one, specs, workers, lambda spec: spec.table_key)
+    waiting = [s for s in specs if s.table_key not in done]
+    jobs = [
+        TableCopy(sources[spec], spec, run_ts, locations.get(spec, ()), mode, ledger, None, root, rows_per_range)
+        for spec in waiting
+    ]
+    for job in jobs:
+        job.rows = guessed_rows(job.source)
+    found = dict(zip(waiting, WorkQueue(spark, workers, attempts, wait).run(jobs)))
+    outcomes = [
+        found[s] if s in found else finished_copy(spark, done[s.table_key]) for s in specs
+    ]
     if ledger:
         ledger.tidy()
     results: dict[TableSpec, CopyResult] = {}
