@@ -169,6 +169,16 @@ SELECT concat('new.', r_name) AS table_key, CAST(r_regionkey AS BIGINT) AS total
 FROM {region}""",
     # Marks of the destinations that can be read; some are empty, some behind the ledger. Every
     # fifth is a destination of something else, so the table's own cannot be read.
+    # Orders, and a copy that lost, doubled and changed some and holds some that are gone.
+    "orders_seen": """
+SELECT o_orderkey, o_custkey, o_totalprice FROM {orders}""",
+    "orders_copied": """
+SELECT CASE WHEN o_orderkey % 503 = 11 THEN o_orderkey + 1000000000000 ELSE o_orderkey END AS o_orderkey,
+       CASE WHEN o_orderkey % 499 = 7 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey, o_totalprice
+FROM {orders} WHERE o_orderkey % 501 <> 5
+UNION ALL
+SELECT o_orderkey, o_custkey, o_totalprice FROM {orders} WHERE o_orderkey % 507 = 3 AND o_orderkey % 501 <> 5
+  AND o_orderkey % 499 <> 7 AND o_orderkey % 503 <> 11""",
     "part_tree": """
 SELECT p_partkey AS id, CASE WHEN p_partkey >= 2 THEN CAST(floor(p_partkey / 2) AS BIGINT) END AS parent_id
 FROM {part}""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tablesync.operators import differences as D
 from tablesync.operators import reconcile as R
 from workloads.registry import query
 
@@ -71,3 +72,31 @@ SELECT run_id, table_key, min(ts) AS first_ts, max(ts) AS last_ts,
 FROM {ledger_events} GROUP BY run_id, table_key""")
 def run_duration(i):
     return R.run_duration(i["ledger_events"])
+
+
+DIFFERENT = """
+SELECT {columns} FROM (
+  SELECT o_orderkey, count(*) FILTER (WHERE side = 's') AS src_rows,
+         count(*) FILTER (WHERE side = 'd') AS dest_rows, count(DISTINCT body) AS bodies
+  FROM (SELECT o_orderkey, 's' AS side, o_custkey || '/' || o_totalprice AS body FROM {{orders_seen}}
+        UNION ALL
+        SELECT o_orderkey, 'd', o_custkey || '/' || o_totalprice FROM {{orders_copied}})
+  GROUP BY o_orderkey
+) WHERE src_rows <> dest_rows OR bodies > 1"""
+
+
+@query("row_differences", DIFFERENT.format(columns="""o_orderkey, src_rows, dest_rows,
+  CASE WHEN dest_rows = 0 THEN 'missing' WHEN src_rows = 0 THEN 'extra' WHEN dest_rows < src_rows THEN 'lost'
+       WHEN dest_rows > src_rows THEN 'doubled' ELSE 'changed' END AS kind"""))
+def row_differences(i):
+    """Rows that a copy lost, doubled, changed or kept although they are gone, found by checksums."""
+    return D.row_differences(i["orders_seen"], i["orders_copied"], ["o_orderkey"], leaf_rows=200)
+
+
+@query("differing_ranges", DIFFERENT.format(
+    columns='o_orderkey AS "first", o_orderkey AS "last", src_rows, dest_rows'))
+def differing_ranges(i):
+    """The same cut down to ranges of one key each."""
+    return D.differing_ranges(
+        i["orders_seen"], i["orders_copied"], ["o_orderkey"], fan=16, leaf_rows=1
+    )
