@@ -44,6 +44,12 @@ def added_tokens(tokenizer_path: str) -> dict[str, int]:
     return {token.content: id_ for id_, token in known.items()}
 
 
+def may_hold_long_blanks(text: str) -> bool:
+    """Whether two marks 2,048 characters apart are both blank, as within any run of 4,096."""
+    marks = text[::2048]
+    return any(a.isspace() and b.isspace() for a, b in zip(marks, marks[1:]))
+
+
 class Encoder:
     """Token ids of a byte-level BPE, as little-endian 32-bit numbers.
 
@@ -66,19 +72,7 @@ class Encoder:
         self.cut = re.compile(f"({'|'.join(longest_first)})") if self.added else None
 
     def fresh(self, text: str) -> bytes:
-        """Ids of a text; a long run of white space is one piece that no pattern has to find.
-
-        The last blank before a visible character is a piece of its own or
-        belongs to what follows.
-        """
-        out, at = [], 0
-        for run in _LONG_BLANKS.finditer(text):
-            end = run.end() if run.end() == len(text) else run.end() - 1
-            out += self.bpe.encode_ordinary(text[at:run.start()])
-            out += self.bpe._encode_single_piece(text[run.start():end])
-            at = end
-        out += self.bpe.encode_ordinary(text[at:])
-        return np.array(out, "<u4").tobytes()
+        return np.array(self.bpe.encode_ordinary(text), "<u4").tobytes()
 
     def _later(self, piece: str) -> bytes:
         """The ids of a piece behind a space."""
@@ -98,6 +92,23 @@ class Encoder:
         )
 
     def _ordinary(self, text: str) -> bytes:
+        """Ids of a text without added tokens.
+
+        A long run of white space is one piece, which no pattern has to find; the
+        last blank before a visible character is a piece of its own or
+        belongs to what follows.
+        """
+        if not may_hold_long_blanks(text):
+            return self._in_pieces(text)
+        out, at = [], 0
+        for run in _LONG_BLANKS.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            out.append(self._in_pieces(text[at:run.start()]))
+            out.append(np.array(self.bpe._encode_single_piece(text[run.start():end]), "<u4").tobytes())
+            at = end
+        return b"".join(out) + self._in_pieces(text[at:])
+
+    def _in_pieces(self, text: str) -> bytes:
         if not text:
             return b""
         if _BLANKS.search(text):

@@ -10,7 +10,7 @@ decides anything.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +18,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import file_system, fresh_path, slices, stage
+from tablesync.llm.common import file_system, fresh_path, qualified, slices, stage
 
 _INDEX = pa.schema([("digest", pa.uint64()), ("rule", pa.string()), ("verdict", pa.string())])
 _RESULT = "id {id}, host string, path string, rule string, verdict string"
+_RULES_PER_FILE = 1_000_000
 
 
 def split_url(url: str | None) -> tuple[str, str]:
@@ -40,15 +41,17 @@ def _digests(keys: list[str]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(k) for k in keys), np.uint64, len(keys))
 
 
-def build_index(rules: DataFrame, shards: int = 1) -> DataFrame:
+def build_index(rules: DataFrame, shards: int | None = None) -> DataFrame:
     """Write ``rules`` (host, path, verdict) as digest arrays.
 
-    Returns one row per file: path, first and last digest. Rules that are given
+    Returns one row per file: path, first and last digest. There are ``shards`` files, by default one
+    for every million rules. Rules that are given
     twice are stored once; of one rule with both verdicts, ``block`` stays.
     Rules without a host or a verdict are no rules; a null path is empty.
     """
     spark = rules.sparkSession
-    target = fresh_path(spark, "url-index")
+    target = qualified(spark, fresh_path(spark, "url-index"))
+    shards = shards or -(-rules.count() // _RULES_PER_FILE) or 1
     keyed = (
         rules.where(F.col("host").isNotNull() & F.col("verdict").isNotNull())
         .groupBy(F.concat("host", F.coalesce("path", F.lit(""))).alias("rule"))
@@ -103,13 +106,26 @@ def _open(path: str) -> tuple[np.ndarray, pa.Table]:
     return stored.column("digest").to_numpy(), stored
 
 
-def _probe(keys: list[str], files: list[tuple[np.ndarray, pa.Table]]) -> dict[str, str]:
+class _Index:
+    """The files of an index, each opened once a digest within its bounds is asked for."""
+
+    def __init__(self, files: list[tuple[str, int, int]]):
+        self.files, self.opened = files, {}
+
+    def holding(self, wanted: np.ndarray) -> Iterator[tuple[np.ndarray, pa.Table]]:
+        for path, first, last in self.files:
+            if not ((wanted >= np.uint64(first)) & (wanted <= np.uint64(last))).any():
+                continue
+            if path not in self.opened:
+                self.opened[path] = _open(path)
+            yield self.opened[path]
+
+
+def _probe(keys: list[str], files: Iterable[tuple[np.ndarray, pa.Table]]) -> dict[str, str]:
     """The stored rules among ``keys``, with their verdicts."""
     found: dict[str, str] = {}
     wanted = _digests(keys)
     for digests, stored in files:
-        if not len(digests):
-            continue
         at = np.searchsorted(digests, wanted)
         for i in np.flatnonzero(digests[np.minimum(at, len(digests) - 1)] == wanted):
             k = int(at[i])
@@ -132,7 +148,7 @@ def _candidates(host: str, path: str, lengths: list[int]) -> list[str]:
 
 def judge_urls(
     pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
-    default: str = "allow", shards: int = 1,
+    default: str = "allow", shards: int | None = None,
 ) -> DataFrame:
     """Host, path, the rule that decides, and the verdict for every URL.
 
@@ -149,18 +165,19 @@ def judge_urls(
     """
     index = build_index(rules, shards)
     # One short row per file and one number per path length: both bounded by their parameters.
-    files = [row["file"] for row in index.orderBy(F.length("first"), "first").collect()]
+    files = sorted((row["file"], int(row["first"]), int(row["last"])) for row in index.collect())
     lengths = sorted(
         row["n"] for row in rules.where(F.col("host").isNotNull() & F.col("verdict").isNotNull())
         .select(F.char_length(F.coalesce("path", F.lit(""))).alias("n")).distinct().collect()
     )
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened = [_open(path) for path in files]
+        opened = _Index(files)
         for batch in slices(batches, 4096):
             parts = [split_url(url) for url in batch.column("url").to_pylist()]
             wanted = [_candidates(host, path, lengths) for host, path in parts]
-            hits = _probe(list(dict.fromkeys(k for keys in wanted for k in keys)), opened)
+            asked = list(dict.fromkeys(k for keys in wanted for k in keys))
+            hits = _probe(asked, opened.holding(_digests(asked)))
             chosen = [next((k for k in keys if k in hits), None) for keys in wanted]
             yield pa.RecordBatch.from_arrays([
                 batch.column("id"),

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import file_system, fresh_path, slices, stage
+from tablesync.llm.common import file_system, fresh_path, qualified, slices, stage
 
 # Fixed values of the archive format.
 MAGIC = b"\x1f\x8b\x08"
@@ -126,19 +126,30 @@ class Members:
                 found = chunk.find(MAGIC, found + 1)
             at += _CHUNK
 
-    def owned(self, begin: int, end: int) -> Iterator[tuple[int, bytes]]:
-        """The records that start in a range. What cannot be inflated is passed over."""
+    def owned(self, begin: int, end: int, strict: bool = False) -> Iterator[tuple[int, bytes]]:
+        """The records that start in a range.
+
+        What cannot be inflated is passed over, or an error if ``strict``: members
+        follow each other without gaps, so whoever owns a record also looks whether the next one
+        can be read, and the first one must begin the archive.
+        """
         place = begin
         while place < end:
             for candidate in self.search(place, end):
                 if member := self.inflate(candidate):
                     break
             else:
+                candidate = None
+            if strict and place == 0 and candidate != 0:
+                raise ValueError("damaged member at byte 0")
+            if candidate is None:
                 return
-            while member:  # members follow each other without gaps
+            while member:
                 yield candidate, member[0]
                 candidate = place = member[1]
                 member = self.inflate(place) if place < min(end, self.size) else None
+            if strict and place < self.size and (place < end or not self.inflate(place)):
+                raise ValueError(f"damaged member at byte {place}")
 
 
 def mark_revisits(
@@ -214,7 +225,7 @@ def write_archives(
 
 
 def read_archives(
-    spark: SparkSession, archives: DataFrame, *, range_bytes: int = 32 << 20
+    spark: SparkSession, archives: DataFrame, *, range_bytes: int = 32 << 20, strict: bool = False
 ) -> DataFrame:
     """All records of the archives listed in ``archives`` (archive, bytes).
 
@@ -222,7 +233,8 @@ def read_archives(
     Columns: archive, position, record_type, record_id, refers_to, url,
     payload_bytes, payload_digest (bare lower-case hex SHA-1; of the payload
     itself for a response, as recorded for other types) and payload (null unless
-    a response). A damaged member is passed over. No archives give no rows; a
+    a response). A damaged member is passed over; with ``strict`` it is an error that names its
+    archive and place, so that no record is lost unseen. No archives give no rows; a
     member that is itself a whole archive stored uncompressed inside a record
     cannot be told from a record where a range starts within it.
     """
@@ -245,7 +257,8 @@ def read_archives(
                 with system.open_input_file(path) as source:
                     rows, held = [], 0
                     end = min(row["begin"] + range_bytes, row["bytes"])
-                    for position, plain in Members(source, row["bytes"]).owned(row["begin"], end):
+                    members = Members(source, row["bytes"])
+                    for position, plain in members.owned(row["begin"], end, strict):
                         rows.append({"archive": row["archive"], "position": position} | parse(plain))
                         held += len(plain)
                         if held >= 4 << 20:
@@ -267,12 +280,14 @@ def archive_round_trip(pages: DataFrame, *, least_bytes: int = 1000, range_bytes
     page_id of the response, for revisits), url and payload. One row per page;
     null ids and repeated rows are written like others (see ``mark_revisits``),
     null payloads as empty ones, null URLs without the header. Ids are whole
-    numbers. Extra columns are not looked at. No pages give no rows.
+    numbers. Extra columns are not looked at. No pages give no rows. A record is
+    built and read as a whole: a task needs room for a few copies of the longest payload. An archive
+    that cannot be read from end to end is an error.
     """
     spark = pages.sparkSession
-    target = fresh_path(spark, "warc")
+    target = qualified(spark, fresh_path(spark, "warc"))
     archives = write_archives(mark_revisits(pages, least_bytes=least_bytes, **columns), target)
-    records = read_archives(spark, archives, range_bytes=range_bytes)
+    records = read_archives(spark, archives, range_bytes=range_bytes, strict=True)
 
     def number(column: str) -> F.Column:
         text = F.regexp_extract(column, "^urn:page:(-?[0-9]+)$", 1)

@@ -51,6 +51,52 @@ def test_sample_bytes_bound_the_dictionaries(spark, sf_dir, monkeypatch):
     assert models[0].good != models[1].good and models[0].bad != models[1].bad
 
 
+def plain_size(text: bytes, dictionary: bytes) -> int:
+    data = cq.zstandard.ZstdCompressionDict(dictionary)
+    tool = cq.zstandard.ZstdCompressor(dict_data=data, level=3)
+    return sum(len(tool.compress(text[at:at + 256])) for at in range(0, len(text), 256))
+
+
+def plain_inputs(text: str | None, good: bytes, bad: bytes) -> list[float]:
+    data = (text or "").encode()
+    a, b = plain_size(data, good), plain_size(data, bad)
+    return [(b - a) / (a + b) if a + b else 0.0, 1 / (1 + len(data) / 64), 1.0]
+
+
+def test_scores_worked_out_plainly(spark):
+    """Sample, dictionaries, curve and scores, row by row from what the docstrings say."""
+    F, sf_dir = queries.F, "/root/testdata/sf0.01"
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~queries.held_out())
+    part = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(4)).alias("part")
+    chosen = sorted((r["hash"], r["doc_id"], r["quality"], r["part"]) for r in labels.select(
+        "doc_id", "quality", F.xxhash64("doc_id").alias("hash"), part).collect())[:200]
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    pieces, points = {0: [], 1: []}, []
+    for _, doc, quality, number in chosen:
+        if doc not in texts:
+            continue
+        text = texts[doc] or ""
+        if number == 0:
+            points.append((text, quality))
+            continue
+        step = max(1024, -(-len(text) // 16))
+        pieces[quality] += [text[at:at + 1024].encode() for at in range(0, len(text), step)]
+    bad, good = (cq.zstandard.train_dictionary(1 << 16, sorted(pieces[q])).as_bytes() for q in (0, 1))
+    model = cq.train(docs, labels, sample_rows=200)
+    assert (model.good, model.bad) == (good, bad)
+    # The curve: no small change of a weight makes the labels likelier under the prior.
+    rows, y = np.array([plain_inputs(t, good, bad) for t, _ in points]), np.array([q for _, q in points])
+    weights = np.array(model.weights)
+    gradient = rows.T @ (y - 1 / (1 + np.exp(-rows @ weights))) - np.array([1e-3, 1e-1, 1e-2]) * weights
+    assert np.abs(gradient).max() < 1e-6
+    got = {r["doc_id"]: r for r in cq.score_quality(docs, labels, sample_rows=200).collect()}
+    assert set(got) == set(texts)
+    for doc, text in texts.items():
+        score = 1 / (1 + np.exp(-np.array(plain_inputs(text, good, bad)) @ weights))
+        assert abs(got[doc]["score"] - score) < 1e-12 and got[doc]["predicted"] == int(score >= 0.7)
+
+
 def test_curve_fits_probabilities():
     rng = np.random.default_rng(1)
     x = rng.normal(size=20_000)

@@ -2,6 +2,7 @@
 
 import os
 import random
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -106,6 +107,23 @@ def test_odd_rows(spark):
     assert sum(r["length"] for r in twice) == 6
 
 
+def test_the_query_finds_added_tokens(spark, tmp_path):
+    """Through the registered query and the last stage of the pipeline."""
+    import corpus_pipeline
+    from tablesync.llm.queries import QUERIES
+
+    rows = [(1, f"a{END}b", "en", "s", 1), (2, "\n" * 1_000_000 + "x", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    wanted = {n: ids_of(text) + [1] for n, text, *_ in rows}
+    assert 50256 in wanted[1] and len(wanted[2]) > 1000
+    check(corpus_pipeline.pack(spark, docs, "").collect(), wanted, 2048)
+    got = {(r["doc_id"], r["start"]): (r["length"], r["ids_crc32"])
+           for r in QUERIES["op3_packing"](spark, str(tmp_path)).collect()}
+    for (doc, start), (length, crc) in got.items():
+        assert crc == zlib.crc32(np.array(wanted[doc][start:start + length], "<u4").tobytes())
+
+
 def test_best_fit_against_a_plain_search():
     rng = random.Random(5)
     for _ in range(200):

@@ -118,6 +118,58 @@ def test_steps_go_on_until_the_half_stays(spark):
     assert np.allclose(distance, again, rtol=0.01)
 
 
+def plain_middle(values: np.ndarray) -> int:
+    """The smallest value that at least half of all values do not exceed."""
+    ordered = np.sort(values)
+    return int(ordered[(len(ordered) + 1) // 2 - 1])
+
+
+def plain_distances(units: np.ndarray) -> tuple[np.ndarray, int]:
+    """One group's squared distances: start, steps until the determinant falls no more, scale."""
+    size, floors = len(rr.VECTOR), np.array(list(rr.VECTOR.values()))
+    middle = np.array([plain_middle(units[:, k]) for k in range(size)])
+    spread = np.array([1.4826 * plain_middle(np.abs(units[:, k] - middle[k])) / 1024 for k in range(size)])
+    centre, precision = middle / 1024, np.diag(1 / np.maximum(spread, floors) ** 2)
+    volume, steps = np.inf, 0
+
+    def ranks():
+        gaps = units / 1024 - centre
+        d = np.einsum("ij,jk,ik->i", gaps, precision, gaps)
+        return d, np.rint(1000 * np.log(1e-6 + np.maximum(d, 0))).astype(int)
+
+    while True:
+        _, rank = ranks()
+        half = units[rank <= plain_middle(rank)]
+        cov = np.cov(half.T / 1024, bias=True).reshape(size, size) + np.diag(floors**2)
+        found, steps = np.linalg.slogdet(cov)[1], steps + 1
+        if not found < volume - 1e-12:
+            break
+        centre, precision, volume = half.mean(axis=0) / 1024, np.linalg.inv(cov), found
+    d, rank = ranks()
+    scale = (np.exp(plain_middle(rank) / 1000) - 1e-6) / rr.chi_square(0.5, size)
+    return d / max(scale, 1.0), steps
+
+
+def test_verdicts_worked_out_plainly(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    got = {r["doc_id"]: r for r in rr.judge_texts(docs).collect()}
+    groups, limit, most = {}, rr.chi_square(1 - 1e-9, len(rr.VECTOR)), 0
+    for row in docs.collect():
+        stats = rr.statistics((row["text"] or "").encode())
+        failed = stats[0] < 10 or 100 * stats[4] > 20 * stats[0]
+        assert got[row["doc_id"]]["base_failed"] == failed
+        if not failed:
+            groups.setdefault((row["lang"], row["source"]), []).append((row["doc_id"], stats[5:]))
+    assert len(groups) > 50
+    for rows in groups.values():
+        distances, steps = plain_distances(np.array([vector for _, vector in rows]))
+        most = max(most, steps)
+        for (doc, _), distance in zip(rows, distances):
+            assert np.isclose(got[doc]["distance"], distance, rtol=1e-6, atol=1e-9)
+            assert got[doc]["kept"] == (distance <= limit)
+    assert most >= 3
+
+
 def test_odd_rows(spark):
     clean = "some plain words that make up one line of text for all"
     rows = [(n, f"{clean} {n}", "en", "s", 1) for n in range(20)]

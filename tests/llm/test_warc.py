@@ -48,6 +48,25 @@ def test_damage_costs_only_the_damaged_record():
         assert got == payloads[:4] + payloads[5:]
 
 
+@pytest.mark.parametrize("number", [0, 4, 8])
+def test_a_strict_reader_overlooks_no_damage(number):
+    data, places, _ = archive(9, random.Random(4))
+    broken = bytearray(data)
+    broken[(places[number] + [*places, len(data)][number + 1]) // 2] ^= 0xFF
+
+    def read(content: bytes, step: int) -> list:
+        members = warc.Members(io.BytesIO(content), len(content))
+        return [at for begin in range(0, len(content), step)
+                for at, _ in members.owned(begin, min(begin + step, len(content)), strict=True)]
+
+    for step in (999, 5003, places[number] or 77, 10**9):
+        assert read(data, step) == places
+        with pytest.raises(ValueError, match="damaged member"):
+            read(bytes(broken), step)
+        with pytest.raises(ValueError, match="damaged member"):
+            read(data[:-3], step)
+
+
 def test_members_are_plain_gzip():
     data, _, payloads = archive(3, random.Random(1))
     assert gzip.decompress(data).count(b"WARC/1.1\r\nWARC-Type: response") == 3
