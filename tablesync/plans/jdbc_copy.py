@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -37,9 +37,12 @@ class Server:
     url: str
     connections: int = 16
     quote: str = "`"
+    wait: float = 1.0
 
     def one_row(self, spark: SparkSession, query: str) -> tuple:
-        return tuple(jdbc.read_jdbc(spark, jdbc.read_options(self.url, query)).first())
+        """One row of an answer; a lost connection is tried again."""
+        ask = lambda: tuple(jdbc.read_jdbc(spark, jdbc.read_options(self.url, query)).first())
+        return jdbc.patiently(ask, wait=self.wait)
 
     def count(self, spark: SparkSession, spec: TableSpec) -> int:
         return int(self.one_row(spark, jdbc.total_query(jdbc.table_name(spec, self.quote)))[0])
@@ -94,16 +97,20 @@ def copy_between(
     text_columns: tuple[str, ...] = (),
     ledger: Ledger | None = None,
     rows_per_range: int = 1_000_000,
+    referenced: bool = False,
 ) -> DataFrame:
     """Copy a table; returns the verdict on its counts, taken after the copy.
 
     ``resume`` walks the source range by range in key order and appends the
     rows whose keys the destination lacks, so what a failed range left behind
     is neither lost nor doubled; ranges that the ledger has recorded are not
-    looked at again. ``full`` reads the source once into the shared folder,
+    looked at again. A range is read over as many connections as its server allows.
+    ``full`` reads the source once into the shared folder,
     works out the replaced table, and loads it beside the live table, which is
     swapped by renaming once all is there. A table without a key is loaded
-    beside and swapped in either mode.
+    beside and swapped in either mode. A table that takes part in foreign keys (``referenced``) keeps
+    its name, and so its own and others' references: its rows are replaced in one transaction.
+    Keys are not cleaned.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
@@ -115,7 +122,8 @@ def copy_between(
                 _append_ranges(spark, source, dest, spec, columns, run_ts, text_columns, ledger,
                                rows_per_range)
             else:
-                _load_beside(spark, source, dest, spec, columns, run_ts, text_columns, rows_per_range)
+                _load_beside(spark, source, dest, spec, columns, run_ts, text_columns, rows_per_range,
+                             referenced)
     except Exception as error:
         if ledger:
             ledger.record(spec.table_key, "error", message=str(error))
@@ -131,9 +139,12 @@ def copy_between(
 
 def _ranges(
     spark: SparkSession, source: Server, spec: TableSpec, rows_per_range: int
-) -> list[tuple[tuple | None, tuple | None]]:
-    ends = [None, *source.plan(spark, spec, rows_per_range)[:-1], None]
-    return list(zip(ends, ends[1:]))
+) -> list[list[tuple[tuple | None, tuple | None]]]:
+    """Ranges that are recorded one by one, each as the parts that are read side by side."""
+    rows_per_part = max(1, rows_per_range // source.connections)
+    ends = [None, *source.plan(spark, spec, rows_per_part)[:-1], None]
+    parts, many = list(zip(ends, ends[1:])), rows_per_range // rows_per_part
+    return [parts[at:at + many] for at in range(0, len(parts), many)]
 
 
 def _append_ranges(
@@ -145,22 +156,27 @@ def _append_ranges(
         dest.url, jdbc.table_name(spec, dest.quote), connections=dest.connections
     )
     recorded = _recorded_ranges(ledger, spec)
-    for number, (after, upto) in enumerate(_ranges(spark, source, spec, rows_per_range), start=1):
-        name = f"{after!r} {upto!r}"
+    done = dest.count(spark, spec)
+    for parts in _ranges(spark, source, spec, rows_per_range):
+        upto = parts[-1][1]
+        name = f"{parts[0][0]!r} {upto!r}"
         if upto is not None and name in recorded:
             continue
-        there = dest.rows(spark, spec, keys, conditions=[jdbc.key_range(dest.names(spec), after, upto)])
+        there = dest.rows(
+            spark, spec, keys, conditions=[jdbc.key_range(dest.names(spec), *part) for part in parts]
+        )
         arriving = source.rows(
-            spark, spec, columns, text_columns, [jdbc.key_range(source.names(spec), after, upto)]
+            spark, spec, columns, text_columns,
+            [jdbc.key_range(source.names(spec), *part) for part in parts],
         )
         same = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys]
         # Staged before it is written: the destination is not read while it changes.
         missing = stage(arriving.alias("a").join(there.alias("b"), same, "left_anti"), "missing")
         jdbc.write_jdbc(sanitize_copied(missing, run_ts, keys), options, "append")
+        done += missing.count()
         if ledger:
             last = None if upto is None else whole_number(upto[0])
-            ledger.record(spec.table_key, "progress", last_id=last,
-                          processed_rows=number * rows_per_range, message=name)
+            ledger.record(spec.table_key, "progress", last_id=last, processed_rows=done, message=name)
 
 
 def _recorded_ranges(ledger: Ledger | None, spec: TableSpec) -> set[str]:
@@ -173,7 +189,7 @@ def _recorded_ranges(ledger: Ledger | None, spec: TableSpec) -> set[str]:
 
 def _load_beside(
     spark: SparkSession, source: Server, dest: Server, spec: TableSpec, columns: list[str],
-    run_ts: datetime, text_columns: tuple[str, ...], rows_per_range: int,
+    run_ts: datetime, text_columns: tuple[str, ...], rows_per_range: int, referenced: bool = False,
 ) -> None:
     keys, conditions = list(spec.keys), None
     if keys:
@@ -199,6 +215,16 @@ def _load_beside(
     ])
     options = jdbc.write_options(dest.url, beside, connections=dest.connections)
     jdbc.write_jdbc(rows, options, "append")
+    if referenced:
+        # Renaming would take others' foreign keys along to the old table; here every row is there
+        # again when the transaction ends. A stop before that undoes it.
+        names = ", ".join(jdbc.quoted(c, dest.quote) for c in columns)
+        jdbc.execute(spark, dest.url, [
+            "SET FOREIGN_KEY_CHECKS = 0", "START TRANSACTION", f"DELETE FROM {live}",
+            f"INSERT INTO {live} ({names}) SELECT {names} FROM {beside}", "COMMIT",
+            "SET FOREIGN_KEY_CHECKS = 1", f"DROP TABLE {beside}",
+        ])
+        return
     jdbc.execute(spark, dest.url, [
         f"RENAME TABLE {live} TO {old}, {beside} TO {live}", f"DROP TABLE {old}",
     ])
@@ -217,12 +243,13 @@ def copy_all_between(
     run_ts: datetime,
     ledger: Ledger,
     workers: int = 8,
+    references: Collection[TableSpec] = (),
     **options,
 ) -> DataFrame:
     """Copy tables side by side; one that fails does not stop the others.
 
     ``tables`` gives the columns of each, ``options`` are those of
-    ``copy_between``. Tables that the ledger's run has completed are skipped.
+    ``copy_between``; ``references`` names the tables that take part in foreign keys. Tables that the ledger's run has completed are skipped.
     Returns one row per table with its verdict, or why there is none.
     """
     specs = list(tables)
@@ -233,7 +260,7 @@ def copy_all_between(
         if spec.table_key in done:
             return None
         return copy_between(spark, source, dest, spec, tables[spec], run_ts, ledger=ledger,
-                            **options).first()
+                            referenced=spec in references, **options).first()
 
     outcomes = side_by_side(spark, copy_one, specs, workers, lambda spec: spec.table_key)
     ledger.tidy()

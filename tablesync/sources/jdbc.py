@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -104,12 +105,23 @@ def literal(value) -> str:
     return f"'{text}'"
 
 
+def compared(key: str, value) -> tuple[str, str]:
+    """A key column and a value of it as they are compared.
+
+    Texts are compared by their bytes: ranges are planned in that order, and a server's own order
+    of texts may take different ones as equal.
+    """
+    if isinstance(value, str):
+        return f"CAST({key} AS BINARY)", f"CAST({literal(value)} AS BINARY)"
+    return key, literal(value)
+
+
 def beyond(keys: list[str], last: tuple) -> str:
     """Whether a key lies after ``last``, compared column by column."""
     steps = []
     for n, (key, value) in enumerate(zip(keys, last)):
-        same = [f"{k} = {literal(v)}" for k, v in zip(keys[:n], last[:n])]
-        steps.append(" AND ".join([*same, f"{key} > {literal(value)}"]))
+        same = [" = ".join(compared(k, v)) for k, v in zip(keys[:n], last[:n])]
+        steps.append(" AND ".join([*same, " > ".join(compared(key, value))]))
     return " OR ".join(f"({step})" for step in steps)
 
 
@@ -160,3 +172,17 @@ def execute(spark: SparkSession, url: str, statements: list[str]) -> None:
             running.close()
     finally:
         connection.close()
+
+
+def patiently(call, attempts: int = 3, wait: float = 1.0):
+    """What a call gives, tried again after a wait that doubles; the last error is raised.
+
+    For single questions to a server from the driver, which no Spark task tries again.
+    """
+    for attempt in range(1, attempts + 1):
+        try:
+            return call()
+        except Exception:
+            if attempt == attempts:
+                raise
+            time.sleep(wait * 2 ** (attempt - 1))

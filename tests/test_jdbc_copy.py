@@ -207,3 +207,74 @@ def test_names_are_quoted():
     assert jdbc.table_name(TableSpec("a`b", "c")) == "`a``b`.`c`"
     assert jdbc.pushed_query("`s`.`t`", ["x`y"]) == "(SELECT `x``y` FROM `s`.`t`) t"
     assert jdbc.literal("it's \\") == "'it''s \\\\'"
+
+
+def test_texts_are_compared_by_their_bytes(spark):
+    """Ranges are planned in byte order; under a server's own order 'a' and 'B' could change places."""
+    test = jdbc.key_range(["`k`"], ("B",), ("a",))
+    assert test == ("((CAST(`k` AS BINARY) > CAST('B' AS BINARY))) AND "
+                    "NOT ((CAST(`k` AS BINARY) > CAST('a' AS BINARY)))")
+    df = spark.createDataFrame([("A",), ("B",), ("Z",), ("a",), ("b",), ("é",), (None,)], "k string")
+    ranges = jdbc.range_predicates(["k"], [("B",), ("a",), ("é",)])
+    assert [sorted(str(r["k"]) for r in df.filter(t).collect()) for t in ranges] == [
+        ["A", "B", "None"], ["Z", "a"], ["b", "é"]]
+    assert jdbc.key_range(["`k`"], (3,), None) == "((`k` > 3))"
+
+
+def test_a_resumed_range_is_read_over_several_connections(spark, servers):
+    ledger = Ledger(spark, fresh_path(spark, "ledger"), "run")
+    servers.put("jdbc:mysql:src", [(n, "x", f"n{n}") for n in range(40)])
+    servers.put("jdbc:mysql:dst", [(n, "x", "old") for n in range(0, 40, 4)])
+    copy_between(spark, Server("jdbc:mysql:src", 4), Server("jdbc:mysql:dst", 2), SPEC, COLUMNS, NOW,
+                 "resume", (), ledger, rows_per_range=16)
+    assert [len(p) for kind, p in servers.log if kind == "ranges"] == [4, 4] * 2 + [2, 2]
+    assert [r[0] for r in found(servers)] == list(range(40))
+    rows = ledger.events().filter("op = 'progress'").orderBy("event_id").collect()
+    # Ten were there; of every sixteen twelve are written, of the last eight six.
+    assert [r["processed_rows"] for r in rows] == [22, 34, 40]
+
+
+def test_a_table_with_references_keeps_its_name(spark, servers, monkeypatch):
+    servers.put("jdbc:mysql:src", [(n, "x", f"n{n}") for n in range(5)])
+    servers.put("jdbc:mysql:dst", [(0, "x", "old"), (9, "x", "gone")])
+    said = []
+    monkeypatch.setattr(jdbc, "execute", lambda spark, url, statements: (
+        said.append(statements), "SET FOREIGN" not in statements[0] and servers.execute(spark, url, statements)))
+    copy(spark, "full", referenced=True)
+    assert not any("RENAME" in text for statements in said for text in statements)
+    assert said[-1] == [
+        "SET FOREIGN_KEY_CHECKS = 0", "START TRANSACTION", "DELETE FROM `shop`.`orders`",
+        "INSERT INTO `shop`.`orders` (`id`, `created_at`, `name`) "
+        "SELECT `id`, `created_at`, `name` FROM `shop`.`orders__copy`",
+        "COMMIT", "SET FOREIGN_KEY_CHECKS = 1", "DROP TABLE `shop`.`orders__copy`"]
+    beside = sorted(r[0] for r in servers.tables["jdbc:mysql:dst", "`shop`.`orders__copy`"])
+    assert beside == [0, 1, 2, 3, 4, 9]
+
+
+def test_a_question_is_asked_again(spark, servers, monkeypatch):
+    servers.put("jdbc:mysql:src", [(1, "x", "y")])
+    left = [2]
+
+    def shaky(spark, options):
+        if left[0]:
+            left[0] -= 1
+            raise RuntimeError("connection lost")
+        return servers.read(spark, options)
+
+    monkeypatch.setattr(jdbc, "read_jdbc", shaky)
+    assert Server("jdbc:mysql:src", wait=0.01).count(spark, SPEC) == 1
+    left[0] = 3
+    with pytest.raises(RuntimeError):
+        Server("jdbc:mysql:src", wait=0.01).count(spark, SPEC)
+
+
+def test_keys_that_break_the_rules_are_copied_once(spark, servers):
+    spec, columns, types = TableSpec("shop", "t", ("k",)), ["k", "v"], "k timestamp_ntz, v int"
+    old = [(datetime(500, 1, 1), 1), (datetime(2020, 1, 1), 2)]
+    servers.put("jdbc:mysql:src", old, types, "`shop`.`t`")
+    servers.put("jdbc:mysql:dst", [], types, "`shop`.`t`")
+    copy(spark, "resume", spec, columns)
+    servers.put("jdbc:mysql:src", [*old, (datetime(2021, 1, 1), 3)], types, "`shop`.`t`")
+    for mode in ("resume", "full", "full"):
+        copy(spark, mode, spec, columns)
+        assert [r[1] for r in found(servers, "`shop`.`t`")] == [1, 2, 3]
