@@ -97,22 +97,16 @@ def _grantees(grants: DataFrame) -> DataFrame:
 
 def _from_flags(grants: DataFrame, flags: tuple[str, ...], scope: list[str]) -> DataFrame:
     granted = granted_flags(flags)
-    # concat_ws leaves out what is not granted; no privilege name holds a comma.
-    names = F.concat_ws(
-        ",", *[F.when(F.col(f) == "Y", F.lit(privilege_name(f))) for f in granted]
-    )
+    # One list of names beside one of flags, so the plan does not grow with the flags.
+    names = F.array(*[F.lit(privilege_name(f)) for f in granted])
+    given = F.zip_with(names, F.array(*[F.col(f) for f in granted]), lambda n, f: F.when(f == "Y", n))
+    listed = F.array(F.filter(given, lambda name: name.isNotNull()))
     # Exploding the one list, or nothing, names every flag once; a filter would name it again.
-    listed = F.filter(F.array(names), lambda name: name != "")
-    return (
-        _grantees(grants)
-        .select(
-            *ACCOUNT,
-            *scope,
-            F.explode(listed).alias("privileges"),
-            (F.col("Grant_priv") == "Y").alias("with_grant_option"),
-        )
-        .withColumn("privileges", F.split("privileges", ","))
-        .select(*ACCOUNT, *scope, "privileges", "with_grant_option")
+    return _grantees(grants).select(
+        *ACCOUNT,
+        *scope,
+        F.explode(F.filter(listed, lambda some: F.size(some) > 0)).alias("privileges"),
+        (F.col("Grant_priv") == "Y").alias("with_grant_option"),
     )
 
 

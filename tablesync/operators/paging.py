@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import types as T
 
 from tablesync.functions.measures import bar, percent
 from tablesync.session import stage
@@ -95,6 +96,49 @@ def offset_page(
     return placed.filter(reduce(lambda a, b: a | b, cuts)).orderBy("_pos").drop("_pos")
 
 
+def write_rank_index(df: DataFrame, keys: list[str], path: str, step: int = 10_000) -> None:
+    """Write every ``step``-th row's place in key order (``row_no``) with its order columns to ``path``.
+
+    The one sort that deep pages need; it holds as long as the table does not change.
+    """
+    order = total_order(df, keys)
+    marks = number_rows(df, order).filter(F.col("row_no") % step == 0)
+    marks.select("row_no", *order).coalesce(1).sortWithinPartitions("row_no").write.parquet(path)
+
+
+def indexed_page(
+    df: DataFrame, keys: list[str], index_path: str, offset: int, size: int
+) -> DataFrame:
+    """The page of ``offset_page``, from a rank index of the same table.
+
+    Two rows of the index say between which rows the page lies. Only these few rows are put in
+    order; the leading key's bounds reach the scan.
+    """
+    order = total_order(df, keys)
+    index = df.sparkSession.read.schema(
+        T.StructType([T.StructField("row_no", T.LongType()), *[df.schema[c] for c in order]])
+    ).parquet(index_path)
+    low = index.filter(F.col("row_no") <= offset).orderBy(F.desc("row_no")).first()
+    high = index.filter(F.col("row_no") >= offset + size).orderBy("row_no").first()
+    if low is None:
+        return df.limit(0)
+    rows, place = df, F.struct(*order)
+    for mark, leading, whole in ((low, ">=", place >= _mark(df, order, low)),
+                                 (high, "<=", None if high is None else place <= _mark(df, order, high))):
+        if mark is None:
+            continue
+        rows = rows.filter(whole)
+        if mark[order[0]] is not None:  # a NULL comes before all values
+            value = F.lit(mark[order[0]]).cast(df.schema[order[0]].dataType)
+            first = F.col(order[0])
+            rows = rows.filter(first >= value if leading == ">=" else first.isNull() | (first <= value))
+    return rows.orderBy(*order).offset(offset - low["row_no"]).limit(size)
+
+
+def _mark(df: DataFrame, order: list[str], row) -> Column:
+    return F.struct(*[F.lit(row[c]).cast(df.schema[c].dataType).alias(c) for c in order])
+
+
 def place_rows(df: DataFrame, order: list[str]) -> DataFrame:
     """Rows in the given order over all partitions, with their place in ``_pos``.
 

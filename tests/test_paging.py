@@ -5,12 +5,15 @@ from tablesync.operators.paging import (
     batch_assign,
     batch_plan,
     batch_progress,
+    indexed_page,
     keyset_filter,
     keyset_page,
     number_rows,
     offset_page,
     ordered_scan,
+    write_rank_index,
 )
+from tablesync.session import fresh_path
 
 
 @pytest.fixture(scope="module")
@@ -94,6 +97,27 @@ def test_order_and_pages_agree(spark):
         assert [tuple(r) for r in far.collect()] == ordered[offset:offset + 20]
 
 
+@pytest.mark.parametrize("step", [1, 7, 64, 10_000])
+def test_pages_from_an_index(spark, step):
+    path, table = fresh_path(spark, "ranks"), fresh_path(spark, "table")
+    spark.range(500).select(
+        F.when(F.col("id") % 11 > 0, F.col("id") % 50).alias("k"),
+        F.when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("v"), F.lit(1.5).alias("w"),
+    ).write.parquet(table)
+    df = spark.read.parquet(table)
+    write_rank_index(df, ["k"], path, step)
+    ordered = [tuple(r) for r in ordered_scan(df, ["k"]).collect()]
+    for offset, size in ((0, 3), (40, 20), (123, 1), (490, 20), (500, 5), (900, 5), (0, 600)):
+        page = indexed_page(df, ["k"], path, offset, size)
+        assert [tuple(r) for r in page.collect()] == ordered[offset:offset + size]
+    plan = indexed_page(df, ["k"], path, 300, 20)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange rangepartitioning" not in plan and "TakeOrderedAndProject" in plan
+    assert step > 64 or "GreaterThanOrEqual(k" in plan  # the bounds reach the scan
+    nothing = fresh_path(spark, "ranks")
+    write_rank_index(df.limit(0), ["k"], nothing, step)
+    assert indexed_page(df.limit(0), ["k"], nothing, 0, 5).collect() == []
+
+
 def test_progress_after_each_batch(even_ids):
     plan = batch_plan(even_ids, ["id"], 30)
     rows = batch_progress(plan, 30, 100, width=40).orderBy("batch_id").collect()

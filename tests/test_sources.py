@@ -18,6 +18,7 @@ from tablesync.operators.generate import (
     id_range,
 )
 from tablesync.sources import jdbc
+from tablesync.sources.footers import footer_counts
 from tablesync.sources.tables import scan_table
 from workloads.fixtures import RUN_TS
 
@@ -51,6 +52,26 @@ def test_every_key_falls_into_one_range(spark, edges):
     assert sum(df.filter(t).count() for t in tests) == 42
 
 
+def test_footers_of_many_tables_are_read_in_one_job(spark, tmp_path):
+    tables = {}
+    for n in range(40):
+        tables[f"t{n}"] = str(tmp_path / f"t{n}")
+        spark.range(n).repartition(3).write.parquet(tables[f"t{n}"])
+    spark.range(6).withColumn("p", F.col("id") % 2).write.partitionBy("p").parquet(str(tmp_path / "parts"))
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_bytes(b"no parquet at all")
+    more = {"parts": str(tmp_path / "parts"), "broken": str(tmp_path / "broken"), "gone": str(tmp_path / "gone")}
+    many = {f"again{n}": tables["t7"] for n in range(2000)}
+    got = {r["table_name"]: r["total_records"] for r in footer_counts(spark, tables | more | many).collect()}
+    assert {n: got[n] for n in tables} == {f"t{n}": n for n in range(40)}
+    assert (got["parts"], got["broken"], got["gone"]) == (6, None, None)
+    assert all(got[n] == 7 for n in many) and len(got) == 2043
+    plan = footer_counts(spark, tables | many)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan.split("\n")) < 20
+    with pytest.raises(ValueError):
+        footer_counts(spark, {})
+
+
 def test_scan_reads_only_the_named_columns(spark, sf_dir):
     df = scan_table(spark, f"{sf_dir}/orders.parquet", ["o_orderkey"])
     assert "ReadSchema: struct<o_orderkey:bigint>" in df._jdf.queryExecution().executedPlan().toString()

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tablesync.functions.measures import draw
 from tablesync.operators import counts as A
 from tablesync.operators import paging as P
+from tablesync.session import fresh_path
+from tablesync.sources.footers import footer_counts as footers
 from tablesync.sources.tables import scan_table as scan
 from workloads.fixtures import TABLES
 from workloads.registry import query
@@ -91,6 +93,14 @@ def offset_page_deep(i):
     return P.offset_page(i["lineitem"], LINE_KEY, 1000, 300, top_k_rows=0)
 
 
+@query("indexed_page", OFFSET_SQL)
+def indexed_page(i):
+    """The same page and one before it, from an index that is written once."""
+    path = fresh_path(i.spark, "ranks")
+    P.write_rank_index(i["lineitem"], LINE_KEY, path, step=256)
+    return P.indexed_page(i["lineitem"], LINE_KEY, path, 1000, 300)
+
+
 @query("batch_plan", """
 SELECT batch_id, min(o_orderkey) AS first_o_orderkey, max(o_orderkey) AS last_o_orderkey,
        count(*) AS "rows"
@@ -171,6 +181,12 @@ def row_counts(i):
     return A.row_counts({t: i[t] for t in TABLES})
 
 
+@query("footer_counts", COUNTS_SQL)
+def footer_counts(i):
+    """The same from the files' footers, in one job however many tables there are."""
+    return footers(i.spark, {t: i.path(t) for t in TABLES})
+
+
 @query("total_records", f"""
 SELECT CAST(sum(total_records) AS BIGINT) AS total_records,
        'Total records: ' || CAST(CAST(sum(total_records) AS BIGINT) AS VARCHAR) AS summary
