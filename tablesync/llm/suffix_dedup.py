@@ -54,15 +54,13 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def names(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The names of the GRAM and the LENGTH bytes from every place on that has so many."""
+def names(data: np.ndarray) -> np.ndarray:
+    """The names of the GRAM bytes from every place on that has so many."""
     name, size = _SEEDS[data], 1
     while size < GRAM:
         name = _mix(name[:-size], name[size:])
         size *= 2
-    double = _mix(name[:-GRAM], name[GRAM:])
-    rest = LENGTH - 2 * GRAM
-    return name, _mix(double[:-rest], double[rest:])
+    return name
 
 
 def marks(gram: np.ndarray) -> np.ndarray:
@@ -81,14 +79,15 @@ def stretches(texts: list[bytes]) -> dict[str, np.ndarray]:
     """The marked places of some texts: doc, place, far, near, name, content.
 
     A marked place stands for the strings that start ``near`` to ``far`` bytes
-    before it; ``content`` names the text they cover.
+    before it; ``content`` is the 128-bit digest of the text they cover, as two numbers.
     """
     sizes = np.array([len(t) for t in texts], np.int64)
     bounds = np.concatenate([[0], np.cumsum(sizes)])
-    data = np.frombuffer(b"".join(texts), np.uint8)
+    joined = b"".join(texts)
+    data = np.frombuffer(joined, np.uint8)
     if len(data) < LENGTH:
         return {}
-    gram, whole = names(data)
+    gram = names(data)
     mark = marks(gram)
     starts = np.arange(len(mark))
     doc = np.searchsorted(bounds, starts, side="right") - 1
@@ -102,9 +101,18 @@ def stretches(texts: list[bytes]) -> dict[str, np.ndarray]:
     last = np.append(first[1:], len(starts)) - 1
     place = mark[first]
     far, near = place - starts[first], place - starts[last]
-    content = _mix(_mix(whole[starts[first]], whole[starts[last]]), (far << 8 | near).astype(np.uint64))
+    digest, spans = xxhash.xxh3_128_digest, zip(
+        starts[first].tolist(), (starts[last] + LENGTH).tolist(), (far << 8 | near).tolist()
+    )
+    content = np.frombuffer(b"".join([digest(joined[a:b], seed) for a, b, seed in spans]), "<u8")
     return {"doc": doc[first], "place": place - bounds[doc[first]], "far": far, "near": near,
-            "name": gram[place], "content": content}
+            "name": gram[place], "content": content.reshape(-1, 2)}
+
+
+def _binary(content: np.ndarray) -> pa.Array:
+    """Digests of two numbers each as a column of 16 bytes."""
+    ends = pa.py_buffer(np.arange(len(content) + 1, dtype=np.int32) * 16)
+    return pa.Array.from_buffers(pa.binary(), len(content), [None, ends, pa.py_buffer(content.tobytes())])
 
 
 def _pack(place: np.ndarray, far: np.ndarray, near: np.ndarray) -> np.ndarray:
@@ -135,11 +143,11 @@ def _mark_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             (oids[a], keys[a]) != (oids[b], keys[b]) for a, b in zip(order, order[1:])
         ])
         own = rank[found["doc"]]
-        turn = np.lexsort((found["place"], own, found["content"], found["name"]))
+        turn = np.lexsort((found["place"], own, found["content"][:, 1], found["content"][:, 0], found["name"]))
         name, content, doc, place = (found[c][turn] for c in ("name", "content", "doc", "place"))
         own = own[turn]
         again = np.zeros(len(turn), bool)
-        again[1:] = (name[1:] == name[:-1]) & (content[1:] == content[:-1])
+        again[1:] = (name[1:] == name[:-1]) & (content[1:] == content[:-1]).all(axis=1)
         same = np.zeros(len(turn), bool)  # the same row of the table a second time
         same[1:] = again[1:] & (own[1:] == own[:-1]) & (place[1:] == place[:-1])
         packed = _pack(place, found["far"][turn], found["near"][turn])
@@ -154,12 +162,11 @@ def _mark_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         kind[spread] = SHARED
         by_row = _mix(oid.view(np.uint64), key.view(np.uint64))  # copies have one key, not one id
         route = np.where(again, by_row, name).view(np.int64)
-        route[spread] = _mix(name[spread], content[spread]).view(np.int64)
+        route[spread] = _mix(name[spread], content[spread, 0]).view(np.int64)
         kept = ~same
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c[kept]) for c in (route, content.view(np.int64), oid, key, packed, kind)],
-            ["name", "content", "oid", "key", "packed", "kind"],
-        )
+        numbers = [pa.array(c[kept]) for c in (route, oid, key, packed, kind)]
+        numbers.insert(1, _binary(content[kept]))
+        return pa.RecordBatch.from_arrays(numbers, ["name", "content", "oid", "key", "packed", "kind"])
 
     texts: list[bytes] = []
     oids: list[int] = []
@@ -190,13 +197,13 @@ def _long(text: bytes, oid: int, key: int) -> Iterator[pa.RecordBatch]:
         count = len(found["name"])
         packed = _pack(found["place"] + begin, found["far"], found["near"])
         yield pa.RecordBatch.from_arrays([
-            pa.array(found["name"].view(np.int64)), pa.array(found["content"].view(np.int64)),
+            pa.array(found["name"].view(np.int64)), _binary(found["content"]),
             pa.array(np.full(count, oid)), pa.array(np.full(count, key)), pa.array(packed),
             pa.array(np.full(count, OPEN, np.int8)),
         ], ["name", "content", "oid", "key", "packed", "kind"])
 
 
-_STRETCH = "name bigint, content bigint, oid bigint, key bigint, packed bigint, kind tinyint"
+_STRETCH = "name bigint, content binary, oid bigint, key bigint, packed bigint, kind tinyint"
 
 
 def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +233,7 @@ def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             head = heads.get(own_kind)
             if head:
                 name, content, oid, key, packed = (
-                    np.append(np.int64(h), c) for h, c in zip(head, (name, content, oid, key, packed))
+                    np.insert(c, 0, h) for h, c in zip(head, (name, content, oid, key, packed))
                 )
             new = np.ones(len(name), bool)
             new[1:] = (name[1:] != name[:-1]) | (content[1:] != content[:-1])
@@ -244,7 +251,7 @@ def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out = out[out > 0] if given else out
                 given = bool(shared[-1]) or given and len(firsts) == 1
             yield rows(out, False, oid, key, packed)
-            heads[own_kind] = tuple(int(c[firsts[-1]]) for c in (name, content, oid, key, packed))
+            heads[own_kind] = tuple(c[firsts[-1]] for c in (name, content, oid, key, packed))
 
 
 def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,8 +388,10 @@ def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.set_column(batch.schema.get_field_index("text"), "text", texts)
 
 
-def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, text (UTF-8 bytes) and spans (first, end) of what occurs earlier in the corpus.
+def repeated_spans(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cut: bool = False
+) -> DataFrame:
+    """id, n_bytes, text (UTF-8 bytes; what is left of it if ``cut``) and spans (first, end) of what occurs earlier in the corpus.
 
     A byte belongs to a span if some LENGTH bytes around it also start earlier:
     in a row with a smaller id, or in the same text further ahead. Strings never
@@ -444,25 +453,27 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 for own in batch.column("runs").to_pylist()
             ]
             texts = [unpacker.decompress(t) for t in batch.column("text").to_pylist()]
+            sizes = pa.array([len(t) for t in texts], pa.int64())
+            if cut:
+                texts = [without(text, own) if own else text for text, own in zip(texts, found)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(texts, pa.binary()), pa.array(found, kind)], ["id", "text", "spans"])
+                [batch.column("id"), sizes, pa.array(texts, pa.binary()), pa.array(found, kind)],
+                ["id", "n_bytes", "text", "spans"])
 
     kind = source.schema["id"].dataType.simpleString()
     return short.join(per_text, ["oid", "key"], "left").select("id", "text", "runs").mapInArrow(
-        spans, f"id {kind}, text binary, spans array<struct<first:bigint,end:bigint>>"
+        spans, f"id {kind}, n_bytes bigint, text binary, spans array<struct<first:bigint,end:bigint>>"
     ).withColumnRenamed("id", id_col)
 
 
+def without(text: bytes, spans: list[dict]) -> bytes:
+    """What is left of a text without its spans, which lie in order."""
+    begins = [0, *(s["end"] for s in spans)]
+    return b"".join(text[a:b] for a, b in zip(begins, [*(s["first"] for s in spans), len(text)]))
+
+
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes, spans and ``kept``, the text's remaining bytes. See ``repeated_spans``."""
-    ends = F.concat(F.array(F.lit(0).cast("bigint")), F.transform("spans", lambda s: s["end"]))
-    begins = F.concat(F.transform("spans", lambda s: s["first"]), F.array(F.octet_length("text").cast("bigint")))
-    # Positions of substrings count from 1.
-    pieces = F.transform(
-        F.arrays_zip(ends.alias("a"), begins.alias("b")),
-        lambda p: F.substring(F.col("text"), (p["a"] + 1).cast("int"), (p["b"] - p["a"]).cast("int")),
-    )
-    return repeated_spans(docs, id_col=id_col, text_col=text_col).select(
-        id_col, F.octet_length("text").cast("bigint").alias("n_bytes"), "spans",
-        F.aggregate(pieces, F.lit(b"").cast("binary"), lambda a, b: F.concat(a, b)).alias("kept"),
+    return repeated_spans(docs, id_col=id_col, text_col=text_col, cut=True).select(
+        id_col, "n_bytes", "spans", F.col("text").alias("kept")
     )
