@@ -38,7 +38,7 @@ def tables():
 
 
 @pytest.mark.parametrize("key,at", [("id", 0), ("k", 1)])
-@pytest.mark.parametrize("fan,leaf", [(2, 1), (256, 1), (7, 60)])
+@pytest.mark.parametrize("fan,leaf", [(16, 1), (256, 1), (7, 60)])
 def test_rows(spark, tables, key, at, fan, leaf):
     source, dest = (spark.createDataFrame(rows, SCHEMA) for rows in tables)
     got = row_differences(source, dest, [key], fan=fan, leaf_rows=leaf).collect()
