@@ -18,6 +18,7 @@ marked names. Spark sorts the marked places at growing length:
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,18 +33,105 @@ LENGTH = 100
 GRAM = 32
 SIDE = 34
 _REACH = LENGTH - GRAM
-_BUFFER = 2 << 20
 _BUFFER_TEXTS = 1 << 16
 _PLACE_BITS = 24
-_GROUP_ROWS = 4096
 # What a stretch's row says: to be sorted out, a later copy that goes, one to look into for sure.
 OPEN, GONE, SHARED = 0, 1, 2
-_HOT_NAME = 16
+# What a side's row says: its name goes string by string, a side, one string, a run that goes.
+SPREAD, SIDE_ROW, STRING, RUN = 0, 1, 2, 3
+_SLOT_BITS = 22
 _LAST_ID = (1 << 63) - 1
 _SEEDS = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
 _ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+@dataclass(frozen=True)
+class Limits:
+    """What a task holds, and from when on it deals the rows of a common name out.
+
+    ``buffer_bytes`` of texts are marked at a time. A name with more than ``name_contents`` contents
+    in a buffer, or that occurs in ``name_buffers`` buffers of a task, is dealt out by content; so is
+    one with more than ``side_rows`` longer sides in a task, or ``group_rows`` in all, string by
+    string. ``remembered`` names or strings are known at a time. No value changes a result.
+    """
+
+    buffer_bytes: int = 2 << 20
+    name_contents: int = 16
+    name_buffers: int = 4
+    side_rows: int = 64
+    group_rows: int = 4096
+    remembered: int = 1 << 16
+
+
+class _Sent:
+    """The smallest order that a task has sent of a key. Forgetting one only sends more."""
+
+    def __init__(self, limit: int):
+        self.limit, self.least = limit, {}
+
+    def compare(self, key, order: tuple) -> int:
+        """1 if an earlier one was sent, 0 for the same one, -1 if this is the earliest so far."""
+        known = self.least.get(key)
+        if known is not None and known <= order:
+            return int(known < order)
+        if known is None and len(self.least) >= self.limit:
+            self.least.clear()
+        self.least[key] = order
+        return -1
+
+
+class _Watch:
+    """Names that a task meets in buffer after buffer, and what it has sent of them.
+
+    Occurrences are counted in slots, which several names may share: a name is watched too early at
+    worst. Once too many are watched all are forgotten, and names must occur twice as often.
+    """
+
+    def __init__(self, limits: Limits):
+        self.counts = np.zeros(1 << _SLOT_BITS, np.uint16)
+        self.limits, self.from_count = limits, limits.name_buffers
+        self._forget()
+
+    def _forget(self) -> None:
+        self.names = np.empty(0, np.uint64)
+        self.sent = _Sent(self.limits.remembered)
+        self.opened: dict[int, bytes] = {}  # the first content of a name that went to its place
+        self.shared: set[int] = set()  # names of which two contents did
+
+    def has(self, name: np.ndarray) -> np.ndarray:
+        if not len(self.names):
+            return np.zeros(len(name), bool)
+        at = np.searchsorted(self.names, name)
+        return self.names[np.minimum(at, len(self.names) - 1)] == name
+
+    def count(self, name: np.ndarray) -> None:
+        """Count the distinct names of a buffer and watch those that have occurred often enough."""
+        slot = name & np.uint64(len(self.counts) - 1)
+        self.counts[slot] = np.minimum(self.counts[slot], np.uint16(0xFFFE)) + np.uint16(1)
+        often = name[self.counts[slot] >= self.from_count]
+        new = often[~self.has(often)]
+        if len(new) + len(self.names) > 4 * self.limits.remembered:
+            self._forget()
+            self.from_count *= 2
+        elif len(new):
+            self.names = np.union1d(self.names, new)
+
+    def kind(self, name: int, content: bytes, order: tuple) -> int | None:
+        """What becomes of the first stretch of a content in a buffer; None: it was sent before.
+
+        A name is shared once two different contents have gone to its place from here: from then on
+        its other contents need not go there.
+        """
+        known = self.sent.compare((name, content), order)
+        if known >= 0:
+            return GONE if known else None
+        if name in self.shared:
+            return SHARED
+        if self.opened.setdefault(name, content) != content:
+            self.shared.add(name)
+        return OPEN
+
+
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """A name for a pair of names."""
     out = a * _ODD[0]
@@ -123,20 +211,24 @@ def unpack(packed: int) -> tuple[int, int, int]:
     return packed >> 14, packed >> 7 & 127, packed & 127
 
 
-def _mark_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _mark_documents(batches: Iterator[pa.RecordBatch], limits: Limits = Limits()) -> Iterator[pa.RecordBatch]:
     """(name, content, oid, key, packed, kind) of every stretch.
 
     Later copies within what a task holds at a time are GONE; they are dealt out
     by document, so that a text with very many copies sends few rows to the
-    place of its name. A name with more than _HOT_NAME contents at a time is
+    place of its name. A name with more contents than ``name_contents`` at a time is
     shared beyond doubt: two of them tell so at its place, the others are
-    SHARED and dealt out by content.
+    SHARED and dealt out by content. The same is done for names that a task
+    meets in buffer after buffer, with what it remembers of former ones, so that
+    a name sends a task's few rows to one place and not a buffer's.
     """
+    watch = _Watch(limits)
 
-    def flush(texts, oids, keys) -> pa.RecordBatch | None:
+    def flush(texts, oids, keys, begin=0) -> pa.RecordBatch | None:
         found = stretches(texts)
         if not found:
             return None
+        found["place"] += begin
         order = sorted(range(len(texts)), key=lambda n: (oids[n], keys[n]))
         rank = np.empty(len(texts), np.int64)
         rank[order] = np.cumsum([0] + [
@@ -157,12 +249,19 @@ def _mark_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         starts = np.flatnonzero(np.append(True, own_name[1:] != own_name[:-1]))
         sizes = np.diff(np.append(starts, len(firsts)))
         nth = np.arange(len(firsts)) - np.repeat(starts, sizes)
-        spread = firsts[(np.repeat(sizes, sizes) > _HOT_NAME) & (nth >= 2)]
+        spread = firsts[(np.repeat(sizes, sizes) > limits.name_contents) & (nth >= 2)]
         kind = np.where(again, GONE, OPEN).astype(np.int8)
         kind[spread] = SHARED
         by_row = _mix(oid.view(np.uint64), key.view(np.uint64))  # copies have one key, not one id
-        route = np.where(again, by_row, name).view(np.int64)
-        route[spread] = _mix(name[spread], content[spread, 0]).view(np.int64)
+        for at in firsts[watch.has(own_name)].tolist():
+            own_kind = watch.kind(int(name[at]), content[at].tobytes(), (int(oid[at]), int(key[at]), int(packed[at])))
+            same[at] |= own_kind is None
+            kind[at] = OPEN if own_kind is None else own_kind
+        watch.count(own_name[starts])
+        route = np.where(kind == GONE, by_row, name)
+        dealt = kind == SHARED
+        route[dealt] = _mix(name[dealt], content[dealt, 0])
+        route = route.view(np.int64)
         kept = ~same
         numbers = [pa.array(c[kept]) for c in (route, oid, key, packed, kind)]
         numbers.insert(1, _binary(content[kept]))
@@ -174,11 +273,13 @@ def _mark_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     held = 0
     for batch in slices(batches, 64):
         for text, oid, key in zip(texts_of(batch), batch["oid"].to_pylist(), batch["key"].to_pylist()):
-            # A text beyond the buffer goes in overlapping parts, see _long.
-            if len(text) > _BUFFER:
-                yield from _long(text, oid, key)
+            if len(text) > limits.buffer_bytes:  # in parts; a string lies wholly in the one it starts in
+                for begin in range(0, len(text) - LENGTH + 1, limits.buffer_bytes):
+                    part = text[begin:begin + limits.buffer_bytes + LENGTH - 1]
+                    if (out := flush([part], [oid], [key], begin)) is not None:
+                        yield out
                 continue
-            if held + len(text) > _BUFFER or len(texts) >= _BUFFER_TEXTS:
+            if held + len(text) > limits.buffer_bytes or len(texts) >= _BUFFER_TEXTS:
                 if (out := flush(texts, oids, keys)) is not None:
                     yield out
                 texts, oids, keys, held = [], [], [], 0
@@ -190,19 +291,6 @@ def _mark_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield out
 
 
-def _long(text: bytes, oid: int, key: int) -> Iterator[pa.RecordBatch]:
-    """The stretches of a text that is too long for one buffer; none is known yet."""
-    for begin in range(0, len(text) - LENGTH + 1, _BUFFER):
-        found = stretches([text[begin:begin + _BUFFER + LENGTH - 1]])
-        count = len(found["name"])
-        packed = _pack(found["place"] + begin, found["far"], found["near"])
-        yield pa.RecordBatch.from_arrays([
-            pa.array(found["name"].view(np.int64)), _binary(found["content"]),
-            pa.array(np.full(count, oid)), pa.array(np.full(count, key)), pa.array(packed),
-            pa.array(np.full(count, OPEN, np.int8)),
-        ], ["name", "content", "oid", "key", "packed", "kind"])
-
-
 _STRETCH = "name bigint, content binary, oid bigint, key bigint, packed bigint, kind tinyint"
 
 
@@ -254,17 +342,59 @@ def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             heads[own_kind] = tuple(c[firsts[-1]] for c in (name, content, oid, key, packed))
 
 
-def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_SIDE = "name bigint, kind tinyint, oid bigint, key bigint, begin bigint, strings bigint, content binary"
+_SIDE_KINDS = [pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+
+
+def _batch(rows: list[tuple], kinds: list[pa.DataType], fields: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], fields)
+
+
+def _strings(sent: _Sent, oid: int, key: int, begin: int, strings: int, content: bytes) -> Iterator[tuple]:
+    """A side's strings as (oid, key, first, last, whole): each by its digest, but those of which
+    the task has sent an earlier one as runs, with null for ``whole``."""
+    run = None
+    for n in range(len(content) - LENGTH + 1):
+        # Strings are told apart by how far before the mark they start.
+        whole = xxhash.xxh3_128_digest(content[n:n + LENGTH] + bytes([(strings >> 7) - n]))
+        known = sent.compare(whole, (oid, key, begin + n))
+        if known > 0:
+            run = (run[0] if run else begin + n, begin + n)
+            continue
+        if run:
+            yield oid, key, *run, None
+            run = None
+        if known < 0:
+            yield oid, key, begin + n, begin + n, whole
+    if run:
+        yield oid, key, *run, None
+
+
+def _sides(batches: Iterator[pa.RecordBatch], limits: Limits = Limits()) -> Iterator[pa.RecordBatch]:
     """For marked places to look into: the strings that have SIDE more bytes before the
-    name, and those that have them behind it, each with a name of that longer part."""
+    name, and those that have them behind it, each with a name of that longer part.
+
+    A name with more than ``side_rows`` sides in a task is SPREAD: one row tells its
+    place so, and its further sides go string by string and are dealt out by string.
+    """
     unpacker = zstandard.ZstdDecompressor()
     digest = xxhash.xxh64_intdigest
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)],
-            ["name", "oid", "key", "begin", "strings", "content"])
+    fields = ["name", "kind", "oid", "key", "begin", "strings", "content"]
+    sent = _Sent(limits.remembered)
+    counts: dict[int, int] = {}
+
+    def side(name: int, oid: int, key: int, begin: int, strings: int, content: bytes) -> Iterator[tuple]:
+        if name not in counts and len(counts) >= limits.remembered:
+            counts.clear()
+        counts[name] = count = counts.get(name, 0) + 1
+        if count <= limits.side_rows:
+            yield name, SIDE_ROW, oid, key, begin, strings, content
+            return
+        if count == limits.side_rows + 1:
+            yield name, SPREAD, 0, 0, 0, 0, b""
+        for *row, whole in _strings(sent, oid, key, begin, strings, content):
+            route = int.from_bytes(whole[:8], "little", signed=True) if whole else key
+            yield route, STRING if whole else RUN, *row, whole
 
     rows: list[tuple] = []
     for batch in slices(batches, 64):
@@ -280,38 +410,29 @@ def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         name = digest(text[at:at + GRAM + SIDE], seed)
                         begin, end = place - high, place - low + LENGTH
                         name = name - (1 << 64) if name >> 63 else name
-                        # Strings are told apart by how far before the mark they start.
-                        rows.append((name, oid, key, begin, high << 7 | low, text[begin:end]))
-            if len(rows) >= 4096:
-                yield batch_of(rows)
-                rows = []
+                        rows += side(name, oid, key, begin, high << 7 | low, text[begin:end])
+                if len(rows) >= 4096:
+                    yield _batch(rows, _SIDE_KINDS, fields)
+                    rows = []
     if rows:
-        yield batch_of(rows)
+        yield _batch(rows, _SIDE_KINDS, fields)
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of sides that are sorted by name and order: runs of strings that occur earlier.
+def _compare(batches: Iterator[pa.RecordBatch], limits: Limits = Limits()) -> Iterator[pa.RecordBatch]:
+    """Of sides that are sorted by name, kind and order: runs of strings that occur earlier.
 
     Rows are (oid, key, first, last, whole): start places, and null for ``whole``;
-    strings of names with very many rows come out one by one with their digest.
+    strings of spread names and of those with very many rows come out one by one with
+    their digest, as do rows that are strings or runs already.
     """
     fields = ["oid", "key", "first", "last", "whole"]
     kinds = [pa.int64()] * 4 + [pa.binary()]
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], fields)
-
-    def single(row: tuple) -> list[tuple]:
-        _, oid, key, begin, strings, content = row
-        return [(oid, key, begin + n, begin + n,
-                 xxhash.xxh3_128_digest(content[n:n + LENGTH] + bytes([(strings >> 7) - n])))
-                for n in range(len(content) - LENGTH + 1)]
+    sent = _Sent(limits.remembered)
 
     def settle(group: list[tuple]) -> list[tuple]:
         seen: set[tuple[int, bytes]] = set()
         out = []
-        for _, oid, key, begin, strings, content in group:
+        for oid, key, begin, strings, content in group:
             run = None
             for n in range(len(content) - LENGTH + 1):
                 string = ((strings >> 7) - n, content[n:n + LENGTH])
@@ -326,32 +447,39 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out.append((oid, key, begin + run[0], begin + run[1], None))
         return out
 
-    group: list[tuple] = []
-    spread = False  # the present name has more rows than are held at a time
+    current = None
+    group: list[tuple] = []  # the sides of the present name, unless it is spread
+    spread = False
+    previous = None
     rows: list[tuple] = []
     for batch in slices(batches, 1024):
-        for row in zip(*(batch.column(c).to_pylist() for c in
-                         ("name", "oid", "key", "begin", "strings", "content"))):
-            if group and row[0] != group[-1][0]:
-                if not spread and len(group) > 1:
-                    rows += settle(group)
-                group, spread = [], False
-            if group and row[1:5] == group[-1][1:5]:
-                continue  # the same row of the table a second time
-            group.append(row)
-            if spread:
-                rows += single(row)
-                group = [row]
-            elif len(group) > _GROUP_ROWS:
-                rows += [string for member in group for string in single(member)]
-                group, spread = [row], True
+        for name, kind, *row in zip(*(batch.column(c).to_pylist() for c in
+                                      ("name", "kind", "oid", "key", "begin", "strings", "content"))):
+            if kind in (STRING, RUN):
+                rows.append(tuple(row))
+            else:
+                if name != current:
+                    if len(group) > 1:
+                        rows += settle(group)
+                    current, group, spread, previous = name, [], False, None
+                if kind == SPREAD:  # comes before the sides
+                    spread = True
+                elif row[:4] != previous:  # else the same row of the table a second time
+                    previous = row[:4]
+                    if spread:
+                        rows += _strings(sent, *row)
+                    else:
+                        group.append(tuple(row))
+                        if len(group) > limits.group_rows:
+                            rows += [string for member in group for string in _strings(sent, *member)]
+                            group, spread = [], True
             if len(rows) >= 8192:
-                yield batch_of(rows)
+                yield _batch(rows, kinds, fields)
                 rows = []
-    if not spread and len(group) > 1:
+    if len(group) > 1:
         rows += settle(group)
     if rows:
-        yield batch_of(rows)
+        yield _batch(rows, kinds, fields)
 
 
 def _later_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -389,7 +517,8 @@ def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cut: bool = False
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cut: bool = False,
+    limits: Limits = Limits(),
 ) -> DataFrame:
     """id, n_bytes, text (UTF-8 bytes; what is left of it if ``cut``) and spans (first, end) of what occurs earlier in the corpus.
 
@@ -403,6 +532,9 @@ def repeated_spans(
     different texts, the one with the smaller text hash comes first. A null text
     is empty; texts shorter than LENGTH have no spans. Extra columns are not
     looked at. No rows give no rows. Long texts are read whole.
+
+    A name, a stretch or a string that is common over the whole corpus sends a few rows per task
+    to one place, whatever the size of a task; ``limits`` says how few.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(
@@ -410,7 +542,9 @@ def repeated_spans(
         F.xxhash64(text).alias("key"), text.alias("text"),
     )
     order = ["oid", "key", "packed"]
-    marked = source.select("oid", "key", "text").mapInArrow(_mark_documents, _STRETCH)
+    marked = source.select("oid", "key", "text").mapInArrow(
+        lambda batches: _mark_documents(batches, limits), _STRETCH
+    )
     sorted_out = (
         marked.repartition("name").sortWithinPartitions("kind", "name", "content", *order)
         .mapInArrow(_sort_out, "oid bigint, key bigint, packed bigint, known boolean")
@@ -423,11 +557,11 @@ def repeated_spans(
         stretched.where("NOT known").groupBy("oid", "key").agg(F.collect_set("packed").alias("places"))
     )
     sides = short.select("oid", "key", "text").join(open_places, ["oid", "key"]).mapInArrow(
-        _sides, "name bigint, oid bigint, key bigint, begin bigint, strings bigint, content binary"
+        lambda batches: _sides(batches, limits), _SIDE
     )
     compared = stage(
-        sides.repartition("name").sortWithinPartitions("name", "oid", "key", "begin", "strings")
-        .mapInArrow(_compare, "oid bigint, key bigint, first bigint, last bigint, whole binary"),
+        sides.repartition("name").sortWithinPartitions("name", "kind", "oid", "key", "begin", "strings")
+        .mapInArrow(lambda batches: _compare(batches, limits), "oid bigint, key bigint, first bigint, last bigint, whole binary"),
         "sides",
     )
     place = F.shiftright("packed", 14)
@@ -472,8 +606,10 @@ def without(text: bytes, spans: list[dict]) -> bytes:
     return b"".join(text[a:b] for a, b in zip(begins, [*(s["first"] for s in spans), len(text)]))
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", limits: Limits = Limits()
+) -> DataFrame:
     """id, n_bytes, spans and ``kept``, the text's remaining bytes. See ``repeated_spans``."""
-    return repeated_spans(docs, id_col=id_col, text_col=text_col, cut=True).select(
+    return repeated_spans(docs, id_col=id_col, text_col=text_col, cut=True, limits=limits).select(
         id_col, "n_bytes", "spans", F.col("text").alias("kept")
     )

@@ -33,9 +33,9 @@ def plain(rows, order=None) -> list[tuple]:
     return out
 
 
-def run(spark, rows) -> list[tuple]:
+def run(spark, rows, **limits) -> list[tuple]:
     docs = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA).repartition(5)
-    got = sd.remove_repeats(docs).collect()
+    got = sd.remove_repeats(docs, limits=sd.Limits(**limits)).collect()
     return sorted((r["doc_id"], r["n_bytes"], r["n_bytes"] - len(r["kept"]), len(r["spans"]),
                    hashlib.sha256(r["kept"]).hexdigest()) for r in got)
 
@@ -68,24 +68,52 @@ def test_against_a_plain_search(spark, seed):
     assert run(spark, rows) == sorted(plain(rows))
 
 
-def test_names_with_many_rows_go_string_by_string(spark, monkeypatch):
-    monkeypatch.setattr(sd, "_GROUP_ROWS", 3)
+@pytest.mark.parametrize("limits", [
+    {"group_rows": 3}, {"buffer_bytes": 300}, {"name_contents": 2}, {"side_rows": 1, "remembered": 8},
+    {"buffer_bytes": 2000, "name_buffers": 1, "name_contents": 2, "side_rows": 2},
+    {"buffer_bytes": 700, "name_buffers": 2, "side_rows": 2, "group_rows": 5, "remembered": 20},
+], ids=str)
+def test_common_names_are_dealt_out(spark, limits):
     rows = corpus(random.Random(11), 120)
-    assert run(spark, rows) == sorted(plain(rows))
-
-
-def test_names_with_many_contents_go_by_content(spark, monkeypatch):
-    monkeypatch.setattr(sd, "_HOT_NAME", 2)
-    rows = corpus(random.Random(13), 150)
     rows += [(n, f"{n} start " + "the very common line of this corpus, as ever " * 2 + f"{n} {n * n} end" * 9)
              for n in range(200, 300)]
-    assert run(spark, rows) == sorted(plain(rows))
-
-
-def test_long_texts_in_parts(spark, monkeypatch):
-    monkeypatch.setattr(sd, "_BUFFER", 300)
-    rows = corpus(random.Random(12), 60)
-    assert run(spark, rows) == sorted(plain(rows))
+    assert run(spark, rows, **limits) == sorted(plain(rows))
+
+
+def notices(rng, count: int, notice: str) -> list[tuple[int, str]]:
+    """Texts that have nothing in common but a notice."""
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    return [(n, letters(150) + notice + letters(150)) for n in range(count)]
+
+
+@pytest.mark.parametrize("size", [98, 100, 140])
+def test_a_name_in_every_buffer_sends_few_rows_to_its_place(size):
+    rows = notices(random.Random(size), 2000, "".join(random.Random(5).choice("01234567 ") for _ in range(size)))
+    batch = sd.pa.RecordBatch.from_pydict({"oid": [r[0] for r in rows], "key": [r[0] * 7 for r in rows],
+                                           "text": [r[1] for r in rows]})
+    most = {}
+    for texts in (500, 2000):
+        places = {}
+        for out in sd._mark_documents(iter([batch.slice(0, texts)]), sd.Limits(buffer_bytes=4096)):
+            for name in out.column("name").to_pylist():
+                places[name] = places.get(name, 0) + 1
+        most[texts] = max(places.values())
+    assert most[500] < 60 and most[2000] < 60
+
+
+def test_sides_of_a_common_name_send_few_rows_to_its_place():
+    rows = notices(random.Random(3), 1000, "".join(random.Random(6).choice("01234567 ") for _ in range(140)))
+    marked = [sd.stretches([text.encode()]) for _, text in rows]
+    places = [sd._pack(m["place"], m["far"], m["near"]).tolist() for m in marked]
+    batch = sd.pa.RecordBatch.from_pydict({
+        "oid": [r[0] for r in rows], "key": [r[0] * 7 for r in rows], "places": places,
+        "text": [sd.zstandard.ZstdCompressor().compress(r[1].encode()) for r in rows]})
+    counts = {}
+    for out in sd._sides(iter([batch]), sd.Limits(side_rows=10)):
+        for name, kind in zip(out.column("name").to_pylist(), out.column("kind").to_pylist()):
+            if kind != sd.RUN:
+                counts[name] = counts.get(name, 0) + 1
+    assert max(counts.values()) <= 11
 
 
 def test_whole_table(spark, sf_dir):
