@@ -81,6 +81,45 @@ def table_schemas(columns: DataFrame) -> DataFrame:
     )
 
 
+def table_records(
+    columns: DataFrame, key_usage: DataFrame | None = None, references: DataFrame | None = None
+) -> DataFrame:
+    """One row per table with its columns, primary key and references, as its record keeps them."""
+    column = F.struct(
+        "ordinal_position",
+        F.col("column_name").alias("name"),
+        spark_type(F.col("column_type")).alias("type"),
+        F.coalesce(F.col("is_nullable") != "NO", F.lit(True)).alias("nullable"),
+        F.col("column_default").alias("default_text"),
+    )
+    tables = columns.groupBy(*TABLE).agg(
+        F.transform(F.array_sort(F.collect_list(column)), lambda c: c.dropFields("ordinal_position"))
+        .alias("columns")
+    )
+    none = lambda kind: F.lit(None).cast(kind)
+    if key_usage is None:
+        tables = tables.withColumn("keys", none("array<string>"))
+    else:
+        keys = primary_keys(key_usage).withColumnRenamed("key_columns", "keys")
+        tables = tables.join(keys, TABLE, "left")
+    if references is None:
+        return tables.withColumn("refers", none("array<struct<columns:array<string>,parent:string,"
+                                                "parent_columns:array<string>>>"))
+    parent = F.concat_ws(".", "referenced_table_schema", "referenced_table_name")
+    single = (
+        references.dropna(subset=["referenced_table_name"])
+        .groupBy(*TABLE, "constraint_name", parent.alias("parent"))
+        .agg(_ordered_names(F.col("ordinal_position"), F.col("column_name")).alias("columns"),
+             _ordered_names(F.col("ordinal_position"), F.col("referenced_column_name")).alias("parent_columns"))
+    )
+    named = F.struct("constraint_name", "columns", "parent", "parent_columns")
+    refers = single.groupBy(*TABLE).agg(
+        F.transform(F.array_sort(F.collect_list(named)), lambda r: r.dropFields("constraint_name"))
+        .alias("refers")
+    )
+    return tables.join(refers, TABLE, "left")
+
+
 def index_groups(statistics: DataFrame) -> DataFrame:
     """One row per index with its columns in order."""
     return (

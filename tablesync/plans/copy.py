@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tablesync.model import TableSpec
 from tablesync.operators.clean import odd_key, sanitize_copied, sanitize_rows
+from tablesync.operators.conform import conform_rows
 from tablesync.operators.counts import mark_value, whole_number
 from tablesync.operators.keyed import replace_into
 from tablesync.operators.paging import batch_plan, keyset_filter
@@ -21,6 +22,7 @@ from tablesync.operators.reconcile import count_check
 from tablesync.plans.work_queue import Piece, WorkQueue
 from tablesync.session import fresh_path, remove_folder
 from tablesync.sources.ledger_store import Ledger
+from tablesync.sources.records import read_record
 from tablesync.sources.versions import current_folders, new_folder, publish, table_path
 from tablesync.sources.zones import clustered, file_count, key_range, sorted_zones, zone_map
 
@@ -140,6 +142,9 @@ def copy_table(
     many ranges there are: it is sorted into files, and each range reads the few
     files that hold its keys, of the destination likewise.
 
+    A table that was created with a record holds the source to it: left-out columns get their
+    defaults, a NULL in a column that takes none ends the copy.
+
     Keys are never cleaned, so that a row keeps its key from run to run; the
     result says how many the rules would have changed.
 
@@ -192,7 +197,10 @@ class TableCopy:
         self.folders = list(before.folders)
         if before.all_written:
             return []
+        record = read_record(spark, self.path) if self.root else None
         source, replaced = self.source, None
+        if record:
+            source = conform_rows(source, record, self.run_ts)
         if self.by_key:
             dest = spark.read.parquet(*self.there)
             if mode == "resume":

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.model import TableSpec
+from tablesync.operators.conform import conform_rows
 from tablesync.operators.skew import join_on_key_set, latest_per_key
 from tablesync.session import scratch_space, stage
+from tablesync.sources.records import read_record
 from tablesync.sources.versions import current_folders, new_folder, publish, table_path
 from tablesync.sources.zones import folder_zones, folders_of_keys, with_folder
 
@@ -28,7 +31,8 @@ class MergeResult:
 
 
 def merge_rows(
-    batch: DataFrame, spec: TableSpec, root: str, order_cols: list[str] | None = None
+    batch: DataFrame, spec: TableSpec, root: str, order_cols: list[str] | None = None,
+    run_ts: datetime | None = None,
 ) -> MergeResult:
     """Replace by key into the table below ``root``: the result of ``replace_into`` on the whole table.
 
@@ -40,7 +44,8 @@ def merge_rows(
 
     ``order_cols`` say which of several batch rows with one key is the last;
     without them the batch must hold each key once. Rows with a NULL in their key replace nothing.
-    A table that is not there yet becomes the batch.
+    A table that is not there yet becomes the batch. Where the table has a record the batch is held
+    to it, with ``run_ts`` (now, if not given) where a default is the time of the insert.
     """
     spark, keys = batch.sparkSession, list(spec.keys)
     if not keys:
@@ -49,6 +54,9 @@ def merge_rows(
     folders = current_folders(spark, path)
     with scratch_space(spark):
         last = latest_per_key(batch, keys, order_cols) if order_cols else batch
+        record = read_record(spark, path)
+        if record:
+            last = conform_rows(last, record, run_ts or datetime.now())
         if not folders:
             return _first_version(last, path)
         schema = spark.read.parquet(*folders).schema

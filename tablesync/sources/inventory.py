@@ -46,6 +46,16 @@ FRAMES: dict[str, tuple[str, tuple[str, ...]]] = {
             "COLUMN_NAME AS column_name",
         ),
     ),
+    "references": (
+        "information_schema.KEY_COLUMN_USAGE",
+        (
+            "TABLE_SCHEMA AS table_schema", "TABLE_NAME AS table_name",
+            "CONSTRAINT_NAME AS constraint_name", "ORDINAL_POSITION AS ordinal_position",
+            "COLUMN_NAME AS column_name", "REFERENCED_TABLE_SCHEMA AS referenced_table_schema",
+            "REFERENCED_TABLE_NAME AS referenced_table_name",
+            "REFERENCED_COLUMN_NAME AS referenced_column_name",
+        ),
+    ),
     "accounts": (
         "mysql.user",
         (

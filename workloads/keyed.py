@@ -8,7 +8,9 @@ from tablesync.model import TableSpec
 from tablesync.operators import keyed as K
 from tablesync.plans.copy import copy_table, copy_tables
 from tablesync.plans.merge import merge_rows
+from tablesync.plans.structure import ensure_tables
 from tablesync.session import fresh_path
+from tablesync.sources.records import ColumnRule, TableRecord
 from tablesync.sources.tables import append_rows
 from tablesync.sources.tables import truncate_load as load
 from tablesync.sources.versions import open_table
@@ -160,6 +162,24 @@ def copy_table_binary(i):
     return open_table(i.spark, root, ORDERS).withColumn("digest", F.hex("digest"))
 
 
+@query("copy_with_record", f"""
+SELECT o_orderkey, o_custkey, 'P' AS o_orderstatus, CAST('0.5' AS DOUBLE) AS discount,
+       CAST(NULL AS VARCHAR) AS remark, TIMESTAMP '{RUN_TS}' AS placed_at
+FROM {{orders}}""")
+def copy_with_record(i):
+    """Two columns of a table, copied in ranges into one that has defaults for four more."""
+    rules = [ColumnRule("o_orderkey", "bigint", False), ColumnRule("o_custkey", "bigint", False),
+             ColumnRule("o_orderstatus", "string", False, "P"), ColumnRule("discount", "double", False, "0.5"),
+             ColumnRule("remark", "string", True, "NULL"),
+             ColumnRule("placed_at", "timestamp_ntz", False, "CURRENT_TIMESTAMP")]
+    record, root = TableRecord(tuple(rules), ORDERS.keys), fresh_path(i.spark, "record")
+    ensure_tables(i.spark, {ORDERS: i.spark.createDataFrame([], record.schema)}, root,
+                  records={ORDERS: record})
+    source = i["orders"].select(F.col("o_custkey").cast("bigint"), F.col("o_orderkey").cast("bigint"))
+    copy_table(source, ORDERS, RUN_TS, root=root, rows_per_range=max(1, source.count() // 3))
+    return open_table(i.spark, root, ORDERS)
+
+
 @query("copy_tables", " UNION ALL ".join(
     f"SELECT {n} AS \"index\", 'given' AS schema_name, '{t}' AS table_name, count(*) AS \"rows\", "
     f"'COMPLETED' AS status, CAST(NULL AS VARCHAR) AS error FROM {t}"
