@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Collection, Mapping
+from dataclasses import dataclass, field
 from datetime import datetime
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +26,10 @@ from tablesync.plans.copy import MODES, completed_locations
 from tablesync.plans.side_by_side import side_by_side
 from tablesync.session import scratch_space, stage
 from tablesync.sources import inventory, jdbc
+from tablesync.sources.call_log import CallLog
 from tablesync.sources.ledger_store import Ledger
 
+Result = TypeVar("Result")
 COUNTS = "table_name string, total_records bigint"
 
 
@@ -38,11 +41,24 @@ class Server:
     connections: int = 16
     quote: str = "`"
     wait: float = 1.0
+    log: CallLog | None = field(default=None, compare=False)
+
+    def timed(self, kind: str, statement: str, call: Callable[[], Result]) -> Result:
+        """What a call to the server gives, logged where there is a log."""
+        return self.log.timed(self.url, kind, statement, call) if self.log else call()
 
     def one_row(self, spark: SparkSession, query: str) -> tuple:
-        """One row of an answer; a lost connection is tried again."""
+        """One row of an answer; a lost connection is tried again, each attempt a call of its own."""
         ask = lambda: tuple(jdbc.read_jdbc(spark, jdbc.read_options(self.url, query)).first())
-        return jdbc.patiently(ask, wait=self.wait)
+        return jdbc.patiently(lambda: self.timed("queryrow", query, ask), wait=self.wait)
+
+    def execute(self, spark: SparkSession, statements: list[str]) -> None:
+        self.timed("exec", "; ".join(statements), lambda: jdbc.execute(spark, self.url, statements))
+
+    def write(self, rows: DataFrame, table: str) -> None:
+        """Append rows to a table of the server over its connections."""
+        options = jdbc.write_options(self.url, table, connections=self.connections)
+        self.timed("exec", f"INSERT INTO {table}", lambda: jdbc.write_jdbc(rows, options, "append"))
 
     def count(self, spark: SparkSession, spec: TableSpec) -> int:
         return int(self.one_row(spark, jdbc.total_query(jdbc.table_name(spec, self.quote)))[0])
@@ -110,7 +126,7 @@ def copy_between(
     swapped by renaming once all is there. A table without a key is loaded
     beside and swapped in either mode. A table that takes part in foreign keys (``referenced``) keeps
     its name, and so its own and others' references: its rows are replaced in one transaction.
-    Keys are not cleaned.
+    Keys are not cleaned. Calls go into the servers' logs, which are written when the copy ends.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
@@ -124,11 +140,14 @@ def copy_between(
             else:
                 _load_beside(spark, source, dest, spec, columns, run_ts, text_columns, rows_per_range,
                              referenced)
+        total, copied = source.count(spark, spec), dest.count(spark, spec)
     except Exception as error:
         if ledger:
             ledger.record(spec.table_key, "error", message=str(error))
         raise
-    total, copied = source.count(spark, spec), dest.count(spark, spec)
+    finally:
+        for log in {id(s.log): s.log for s in (source, dest) if s.log}.values():
+            log.flush()
     if ledger:
         ledger.record(spec.table_key, "complete", message=dest.url)
     return count_check(
@@ -152,9 +171,7 @@ def _append_ranges(
     run_ts: datetime, text_columns: tuple[str, ...], ledger: Ledger | None, rows_per_range: int,
 ) -> None:
     keys = list(spec.keys)
-    options = jdbc.write_options(
-        dest.url, jdbc.table_name(spec, dest.quote), connections=dest.connections
-    )
+    live = jdbc.table_name(spec, dest.quote)
     recorded = _recorded_ranges(ledger, spec)
     done = dest.count(spark, spec)
     for parts in _ranges(spark, source, spec, rows_per_range):
@@ -171,8 +188,9 @@ def _append_ranges(
         )
         same = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys]
         # Staged before it is written: the destination is not read while it changes.
-        missing = stage(arriving.alias("a").join(there.alias("b"), same, "left_anti"), "missing")
-        jdbc.write_jdbc(sanitize_copied(missing, run_ts, keys), options, "append")
+        lacking = arriving.alias("a").join(there.alias("b"), same, "left_anti")
+        missing = source.timed("query", f"{source.query(spec, columns)} {name}", lambda: stage(lacking, "missing"))
+        dest.write(sanitize_copied(missing, run_ts, keys), live)
         done += missing.count()
         if ledger:
             last = None if upto is None else whole_number(upto[0])
@@ -196,36 +214,39 @@ def _load_beside(
         conditions = jdbc.range_predicates(
             source.names(spec), source.plan(spark, spec, rows_per_range))
     arriving = source.rows(spark, spec, columns, text_columns, conditions)
-    rows = stage(sanitize_copied(arriving, run_ts, keys), spec.table_key)
+    cleaned = sanitize_copied(arriving, run_ts, keys)
+    rows = source.timed("query", source.query(spec, columns), lambda: stage(cleaned, spec.table_key))
     if keys and not rows.isEmpty():
         # Where the destination has the same ranges, they read it evenly; the ends are open.
         if conditions:
             conditions = jdbc.range_predicates(
                 dest.names(spec), [tuple(r) for r in _last_keys(rows, keys, rows_per_range)])
         there = dest.rows(spark, spec, columns, text_columns, conditions)
-        rows = stage(replace_into(there, rows, keys), spec.table_key)
+        rows = dest.timed(
+            "query", dest.query(spec, columns),
+            lambda: stage(replace_into(there, rows, keys), spec.table_key),
+        )
     live = jdbc.table_name(spec, dest.quote)
     beside, old = (
         jdbc.table_name(TableSpec(spec.schema, spec.name + end), dest.quote)
         for end in ("__copy", "__old")
     )
-    jdbc.execute(spark, dest.url, [
+    dest.execute(spark, [
         f"DROP TABLE IF EXISTS {beside}", f"DROP TABLE IF EXISTS {old}",
         f"CREATE TABLE {beside} LIKE {live}",
     ])
-    options = jdbc.write_options(dest.url, beside, connections=dest.connections)
-    jdbc.write_jdbc(rows, options, "append")
+    dest.write(rows, beside)
     if referenced:
         # Renaming would take others' foreign keys along to the old table; here every row is there
         # again when the transaction ends. A stop before that undoes it.
         names = ", ".join(jdbc.quoted(c, dest.quote) for c in columns)
-        jdbc.execute(spark, dest.url, [
+        dest.execute(spark, [
             "SET FOREIGN_KEY_CHECKS = 0", "START TRANSACTION", f"DELETE FROM {live}",
             f"INSERT INTO {live} ({names}) SELECT {names} FROM {beside}", "COMMIT",
             "SET FOREIGN_KEY_CHECKS = 1", f"DROP TABLE {beside}",
         ])
         return
-    jdbc.execute(spark, dest.url, [
+    dest.execute(spark, [
         f"RENAME TABLE {live} TO {old}, {beside} TO {live}", f"DROP TABLE {old}",
     ])
 
