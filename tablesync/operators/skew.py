@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from tablesync.session import stage
 
-# A key counts as hot once it would fill this part of an even shuffle partition; below the
-# least share that the summary can tell, keys are too small to matter.
+# A key counts as hot once it would fill this part of an even shuffle partition. The summary keeps
+# at most 1 / LEAST_SHARE keys; beyond 2,500 partitions it no longer follows their number, and keys
+# of up to that share (four partitions of 20,000) are left to the adaptive skew join.
 HOT_PART = 0.5
 LEAST_SHARE = 0.0002
 # A measured set of keys up to this size is broadcast. It counts what a row takes in a hash table.
@@ -49,12 +50,17 @@ def salted_join(
     of ``right`` are repeated once per salt; every other row is joined as
     usual. Catalyst and AQE still choose a broadcast when ``right`` is small
     enough by their own size check. The columns of ``left`` keep their order.
+
+    If ``left`` itself comes out of a shuffle, its rows are written first: a task that is run
+    again after a loss may see them in another order, and a place must not change meanwhile.
     """
     more = [] if how in ("left_anti", "left_semi") else right.columns
     columns = left.columns + [c for c in more if c not in keys]
     hot = hot_key_hashes(left, keys, share)
     if not hot:
         return left.join(right, keys, how).select(*columns)
+    if "Exchange" in left._jdf.queryExecution().executedPlan().toString():
+        left = stage(left, "salted")
     salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_hot = F.xxhash64(*keys).isin(hot)
     spread = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")

@@ -131,3 +131,13 @@ def test_one_row_per_key_is_cut_before_the_shuffle(spark, skewed):
 def test_first_per_key_by_any_order(skewed):
     row = first_per_key(skewed, ["k"], [F.col("v") % 100, F.col("v")]).filter("k = 7").first()
     assert row["v"] == 0
+
+
+def test_rows_out_of_a_shuffle_have_fixed_places_before_they_are_salted(spark):
+    rows = spark.range(4000).selectExpr("id % 2 * (id % 50) AS k", "id AS v")
+    right = spark.range(50).selectExpr("id AS k", "id * 10 AS w")
+    leaves = lambda df: df._jdf.queryExecution().analyzed().collectLeaves().mkString(" ")
+    for left, written in ((rows, False), (rows.repartition(8, "v"), True)):
+        joined = salted_join(left, right, ["k"], "left", share=0.2)
+        assert ("parquet" in leaves(joined)) == written
+        assert joined.filter("w <> k * 10 OR w IS NULL").isEmpty() and joined.count() == 4000
