@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +21,11 @@ from tablesync.operators.catalog import (
     parse_target,
 )
 from tablesync.operators.reconcile import progress_report, progress_totals
-from tablesync.plans.copy import CopyResult, copy_tables
+from tablesync.plans.copy import MODES, CopyResult, copy_tables, unfinished
 from tablesync.plans.side_by_side import side_by_side
 from tablesync.plans.structure import ensure_tables
 from tablesync.sources.ledger_store import Ledger
+from tablesync.sources.versions import FORMER_SECONDS, remove_former, table_path
 
 
 def discover(tables: DataFrame, columns: DataFrame) -> DataFrame:
@@ -108,6 +109,27 @@ def readable_counts(tables: Mapping[str, DataFrame], workers: int = 8) -> DataFr
     return spark.createDataFrame(rows, "table_name string, total_records bigint")
 
 
+def clean_up(
+    spark: SparkSession, specs: Iterable[TableSpec], root: str, ledger: Ledger | None = None,
+    keep_seconds: float = FORMER_SECONDS, workers: int = 8,
+) -> DataFrame:
+    """Delete former folders of tables below ``root``; one row per table with their number.
+
+    Ranges that an unfinished copy of the ledger's run has written stay, however old they are. A
+    table that cannot be cleaned has an error and stops no other.
+    """
+    def clean(spec: TableSpec) -> int:
+        kept = [f for mode in MODES for f in unfinished(ledger, spec, mode).folders]
+        return len(remove_former(spark, table_path(root, spec), keep_seconds, kept))
+
+    listed = list(specs)
+    found = side_by_side(spark, clean, listed, workers, lambda spec: spec.table_key)
+    rows = [(s.schema, s.name, *((None, str(n)) if isinstance(n, Exception) else (n, None)))
+            for s, n in zip(listed, found)]
+    return spark.createDataFrame(
+        rows, "schema_name string, table_name string, removed bigint, error string")
+
+
 def users(
     accounts: DataFrame, global_grants: DataFrame, db_grants: DataFrame, set_grants: DataFrame
 ) -> dict[str, DataFrame]:

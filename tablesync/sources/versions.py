@@ -6,6 +6,8 @@ added that names them, so readers see the old state or the new one.
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -17,6 +19,8 @@ from tablesync.model import TableSpec
 from tablesync.session import remove_folder
 from tablesync.sources.zones import folder_exists
 
+FOLDER_NAME = re.compile("(data|range|merge)-[0-9a-f]{32}")
+FORMER_SECONDS = 7 * 24 * 3600
 POINTER = "version bigint, folders array<string>"
 
 
@@ -71,3 +75,44 @@ def remove_unused(spark: SparkSession, path: str, folders: Sequence[str]) -> lis
     for folder in gone:
         remove_folder(spark, folder)
     return gone
+
+
+def _tail(folder: str) -> str:
+    """A folder's name below its table, which no other folder has, however the root is spelled."""
+    *_, above, name = folder.rstrip("/").split("/")
+    return f"{above}/{name}" if "=" in name else name
+
+
+def remove_former(
+    spark: SparkSession, path: str, keep_seconds: float = FORMER_SECONDS, keep: Sequence[str] = ()
+) -> list[str]:
+    """Delete the folders of the table at ``path`` that no version needs any more; returns their names.
+
+    What the pointer or ``keep`` names stays, as does whatever was written to in the last
+    ``keep_seconds``: a reader may still be at a former version, and a copy may be
+    about to publish. Only folders that ``new_folder`` has named are looked at.
+    Without a readable pointer nothing is deleted.
+    """
+    current = current_folders(spark, path)
+    if not current:
+        return []
+    used = {_tail(folder) for folder in (*current, *keep)}
+    bases = used | {name.split("/")[0] for name in used}
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = (time.time() - keep_seconds) * 1000
+    gone = []
+
+    def look(parent, is_one) -> None:
+        for status in system.listStatus(parent):
+            below, name = status.getPath(), _tail(status.getPath().toString())
+            if not status.isDirectory() or not is_one(below.getName()) or name in used:
+                continue
+            if name in bases:  # some of its parts are in use
+                look(below, lambda part: "=" in part)
+            elif status.getModificationTime() <= before:
+                system.delete(below, True)
+                gone.append(name)
+
+    look(place, lambda name: FOLDER_NAME.fullmatch(name))
+    return sorted(gone)
