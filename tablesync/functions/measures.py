@@ -52,6 +52,17 @@ def draw(id_col: Column, multiplier: int, bound: int) -> Column:
     return upper * big + F.shiftright(middle, WORD_BITS)
 
 
+def draw_short(id_col: Column, multiplier: int, bound: int | None) -> Column:
+    """The draw from the lowest 31 bits of an id alone; without a bound it is NULL.
+
+    Ids that agree in these bits draw the same, and only 2^31 numbers are told apart, so it
+    is for bounds well below that; ``draw`` has no such limit.
+    """
+    word = F.lit(WORD).cast("bigint")
+    spread = (id_col.cast("bigint").bitwiseAND(word) * multiplier).bitwiseAND(word)
+    return F.shiftright(spread * F.lit(bound).cast("bigint"), WORD_BITS)
+
+
 def pick(id_col: Column, multiplier: int, choices: tuple[str, ...]) -> Column:
     """One of ``choices``, drawn by id."""
     index = (draw(id_col, multiplier, len(choices)) + 1).cast("int")

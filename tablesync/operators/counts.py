@@ -71,6 +71,6 @@ def total_records(counts: DataFrame) -> DataFrame:
     )
 
 
-def max_key_param(df: DataFrame, key: str) -> int:
-    """The largest key as a driver value, to bound generated references."""
+def max_key_param(df: DataFrame, key: str) -> int | None:
+    """The largest key as a driver value, to bound generated references; None without a key."""
     return df.agg(F.max(key)).first()[0]

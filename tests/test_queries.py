@@ -1,5 +1,6 @@
 """Every registered query against its SQL, and what its plan must not hold."""
 
+import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
@@ -19,6 +20,20 @@ def test_query_agrees_with_its_sql(spark, sf_dir, duck, name):
     assert differences(df, duck, SQL[name]) == []
 
 
+@pytest.mark.parametrize("largest", [899_999, 0, None])
+def test_references_below_a_large_key_agree_with_their_sql(spark, tmp_path, largest):
+    """At 5756 and the ids after it a second word of the draw would carry into the reference."""
+    ids = [5756, 0, 9_000_000, 2**31 + 5, 2**45 + 5756, -3, None, *range(20_000, 60_000)]
+    orders = [(key,) for key in ids]
+    spark.createDataFrame(orders, "o_orderkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    customers = spark.createDataFrame([(largest,), (None,)], "c_custkey bigint")
+    customers.write.parquet(f"{tmp_path}/customer.parquet")
+    con = duckdb.connect()
+    for table in ("orders", "customer"):
+        con.execute(f"CREATE VIEW {table} AS FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
+    assert differences(QUERIES["max_key_param"](spark, str(tmp_path)), con, SQL["max_key_param"]) == []
+
+
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
     assert set(QUERIES) <= entry_module.queries().keys()
