@@ -99,11 +99,12 @@ def offset_page(
 def write_rank_index(df: DataFrame, keys: list[str], path: str, step: int = 10_000) -> None:
     """Write every ``step``-th row's place in key order (``row_no``) with its order columns to ``path``.
 
-    The one sort that deep pages need; it holds as long as the table does not change.
+    The one sort that deep pages need; it holds as long as the table does not change. Each task
+    writes the marks of the rows it reads, so the index lies in many files of which each holds few places.
     """
     order = total_order(df, keys)
     marks = number_rows(df, order).filter(F.col("row_no") % step == 0)
-    marks.select("row_no", *order).coalesce(1).sortWithinPartitions("row_no").write.parquet(path)
+    marks.select("row_no", *order).sortWithinPartitions("row_no").write.parquet(path)
 
 
 def indexed_page(

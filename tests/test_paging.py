@@ -118,6 +118,21 @@ def test_pages_from_an_index(spark, step):
     assert indexed_page(df.limit(0), ["k"], nothing, 0, 5).collect() == []
 
 
+def test_an_index_is_written_by_the_tasks_that_number_the_rows(spark):
+    path, setting = fresh_path(spark, "ranks"), "spark.sql.adaptive.coalescePartitions.enabled"
+    df = spark.range(5000).select((F.col("id") * 7 % 5000).alias("k"))
+    spark.conf.set(setting, "false")
+    try:
+        write_rank_index(df, ["k"], path, step=1)
+    finally:
+        spark.conf.unset(setting)
+    index = spark.read.parquet(path)
+    assert sorted(r["row_no"] for r in index.collect()) == list(range(5000))
+    per_task = [r["count"] for r in index.groupBy(F.input_file_name()).count().collect()]
+    assert len(per_task) >= 4 and max(per_task) < 2500
+    assert [r["k"] for r in indexed_page(df, ["k"], path, 4321, 30).collect()] == list(range(4321, 4351))
+
+
 def test_progress_after_each_batch(even_ids):
     plan = batch_plan(even_ids, ["id"], 30)
     rows = batch_progress(plan, 30, 100, width=40).orderBy("batch_id").collect()
