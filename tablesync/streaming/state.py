@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,7 +27,8 @@ _VALUES = [value for _, value, _ in _LATEST.values() if value]
 FIELDS = ["epoch", *_COUNTS, "first_start", *_LATEST, *_VALUES]
 _STATE = ", ".join(f"{name} {'string' if name in _TEXTS else 'bigint'}" for name in FIELDS)
 FOLD_SCHEMA = f"run_id string, table_key string, {_STATE}"
-# Whole numbers travel as text: with a NULL beside them they would become floating-point numbers.
+# Rows travel to Python and back as one JSON text each: a group costs a data frame per column, and
+# whole numbers with a NULL beside them would become floating-point numbers.
 _NUMBERS = ["event_id", "total_rows", "last_id", "processed_rows"]
 
 
@@ -62,15 +64,14 @@ def is_done(folded: dict) -> bool:
 def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     folded = dict(zip(FIELDS, state.get)) if state.exists else None
     for frame in frames:
-        plain = frame.astype(object).where(frame.notna(), None)
-        folded = add_events(folded, plain.to_dict("records"))
+        folded = add_events(folded, iter(json.loads(f"[{','.join(frame['event'])}]")))
     if is_done(folded):
         if state.exists:
             state.remove()
     else:
         state.update(tuple(folded[name] for name in FIELDS))
     row = {"run_id": key[0], "table_key": key[1]} | folded
-    yield pd.DataFrame([row], columns=["run_id", "table_key", *FIELDS], dtype=object)
+    yield pd.DataFrame({"fold": [json.dumps(row)]})
 
 
 def advancing(events: DataFrame) -> DataFrame:
@@ -79,9 +80,9 @@ def advancing(events: DataFrame) -> DataFrame:
     ``epoch`` tells the folds of one table apart. State is kept for tables that
     are not completed only. Events without a table are of no table.
     """
-    plain = events.filter(F.col("table_key").isNotNull()).select(
-        *RUN_TABLE, "op", "message", *[F.col(c).cast("string").alias(c) for c in _NUMBERS]
-    )
-    return plain.groupBy(*RUN_TABLE).applyInPandasWithState(
-        _advance, FOLD_SCHEMA, _STATE, "update", GroupStateTimeout.NoTimeout
+    event = F.to_json(F.struct("op", "message", *_NUMBERS), {"ignoreNullFields": "false"})
+    plain = events.filter(F.col("table_key").isNotNull()).select(*RUN_TABLE, event.alias("event"))
+    folds = plain.groupBy(*RUN_TABLE).applyInPandasWithState(
+        _advance, "fold string", _STATE, "update", GroupStateTimeout.NoTimeout
     )
+    return folds.select(F.inline(F.array(F.from_json("fold", FOLD_SCHEMA))))

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from datetime import datetime
 
 import pytest
@@ -130,6 +131,25 @@ def test_completed_tables_leave_the_state(spark):
         assert kept() == 1
 
 
+def test_a_table_of_the_ledger_stream_costs_python_few_columns(spark):
+    """Each column of a group is a data frame of its own in Python, however few events the group has."""
+    folder, path, check = (fresh_path(spark, label) for label in ("in", "st", "ck"))
+    texts = ['a "b" \\ c', "line\nend\t\x00", "São 😀", "", "null", None]
+    events = [
+        (run, 2**62 + 10 * n + at, NOW, f"{text}.t", op, *[None if at else 2**62 + n] * 3, text)
+        for run in ("r", None) for n, text in enumerate(texts)
+        for at, op in enumerate(("start", "error", "complete", "error"))
+    ]
+    frame = spark.createDataFrame(events, EVENT_SCHEMA)
+    frame.coalesce(1).write.parquet(folder)
+    stream = read_files(spark, folder, EVENT_SCHEMA)
+    plan = advancing(stream)._jdf.queryExecution().analyzed().toString()
+    (node,) = [line for line in plan.split("\n") if "FlatMapGroupsInPandasWithState" in line]
+    assert len(set(re.findall(r"\w+#\d+", node.split(", obj#")[0]))) <= 5
+    found = stream_ledger(stream, path, check)
+    assert sorted(map(str, found.collect())) == sorted(map(str, ledger_state(frame).collect()))
+
+
 def test_adding_events_in_any_order_is_the_same():
     rows = [dict(zip(EVENT_SCHEMA.names, row)) for row in random_events(4) if row[3] == "a"]
     once = add_events(None, iter(rows))
