@@ -59,7 +59,7 @@ def salted_join(
     hot = hot_key_hashes(left, keys, share)
     if not hot:
         return left.join(right, keys, how).select(*columns)
-    if "Exchange" in left._jdf.queryExecution().executedPlan().toString():
+    if _is_shuffled(left):
         left = stage(left, "salted")
     salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_hot = F.xxhash64(*keys).isin(hot)
@@ -74,6 +74,12 @@ def salted_join(
     return salted_left.join(salted_right, keys + ["_salt"], how).select(*columns)
 
 
+def _is_shuffled(df: DataFrame) -> bool:
+    """Whether rows come out of a shuffle; a broadcast leaves the rows beside it in their order."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "Exchange" in plan.replace("BroadcastExchange", "")
+
+
 def value_bytes(field: T.StructField) -> Column | int:
     """Bytes of a column's values: texts and bytes by length, nested values as their JSON."""
     kind = field.dataType

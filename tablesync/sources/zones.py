@@ -21,10 +21,13 @@ from tablesync.operators.paging import after_key, keyset_filter
 
 # Files of a table that is sorted for ranges hold about this many rows.
 ROWS_PER_FILE = 1_000_000
-# Bits per key of a Bloom filter, how many of them a key sets, and bits per stored piece.
+# Bits per key of a Bloom filter, how many of them a key sets, and bits per stored piece. All bits
+# of a key lie in one piece.
 BITS_PER_KEY = 10
 HASHES = 3
 PIECE_BITS = 32768
+# A folder's number stands above so many bits of a piece's.
+SLOT_BITS = 40
 
 
 def key_range(df: DataFrame, keys: list[str], after: tuple | None, upto: tuple | None) -> DataFrame:
@@ -173,17 +176,22 @@ def with_folder(spark: SparkSession, folders: Sequence[str], schema: T.StructTyp
     )
     reader = spark.read if schema is None else spark.read.schema(schema)
     rows = reader.parquet(*folders)
-    uri = F.regexp_replace(F.regexp_replace("_metadata.file_path", "/[^/]*$", ""), "^file:/+", "file:/")
+    # The folder of a file's path, in plain string functions: they run once a row.
+    name = F.substring_index("_metadata.file_path", "/", -1)
+    folder = F.substring(F.col("_metadata.file_path"), F.lit(1), F.length("_metadata.file_path") - F.length(name) - 1)
+    local = F.concat(F.lit("file:/"), F.ltrim(F.substring(folder, 6, 1 << 30), F.lit("/")))
+    uri = F.when(folder.startswith("file:/"), local).otherwise(folder)
     return rows.select("*", uri.alias("_uri")).join(F.broadcast(names), "_uri").drop("_uri")
 
 
-def positions(keys: list[str], bits: Column) -> Column:
-    """The bits of a filter of ``bits`` bits that a key sets."""
-    return F.array(*[F.pmod(F.xxhash64(F.lit(n), *keys), bits) for n in range(HASHES)])
+def key_piece(keys: list[str], bits: Column) -> Column:
+    """The piece of a filter of ``bits`` bits that holds all bits of a key."""
+    return F.pmod(F.xxhash64(F.lit(HASHES), *keys), F.floor(bits / PIECE_BITS).cast("bigint"))
 
 
-def _piece(position: Column) -> Column:
-    return F.floor(position / PIECE_BITS).cast("bigint")
+def key_bits(keys: list[str]) -> Column:
+    """The bits of its piece that a key sets."""
+    return F.array(*[F.pmod(F.xxhash64(F.lit(n), *keys), F.lit(PIECE_BITS)) for n in range(HASHES)])
 
 
 @dataclass(frozen=True)
@@ -208,7 +216,8 @@ def folder_zones(spark: SparkSession, path: str, folders: Sequence[str], keys: l
     ])
     piece_schema = "folder string, piece bigint, set binary"
     # The empty tables are there so that a first look finds folders to read.
-    place = f"{path}/zones/{'-'.join(keys)}"
+    # Filters below "zones" spread a key's bits over several pieces; those are not read any more.
+    place = f"{path}/blocks/{'-'.join(keys)}"
     if not folder_exists(spark, place):
         spark.createDataFrame([], bounds_schema).write.parquet(f"{place}/bounds/none")
         spark.createDataFrame([], piece_schema).write.parquet(f"{place}/pieces/none")
@@ -220,20 +229,25 @@ def folder_zones(spark: SparkSession, path: str, folders: Sequence[str], keys: l
     known = {row["folder"] for row in stored("bounds", bounds_schema).select("folder").collect()}
     missing = [f for f in folders if f not in known]
     if missing:
-        rows = with_folder(spark, missing).select("_folder", F.struct(*keys).alias("_key"), *keys)
-        name = uuid.uuid4().hex
-        rows.groupBy(F.col("_folder").alias("folder")).agg(
-            F.min("_key").alias("first"), F.max("_key").alias("last"), F.count(F.lit(1)).alias("rows"),
-        ).withColumn("bits", F.ceil(F.col("rows") * BITS_PER_KEY / 8).cast("bigint") * 8).write.parquet(
-            f"{place}/bounds/{name}"
-        )
+        # Rows are grouped by a folder's number, which is sorted faster than its name.
+        numbers = F.broadcast(spark.createDataFrame(list(enumerate(missing)), "_number bigint, folder string"))
+        rows = with_folder(spark, missing).join(numbers, F.col("_folder") == F.col("folder")).select("_number", *keys)
+        key, name = F.struct(*keys), uuid.uuid4().hex
+        rows.groupBy("_number").agg(
+            F.min(key).alias("first"), F.max(key).alias("last"), F.count(F.lit(1)).alias("rows"),
+        ).join(numbers, "_number").select(
+            "folder", "first", "last", "rows",
+            (F.ceil(F.col("rows") * BITS_PER_KEY / PIECE_BITS).cast("bigint") * PIECE_BITS).alias("bits"),
+        ).write.parquet(f"{place}/bounds/{name}")
         sizes = spark.read.schema(bounds_schema).parquet(f"{place}/bounds/{name}").select("folder", "bits")
-        bit = F.col("bit")
+        sizes = F.broadcast(sizes.join(numbers, "folder").select("_number", F.col("bits").alias("_bits")))
+        slot = F.shiftleft("_number", SLOT_BITS) + key_piece(keys, F.col("_bits"))
         (
-            rows.join(sizes, F.col("_folder") == F.col("folder"))
-            .select("folder", F.explode(positions(keys, F.col("bits"))).alias("bit"))
-            .groupBy("folder", _piece(bit).alias("piece"))
-            .agg(F.bitmap_construct_agg(bit % PIECE_BITS).alias("set"))
+            rows.join(sizes, "_number")
+            .select(slot.alias("slot"), F.explode(key_bits(keys)).alias("bit"))
+            .groupBy("slot").agg(F.bitmap_construct_agg("bit").alias("set"))
+            .withColumn("_number", F.shiftright("slot", SLOT_BITS)).join(numbers, "_number")
+            .select("folder", F.col("slot").bitwiseAND(F.lit((1 << SLOT_BITS) - 1)).alias("piece"), "set")
             .write.parquet(f"{place}/pieces/{name}")
         )
     return FolderZones(stored("bounds", bounds_schema), stored("pieces", piece_schema))
@@ -250,18 +264,15 @@ def folders_of_keys(batch_keys: DataFrame, zones: FolderZones, keys: list[str])
         F.broadcast(zones.bounds.alias("z")),
         (key >= F.col("z.first")) & (key <= F.col("z.last")),
     ).select(*[F.col(f"k.`{k}`").alias(k) for k in keys], "folder", "bits")
-    asked = near.select("*", F.explode(positions(keys, F.col("bits"))).alias("bit")).withColumn(
-        "piece", _piece(F.col("bit"))
-    )
-    place = F.col("bit") % PIECE_BITS
-    byte = F.conv(F.hex(F.substring("set", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10)
-    is_set = F.call_function("shiftright", byte.cast("int"), (place % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
-    return (
-        asked.join(zones.pieces, ["folder", "piece"]).filter(is_set)
-        .groupBy(*keys, "folder").agg(F.countDistinct("bit").alias("found"), F.first("bits").alias("bits"))
-        .filter(F.col("found") == F.size(F.array_distinct(positions(keys, F.col("bits")))))
-        .select(*keys, "folder")
-    )
+    asked = near.select(*keys, "folder", key_piece(keys, F.col("bits")).alias("piece"))
+    # One row for each key and folder meets the one piece that can hold the key.
+    found = asked.join(zones.pieces, ["folder", "piece"])
+    return found.filter(F.forall(key_bits(keys), _is_set)).select(*keys, "folder")
+
+
+def _is_set(bit: Column) -> Column:
+    byte = F.conv(F.hex(F.substring(F.col("set"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    return F.call_function("shiftright", byte.cast("int"), (bit % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:

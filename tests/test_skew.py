@@ -83,6 +83,17 @@ def test_hot_rows_are_spread_over_the_tasks(spark, skewed):
     assert largest < 2000  # 9,000 rows over 8 tasks; one hot key alone would be 3,000
 
 
+def test_rows_beside_a_broadcast_are_not_written_out(spark, skewed):
+    right = spark.range(0, 9000, 7).select(F.col("id").alias("k"))
+    beside = skewed.join(F.broadcast(spark.range(100).select(F.col("id").alias("w"))), F.col("v") % 100 == F.col("w"))
+    plans = [
+        salted_join(left, right, ["k"], "left_anti")._jdf.queryExecution().optimizedPlan().toString()
+        for left in (beside, beside.repartition(8, "v"))
+    ]
+    assert "_salt" in plans[0] and "Join Inner" in plans[0]  # the rows come straight from their join
+    assert "_salt" in plans[1] and "Join Inner" not in plans[1]  # they come from what was written
+
+
 def test_equal_rows_of_a_hot_key_are_spread_too(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -12,7 +12,7 @@ from tablesync.plans.merge import merge_rows
 from tablesync.session import fresh_path
 from tablesync.sources.ledger_store import Ledger
 from tablesync.sources.versions import current_folders, open_table, table_path
-from tablesync.sources.zones import clustered, folder_zones, folders_of_keys, sorted_zones, zone_map
+from tablesync.sources.zones import clustered, folder_zones, folders_of_keys, sorted_zones, with_folder, zone_map
 
 NOW, LATER = datetime(2024, 6, 1, 12), datetime(2024, 7, 1, 12)
 SPEC = TableSpec("shop", "orders", ("id",))
@@ -193,6 +193,23 @@ def test_filters_miss_no_key_and_few_strangers_pass(spark):
     assert folder_zones(spark, table_path(root, SPEC), folders, ["id"]).bounds.count() == len(folders)
 
 
+def test_a_key_meets_one_piece_of_a_folders_filter(spark):
+    """Asking for a key is one row for each folder near it, with nothing to count afterwards."""
+    root = fresh_path(spark, "a folder%20of é")
+    copy_table(spark.range(0, 60_000, 3), SPEC, NOW, root=root, rows_per_range=7000)
+    path, folders = table_path(root, SPEC), current_folders(spark, table_path(root, SPEC))
+    zones = folder_zones(spark, path, folders, ["id"])
+    pieces = zones.pieces.groupBy("folder").count().collect()
+    assert len(pieces) == len(folders) == 3 and max(r["count"] for r in pieces) > 1
+    asked = folders_of_keys(spark.range(60_000), zones, ["id"])
+    plan = asked._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Aggregate" not in plan
+    rows = asked.collect()
+    assert {r["id"] for r in rows} >= set(range(0, 60_000, 3)) and len(rows) < 24_000
+    place = {r["id"]: r["_folder"] for r in with_folder(spark, folders).select("id", "_folder").collect()}
+    assert all(place.get(r["id"], r["folder"]) == r["folder"] for r in rows)
+
+
 def test_merging_into_nothing_and_nothing_into_a_table(spark):
     root = fresh_path(spark, "root")
     batch = spark.createDataFrame([(1, "a"), (1, "b"), (None, "n")], "id bigint, name string")

@@ -9,7 +9,7 @@ from tablesync.operators import keyed as K
 from tablesync.plans.copy import copy_table, copy_tables
 from tablesync.plans.merge import merge_rows
 from tablesync.plans.structure import ensure_tables
-from tablesync.session import fresh_path
+from tablesync.session import fresh_path, stage
 from tablesync.sources.records import ColumnRule, TableRecord
 from tablesync.sources.tables import append_rows
 from tablesync.sources.tables import truncate_load as load
@@ -64,7 +64,7 @@ MERGED = SQL["replace_into"]
 def merged(i):
     """The same into a stored table of ten ranges, of which only those with a key of the batch are written."""
     spec, root = TableSpec("shop", "items", tuple(LINE_KEY)), fresh_path(i.spark, "merge")
-    dest = i["li_dest"]
+    dest = stage(i["li_dest"], "items")
     copy_table(dest, spec, RUN_TS, root=root, rows_per_range=max(1, dest.count() // 10))
     merge_rows(i["li_batch"], spec, root, BATCH_ORDER)
     return open_table(i.spark, root, spec)
